@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference's jobs are one-shot batches keyed by a batch date; it has no streaming reader or writer,
+watermark, window or state. Nothing here is built, so that no operator beyond the reference's exists.
+"""
