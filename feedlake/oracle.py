@@ -89,3 +89,121 @@ RECON = with_(RECON_SOURCE, DIFF)
 ORACLE: dict[str, str] = {
     "incremental_snapshot": SNAP + "SELECT * FROM snapshot",
 }
+
+ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+
+ORACLE.update({
+    # 2.1 sources
+    "scan_table": "SELECT * FROM orders",
+    "scan_batch": with_(DAILY) + "SELECT * FROM daily WHERE batchdate = '2024-01-15'",
+    "scan_delimited": "SELECT * FROM orders",
+    "scan_json": "SELECT * FROM orders",
+    "scan_recon_source": with_(RECON_SOURCE, RECON_SOURCE_CSV) + "SELECT * FROM recon_source_csv",
+    "landing_manifest": with_(DAILY) + """SELECT batchdate, (dayofmonth(min(ts)) % 2 = 0) AS compressed,
+        CAST(1 AS BIGINT) AS n_files FROM daily GROUP BY batchdate""",
+    "access_zone_lookup": """SELECT 'zones/zone_' || CAST(n_nationkey AS VARCHAR) AS s3_location,
+        'zone_db_' || CAST(n_regionkey AS VARCHAR) AS database_name FROM nation WHERE lower(n_name) = 'nation_7'""",
+    "requested_columns": """SELECT c.requestecol, c.dtype FROM region r,
+        (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('n_orders', 'bigint'), ('max_price', 'double'))
+          AS c(requestecol, dtype)
+        WHERE 'req-' || replace(lower(r.r_name), ' ', '_') = 'req-europe'""",
+    "table_columns": """SELECT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name AS col_name,
+        CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+          WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type
+        FROM information_schema.columns WHERE table_name = 'orders'""",
+    # 2.2 sinks
+    "overwrite_raw": with_(DELTA) + "SELECT *, '2024-01-02' AS batchdate FROM delta",
+    "append_raw": SNAP + "SELECT * FROM snapshot",
+    "overwrite_partition": with_(DAILY) + """SELECT event_id, ts, user_id, event_type,
+        CASE WHEN batchdate = '2024-01-15' THEN value * 2 ELSE value END AS value, props, batchdate FROM daily""",
+    "write_diff_json": RECON + "SELECT * FROM diff",
+    "write_info_csv": RECON + mismatch_sql("diff") + " UNION ALL " + new_records_sql("diff"),
+    "create_target": """SELECT * FROM (VALUES (0, 'c_custkey', 'bigint'), (1, 'c_name', 'string'),
+        (2, 'n_orders', 'bigint'), (3, 'max_price', 'double')) AS t(ordinal, col_name, data_type)
+        WHERE EXISTS (SELECT 1 FROM region WHERE lower(r_name) = 'europe')""",
+    "load_target": REQUEST,
+    "publish_fanout": with_(DAILY) + """SELECT batchdate, count(*) AS cnt, 'a' AS target FROM daily GROUP BY batchdate
+        UNION ALL SELECT batchdate, count(*) AS cnt, 'b' AS target FROM daily GROUP BY batchdate""",
+    "stage_landing": with_(DAILY) + "SELECT * FROM daily",
+    "record_audit": with_(DAILY) + """SELECT 'Delta Count Raw' AS message, batchdate, count(*) AS cnt
+        FROM daily GROUP BY batchdate""",
+    "coalesce_output": "SELECT * FROM events",
+    # 2.3 projections
+    "with_batchdate": with_(DELTA) + "SELECT *, '2024-01-02' AS batchdate FROM delta",
+    "drop_batchdate": with_(HISTORY) + f"SELECT {ORDERS_COLS} FROM history",
+    "drop_columns": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
+    "rename_columns": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+        o_orderpriority AS priority FROM orders""",
+    "prefix_nonkey": """SELECT o_orderkey, o_custkey AS df_raw_o_custkey, o_orderstatus AS df_raw_o_orderstatus,
+        o_totalprice AS df_raw_o_totalprice, o_orderdate AS df_raw_o_orderdate,
+        o_orderpriority AS df_raw_o_orderpriority FROM orders""",
+    "keys_with_label": RECON + "SELECT o_orderkey, 'new record' AS column_name FROM diff",
+    "cast_to_schema": """SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice END
+        AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders""",
+    # 2.4 / 2.5
+    "where_batch": with_(HISTORY) + "SELECT * FROM history WHERE batchdate = '2023-12-01'",
+    "latest_batch": with_(HISTORY, LATEST) + "SELECT * FROM latest",
+    "unmatched_rows": with_(HISTORY, DELTA) + """SELECT h.* FROM history h
+        WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.o_orderkey = h.o_orderkey)""",
+    "unchanged_records": with_(HISTORY, DELTA, LATEST, UNCHANGED) + "SELECT * FROM unchanged",
+    "pair_on_keys": RECON + "SELECT d.o_orderkey, " + ", ".join(
+        f"d.{c} AS df_diff_{c}, r.{c} AS df_raw_{c}_min, r.{c} AS df_raw_{c}_max" for c in NONKEY
+    ) + ", CAST(1 AS BIGINT) AS df_raw__rows FROM diff d JOIN orders r ON r.o_orderkey = d.o_orderkey",
+    "anti_join_keys": RECON + """SELECT d.* FROM diff d
+        WHERE NOT EXISTS (SELECT 1 FROM orders r WHERE r.o_orderkey = d.o_orderkey)""",
+    # 2.6
+    "count_rows": SNAP + "SELECT count(*) AS cnt FROM snapshot",
+    "count_batch": with_(DAILY) + "SELECT count(*) AS cnt FROM daily WHERE batchdate = '2024-01-15'",
+    "count_by_batch": SNAP + "SELECT batchdate, count(*) AS cnt FROM snapshot GROUP BY batchdate",
+    "count_unchanged": with_(HISTORY, DELTA, LATEST, UNCHANGED) + "SELECT count(*) AS unchangedcnt FROM unchanged",
+    "snapshot_date": SNAP + "SELECT coalesce(max(batchdate), '2001-01-31') AS snapshot_date FROM snapshot",
+    "is_empty": RECON + "SELECT (SELECT count(*) FROM diff) = 0 AS is_empty",
+    # 2.9 / 2.10
+    "except_distinct": """SELECT user_id, event_type FROM events
+        EXCEPT SELECT user_id, event_type FROM events WHERE value > 25""",
+    "union_all": RECON + mismatch_sql("diff") + " UNION ALL " + new_records_sql("diff"),
+    "mismatch_flags": RECON + "SELECT d.o_orderkey, " + ", ".join(
+        f"CASE WHEN r.{c} <> d.{c} THEN '{c}' ELSE '' END AS flag_{c}" for c in NONKEY
+    ) + " FROM diff d JOIN orders r ON r.o_orderkey = d.o_orderkey",
+    "mismatch_array": RECON + "SELECT d.o_orderkey, CAST(" + " + ".join(
+        f"(CASE WHEN r.{c} <> d.{c} THEN 1 ELSE 0 END)" for c in NONKEY
+    ) + " AS INTEGER) AS n_mismatch, concat_ws('|', " + _flags() + ") AS columns "
+      "FROM diff d JOIN orders r ON r.o_orderkey = d.o_orderkey",
+    "array_to_string": RECON + mismatch_sql("diff"),
+    "fill_empty_strings": with_(NULL_STRINGS) + """SELECT o_orderkey, o_custkey, coalesce(o_orderstatus, '')
+        AS o_orderstatus, o_totalprice, o_orderdate, coalesce(o_orderpriority, '') AS o_orderpriority
+        FROM null_strings""",
+    "run_request_sql": REQUEST,
+    # 2.13
+    "full_refresh": with_(DELTA) + "SELECT *, '2024-01-02' AS batchdate FROM delta",
+    "history_snapshot": SNAP + f"""SELECT * FROM history
+        UNION ALL SELECT {ORDERS_COLS}, '2024-01-02' AS batchdate FROM snapshot""",
+    "ingest_partition": with_(DAILY) + """SELECT event_id, ts, user_id, event_type,
+        CASE WHEN batchdate = '2024-01-15' THEN value * 2 ELSE value END AS value, props, batchdate FROM daily""",
+    "post_batch_audit": with_(DELTA) + """SELECT 'Delta Count Raw' AS message, '2024-01-02' AS batchdate,
+        count(*) AS cnt FROM delta""",
+    "recon_difference": RECON + "SELECT * FROM diff",
+    "recon_mismatch": RECON + mismatch_sql("diff"),
+    "recon_new_records": RECON + new_records_sql("diff"),
+    "recon_report": with_(RECON_SOURCE, RECON_SOURCE_CSV, DIFF_CSV) + mismatch_sql("diff_csv") + " UNION ALL "
+        + new_records_sql("diff_csv"),
+    "file_table_validation": with_(NULL_STRINGS) + """SELECT o_orderkey, o_custkey, coalesce(o_orderstatus, '')
+        AS o_orderstatus, o_totalprice, o_orderdate, coalesce(o_orderpriority, '') AS o_orderpriority
+        FROM null_strings EXCEPT SELECT * FROM null_strings""",
+    "schema_validation": """
+        SELECT 'missing_column' AS "check", 'l_comment' AS column_name, CAST(1 AS BIGINT) AS violations
+        UNION ALL SELECT 'extra_column', c, 1 FROM (VALUES ('l_suppkey'), ('l_extendedprice'), ('l_discount'),
+          ('l_tax'), ('l_linestatus')) AS t(c)
+        UNION ALL SELECT 'column_order', c, 1 FROM (VALUES ('l_partkey'), ('l_linenumber')) AS t(c)
+        UNION ALL SELECT 'uncastable', 'l_orderkey', count(*) FILTER (WHERE l_orderkey IS NOT NULL AND TRY_CAST(l_orderkey AS BIGINT) IS NULL) FROM lineitem
+        UNION ALL SELECT 'uncastable', 'l_linenumber', count(*) FILTER (WHERE l_linenumber IS NOT NULL AND TRY_CAST(l_linenumber AS INTEGER) IS NULL) FROM lineitem
+        UNION ALL SELECT 'uncastable', 'l_partkey', count(*) FILTER (WHERE l_partkey IS NOT NULL AND TRY_CAST(l_partkey AS BIGINT) IS NULL) FROM lineitem
+        UNION ALL SELECT 'uncastable', 'l_quantity', count(*) FILTER (WHERE l_quantity IS NOT NULL AND TRY_CAST(l_quantity AS INTEGER) IS NULL) FROM lineitem
+        UNION ALL SELECT 'uncastable', 'l_returnflag', count(*) FILTER (WHERE l_returnflag IS NOT NULL AND TRY_CAST(l_returnflag AS INTEGER) IS NULL) FROM lineitem
+        UNION ALL SELECT 'uncastable', 'l_shipdate', count(*) FILTER (WHERE l_shipdate IS NOT NULL AND TRY_CAST(l_shipdate AS DATE) IS NULL) FROM lineitem
+        UNION ALL SELECT 'null_key', 'l_orderkey', count(*) FILTER (WHERE l_orderkey IS NULL) FROM lineitem
+        UNION ALL SELECT 'null_key', 'l_linenumber', count(*) FILTER (WHERE l_linenumber IS NULL) FROM lineitem
+        UNION ALL SELECT 'duplicate_key', 'l_orderkey,l_linenumber', CAST(coalesce(sum(n), 0) AS BIGINT)
+          FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""",
+    "deliver_request": REQUEST,
+})

@@ -45,7 +45,9 @@ def deliver_request(
     # one row per requested column: metadata, bounded by the width of the target
     cols = [(r["requestecol"], r["dtype"]) for r in requested_columns(columns, spec.request_id).collect()]
     target = f"{zone_db}.{spec.target_name}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {zone_db}")
+    if not _DB.match(zone_db):
+        raise ValueError(f"not a database name: {zone_db!r}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {zone_db} LOCATION '{location.rstrip('/')}/{zone_db}.db'")
     create_target(spark, target, cols, f"{location.rstrip('/')}/{spec.target_name}")
     load_target(run_request_sql(spark, spec.sql_template, spec.database), target)
     return target

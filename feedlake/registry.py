@@ -10,18 +10,503 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from feedlake import fixtures as fx
-from feedlake.operators import incremental_snapshot
+from feedlake.functions import (
+    array_to_string,
+    cast_to_schema,
+    drop_batchdate,
+    drop_columns,
+    fill_empty_strings,
+    keys_with_label,
+    mismatch_array,
+    mismatch_flag,
+    prefix_nonkey,
+    rename_columns,
+    with_batchdate,
+)
+from feedlake.operators import (
+    anti_join_keys,
+    concat,
+    count_batch,
+    count_by_batch,
+    count_rows,
+    count_unchanged,
+    difference,
+    full_refresh,
+    incremental_snapshot,
+    is_empty,
+    latest_batch,
+    mismatch_report,
+    pair_on_keys,
+    recon_mismatch,
+    recon_new_records,
+    snapshot_date,
+    unchanged_records,
+    unmatched_rows,
+    where_batch,
+)
+from feedlake.plans import (
+    deliver_request,
+    history_snapshot,
+    ingest_partition,
+    post_batch_audit,
+    recon_difference,
+    reconcile,
+    run_request_sql,
+    schema_checks,
+    validate_files,
+)
+from feedlake.sinks import (
+    append_raw,
+    audit_events,
+    coalesce_output,
+    create_feed_table,
+    create_target,
+    load_target,
+    overwrite_partition,
+    overwrite_raw,
+    publish_fanout,
+    read_audit,
+    record_audit,
+    stage_landing,
+    write_diff_json,
+    write_info_csv,
+)
+from feedlake.sources import (
+    TEXT_OPTIONS,
+    access_zone_lookup,
+    landing_manifest,
+    requested_columns,
+    scan_batch,
+    scan_delimited,
+    scan_json,
+    scan_recon_source,
+    scan_table,
+    table_columns,
+)
+from feedlake.spec import BATCH_COLUMN, RequestSpec, ReconSpec
+from feedlake.workspace import new_dir, new_name
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = [fx.ORDER_KEY]
+NONKEY = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ZONE = "nation_7"
+REQUEST = "req-europe"
 
 
-def q_incremental_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+# ---- fixtures shared by several queries -------------------------------------------------------------
+
+
+def _diff(spark: SparkSession, sf: str) -> DataFrame:
+    return recon_difference(fx.recon_source(spark, sf), fx.recon_raw(spark, sf))
+
+
+def _feed_table(spark: SparkSession, df: DataFrame, label: str, partitioned: bool = True) -> str:
+    """An empty external feed table with df's schema (batchdate last) in a fresh work database."""
+    db = fx.work_database(spark)
+    name = f"{db}.{label}"
+    create_feed_table(spark, name, df.schema, new_dir(spark, label), partitioned)
+    return name
+
+
+def _daily_table(spark: SparkSession, sf: str) -> str:
+    """daily_events stored as a table partitioned by batchdate (one dynamic write of all days)."""
+    ev = fx.daily_events(spark, sf)
+    name = _feed_table(spark, ev, "daily_events")
+    append_raw(ev, name)
+    return name
+
+
+def _history_table(spark: SparkSession, sf: str) -> str:
+    h = fx.history(spark, sf)
+    name = _feed_table(spark, h, "history")
+    append_raw(h, name)
+    return name
+
+
+def _orders_schema(spark: SparkSession, sf: str) -> StructType:
+    return fx.table(spark, sf, "orders").schema
+
+
+# ---- 2.1 sources -------------------------------------------------------------------------------------
+
+
+def q_scan_table(spark, sf):
+    db = fx.source_database(spark, sf, ["orders"])
+    return scan_table(spark, f"{db}.orders")
+
+
+def q_scan_batch(spark, sf):
+    return scan_batch(spark, _daily_table(spark, sf), fx.AUDIT_DAY)
+
+
+def q_scan_delimited(spark, sf):
+    path = fx.write_delimited(fx.table(spark, sf, "orders"), new_dir(spark, "orders_csv"))
+    return scan_delimited(spark, path, _orders_schema(spark, sf), fx.LANDING_SEP)
+
+
+def q_scan_json(spark, sf):
+    path = new_dir(spark, "orders_json")
+    fx.table(spark, sf, "orders").write.options(**TEXT_OPTIONS).json(path)
+    return scan_json(spark, path, _orders_schema(spark, sf))
+
+
+def _recon_csv(spark, sf) -> str:
+    return fx.write_delimited(fx.recon_source(spark, sf), new_dir(spark, "recon_source_csv"))
+
+
+def q_scan_recon_source(spark, sf):
+    spec = ReconSpec(raw_table="", primary_key=tuple(KEYS), output_path="", input_path=_recon_csv(spark, sf),
+                     file_type="csv", delimiter=fx.LANDING_SEP)
+    return scan_recon_source(spark, spec, _orders_schema(spark, sf))
+
+
+def q_landing_manifest(spark, sf):
+    m = landing_manifest(spark, fx.write_landing(spark, sf), "csv")
+    day = F.regexp_extract("path", r"batchdate=(\d{4}-\d{2}-\d{2})", 1)
+    return m.groupBy(day.alias(BATCH_COLUMN), "compressed").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def q_access_zone_lookup(spark, sf):
+    return access_zone_lookup(fx.access_zones(spark, sf, "zones"), ZONE)
+
+
+def q_requested_columns(spark, sf):
+    return requested_columns(fx.request_columns(spark, sf), REQUEST)
+
+
+def q_table_columns(spark, sf):
+    db = fx.source_database(spark, sf, ["orders"])
+    return table_columns(spark, f"{db}.orders")
+
+
+# ---- 2.2 sinks ---------------------------------------------------------------------------------------
+
+
+def q_overwrite_raw(spark, sf):
+    raw = _history_table(spark, sf)  # two old batches; a full overwrite must remove both
+    overwrite_raw(fx.delta(spark, sf), raw, fx.DELTA_DATE)
+    return spark.table(raw)
+
+
+def q_append_raw(spark, sf):
+    raw = _history_table(spark, sf)
+    overwrite_raw(fx.delta(spark, sf), raw, fx.DELTA_DATE)
+    append_raw(unchanged_records(fx.history(spark, sf), fx.delta(spark, sf), KEYS), raw)
+    return spark.table(raw)
+
+
+def _doubled_day(spark, sf) -> DataFrame:
+    ev = fx.daily_events(spark, sf)
+    return where_batch(ev, fx.AUDIT_DAY).withColumn("value", F.col("value") * 2)
+
+
+def q_overwrite_partition(spark, sf):
+    name = _daily_table(spark, sf)
+    overwrite_partition(drop_batchdate(_doubled_day(spark, sf)), name, fx.AUDIT_DAY)
+    return spark.table(name)
+
+
+def q_write_diff_json(spark, sf):
+    path = new_dir(spark, "difference")
+    d = _diff(spark, sf)
+    write_diff_json(d, path)
+    return scan_json(spark, path, d.schema)
+
+
+def q_write_info_csv(spark, sf):
+    path = new_dir(spark, "additional_info")
+    write_info_csv(mismatch_report(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS), path)
+    return scan_delimited(spark, path, StructType.fromDDL("o_orderkey bigint, column_name string"), ",", header=True)
+
+
+def _target(spark, sf) -> tuple[str, list[tuple[str, str]]]:
+    db = fx.work_database(spark)
+    cols = [(r["requestecol"], r["dtype"]) for r in requested_columns(fx.request_columns(spark, sf), REQUEST).collect()]
+    name = f"{db}.{new_name('target')}"
+    create_target(spark, name, cols, new_dir(spark, "target"))
+    return name, cols
+
+
+def q_create_target(spark, sf):
+    name, _ = _target(spark, sf)
+    return table_columns(spark, name)
+
+
+def q_load_target(spark, sf):
+    name, _ = _target(spark, sf)
+    c, o = fx.table(spark, sf, "customer"), fx.table(spark, sf, "orders")
+    result = (
+        c.join(o, c.c_custkey == o.o_custkey)
+        .groupBy(c.c_custkey, c.c_name)
+        .agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("max_price"))
+    )
+    load_target(result, name)
+    return spark.table(name)
+
+
+def q_publish_fanout(spark, sf):
+    ev = fx.daily_events(spark, sf)
+    targets = [new_dir(spark, "zone_a"), new_dir(spark, "zone_b")]
+    publish_fanout(ev, targets)
+    read = [
+        spark.read.schema(ev.schema).parquet(t).groupBy(BATCH_COLUMN).agg(F.count(F.lit(1)).alias("cnt"))
+        .withColumn("target", F.lit(label))
+        for t, label in zip(targets, ["a", "b"])
+    ]
+    return read[0].unionByName(read[1])
+
+
+def q_stage_landing(spark, sf):
+    landing = fx.write_landing(spark, sf)
+    schema = fx.daily_events(spark, sf).schema
+    staged = stage_landing(spark, landing, new_dir(spark, "pre_raw"), schema, fx.LANDING_SEP, "csv")
+    return staged.drop("source_file")
+
+
+def q_record_audit(spark, sf):
+    path = new_dir(spark, "audit")
+    counts = count_by_batch(fx.daily_events(spark, sf))
+    ev = audit_events(counts, "landing_to_raw", "post_batch_audit", "daily_events", "Delta Count Raw",
+                      {"count": F.col("cnt"), "batchdate": F.col(BATCH_COLUMN)})
+    record_audit(spark, path, ev)
+    a = read_audit(spark, path)
+    return a.select("message", a.args["batchdate"].alias(BATCH_COLUMN), a.args["count"].cast("bigint").alias("cnt"))
+
+
+def q_coalesce_output(spark, sf):
+    path = new_dir(spark, "coalesced")
+    coalesce_output(fx.table(spark, sf, "events"), 2).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+# ---- 2.3 projections ---------------------------------------------------------------------------------
+
+
+def q_with_batchdate(spark, sf):
+    return with_batchdate(fx.delta(spark, sf), fx.DELTA_DATE)
+
+
+def q_drop_batchdate(spark, sf):
+    return drop_batchdate(fx.history(spark, sf))
+
+
+def q_drop_columns(spark, sf):
+    return drop_columns(fx.table(spark, sf, "orders"), "o_totalprice, o_orderdate, not_a_column")
+
+
+def q_rename_columns(spark, sf):
+    return rename_columns(fx.table(spark, sf, "orders"), {"o_orderpriority": "priority", "not_a_column": "x"})
+
+
+def q_prefix_nonkey(spark, sf):
+    return prefix_nonkey(fx.table(spark, sf, "orders"), "O_ORDERKEY", "df_raw_")
+
+
+def q_keys_with_label(spark, sf):
+    return keys_with_label(_diff(spark, sf), KEYS, "new record")
+
+
+def _damaged_orders(spark, sf) -> DataFrame:
+    o = fx.table(spark, sf, "orders")
+    k = F.col(fx.ORDER_KEY)
+    return o.select(
+        k.cast("string").alias("o_orderkey"),
+        F.when(k % 11 == 0, F.lit("x")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        "o_orderdate",
+        "o_orderstatus",
+    )
+
+
+def q_cast_to_schema(spark, sf):
+    return cast_to_schema(_damaged_orders(spark, sf), "o_orderkey bigint, o_totalprice double, o_orderdate date")
+
+
+# ---- 2.4 / 2.5 filters and joins --------------------------------------------------------------------
+
+
+def q_where_batch(spark, sf):
+    return where_batch(fx.history(spark, sf), fx.HISTORY_OLDER)
+
+
+def q_latest_batch(spark, sf):
+    return latest_batch(fx.history(spark, sf))
+
+
+def q_unmatched_rows(spark, sf):
+    return unmatched_rows(fx.history(spark, sf), fx.delta(spark, sf), KEYS)
+
+
+def q_unchanged_records(spark, sf):
+    return unchanged_records(fx.history(spark, sf), fx.delta(spark, sf), KEYS)
+
+
+def q_pair_on_keys(spark, sf):
+    return pair_on_keys(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
+
+
+def q_anti_join_keys(spark, sf):
+    return anti_join_keys(_diff(spark, sf), fx.recon_raw(spark, sf), KEYS)
+
+
+# ---- 2.6 aggregations ---------------------------------------------------------------------------------
+
+
+def _snapshot(spark, sf) -> DataFrame:
     return incremental_snapshot(fx.delta(spark, sf), fx.history(spark, sf), KEYS, fx.DELTA_DATE)
 
 
+def q_count_rows(spark, sf):
+    return count_rows(_snapshot(spark, sf))
+
+
+def q_count_batch(spark, sf):
+    return count_batch(fx.daily_events(spark, sf), fx.AUDIT_DAY)
+
+
+def q_count_by_batch(spark, sf):
+    return count_by_batch(_snapshot(spark, sf))
+
+
+def q_count_unchanged(spark, sf):
+    return count_unchanged(fx.history(spark, sf), fx.delta(spark, sf), KEYS)
+
+
+def q_snapshot_date(spark, sf):
+    return snapshot_date(_snapshot(spark, sf))
+
+
+def q_is_empty(spark, sf):
+    return is_empty(_diff(spark, sf))
+
+
+# ---- 2.9 / 2.10 set operations and scalar functions ---------------------------------------------------
+
+
+def q_except_distinct(spark, sf):
+    ev = fx.table(spark, sf, "events")
+    return difference(ev.select("user_id", "event_type"), ev.where(F.col("value") > 25).select("user_id", "event_type"))
+
+
+def q_union_all(spark, sf):
+    raw, d = fx.recon_raw(spark, sf), _diff(spark, sf)
+    return concat(recon_mismatch(raw, d, KEYS), recon_new_records(d, raw, KEYS))
+
+
+def q_mismatch_flags(spark, sf):
+    p = pair_on_keys(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
+    return p.select(fx.ORDER_KEY, *[mismatch_flag(p[f"df_raw_{c}_max"], p[f"df_diff_{c}"], c).alias(f"flag_{c}")
+                                    for c in NONKEY])
+
+
+def q_mismatch_array(spark, sf):
+    p = pair_on_keys(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
+    arr = mismatch_array([mismatch_flag(p[f"df_raw_{c}_max"], p[f"df_diff_{c}"], c) for c in NONKEY])
+    return p.select(fx.ORDER_KEY, F.size(arr).alias("n_mismatch"), F.array_join(arr, "|").alias("columns"))
+
+
+def q_array_to_string(spark, sf):
+    p = pair_on_keys(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
+    arr = mismatch_array([mismatch_flag(p[f"df_raw_{c}_max"], p[f"df_diff_{c}"], c) for c in NONKEY])
+    return p.select(fx.ORDER_KEY, array_to_string(arr).alias("column_name"))
+
+
+def q_fill_empty_strings(spark, sf):
+    return fill_empty_strings(fx.null_strings(spark, sf))
+
+
+def q_run_request_sql(spark, sf):
+    db = fx.source_database(spark, sf, ["customer", "orders"])
+    return run_request_sql(spark, fx.REQUEST_SQL, db)
+
+
+# ---- 2.13 pipelines -----------------------------------------------------------------------------------
+
+
+def q_incremental_snapshot(spark, sf):
+    return _snapshot(spark, sf)
+
+
+def q_full_refresh(spark, sf):
+    return full_refresh(fx.delta(spark, sf), fx.DELTA_DATE)
+
+
+def q_history_snapshot(spark, sf):
+    hist = _history_table(spark, sf)
+    snap = _snapshot(spark, sf)
+    raw = _feed_table(spark, snap, "raw")
+    overwrite_raw(snap, raw)
+    history_snapshot(spark, raw, hist)  # partition = raw's max batchdate
+    return spark.table(hist)
+
+
+def q_ingest_partition(spark, sf):
+    name = _daily_table(spark, sf)
+    ingest_partition(spark, _doubled_day(spark, sf), name, fx.AUDIT_DAY)
+    return spark.table(name)
+
+
+def q_post_batch_audit(spark, sf):
+    snap = _snapshot(spark, sf)
+    raw = _feed_table(spark, snap, "raw")
+    overwrite_raw(snap, raw)
+    path = new_dir(spark, "audit")
+    post_batch_audit(spark, raw, fx.DELTA_DATE, path, "orders")
+    a = read_audit(spark, path)
+    return a.select("message", a.args["batchdate"].alias(BATCH_COLUMN), a.args["count"].cast("bigint").alias("cnt"))
+
+
+def q_recon_difference(spark, sf):
+    return _diff(spark, sf)
+
+
+def q_recon_mismatch(spark, sf):
+    return recon_mismatch(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
+
+
+def q_recon_new_records(spark, sf):
+    return recon_new_records(_diff(spark, sf), fx.recon_raw(spark, sf), KEYS)
+
+
+def q_recon_report(spark, sf):
+    raw = _feed_table(spark, fx.table(spark, sf, "orders").withColumn(BATCH_COLUMN, F.lit(fx.DELTA_DATE)), "raw")
+    overwrite_raw(fx.recon_raw(spark, sf), raw, fx.DELTA_DATE)
+    spec = ReconSpec(raw_table=raw, primary_key=("O_ORDERKEY",), output_path=new_dir(spark, "recon"),
+                     input_path=_recon_csv(spark, sf), file_type="csv", delimiter=fx.LANDING_SEP)
+    res = reconcile(spark, spec, fx.DELTA_DATE)
+    schema = StructType.fromDDL("o_orderkey bigint, column_name string")
+    return scan_delimited(spark, res["info_path"], schema, ",", header=True)
+
+
+def q_file_table_validation(spark, sf):
+    table = fx.null_strings(spark, sf)
+    files = fx.write_delimited(table, new_dir(spark, "pre_raw_files"))
+    _, diff = validate_files(spark, files, table, fx.LANDING_SEP, new_dir(spark, "validation"))
+    return diff
+
+
+SCHEMA_TARGET = [
+    ("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_partkey", "bigint"), ("l_quantity", "int"),
+    ("l_returnflag", "int"), ("l_shipdate", "date"), ("l_comment", "string"),
+]
+
+
+def q_schema_validation(spark, sf):
+    return schema_checks(fx.table(spark, sf, "lineitem"), SCHEMA_TARGET, "l_orderkey, l_linenumber")
+
+
+def q_deliver_request(spark, sf):
+    src = fx.source_database(spark, sf, ["customer", "orders"])
+    zones = fx.access_zones(spark, sf, new_dir(spark, "zones"))
+    spec = RequestSpec(accesszone_id=ZONE, request_id=REQUEST, database=src, zone_table="", columns_table="",
+                       sql_template=fx.REQUEST_SQL)
+    # zone databases are shared names (zone_db_<region>); the target name is unique per request
+    target = deliver_request(spark, spec, zones, fx.request_columns(spark, sf))
+    return spark.table(target)
+
+
 QUERIES: dict[str, Query] = {
-    "incremental_snapshot": q_incremental_snapshot,
+    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
