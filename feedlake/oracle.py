@@ -159,8 +159,8 @@ ORACLE.update({
     "snapshot_date": SNAP + "SELECT coalesce(max(batchdate), '2001-01-31') AS snapshot_date FROM snapshot",
     "is_empty": RECON + "SELECT (SELECT count(*) FROM diff) = 0 AS is_empty",
     # 2.9 / 2.10
-    "except_distinct": """SELECT user_id, event_type FROM events
-        EXCEPT SELECT user_id, event_type FROM events WHERE value > 25""",
+    "except_distinct": with_(DAILY) + """SELECT user_id, event_type, batchdate FROM daily
+        EXCEPT SELECT user_id, event_type, batchdate FROM daily WHERE value > 25""",
     "union_all": RECON + mismatch_sql("diff") + " UNION ALL " + new_records_sql("diff"),
     "mismatch_flags": RECON + "SELECT d.o_orderkey, " + ", ".join(
         f"CASE WHEN r.{c} <> d.{c} THEN '{c}' ELSE '' END AS flag_{c}" for c in NONKEY
