@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from feedlake.functions.columns import ddl_type, fill_empty_strings, resolve_columns
+from feedlake.functions.columns import ddl_type, fill_empty_strings, try_cast
 from feedlake.operators.setops import difference
 from feedlake.sinks.files import write_diff_json
 from feedlake.sources.files import scan_delimited
@@ -71,12 +71,13 @@ def schema_checks(
     common_d = [c.lower() for c in df.columns if c.lower() in tnames]
     meta += [("column_order", dnames[a], 1) for a, b in zip(common_t, common_d) if a != b]
 
+    types = {f.name: f.dataType for f in df.schema.fields}
     checks: list[Column] = []
     for f in fields:
         c = dnames.get(f.name.lower())
         if c is None:
             continue
-        bad = F.col(c).isNotNull() & F.col(c).try_cast(f.dataType).isNull()
+        bad = F.col(c).isNotNull() & try_cast(F.col(c), types[c], f.dataType).isNull()
         checks.append(F.struct(F.lit("uncastable").alias("check"), F.lit(f.name).alias("column_name"),
                                F.count(F.when(bad, 1)).alias("violations")))
     key_cols = [dnames[k.lower()] for k in split_list(keys) if k.lower() in dnames] if isinstance(keys, str) \
