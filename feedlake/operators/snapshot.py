@@ -26,12 +26,16 @@ def where_batch(df: DataFrame, batch_date: str) -> DataFrame:
     return df.where(F.col(BATCH_COLUMN) == F.lit(check_batch_date(batch_date)))
 
 
-def latest_batch(history: DataFrame, before: str | None = None) -> DataFrame:
+def latest_batch(history: DataFrame, before: str | None = None, latest: str | None = None) -> DataFrame:
     """FLT-2: rows whose batchdate equals the max batchdate (optionally the max below `before`).
 
     `before` makes a rerun of a batch carry rows from the previous snapshot instead of its own.
-    An empty history gives no rows.
+    An empty history gives no rows. When the caller already knows the latest batch (from catalog
+    partition metadata, `sources.latest_partition`), `latest` turns the filter into a literal, so the
+    partition is pruned while planning and no file footer is read to find it.
     """
+    if latest is not None:
+        return history.where(F.col(BATCH_COLUMN) == F.lit(check_batch_date(latest)))
     h = history if before is None else history.where(F.col(BATCH_COLUMN) < F.lit(check_batch_date(before)))
     latest = h.select(F.max(BATCH_COLUMN))
     return h.where(F.col(BATCH_COLUMN) == latest.scalar())
@@ -49,10 +53,14 @@ def unmatched_rows(left: DataFrame, right: DataFrame, keys: str | Iterable[str])
 
 
 def unchanged_records(
-    history: DataFrame, delta: DataFrame, keys: str | Iterable[str], before: str | None = None
+    history: DataFrame,
+    delta: DataFrame,
+    keys: str | Iterable[str],
+    before: str | None = None,
+    latest: str | None = None,
 ) -> DataFrame:
     """JN-1: rows of the latest history batch whose key is not in the delta; they keep their batchdate."""
-    return unmatched_rows(latest_batch(history, before), delta, keys)
+    return unmatched_rows(latest_batch(history, before, latest), delta, keys)
 
 
 def count_unchanged(
@@ -73,13 +81,14 @@ def incremental_snapshot(
     keys: str | Iterable[str],
     batch_date: str,
     before: str | None = None,
+    latest: str | None = None,
 ) -> DataFrame:
     """PIP-1: the delta stamped with batch_date, plus the carried-forward rows of the latest history batch.
 
     One plan: union of the stamped delta and the anti-join. No de-duplication and no deletes.
     """
     stamped = with_batchdate(delta, batch_date)
-    carried = unchanged_records(history, delta, keys, before)
+    carried = unchanged_records(history, delta, keys, before, latest)
     return stamped.unionByName(carried.select(*stamped.columns))
 
 

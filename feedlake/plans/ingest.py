@@ -19,17 +19,27 @@ from feedlake.functions.columns import check_batch_date, drop_batchdate, resolve
 from feedlake.operators.counts import count_batch
 from feedlake.operators.snapshot import full_refresh, incremental_snapshot, snapshot_date
 from feedlake.sinks.audit import audit_events, record_audit
-from feedlake.sinks.tables import overwrite_partition, overwrite_raw
+from feedlake.sinks.tables import overwrite_partition, overwrite_raw, table_buckets
+from feedlake.sources.tables import batch_partitions, latest_partition
 from feedlake.spec import BATCH_COLUMN, DEFAULT_SNAPSHOT_DATE, FeedSpec
 
 
 def build_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> DataFrame:
     """The raw image for one batch as a lazy plan (PIP-1 when incremental, else PIP-2)."""
     delta = spark.table(spec.pre_raw_table)
+    layout = table_buckets(spark, spec.raw_table)
+    if layout is not None:
+        # match the target's buckets: each write task then produces one file per bucket and partition
+        delta = delta.repartition(layout[0], *resolve_columns(delta, layout[1]))
     if spec.incremental and spec.history_table:
         history = spark.table(spec.history_table)
         keys = resolve_columns(delta, spec.primary_key)
-        return incremental_snapshot(delta, history, keys, batch_date, before=batch_date)
+        if batch_partitions(spark, spec.history_table) is None:
+            return incremental_snapshot(delta, history, keys, batch_date, before=batch_date)
+        latest = latest_partition(spark, spec.history_table, before=batch_date)
+        if latest is None:  # no earlier snapshot: the image is the delta alone
+            return full_refresh(delta, batch_date)
+        return incremental_snapshot(delta, history, keys, batch_date, latest=latest)
     return full_refresh(delta, batch_date)
 
 
@@ -60,7 +70,10 @@ def history_snapshot(
     """
     raw = spark.table(raw_table)
     if partition_date is None:
-        partition_date = snapshot_date(raw, DEFAULT_SNAPSHOT_DATE).first()[0]
+        if batch_partitions(spark, raw_table) is not None:
+            partition_date = latest_partition(spark, raw_table) or DEFAULT_SNAPSHOT_DATE
+        else:
+            partition_date = snapshot_date(raw, DEFAULT_SNAPSHOT_DATE).first()[0]
     overwrite_partition(drop_batchdate(raw), history_table, partition_date, num_partitions)
     return partition_date
 

@@ -8,11 +8,13 @@ from feedlake.sources.files import (
     scan_json,
     scan_recon_source,
 )
-from feedlake.sources.tables import scan_batch, scan_table, table_columns
+from feedlake.sources.tables import batch_partitions, latest_partition, scan_batch, scan_table, table_columns
 
 __all__ = [
     "TEXT_OPTIONS",
     "access_zone_lookup",
+    "batch_partitions",
+    "latest_partition",
     "landing_manifest",
     "requested_columns",
     "scan_batch",

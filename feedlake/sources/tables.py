@@ -19,6 +19,28 @@ def scan_batch(spark: SparkSession, name: str, batch_date: str) -> DataFrame:
     return spark.table(name).where(F.col(BATCH_COLUMN) == F.lit(check_batch_date(batch_date)))
 
 
+def batch_partitions(spark: SparkSession, name: str) -> list[str] | None:
+    """The table's batchdate partition values from catalog metadata (no file is opened).
+
+    None when the table is not partitioned by batchdate in the catalog; the list has one entry per batch.
+    """
+    cols = [c for c in spark.catalog.listColumns(name) if c.isPartition]
+    if [c.name for c in cols] != [BATCH_COLUMN]:
+        return None
+    prefix = f"{BATCH_COLUMN}="
+    return sorted(r[0][len(prefix):] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+
+
+def latest_partition(spark: SparkSession, name: str, before: str | None = None) -> str | None:
+    """Max batchdate partition (below `before` when given) from the catalog; None when there is none."""
+    parts = batch_partitions(spark, name)
+    if parts is None:
+        raise ValueError(f"{name} is not partitioned by {BATCH_COLUMN}")
+    if before is not None:
+        parts = [p for p in parts if p < check_batch_date(before)]
+    return parts[-1] if parts else None
+
+
 def table_columns(spark: SparkSession, name: str) -> DataFrame:
     """SRC-9: the table's columns as (col_name, data_type) rows in table order, from catalog metadata only."""
     fields = spark.table(name).schema.fields

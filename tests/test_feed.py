@@ -76,3 +76,33 @@ def test_ingest_partition_counts_the_batch(spark):
     assert ingest_partition(spark, new, f"{db}.nohist", "2024-01-02") == 7
     assert ingest_partition(spark, new.limit(3), f"{db}.nohist", "2024-01-02") == 3
     assert spark.table(f"{db}.nohist").count() == 4
+
+
+def test_bucketed_feed_shuffles_only_the_delta(spark, sf):
+    from feedlake.plans import build_raw
+
+    db = _db(spark)
+    orders = fx.table(spark, sf, "orders")
+    stamped = orders.withColumn("batchdate", F.lit("2001-01-31"))
+    for t in ("raw", "history"):
+        create_feed_table(spark, f"{db}.{t}", stamped.schema, new_dir(spark, t), buckets=4, bucket_keys=["o_orderkey"])
+    spec = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", history_table=f"{db}.history",
+                    primary_key=("o_orderkey",), buckets=4)
+    k = F.col("o_orderkey")
+    counts = []
+    for d, delta in [("2024-01-01", orders), ("2024-01-02", orders.where(k % 10 >= 7).withColumn("o_orderstatus", F.lit("U")))]:
+        pre = new_dir(spark, "pre_raw")
+        delta.write.parquet(pre)
+        spark.sql(f"DROP TABLE IF EXISTS {spec.pre_raw_table}")
+        spark.catalog.createTable(spec.pre_raw_table, path=pre, source="parquet")
+        counts.append(run_feed(spark, spec, d))
+    assert counts[1]["delta"] + counts[1]["unchanged"] == orders.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = build_raw(spark, spec, "2024-01-03")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    history_scan = [line for line in plan.splitlines() if ".history[" in line]
+    assert history_scan and "Bucketed: true" in history_scan[0]
+    # the only exchanges are on the delta side (repartition to the buckets)
+    assert plan.count("Exchange hashpartitioning(o_orderkey") == plan.count("Exchange")
