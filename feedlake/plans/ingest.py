@@ -12,7 +12,7 @@ Both steps read history strictly before the run's date, so rerunning a batch rep
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.columns import check_batch_date, drop_batchdate, resolve_columns
@@ -46,16 +46,15 @@ def build_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> DataFrame
 def load_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> dict:
     """Write the raw image for the batch; returns delta and carried-forward row counts."""
     check_batch_date(batch_date)
-    raw = build_raw(spark, spec, batch_date)
-    overwrite_raw(raw, spec.raw_table, num_partitions=spec.num_partitions)
-    counts = (
-        spark.table(spec.raw_table)
-        .agg(
-            F.count(F.when(F.col(BATCH_COLUMN) == batch_date, 1)).alias("delta"),
-            F.count(F.when(F.col(BATCH_COLUMN) != batch_date, 1)).alias("unchanged"),
-        )
-        .first()
+    obs = Observation(f"raw_{batch_date}")
+    raw = build_raw(spark, spec, batch_date).observe(
+        obs,
+        F.count(F.when(F.col(BATCH_COLUMN) == batch_date, 1)).alias("delta"),
+        F.count(F.when(F.col(BATCH_COLUMN) != batch_date, 1)).alias("unchanged"),
     )
+    # counted while writing: no second pass over the snapshot
+    overwrite_raw(raw, spec.raw_table, num_partitions=spec.num_partitions)
+    counts = obs.get
     return {"delta": counts["delta"], "unchanged": counts["unchanged"]}
 
 

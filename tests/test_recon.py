@@ -97,3 +97,13 @@ def test_unknown_source_type_raises(spark):
                      file_type="xml")
     with pytest.raises(ValueError):
         reconcile(spark, spec, "2024-01-02")
+
+
+def test_hot_key_stays_linear(spark):
+    # one key holds most rows on both sides: the report has one row per difference row, not all pairs
+    raw = spark.range(0, 20000).selectExpr("0 AS k", "CAST(id AS STRING) AS x", "CAST(id AS DOUBLE) AS y")
+    src = spark.range(0, 3000).selectExpr("0 AS k", "CAST(id AS STRING) AS x", "CAST(-1 AS DOUBLE) AS y")
+    diff = difference(src, raw)
+    rep = mismatch_report(raw, diff, ["k"])
+    assert rep.count() == 3000
+    assert {r["column_name"] for r in rep.collect()} == {"[x, y]"}
