@@ -1,9 +1,9 @@
 """Reconciliation (PIP-6..9): source extract vs one stored batch of raw.
 
 At scale the difference (EXCEPT DISTINCT) shuffles both sides once on the whole row. It is then cut from
-its lineage with a reliable checkpoint in the shared checkpoint folder: the emptiness test, the count, the
-JSON report and the column report all read the checkpoint instead of re-running the EXCEPT (the reference
-ran it four times). The column report is one left join of the difference with a per-key profile of raw
+its lineage by writing it as Parquet into the shared folder (spark.checkpoint.dir): the emptiness test, the
+count, the JSON report and the column report all read those files instead of re-running the EXCEPT (the
+reference ran it four times). The column report is one left join of the difference with a per-key profile of raw
 restricted to the difference's keys (see operators.compare).
 """
 
@@ -25,7 +25,7 @@ from feedlake.operators.setops import difference
 from feedlake.sinks.files import write_diff_json, write_info_csv
 from feedlake.sources.files import scan_recon_source
 from feedlake.spec import BATCH_COLUMN, ReconSpec
-from feedlake.workspace import shared_dir
+from feedlake.workspace import materialize
 
 
 def prepare_raw(raw_batch: DataFrame, mapping: Mapping[str, str] | None = None) -> DataFrame:
@@ -50,12 +50,11 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str) -> dict:
     """PIP-9: difference JSON under difference/batchdate=<d>/ and, with the column check, the mismatch and
     new-record report as CSV under additional_info/batchdate=<d>/. Returns counts and paths."""
     check_batch_date(batch_date)
-    shared_dir(spark)  # the checkpoint below needs the shared folder
     raw_all = spark.table(spec.raw_table)
     raw_batch = raw_all.where(raw_all[BATCH_COLUMN] == batch_date)
     raw = prepare_raw(raw_batch, spec.mapping)
     source = scan_recon_source(spark, spec, raw.schema)
-    diff = recon_difference(source, raw, spec.drop_columns, spec.fill_both).checkpoint(eager=True)
+    diff = materialize(recon_difference(source, raw, spec.drop_columns, spec.fill_both), "recon_difference")
     n_diff = diff.count()
     out = spec.output_path.rstrip("/")
     result = {

@@ -17,7 +17,7 @@ from feedlake.operators.setops import difference
 from feedlake.sinks.files import write_diff_json
 from feedlake.sources.files import scan_delimited
 from feedlake.spec import split_list
-from feedlake.workspace import shared_dir
+from feedlake.workspace import materialize
 
 CHECK_SCHEMA = "check string, column_name string, violations bigint"
 
@@ -38,9 +38,8 @@ def validate_files(
 
     Differences are counted and written as JSON; the load goes on unless fail_on_diff is set.
     """
-    shared_dir(spark)
     files = fill_empty_strings(scan_delimited(spark, files_path, table.schema, sep))
-    diff = difference(files, table).checkpoint(eager=True)
+    diff = materialize(difference(files, table), "file_difference")
     n = diff.count()
     if n and output_path:
         write_diff_json(diff, output_path)

@@ -35,3 +35,15 @@ def new_dir(spark: SparkSession, label: str) -> str:
 
 def new_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, label: str):
+    """Cut lineage: write `df` as Parquet into a fresh folder below the shared one and read it back.
+
+    Columnar and compressed (unlike an RDD checkpoint), so re-reads prune columns and push filters; a lost
+    executor re-reads files instead of recomputing the plan.
+    """
+    spark = df.sparkSession
+    path = new_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
