@@ -13,7 +13,13 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (remote clients): the conf is all there is
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return base.rstrip("/")
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         current = sc.getCheckpointDir()
