@@ -40,14 +40,19 @@ def _orderable(c: Column, dtype: DataType) -> Column:
     return c
 
 
-def key_profile(raw: DataFrame, diff: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """One row per key present in both: keys, df_raw_<c>_min, df_raw_<c>_max per column, df_raw__rows."""
+def key_profile(
+    raw: DataFrame, diff: DataFrame, keys: list[str], columns: list[str], null_counts: bool = False
+) -> DataFrame:
+    """One row per key present in both: keys, df_raw_<c>_min, df_raw_<c>_max per column, df_raw__rows
+    (and df_raw_<c>_nulls with null_counts)."""
     types = {f.name: f.dataType for f in raw.schema.fields}
     candidates = raw.join(diff.select(*keys), keys, "left_semi")
     aggs = []
     for c in columns:
         v = _orderable(F.col(c), types[c])
         aggs += [F.min(v).alias(f"{_RAW}{c}_min"), F.max(v).alias(f"{_RAW}{c}_max")]
+        if null_counts:
+            aggs.append(F.count(F.when(F.col(c).isNull(), 1)).alias(f"{_RAW}{c}_nulls"))
     aggs.append(F.count(F.lit(1)).alias(_HIT))
     return candidates.groupBy(*keys).agg(*aggs)
 
@@ -69,30 +74,39 @@ def pair_on_keys(raw: DataFrame, diff: DataFrame, keys: str | Iterable[str]) ->
     return d.join(prof, key_cols, "inner")
 
 
-def _flags(diff_types: dict[str, DataType], cols: list[str]) -> list[Column]:
+def _flags(diff_types: dict[str, DataType], cols: list[str], null_safe: bool = False) -> list[Column]:
     out = []
     for c in cols:
         v = _orderable(F.col(_DIFF + c), diff_types[c])
         lo, hi = F.col(f"{_RAW}{c}_min"), F.col(f"{_RAW}{c}_max")
-        out.append(F.when((lo != v) | (hi != v), F.lit(c)).otherwise(F.lit("")))
+        differs = (lo != v) | (hi != v)
+        if null_safe:
+            # IS DISTINCT FROM some raw row: a null difference value against any non-null raw value, or a
+            # non-null one against a differing or a null raw value
+            nulls = F.col(f"{_RAW}{c}_nulls")
+            differs = F.when(v.isNull(), lo.isNotNull()).otherwise(F.coalesce(differs, F.lit(False)) | (nulls > 0))
+        out.append(F.when(differs, F.lit(c)).otherwise(F.lit("")))
     return out
 
 
-def mismatch_report(raw: DataFrame, diff: DataFrame, keys: str | Iterable[str]) -> DataFrame:
+def mismatch_report(
+    raw: DataFrame, diff: DataFrame, keys: str | Iterable[str], null_safe: bool = False
+) -> DataFrame:
     """PIP-7 + PIP-8 + SET-2 in one join: keys, column_name.
 
     column_name is the string form of the list of differing columns ('[a, b]', '[]' when only nulls
     changed) for difference rows whose key exists in raw, and 'new record' for the others. Null key
-    parts never match, so such rows are always new records.
+    parts never match, so such rows are always new records. With null_safe a change to or from null is
+    flagged too.
     """
     key_cols = resolve_columns(diff, keys)
     cols = _compare_columns(raw, diff, key_cols)
     types = {f.name: f.dataType for f in diff.schema.fields}
-    prof = key_profile(raw, diff, key_cols, cols)
+    prof = key_profile(raw, diff, key_cols, cols, null_counts=null_safe)
     d = diff.select(*key_cols, *[F.col(c).alias(_DIFF + c) for c in cols])
     joined = d.join(prof, key_cols, "left")
     label = F.when(F.col(_HIT).isNull(), F.lit(NEW_RECORD_LABEL)).otherwise(
-        array_to_string(mismatch_array(_flags(types, cols)))
+        array_to_string(mismatch_array(_flags(types, cols, null_safe)))
     )
     return joined.select(*key_cols, label.alias("column_name"))
 

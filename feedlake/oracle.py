@@ -103,10 +103,11 @@ ORACLE.update({
         CAST(1 AS BIGINT) AS n_files FROM daily GROUP BY batchdate""",
     "access_zone_lookup": """SELECT 'zones/zone_' || CAST(n_nationkey AS VARCHAR) AS s3_location,
         'zone_db_' || CAST(n_regionkey AS VARCHAR) AS database_name FROM nation WHERE lower(n_name) = 'nation_7'""",
-    "requested_columns": """SELECT c.requestecol, c.dtype FROM region r,
-        (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('n_orders', 'bigint'), ('max_price', 'double'))
-          AS c(requestecol, dtype)
-        WHERE 'req-' || replace(lower(r.r_name), ' ', '_') = 'req-europe'""",
+    "requested_columns": " UNION ALL ".join(
+        f"SELECT '{c}' AS requestecol, '{t}' AS dtype FROM region "
+        "WHERE 'req-' || replace(lower(r_name), ' ', '_') = 'req-europe'"
+        for c, t in [("c_custkey", "bigint"), ("c_name", "string"), ("n_orders", "bigint"), ("max_price", "double")]
+    ),
     "table_columns": """SELECT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name AS col_name,
         CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
           WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type

@@ -70,7 +70,7 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str) -> dict:
     result["difference_path"] = diff_path
     if spec.do_column_check:
         info_path = f"{out}/additional_info/{BATCH_COLUMN}={batch_date}"
-        report = mismatch_report(drop_columns(raw, spec.drop_columns), diff, spec.primary_key)
+        report = mismatch_report(drop_columns(raw, spec.drop_columns), diff, spec.primary_key, spec.null_safe)
         write_info_csv(report, info_path)
         result["info_path"] = info_path
     return result

@@ -55,6 +55,7 @@ class ReconSpec:
     do_column_check: bool = True
     header: bool = False  # the reference reads a header line as data
     fill_both: bool = False  # the reference fills nulls with '' on the CSV side only
+    null_safe: bool = False  # the reference does not flag a change to or from null
 
 
 @dataclass(frozen=True)

@@ -27,3 +27,21 @@ def test_snapshot_keys_are_delta_union_latest(spark, hist_keys, delta_keys):
 def test_difference_with_itself_is_empty(spark, vals):
     df = spark.createDataFrame(vals, "a int, b string")
     assert difference(df, df).count() == 0
+
+
+rows_st = st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.sampled_from("abc"))), max_size=10)
+
+
+@settings(max_examples=6, deadline=None)
+@given(raw_rows=rows_st, src_rows=rows_st)
+def test_every_difference_row_is_reported_once(spark, raw_rows, src_rows):
+    from feedlake.operators import mismatch_report
+
+    raw = spark.createDataFrame(raw_rows, "k int, x string")
+    src = spark.createDataFrame(src_rows, "k int, x string")
+    diff = difference(src, raw)
+    report = mismatch_report(raw, diff, ["k"])
+    assert sorted(r["k"] for r in report.collect()) == sorted(r["k"] for r in diff.collect())
+    raw_keys = {k for k, _ in raw_rows}
+    for r in report.collect():
+        assert (r["column_name"] == "new record") == (r["k"] not in raw_keys)

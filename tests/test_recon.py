@@ -107,3 +107,11 @@ def test_hot_key_stays_linear(spark):
     rep = mismatch_report(raw, diff, ["k"])
     assert rep.count() == 3000
     assert {r["column_name"] for r in rep.collect()} == {"[x, y]"}
+
+
+def test_null_safe_flags_changes_to_and_from_null(spark):
+    raw = spark.createDataFrame([(1, "a", 1.0), (2, None, 2.0), (3, "c", None)], S)
+    src = spark.createDataFrame([(1, None, 1.0), (2, "b", 2.0), (3, "c", 3.0)], S)
+    diff = difference(src, raw)
+    assert rows(mismatch_report(raw, diff, ["k"])) == [(1, "[]"), (2, "[]"), (3, "[]")]
+    assert rows(mismatch_report(raw, diff, ["k"], null_safe=True)) == [(1, "[x]"), (2, "[x]"), (3, "[y]")]
