@@ -1,8 +1,9 @@
 """Table sinks (SNK-1/2/3/6/7/11). Writes align columns by name, then insert in the table's order.
 
-Partition overwrite uses a static partition spec, so it never depends on the session's
-partitionOverwriteMode and sibling partitions always survive. Full overwrite of a partitioned table sets
-the session mode to static for the one statement and restores it.
+Partition overwrite stamps the rows with the one batch date and writes in dynamic mode, so sibling
+partitions always survive and the replaced partition is swapped in at commit. Full overwrite of a
+partitioned table sets the session mode to static for the one statement. Either way the session's own
+partitionOverwriteMode is restored afterwards.
 """
 
 from __future__ import annotations
@@ -13,9 +14,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-from feedlake.functions.columns import check_batch_date, ddl_type, resolve_columns
+from feedlake.functions.columns import ddl_type, resolve_columns
 from feedlake.spec import BATCH_COLUMN
-from feedlake.workspace import new_name
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 _MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -110,19 +110,19 @@ def append_raw(df: DataFrame, table: str, num_partitions: int | None = None) ->
 
 
 def overwrite_partition(df: DataFrame, table: str, batch_date: str, num_partitions: int | None = None) -> None:
-    """SNK-3: replace exactly the partition batchdate=batch_date; all other partitions are kept."""
+    """SNK-3: replace exactly the partition batchdate=batch_date; all other partitions are kept.
+
+    The rows are stamped with the date and written in dynamic overwrite mode (set for this statement
+    only): Spark stages the files and swaps the partition in at job commit, so a failed job leaves the
+    old partition in place, and only the stamped partition can be replaced.
+    """
+    from feedlake.functions.columns import with_batchdate
+
     spark = df.sparkSession
-    cols = [c for c in spark.table(table).columns if c != BATCH_COLUMN]
-    src = coalesce_output(df.select(*resolve_columns(df, cols)), num_partitions)
-    view = new_name("feedlake_src")
-    src.createOrReplaceTempView(view)
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {_check_ident(table)} "
-            f"PARTITION ({BATCH_COLUMN} = '{check_batch_date(batch_date)}') SELECT * FROM {view}"
-        )
-    finally:
-        spark.catalog.dropTempView(view)
+    out = with_batchdate(df.drop(BATCH_COLUMN), batch_date)
+    out = coalesce_output(align_to_table(out, spark, table), num_partitions)
+    with overwrite_mode(spark, "dynamic"):
+        out.write.insertInto(_check_ident(table), overwrite=True)
 
 
 def create_target(spark: SparkSession, name: str, columns: list[tuple[str, str]], location: str) -> None:
