@@ -106,3 +106,28 @@ def test_bucketed_feed_shuffles_only_the_delta(spark, sf):
     assert history_scan and "Bucketed: true" in history_scan[0]
     # the only exchanges are on the delta side (repartition to the buckets)
     assert plan.count("Exchange hashpartitioning(o_orderkey") == plan.count("Exchange")
+
+
+def test_full_refresh_and_no_history_feeds(spark, sf):
+    db = _db(spark)
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    stamped = df.withColumn("batchdate", F.lit("2001-01-31"))
+    create_feed_table(spark, f"{db}.raw", stamped.schema, new_dir(spark, "raw"))
+    create_feed_table(spark, f"{db}.history", stamped.schema, new_dir(spark, "hist"))
+    pre = new_dir(spark, "pre")
+    df.write.parquet(pre)
+    spark.catalog.createTable(f"{db}.pre_raw", path=pre, source="parquet")
+    full = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", history_table=f"{db}.history",
+                    primary_key=("k",), incremental=False)
+    run_feed(spark, full, "2024-01-01")
+    pre2 = new_dir(spark, "pre")
+    spark.createDataFrame([(3, "c")], "k int, v string").write.parquet(pre2)
+    spark.sql(f"DROP TABLE {db}.pre_raw")
+    spark.catalog.createTable(f"{db}.pre_raw", path=pre2, source="parquet")
+    res = run_feed(spark, full, "2024-01-02")
+    assert res == {"batch_date": "2024-01-02", "delta": 1, "unchanged": 0, "history_partition": "2024-01-02",
+                   "audit_count": 1}
+    assert rows(spark.table(f"{db}.raw")) == [(3, "c", "2024-01-02")]
+    nohist = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", primary_key=("k",))
+    res = run_feed(spark, nohist, "2024-01-03")
+    assert res["delta"] == 1 and "history_partition" not in res
