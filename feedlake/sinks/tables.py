@@ -21,6 +21,12 @@ _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
+def _check_location(location: str) -> str:
+    if "'" in location or "\\" in location:
+        raise ValueError(f"unsupported character in location {location!r}")
+    return location
+
+
 def _check_ident(name: str) -> str:
     if not _IDENT.match(name):
         raise ValueError(f"not a table name: {name!r}")
@@ -54,14 +60,18 @@ def create_feed_table(
     With `buckets`, rows are also bucketed by the primary key. Raw and history tables bucketed alike let
     the daily anti-join read history in place: only the delta is shuffled, never the full snapshot.
     """
-    writer = spark.createDataFrame([], schema).write.format("parquet").option("path", location)
+    if partitioned and BATCH_COLUMN not in schema.fieldNames():
+        raise ValueError(f"a partitioned feed table needs a {BATCH_COLUMN} column")
+    nullable = StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+    ddl = f"CREATE TABLE IF NOT EXISTS {_check_ident(name)} ({nullable.toDDL()}) USING parquet"
     if partitioned:
-        writer = writer.partitionBy(BATCH_COLUMN)
+        ddl += f" PARTITIONED BY ({BATCH_COLUMN})"
     if buckets:
         if not bucket_keys:
             raise ValueError("bucketing needs the key columns")
-        writer = writer.bucketBy(int(buckets), *bucket_keys)
-    writer.mode("ignore").saveAsTable(_check_ident(name))
+        cols = ", ".join(f"`{k}`" for k in bucket_keys)
+        ddl += f" CLUSTERED BY ({cols}) INTO {int(buckets)} BUCKETS"
+    spark.sql(ddl + f" LOCATION '{_check_location(location)}'")
 
 
 def table_buckets(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
