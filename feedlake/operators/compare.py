@@ -46,7 +46,7 @@ def key_profile(
     """One row per key present in both: keys, df_raw_<c>_min, df_raw_<c>_max per column, df_raw__rows
     (and df_raw_<c>_nulls with null_counts)."""
     types = {f.name: f.dataType for f in raw.schema.fields}
-    candidates = raw.join(diff.select(*keys), keys, "left_semi")
+    candidates = raw.join(diff.select(*keys).distinct(), keys, "left_semi")
     aggs = []
     for c in columns:
         v = _orderable(F.col(c), types[c])
@@ -123,7 +123,7 @@ def recon_mismatch(raw: DataFrame, diff: DataFrame, keys: str | Iterable[str]) -
 def anti_join_keys(left: DataFrame, right: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     """JN-3: rows of `left` whose key is absent from `right` (only right's keys are read)."""
     key_cols = resolve_columns(left, keys)
-    rk = right.select(*resolve_columns(right, key_cols)).toDF(*key_cols)
+    rk = right.select(*resolve_columns(right, key_cols)).toDF(*key_cols).distinct()
     return left.join(rk, key_cols, "left_anti")
 
 

@@ -45,10 +45,12 @@ def unmatched_rows(left: DataFrame, right: DataFrame, keys: str | Iterable[str])
     """FLT-3/JN-1 core: rows of `left` whose composite key has no equal key in `right`.
 
     Same rows as the reference's outer join filtered on a null right key, written as the anti-join Catalyst
-    does not derive by itself. Only the key columns of `right` are read.
+    does not derive by itself. Only the key columns of `right` are read, de-duplicated with a map-side
+    partial aggregate first, so a key repeated in a third of the delta crosses the network once per task;
+    the aggregate's hash partitioning is the one the shuffle join needs, so no exchange is added.
     """
     key_cols = resolve_columns(left, keys)
-    right_keys = right.select(*[F.col(c) for c in resolve_columns(right, key_cols)]).toDF(*key_cols)
+    right_keys = right.select(*[F.col(c) for c in resolve_columns(right, key_cols)]).toDF(*key_cols).distinct()
     return left.join(right_keys, key_cols, "left_anti")
 
 
