@@ -4,7 +4,13 @@ from feedlake.plans.delivery import deliver_request, render_request_sql, run_req
 from feedlake.plans.feed import run_feed
 from feedlake.plans.ingest import build_raw, history_snapshot, ingest_partition, load_raw, post_batch_audit
 from feedlake.plans.recon import prepare_raw, recon_difference, reconcile
-from feedlake.plans.validate import ValidationError, schema_checks, validate_files, validate_schema
+from feedlake.plans.validate import (
+    ValidationError,
+    schema_checks,
+    validate_files,
+    validate_landing,
+    validate_schema,
+)
 
 __all__ = [
     "ValidationError",
@@ -22,5 +28,6 @@ __all__ = [
     "run_request_sql",
     "schema_checks",
     "validate_files",
+    "validate_landing",
     "validate_schema",
 ]

@@ -107,3 +107,29 @@ def validate_schema(
     report = schema_checks(df, target, keys)
     failed = report.where(F.col("violations") > 0).limit(1).count()
     return failed == 0, report
+
+
+def validate_landing(
+    spark: SparkSession,
+    pre_raw_table: str,
+    target_table: str,
+    keys: str | Iterable[str],
+    files_path: str | None = None,
+    sep: str = ",",
+    output_path: str | None = None,
+) -> dict:
+    """The validation job: staged files vs the pre-raw table (skipped without files_path), then the schema
+    gate against the target table's columns (batchdate excluded). A failed gate raises ValidationError;
+    file differences are reported and do not stop the load (reference behaviour)."""
+    table = spark.table(pre_raw_table)
+    result: dict = {"file_differences": None}
+    if files_path is not None:
+        result["file_differences"], _ = validate_files(spark, files_path, table, sep, output_path)
+    target = [(f.name, f.dataType.simpleString()) for f in spark.table(target_table).schema.fields
+              if f.name != "batchdate"]
+    ok, report = validate_schema(table, target, keys)
+    if not ok:
+        bad = report.where(F.col("violations") > 0).limit(20).collect()
+        raise ValidationError(f"schema validation failed: {[tuple(r) for r in bad]}")
+    result["schema_ok"] = True
+    return result

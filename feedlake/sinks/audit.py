@@ -12,7 +12,9 @@ AUDIT_SCHEMA = (
 )
 
 
-def audit_events(rows: DataFrame, process: str, job: str, stream: str, message: str, args: Mapping[str, Column]) -> DataFrame:
+def audit_events(
+    rows: DataFrame, process: str, job: str, stream: str, message: str | Column, args: Mapping[str, Column]
+) -> DataFrame:
     """One audit event per row of `rows` (e.g. one per batch of a grouped count)."""
     kv = []
     for k, v in args.items():
@@ -21,7 +23,7 @@ def audit_events(rows: DataFrame, process: str, job: str, stream: str, message:
         F.lit(process).alias("process"),
         F.lit(job).alias("job"),
         F.lit(stream).alias("stream"),
-        F.lit(message).alias("message"),
+        (message if isinstance(message, Column) else F.lit(message)).alias("message"),
         F.create_map(*kv).alias("args"),
         F.current_timestamp().alias("event_time"),
     )

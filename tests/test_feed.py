@@ -52,7 +52,10 @@ def test_three_batches(spark, sf):
     spark.catalog.createTable(spec.pre_raw_table, path=pre, source="parquet")
     again = run_feed(spark, spec, "2024-01-02", audit)
     assert again["delta"] == results[1]["delta"] and again["unchanged"] == n - results[1]["delta"]
-    assert spark.read.parquet(audit).count() == 4
+    events = spark.read.parquet(audit)
+    assert events.count() == 16  # per run: prior count, unchanged count, partition date, delta count
+    msgs = {r["message"] for r in events.collect()}
+    assert msgs == {"base table count", "unchanged rec count", "Partition Date", "Delta Count Raw"}
 
 
 def test_history_snapshot_uses_max_raw_date_and_default(spark):

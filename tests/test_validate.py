@@ -41,3 +41,29 @@ def test_file_vs_table_validation(spark):
     assert n == 1 and rows(diff) == [(2, "")]  # table nulls show as differences (file side filled)
     with pytest.raises(ValidationError):
         validate_files(spark, files, table, "|", fail_on_diff=True)
+
+
+def test_validate_landing_job(spark):
+    from feedlake.plans import validate_landing
+    from feedlake.sinks import create_feed_table
+    from feedlake.workspace import new_name
+
+    db = new_name("val_db")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{new_dir(spark, db)}'")
+    pre = spark.createDataFrame([(1, "a"), (2, None)], "k int, s string")
+    pre_path = new_dir(spark, "pre")
+    pre.write.parquet(pre_path)
+    spark.catalog.createTable(f"{db}.pre_raw", path=pre_path, source="parquet")
+    create_feed_table(spark, f"{db}.raw", spark.createDataFrame([], "k int, s string, batchdate string").schema,
+                      new_dir(spark, "raw"))
+    files = new_dir(spark, "files")
+    pre.write.option("sep", "|").csv(files)
+    res = validate_landing(spark, f"{db}.pre_raw", f"{db}.raw", "k", files, "|", new_dir(spark, "out"))
+    assert res == {"file_differences": 1, "schema_ok": True}
+    assert validate_landing(spark, f"{db}.pre_raw", f"{db}.raw", "k")["file_differences"] is None
+    dup = spark.createDataFrame([(1, "a"), (1, "b")], "k int, s string")
+    dup_path = new_dir(spark, "dup")
+    dup.write.parquet(dup_path)
+    spark.catalog.createTable(f"{db}.dup", path=dup_path, source="parquet")
+    with pytest.raises(ValidationError):
+        validate_landing(spark, f"{db}.dup", f"{db}.raw", "k")
