@@ -22,6 +22,7 @@ from feedlake.sinks.audit import audit_events, record_audit
 from feedlake.sinks.tables import overwrite_partition, overwrite_raw, table_buckets
 from feedlake.sources.tables import batch_partitions, latest_partition
 from feedlake.spec import BATCH_COLUMN, DEFAULT_SNAPSHOT_DATE, FeedSpec
+from feedlake.workspace import new_name
 
 
 def build_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> DataFrame:
@@ -46,7 +47,7 @@ def build_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> DataFrame
 def load_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> dict:
     """Write the raw image for the batch; returns delta and carried-forward row counts."""
     check_batch_date(batch_date)
-    obs = Observation(f"raw_{batch_date}")
+    obs = Observation(new_name("raw_counts"))
     raw = build_raw(spark, spec, batch_date).observe(
         obs,
         F.count(F.when(F.col(BATCH_COLUMN) == batch_date, 1)).alias("delta"),
@@ -54,7 +55,18 @@ def load_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> dict:
     )
     # counted while writing: no second pass over the snapshot
     overwrite_raw(raw, spec.raw_table, num_partitions=spec.num_partitions)
-    counts = obs.get
+    try:
+        counts = obs.get
+    except Exception:  # AQE may replace an empty plan, and with it the metrics node: count what was written
+        counts = (
+            spark.table(spec.raw_table)
+            .agg(
+                F.count(F.when(F.col(BATCH_COLUMN) == batch_date, 1)).alias("delta"),
+                F.count(F.when(F.col(BATCH_COLUMN) != batch_date, 1)).alias("unchanged"),
+            )
+            .first()
+            .asDict()
+        )
     return {"delta": counts["delta"], "unchanged": counts["unchanged"]}
 
 

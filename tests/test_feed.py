@@ -134,3 +134,32 @@ def test_full_refresh_and_no_history_feeds(spark, sf):
     nohist = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", primary_key=("k",))
     res = run_feed(spark, nohist, "2024-01-03")
     assert res["delta"] == 1 and "history_partition" not in res
+
+
+def test_empty_delta_run(spark):
+    db = _db(spark)
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    stamped = df.withColumn("batchdate", F.lit("2001-01-31"))
+    create_feed_table(spark, f"{db}.raw", stamped.schema, new_dir(spark, "raw"))
+    create_feed_table(spark, f"{db}.history", stamped.schema, new_dir(spark, "hist"))
+    spec = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", history_table=f"{db}.history",
+                    primary_key=("k",))
+    for d, data in (("2024-01-01", [(1, "a")]), ("2024-01-02", [])):
+        pre = new_dir(spark, "pre")
+        spark.createDataFrame(data, "k int, v string").write.parquet(pre)
+        spark.sql(f"DROP TABLE IF EXISTS {db}.pre_raw")
+        spark.catalog.createTable(f"{db}.pre_raw", path=pre, source="parquet")
+        res = run_feed(spark, spec, d)
+    assert res["delta"] == 0 and res["unchanged"] == 1
+    assert rows(spark.table(f"{db}.raw")) == [(1, "a", "2024-01-01")]
+    # nothing at all: an empty delta over an empty history
+    db2 = _db(spark)
+    create_feed_table(spark, f"{db2}.raw", stamped.schema, new_dir(spark, "raw"))
+    create_feed_table(spark, f"{db2}.history", stamped.schema, new_dir(spark, "hist"))
+    pre = new_dir(spark, "pre")
+    spark.createDataFrame([], "k int, v string").write.parquet(pre)
+    spark.catalog.createTable(f"{db2}.pre_raw", path=pre, source="parquet")
+    spec2 = FeedSpec(pre_raw_table=f"{db2}.pre_raw", raw_table=f"{db2}.raw", history_table=f"{db2}.history",
+                     primary_key=("k",))
+    res = run_feed(spark, spec2, "2024-01-03")
+    assert res["delta"] == 0 and res["unchanged"] == 0
