@@ -39,3 +39,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def scale_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20, min_partitions: int = 200) -> dict:
+    """SCALE_CONF plus shuffle partition counts sized so one shuffle partition holds ~partition_bytes.
+
+    AQE starts from this many partitions and coalesces small ones, so the number is an upper bound that keeps
+    every task's share of the largest shuffle (e.g. the latest history batch, when it cannot stay in place)
+    within executor memory instead of spilling.
+    """
+    n = max(min_partitions, -(-int(largest_shuffle_bytes) // int(partition_bytes)))
+    return {
+        **SCALE_CONF,
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+    }

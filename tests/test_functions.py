@@ -63,3 +63,12 @@ def test_flags_array_and_string(spark):
     arr = mismatch_array([mismatch_flag(F.col("l"), F.col("r"), "n"), mismatch_flag(F.col("s"), F.col("t"), "s")])
     got = [r[0] for r in df.orderBy("l").select(array_to_string(arr)).collect()]
     assert got == ["[s]", "[]", "[n]"]
+
+
+def test_scale_conf_sizes_shuffle_partitions():
+    from feedlake.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40))  # a 100 TB shuffle at 256 MB per partition
+    assert conf["spark.sql.shuffle.partitions"] == str(409600)
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
