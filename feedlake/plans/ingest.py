@@ -90,9 +90,13 @@ def history_snapshot(
 
 
 def ingest_partition(
-    spark: SparkSession, df: DataFrame, table: str, batch_date: str, num_partitions: int | None = 20
+    spark: SparkSession, df: DataFrame, table: str, batch_date: str, num_partitions: int | None = None
 ) -> int:
-    """PIP-4: no-history ingest: replace one batchdate partition with the staged rows, then count it."""
+    """PIP-4: no-history ingest: replace one batchdate partition with the staged rows, then count it.
+
+    The reference fixed the output at 20 files (a COALESCE hint), which would also run the whole ingest in
+    20 tasks; pass num_partitions=20 for that layout, the default keeps one file per input split.
+    """
     overwrite_partition(df, table, batch_date, num_partitions)
     return count_batch(spark.table(table), batch_date).first()["cnt"]
 
