@@ -76,9 +76,13 @@ def schema_checks(
         c = dnames.get(f.name.lower())
         if c is None:
             continue
-        bad = F.col(c).isNotNull() & try_cast(F.col(c), types[c], f.dataType).isNull()
+        if types[c] == f.dataType:  # nothing to cast: no per-row work
+            violations = F.lit(0).cast("bigint")
+        else:
+            bad = F.col(c).isNotNull() & try_cast(F.col(c), types[c], f.dataType).isNull()
+            violations = F.count(F.when(bad, 1))
         checks.append(F.struct(F.lit("uncastable").alias("check"), F.lit(f.name).alias("column_name"),
-                               F.count(F.when(bad, 1)).alias("violations")))
+                               violations.alias("violations")))
     key_cols = [dnames[k.lower()] for k in split_list(keys) if k.lower() in dnames] if isinstance(keys, str) \
         else [dnames[k.lower()] for k in keys if k.lower() in dnames]
     for k in key_cols:
