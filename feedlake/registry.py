@@ -502,8 +502,7 @@ def q_schema_validation(spark, sf):
 def q_deliver_request(spark, sf):
     src = fx.source_database(spark, sf, ["customer", "orders"])
     zones = fx.access_zones(spark, sf, new_dir(spark, "zones"))
-    spec = RequestSpec(accesszone_id=ZONE, request_id=REQUEST, database=src, zone_table="", columns_table="",
-                       sql_template=fx.REQUEST_SQL)
+    spec = RequestSpec(accesszone_id=ZONE, request_id=REQUEST, database=src, sql_template=fx.REQUEST_SQL)
     # zone databases are shared names (zone_db_<region>); the target name is unique per request
     target = deliver_request(spark, spec, zones, fx.request_columns(spark, sf))
     return spark.table(target)

@@ -64,9 +64,7 @@ class RequestSpec:
 
     accesszone_id: str
     request_id: str
-    database: str
-    zone_table: str
-    columns_table: str
+    database: str  # substituted for the template's database placeholder
     sql_template: str
 
     @property

@@ -28,7 +28,7 @@ def test_zone_lookup_requires_exactly_one_row(spark):
 def test_deliver_request_end_to_end(spark, sf):
     src = fx.source_database(spark, sf, ["customer", "orders"])
     zones = fx.access_zones(spark, sf, new_dir(spark, "zones"))
-    spec = RequestSpec("nation_3", "req-asia", src, "", "", fx.REQUEST_SQL)
+    spec = RequestSpec("nation_3", "req-asia", src, fx.REQUEST_SQL)
     target = deliver_request(spark, spec, zones, fx.request_columns(spark, sf))
     assert target == "zone_db_3.nation_3_req_asia_iris"
     out = spark.table(target)
