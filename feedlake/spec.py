@@ -66,7 +66,8 @@ class RequestSpec:
     request_id: str
     database: str  # substituted for the template's database placeholder
     sql_template: str
+    target_suffix: str = "delivery"  # target table: <zone>_<request>_<suffix>, '-' replaced by '_'
 
     @property
     def target_name(self) -> str:
-        return f"{self.accesszone_id}_{self.request_id}_iris".replace("-", "_")
+        return f"{self.accesszone_id}_{self.request_id}_{self.target_suffix}".replace("-", "_")

@@ -30,7 +30,7 @@ def test_deliver_request_end_to_end(spark, sf):
     zones = fx.access_zones(spark, sf, new_dir(spark, "zones"))
     spec = RequestSpec("nation_3", "req-asia", src, fx.REQUEST_SQL)
     target = deliver_request(spark, spec, zones, fx.request_columns(spark, sf))
-    assert target == "zone_db_3.nation_3_req_asia_iris"
+    assert target == "zone_db_3.nation_3_req_asia_delivery"
     out = spark.table(target)
     assert out.columns == ["c_custkey", "c_name", "n_orders", "max_price"]
     assert dict(out.dtypes)["n_orders"] == "bigint"
