@@ -207,4 +207,10 @@ ORACLE.update({
         UNION ALL SELECT 'duplicate_key', 'l_orderkey,l_linenumber', CAST(coalesce(sum(n), 0) AS BIGINT)
           FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""",
     "deliver_request": REQUEST,
+    # three batches: carried rows show the last snapshot's date (2024-01-02), not the date they changed
+    "run_feed": """SELECT o_orderkey, o_custkey,
+        CASE WHEN o_orderkey % 10 = 0 THEN 'V' WHEN o_orderkey % 10 >= 7 THEN 'U' ELSE o_orderstatus END
+          AS o_orderstatus,
+        o_totalprice, o_orderdate, o_orderpriority,
+        CASE WHEN o_orderkey % 10 = 0 THEN '2024-01-03' ELSE '2024-01-02' END AS batchdate FROM orders""",
 })

@@ -508,6 +508,33 @@ def q_deliver_request(spark, sf):
     return spark.table(target)
 
 
+def q_run_feed(spark, sf):
+    """Three daily batches end to end (schema gate, raw, history, audit); the final raw image."""
+    from feedlake.plans import run_feed
+    from feedlake.spec import FeedSpec
+
+    db = fx.work_database(spark)
+    orders = fx.table(spark, sf, "orders")
+    stamped = orders.withColumn(BATCH_COLUMN, F.lit("2001-01-31"))
+    for t in ("raw", "history"):
+        create_feed_table(spark, f"{db}.{t}", stamped.schema, new_dir(spark, t))
+    spec = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", history_table=f"{db}.history",
+                    primary_key=("o_orderkey",))
+    k = F.col(fx.ORDER_KEY)
+    batches = [
+        ("2024-01-01", orders),
+        ("2024-01-02", orders.where(k % 10 >= 7).withColumn("o_orderstatus", F.lit("U"))),
+        ("2024-01-03", orders.where(k % 10 == 0).withColumn("o_orderstatus", F.lit("V"))),
+    ]
+    for day, delta in batches:
+        pre = new_dir(spark, "pre_raw")
+        delta.write.parquet(pre)
+        spark.sql(f"DROP TABLE IF EXISTS {spec.pre_raw_table}")
+        spark.catalog.createTable(spec.pre_raw_table, path=pre, source="parquet")
+        run_feed(spark, spec, day, new_dir(spark, "audit"))
+    return spark.table(spec.raw_table)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -35,6 +35,8 @@ def _check_ident(name: str) -> str:
 
 @contextlib.contextmanager
 def overwrite_mode(spark: SparkSession, mode: str):
+    """Set the session's partitionOverwriteMode for one write and restore it (the writer option is ignored
+    by insertInto). The setting is session-wide: concurrent writes from one session are not isolated."""
     old = spark.conf.get(_MODE, None)
     spark.conf.set(_MODE, mode)
     try:
