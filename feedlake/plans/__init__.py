@@ -3,7 +3,7 @@
 from feedlake.plans.delivery import deliver_request, render_request_sql, run_request_sql
 from feedlake.plans.feed import run_feed
 from feedlake.plans.ingest import build_raw, history_snapshot, ingest_partition, load_raw, post_batch_audit
-from feedlake.plans.recon import prepare_raw, recon_difference, reconcile
+from feedlake.plans.recon import align_source, prepare_raw, recon_difference, reconcile
 from feedlake.plans.validate import (
     ValidationError,
     schema_checks,
@@ -14,6 +14,7 @@ from feedlake.plans.validate import (
 
 __all__ = [
     "ValidationError",
+    "align_source",
     "build_raw",
     "deliver_request",
     "history_snapshot",

@@ -33,6 +33,15 @@ def prepare_raw(raw_batch: DataFrame, mapping: Mapping[str, str] | None = None)
     return rename_columns(drop_batchdate(raw_batch), mapping)
 
 
+def align_source(source: DataFrame, raw: DataFrame) -> DataFrame:
+    """EXCEPT compares by position: when the source has every raw column (a table or JSON source), put them in
+    raw's order by name, case-insensitively. Otherwise (delimited text read with raw's schema) keep it."""
+    by_lower = {c.lower(): c for c in source.columns}
+    if all(c.lower() in by_lower for c in raw.columns):
+        return source.select(*[by_lower[c.lower()] for c in raw.columns])
+    return source
+
+
 def recon_difference(
     source: DataFrame,
     raw: DataFrame,
@@ -53,7 +62,7 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str) -> dict:
     raw_all = spark.table(spec.raw_table)
     raw_batch = raw_all.where(raw_all[BATCH_COLUMN] == batch_date)
     raw = prepare_raw(raw_batch, spec.mapping)
-    source = scan_recon_source(spark, spec, raw.schema)
+    source = align_source(scan_recon_source(spark, spec, raw.schema), raw)
     diff = materialize(recon_difference(source, raw, spec.drop_columns, spec.fill_both), "recon_difference")
     n_diff = diff.count()
     out = spec.output_path.rstrip("/")

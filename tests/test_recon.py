@@ -115,3 +115,18 @@ def test_null_safe_flags_changes_to_and_from_null(spark):
     diff = difference(src, raw)
     assert rows(mismatch_report(raw, diff, ["k"])) == [(1, "[]"), (2, "[]"), (3, "[]")]
     assert rows(mismatch_report(raw, diff, ["k"], null_safe=True)) == [(1, "[x]"), (2, "[x]"), (3, "[y]")]
+
+
+def test_table_source_is_aligned_by_name(spark):
+    name = _raw_table(spark, [(1, "a", 1.0, "2024-01-02"), (2, "b", 2.0, "2024-01-02")])
+    db = name.split(".")[0]
+    src_path = new_dir(spark, "src_table")
+    # same columns, other order, one changed value
+    spark.createDataFrame([(1.0, "a", 1), (9.0, "b", 2)], "y double, x string, k int").write.parquet(src_path)
+    spark.catalog.createTable(f"{db}.src", path=src_path, source="parquet")
+    spec = ReconSpec(raw_table=name, primary_key=("k",), output_path=new_dir(spark, "o"), input_table=f"{db}.src")
+    res = reconcile(spark, spec, "2024-01-02")
+    assert res["difference"] == 1
+    info = scan_delimited(spark, res["info_path"], spark.createDataFrame([], "k int, column_name string").schema,
+                          ",", header=True)
+    assert rows(info) == [(2, "[y]")]
