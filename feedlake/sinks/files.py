@@ -26,20 +26,25 @@ def write_info_csv(df: DataFrame, path: str) -> None:
 def publish_fanout(df: DataFrame, targets: Iterable[str], batch_date: str | None = None) -> list[str]:
     """SNK-8: publish one feed to several targets as Parquet under batchdate=<d>/.
 
-    With batch_date the frame is one batch written to <target>/batchdate=<d>/; without, the frame carries
-    a batchdate column and every batch is written (dynamic overwrite of the batches present only). Each
-    target is one write from the source; the source should be a materialised table (pre-raw), so that
-    N targets cost N scans and no recomputation.
+    With batch_date the frame is one batch, evaluated once: it is written to the first target's
+    <target>/batchdate=<d>/ folder, and the other targets copy that folder's Parquet files through Spark, so
+    an expensive source plan never runs twice. Without batch_date the frame carries a batchdate column and
+    every batch is written to every target with dynamic overwrite (other batches of a target are kept);
+    the frame should then be a materialised table, since each target scans it.
     """
-    written = []
+    written: list[str] = []
+    source = df.drop(BATCH_COLUMN) if batch_date is not None else df
     for t in targets:
         t = t.rstrip("/")
         if batch_date is not None:
             out = f"{t}/{BATCH_COLUMN}={check_batch_date(batch_date)}"
-            df.drop(BATCH_COLUMN).write.mode("overwrite").parquet(out)
+            source.write.mode("overwrite").parquet(out)
+            if not written:  # the folder holds exactly this batch: copy it for the other targets
+                source = df.sparkSession.read.schema(source.schema).parquet(out)
         else:
             out = t
-            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(t)
+            (source.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BATCH_COLUMN).parquet(out))
         written.append(out)
     return written
 

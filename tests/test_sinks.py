@@ -82,3 +82,27 @@ def test_publish_fanout_one_batch(spark):
     assert all(p.endswith("/batchdate=2024-01-02") for p in out)
     for t in targets:
         assert spark.read.parquet(t).count() == 2
+
+
+def test_publish_fanout_evaluates_the_batch_once(spark):
+    acc = spark.sparkContext.accumulator(0)
+
+    def count_rows(it):
+        for pdf in it:
+            acc.add(len(pdf))
+            yield pdf
+
+    df = spark.range(100).selectExpr("id AS k").mapInPandas(count_rows, "k long")
+    targets = [new_dir(spark, "fa"), new_dir(spark, "fb"), new_dir(spark, "fc")]
+    publish_fanout(df, targets, "2024-01-02")
+    assert acc.value == 100  # the source ran once for three targets
+    for t in targets:
+        assert spark.read.parquet(t).count() == 100
+
+
+def test_publish_fanout_all_batches_keeps_other_batches(spark):
+    t = new_dir(spark, "fd")
+    spark.createDataFrame([(0, "2024-01-01")], "k int, batchdate string").write.partitionBy("batchdate").parquet(t)
+    publish_fanout(spark.createDataFrame([(1, "2024-01-02")], "k int, batchdate string"), [t])
+    assert rows(spark.read.parquet(t).selectExpr("k", "CAST(batchdate AS STRING) AS batchdate")) == [
+        (0, "2024-01-01"), (1, "2024-01-02")]
