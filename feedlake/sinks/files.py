@@ -77,4 +77,5 @@ def stage_landing(
     else:
         df.write.mode("overwrite").partitionBy(BATCH_COLUMN).parquet(out)
     staged = StructType([f for f in df.schema.fields if f.name != BATCH_COLUMN]).add(BATCH_COLUMN, "string")
-    return spark.read.schema(staged).parquet(out)
+    result = spark.read.schema(staged).parquet(out)
+    return result if batch_date is None else result.where(F.col(BATCH_COLUMN) == batch_date)

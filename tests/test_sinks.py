@@ -71,8 +71,11 @@ def test_landing_manifest_and_staging(spark, sf):
     assert staged.count() == fx.table(spark, sf, "events").count()
     assert staged.where(F.col("source_file").endswith(".gz")).count() > 0
     assert dict(staged.dtypes)["batchdate"] == "string"
-    one = stage_landing(spark, landing, new_dir(spark, "pre_raw_one"), schema, "|", "csv", batch_date="2024-01-09")
-    assert one.select("batchdate").distinct().collect()[0][0] == "2024-01-09"
+    dest = new_dir(spark, "pre_raw_one")
+    one = stage_landing(spark, landing, dest, schema, "|", "csv", batch_date="2024-01-09")
+    assert [r[0] for r in one.select("batchdate").distinct().collect()] == ["2024-01-09"]
+    two = stage_landing(spark, landing, dest, schema, "|", "csv", batch_date="2024-01-10")
+    assert [r[0] for r in two.select("batchdate").distinct().collect()] == ["2024-01-10"]
 
 
 def test_publish_fanout_one_batch(spark):
