@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,11 @@ def batch_partitions(spark: SparkSession, name: str) -> list[str] | None:
     if [c.name for c in cols] != [BATCH_COLUMN]:
         return None
     prefix = f"{BATCH_COLUMN}="
-    return sorted(r[0][len(prefix):] for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    try:
+        listed = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    except AnalysisException:  # partitions not tracked by this catalog: callers use the scalar subquery
+        return None
+    return sorted(r[0][len(prefix):] for r in listed)
 
 
 def latest_partition(spark: SparkSession, name: str, before: str | None = None) -> str | None:
