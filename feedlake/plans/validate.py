@@ -6,6 +6,7 @@ grouped count for duplicate keys, whose map-side combine collapses hot keys befo
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -121,14 +122,19 @@ def validate_landing(
     files_path: str | None = None,
     sep: str = ",",
     output_path: str | None = None,
+    output_prefix: str | None = None,
 ) -> dict:
     """The validation job: staged files vs the pre-raw table (skipped without files_path), then the schema
     gate against the target table's columns (batchdate excluded). A failed gate raises ValidationError;
-    file differences are reported and do not stop the load (reference behaviour)."""
+    file differences are reported and do not stop the load (reference behaviour). Differences go to
+    output_path, or to <output_prefix>/<UTC run time yyyyMMddHHmmss>."""
     table = spark.table(pre_raw_table)
     result: dict = {"file_differences": None}
+    if output_path is None and output_prefix is not None:
+        output_path = f"{output_prefix.rstrip('/')}/{time.strftime('%Y%m%d%H%M%S', time.gmtime())}"
     if files_path is not None:
         result["file_differences"], _ = validate_files(spark, files_path, table, sep, output_path)
+        result["output_path"] = output_path
     target = [(f.name, f.dataType.simpleString()) for f in spark.table(target_table).schema.fields
               if f.name != "batchdate"]
     ok, report = validate_schema(table, target, keys)

@@ -58,8 +58,10 @@ def test_validate_landing_job(spark):
                       new_dir(spark, "raw"))
     files = new_dir(spark, "files")
     pre.write.option("sep", "|").csv(files)
-    res = validate_landing(spark, f"{db}.pre_raw", f"{db}.raw", "k", files, "|", new_dir(spark, "out"))
-    assert res == {"file_differences": 1, "schema_ok": True}
+    prefix = new_dir(spark, "out")
+    res = validate_landing(spark, f"{db}.pre_raw", f"{db}.raw", "k", files, "|", output_prefix=prefix)
+    assert res["file_differences"] == 1 and res["schema_ok"]
+    assert res["output_path"].startswith(prefix + "/") and spark.read.json(res["output_path"]).count() == 1
     assert validate_landing(spark, f"{db}.pre_raw", f"{db}.raw", "k")["file_differences"] is None
     dup = spark.createDataFrame([(1, "a"), (1, "b")], "k int, s string")
     dup_path = new_dir(spark, "dup")
