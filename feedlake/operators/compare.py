@@ -23,7 +23,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from feedlake.functions.columns import array_to_string, mismatch_array, resolve_columns
 from feedlake.spec import NEW_RECORD_LABEL
@@ -33,10 +33,25 @@ _DIFF = "df_diff_"
 _HIT = "df_raw__rows"
 
 
-def _orderable(c: Column, dtype: DataType) -> Column:
-    # maps have no ordering in Spark; their sorted entry array does
+def _has_map(dtype: DataType) -> bool:
     if isinstance(dtype, MapType):
+        return True
+    if isinstance(dtype, ArrayType):
+        return _has_map(dtype.elementType)
+    if isinstance(dtype, StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    return False
+
+
+def _orderable(c: Column, dtype: DataType) -> Column:
+    """A value with an ordering for min/max: maps have none in Spark, their sorted entries do; nested maps
+    and variants compare by their JSON text."""
+    if isinstance(dtype, MapType) and not _has_map(dtype.keyType) and not _has_map(dtype.valueType):
         return F.array_sort(F.map_entries(c))
+    if _has_map(dtype):
+        return F.to_json(c)
+    if isinstance(dtype, VariantType):
+        return c.cast("string")
     return c
 
 
