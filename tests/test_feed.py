@@ -163,3 +163,18 @@ def test_empty_delta_run(spark):
                      primary_key=("k",))
     res = run_feed(spark, spec2, "2024-01-03")
     assert res["delta"] == 0 and res["unchanged"] == 0
+
+
+def test_num_partitions_bounds_raw_files(spark, sf):
+    db = _db(spark)
+    orders = fx.table(spark, sf, "orders").repartition(8)
+    stamped = orders.withColumn("batchdate", F.lit("2001-01-31"))
+    create_feed_table(spark, f"{db}.raw", stamped.schema, new_dir(spark, "raw"))
+    pre = new_dir(spark, "pre")
+    orders.write.parquet(pre)
+    spark.catalog.createTable(f"{db}.pre_raw", path=pre, source="parquet")
+    spec = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", primary_key=("o_orderkey",),
+                    num_partitions=2)
+    run_feed(spark, spec, "2024-01-01")
+    files = spark.table(f"{db}.raw").inputFiles()
+    assert 1 <= len(files) <= 2
