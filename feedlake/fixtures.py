@@ -88,21 +88,23 @@ def write_delimited(df: DataFrame, path: str, sep: str = LANDING_SEP, compressio
 
 
 def write_landing(spark: SparkSession, sf_dir: str) -> str:
-    """Landing folder: one batchdate=<d> directory per day holding one '|'-delimited data file (gzip on
-    even days of the month) and one control file (.txt) with the day's row count."""
+    """Landing folder: one batchdate=<d> directory per day holding '|'-delimited data files (gzip on even
+    days of the month) and one control file (.txt) with the day's row count."""
     root = new_dir(spark, "landing")
     ev = daily_events(spark, sf_dir)
     even = F.dayofmonth("ts") % 2 == 0
     for cond, codec in ((~even, None), (even, "gzip")):
+        # every task writes its own rows per day: no shuffle by day, so a day with a third of the rows
+        # does not end up in one task
         w = (
-            ev.where(cond).repartition(BATCH_COLUMN).write.mode("append").options(**TEXT_OPTIONS)
+            ev.where(cond).write.mode("append").options(**TEXT_OPTIONS)
             .option("sep", LANDING_SEP).partitionBy(BATCH_COLUMN)
         )
         if codec:
             w = w.option("compression", codec)
         w.csv(root)
     counts = ev.groupBy(BATCH_COLUMN).agg(F.count(F.lit(1)).cast("string").alias("value"))
-    counts.repartition(BATCH_COLUMN).write.mode("append").partitionBy(BATCH_COLUMN).text(root)
+    counts.write.mode("append").partitionBy(BATCH_COLUMN).text(root)  # one row, one file per day
     return root
 
 

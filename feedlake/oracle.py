@@ -99,8 +99,8 @@ ORACLE.update({
     "scan_delimited": "SELECT * FROM orders",
     "scan_json": "SELECT * FROM orders",
     "scan_recon_source": with_(RECON_SOURCE, RECON_SOURCE_CSV) + "SELECT * FROM recon_source_csv",
-    "landing_manifest": with_(DAILY) + """SELECT batchdate, (dayofmonth(min(ts)) % 2 = 0) AS compressed,
-        CAST(1 AS BIGINT) AS n_files FROM daily GROUP BY batchdate""",
+    "landing_manifest": with_(DAILY) + """SELECT DISTINCT batchdate, (dayofmonth(ts) % 2 = 0) AS compressed
+        FROM daily""",
     "access_zone_lookup": """SELECT 'zones/zone_' || CAST(n_nationkey AS VARCHAR) AS s3_location,
         'zone_db_' || CAST(n_regionkey AS VARCHAR) AS database_name FROM nation WHERE lower(n_name) = 'nation_7'""",
     "requested_columns": " UNION ALL ".join(

@@ -30,8 +30,9 @@ def build_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> DataFrame
     delta = spark.table(spec.pre_raw_table)
     layout = table_buckets(spark, spec.raw_table)
     if layout is not None:
-        # match the target's buckets: each write task then produces one file per bucket and partition
-        delta = delta.repartition(layout[0], *resolve_columns(delta, layout[1]))
+        # hash the delta into the target's buckets, so a write task holds one bucket; REBALANCE (unlike
+        # repartition) lets AQE split a bucket made hot by one key into several tasks
+        delta = delta.hint("rebalance", layout[0], *resolve_columns(delta, layout[1]))
     if spec.incremental and spec.history_table:
         history = spark.table(spec.history_table)
         keys = resolve_columns(delta, spec.primary_key)

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from feedlake import fixtures as fx
 from feedlake.plans import history_snapshot, ingest_partition, run_feed
-from feedlake.sinks import create_feed_table, overwrite_raw
+from feedlake.sinks import append_raw, create_feed_table, overwrite_raw
 from feedlake.spec import FeedSpec
 from feedlake.workspace import new_dir, new_name
 from tests.conftest import rows
@@ -178,3 +178,32 @@ def test_num_partitions_bounds_raw_files(spark, sf):
     run_feed(spark, spec, "2024-01-01")
     files = spark.table(f"{db}.raw").inputFiles()
     assert 1 <= len(files) <= 2
+
+
+def test_bucketed_feed_with_a_hot_delta_key(spark):
+    from feedlake.plans import build_raw
+
+    db = _db(spark)
+    schema = "k long, v string, batchdate string"
+    for t in ("raw", "history"):
+        create_feed_table(spark, f"{db}.{t}", spark.createDataFrame([], schema).schema, new_dir(spark, t),
+                          buckets=4, bucket_keys=["k"])
+    hist = spark.range(0, 3000).selectExpr("id AS k", "'h' AS v", "'2024-01-01' AS batchdate")
+    append_raw(hist, f"{db}.history")
+    # a third of the delta shares key 7; the rest updates keys 1000..2999
+    delta = spark.range(0, 3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "'d' AS v")
+    pre = new_dir(spark, "pre")
+    delta.write.parquet(pre)
+    spark.catalog.createTable(f"{db}.pre_raw", path=pre, source="parquet")
+    spec = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", history_table=f"{db}.history",
+                    primary_key=("k",), buckets=4)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")  # force AQE to split
+    try:
+        snap = build_raw(spark, spec, "2024-01-02")
+        got = snap.groupBy("v").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    delta_keys = {7} | {i for i in range(3000) if i % 3 != 0}
+    carried = len([k for k in range(3000) if k not in delta_keys])
+    assert dict((r["v"], r["count"]) for r in got) == {"d": 3000, "h": carried}
