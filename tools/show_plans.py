@@ -45,7 +45,7 @@ def main() -> None:
         ("incremental snapshot, large delta (shuffle join)", "-1",
          lambda: incremental_snapshot(d, spark.table(f"{db}.history"), ["o_orderkey"], "2024-01-02", latest="2024-01-01")),
         ("incremental snapshot, large delta, history bucketed by key", "-1",
-         lambda: incremental_snapshot(d.repartition(16, "o_orderkey"), spark.table(f"{db}.history_b"), ["o_orderkey"],
+         lambda: incremental_snapshot(d.hint("rebalance", 16, "o_orderkey"), spark.table(f"{db}.history_b"), ["o_orderkey"],
                                       "2024-01-02", latest="2024-01-01")),
         ("reconciliation difference (EXCEPT DISTINCT), large inputs", "-1",
          lambda: difference(fx.recon_source(spark, sf), fx.recon_raw(spark, sf))),
