@@ -139,3 +139,28 @@ def test_complex_columns_are_compared(spark):
     # EXCEPT rejects map columns, so the differing rows are passed directly
     rep = rows(mismatch_report(raw, src, ["k"]))
     assert rep == [(1, "[m]"), (2, "[s, arr]")]
+
+
+def test_profile_is_exact_when_aqe_splits_a_hot_raw_key(spark):
+    from pyspark.sql import functions as F
+
+    from feedlake.operators import key_profile
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        raw = spark.range(0, 60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(8)).otherwise(F.col("id")).alias("k"), F.col("id").alias("x"))
+        diff = spark.range(0, 60000, 2).select(F.col("id").alias("k"), F.lit(-1).alias("x"))
+        prof = {r["k"]: r for r in key_profile(raw, diff, ["k"], ["x"]).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # key 8 holds every id divisible by 3 plus id 8 itself
+    assert prof[8]["df_raw__rows"] == 20001 and prof[8]["df_raw_x_min"] == 0 and prof[8]["df_raw_x_max"] == 59997
+    assert set(prof) == {k for k in range(0, 60000, 2) if k % 3 != 0}
