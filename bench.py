@@ -30,6 +30,8 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    if not cpus.isdigit():  # e.g. "*"
+        cpus = str(os.cpu_count() or 8)
     reps = int(os.environ.get("BENCH_REPS", "3"))
     names = sys.argv[1:] or HEADLINE
 
