@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 # Fixed values that must equal the reference's for equal results.
@@ -57,6 +59,30 @@ class ReconSpec:
     fill_both: bool = False  # the reference fills nulls with '' on the CSV side only
     null_safe: bool = False  # the reference does not flag a change to or from null
 
+    @classmethod
+    def from_options(cls, options: Mapping[str, str], raw_table: str, output_path: str,
+                     input_path: str | None = None, do_column_check: str | int | bool = 1) -> ReconSpec:
+        """Build a spec from string-valued reconciliation settings as the batch jobs kept them: a
+        comma-separated primary_key and drop_columns, a JSON object in mapping_details, and 'None' for
+        unset input_table / mapping_details."""
+        def opt(name: str) -> str | None:
+            v = options.get(name)
+            return None if v is None or v == "None" else v
+
+        mapping = opt("mapping_details")
+        return cls(
+            raw_table=raw_table,
+            primary_key=tuple(split_list(options["primary_key"])),
+            output_path=output_path,
+            input_table=opt("input_table"),
+            input_path=input_path,
+            file_type=(opt("file_extension") or "csv").lower(),
+            delimiter=opt("delimiter") or ",",
+            mapping=json.loads(mapping) if mapping else {},
+            drop_columns=tuple(split_list(opt("drop_columns") or "")),
+            do_column_check=str(do_column_check).strip().lower() in ("1", "true"),
+        )
+
 
 @dataclass(frozen=True)
 class RequestSpec:

@@ -164,3 +164,12 @@ def test_profile_is_exact_when_aqe_splits_a_hot_raw_key(spark):
     # key 8 holds every id divisible by 3 plus id 8 itself
     assert prof[8]["df_raw__rows"] == 20001 and prof[8]["df_raw_x_min"] == 0 and prof[8]["df_raw_x_max"] == 59997
     assert set(prof) == {k for k in range(0, 60000, 2) if k % 3 != 0}
+
+
+def test_recon_spec_from_string_settings():
+    spec = ReconSpec.from_options(
+        {"primary_key": "ID, Part", "file_extension": "csv", "delimiter": "|", "input_table": "None",
+         "mapping_details": '{"a": "b"}', "drop_columns": ""},
+        raw_table="db.raw", output_path="/out", input_path="/in", do_column_check="0")
+    assert spec.primary_key == ("ID", "Part") and spec.input_table is None and spec.delimiter == "|"
+    assert spec.mapping == {"a": "b"} and spec.drop_columns == () and spec.do_column_check is False
