@@ -3,6 +3,7 @@
 from feedlake.operators.compare import (
     anti_join_keys,
     key_profile,
+    keyed_difference_report,
     mismatch_report,
     pair_on_keys,
     recon_mismatch,
@@ -33,6 +34,7 @@ __all__ = [
     "incremental_snapshot",
     "is_empty",
     "key_profile",
+    "keyed_difference_report",
     "latest_batch",
     "mismatch_report",
     "pair_on_keys",

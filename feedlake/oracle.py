@@ -214,3 +214,4 @@ ORACLE.update({
         o_totalprice, o_orderdate, o_orderpriority,
         CASE WHEN o_orderkey % 10 = 0 THEN '2024-01-03' ELSE '2024-01-02' END AS batchdate FROM orders""",
 })
+ORACLE["recon_report_keyed"] = ORACLE["recon_report"]

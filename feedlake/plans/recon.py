@@ -19,8 +19,9 @@ from feedlake.functions.columns import (
     drop_columns,
     fill_empty_strings,
     rename_columns,
+    resolve_columns,
 )
-from feedlake.operators.compare import mismatch_report
+from feedlake.operators.compare import keyed_difference_report, mismatch_report
 from feedlake.operators.setops import difference
 from feedlake.sinks.files import write_diff_json, write_info_csv
 from feedlake.sources.files import scan_recon_source
@@ -63,7 +64,18 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str) -> dict:
     raw_batch = raw_all.where(raw_all[BATCH_COLUMN] == batch_date)
     raw = prepare_raw(raw_batch, spec.mapping)
     source = align_source(scan_recon_source(spark, spec, raw.schema), raw)
-    diff = materialize(recon_difference(source, raw, spec.drop_columns, spec.fill_both), "recon_difference")
+    if spec.keyed:
+        r = drop_columns(raw, spec.drop_columns)
+        labelled = materialize(
+            keyed_difference_report(drop_columns(source, spec.drop_columns),
+                                    fill_empty_strings(r) if spec.fill_both else r, spec.primary_key,
+                                    spec.null_safe),
+            "recon_keyed",
+        )
+        diff = labelled.drop("column_name")
+    else:
+        labelled = None
+        diff = materialize(recon_difference(source, raw, spec.drop_columns, spec.fill_both), "recon_difference")
     n_diff = diff.count()
     out = spec.output_path.rstrip("/")
     result = {
@@ -79,7 +91,10 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str) -> dict:
     result["difference_path"] = diff_path
     if spec.do_column_check:
         info_path = f"{out}/additional_info/{BATCH_COLUMN}={batch_date}"
-        report = mismatch_report(drop_columns(raw, spec.drop_columns), diff, spec.primary_key, spec.null_safe)
+        if labelled is not None:
+            report = labelled.select(*resolve_columns(labelled, spec.primary_key), "column_name")
+        else:
+            report = mismatch_report(drop_columns(raw, spec.drop_columns), diff, spec.primary_key, spec.null_safe)
         write_info_csv(report, info_path)
         result["info_path"] = info_path
     return result

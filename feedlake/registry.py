@@ -473,16 +473,21 @@ def q_recon_new_records(spark, sf):
     return recon_new_records(_diff(spark, sf), fx.recon_raw(spark, sf), KEYS)
 
 
-def q_recon_report(spark, sf):
+def q_recon_report(spark, sf, keyed: bool = False):
     raw = _feed_table(spark, fx.table(spark, sf, "orders").withColumn(BATCH_COLUMN, F.lit(fx.DELTA_DATE)), "raw")
     overwrite_raw(fx.recon_raw(spark, sf), raw, fx.DELTA_DATE)
     spec = ReconSpec(raw_table=raw, primary_key=("O_ORDERKEY",), output_path=new_dir(spark, "recon"),
-                     input_path=_recon_csv(spark, sf), file_type="csv", delimiter=fx.LANDING_SEP)
+                     input_path=_recon_csv(spark, sf), file_type="csv", delimiter=fx.LANDING_SEP, keyed=keyed)
     res = reconcile(spark, spec, fx.DELTA_DATE)
     schema = StructType.fromDDL("o_orderkey bigint, column_name string")
     return scan_delimited(spark, res["info_path"], schema, ",", header=True)
 
 
+def q_recon_report_keyed(spark, sf):
+    """PIP-9 in keyed mode (orders keys are unique): one keyed join instead of EXCEPT + profile join."""
+    return q_recon_report(spark, sf, keyed=True)
+
+
 def q_file_table_validation(spark, sf):
     table = fx.null_strings(spark, sf)
     files = fx.write_delimited(table, new_dir(spark, "pre_raw_files"))

@@ -173,3 +173,38 @@ def test_recon_spec_from_string_settings():
         raw_table="db.raw", output_path="/out", input_path="/in", do_column_check="0")
     assert spec.primary_key == ("ID", "Part") and spec.input_table is None and spec.delimiter == "|"
     assert spec.mapping == {"a": "b"} and spec.drop_columns == () and spec.do_column_check is False
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_keyed_reconcile_equals_except_path_for_unique_keys(spark, null_safe):
+    import random
+
+    from feedlake.operators import keyed_difference_report
+
+    rnd = random.Random(7 + null_safe)
+    vals = [None, "a", "b"]
+    raw_rows = [(k, rnd.choice(vals), rnd.choice([None, 1.0, 2.0])) for k in [None] + list(range(40))]
+    src_rows = [(k, rnd.choice(vals), rnd.choice([None, 1.0, 2.0])) for k in [None] + list(range(20, 60))]
+    raw = spark.createDataFrame(raw_rows, S)
+    src = spark.createDataFrame(src_rows, S)
+    d = difference(src, raw)
+    keyed = keyed_difference_report(src, raw, ["k"], null_safe)
+    assert rows(keyed.drop("column_name")) == rows(d)
+    assert rows(keyed.select("k", "column_name")) == rows(mismatch_report(raw, d, ["k"], null_safe))
+
+
+def test_reconcile_keyed_mode_writes_the_same_reports(spark):
+    name = _raw_table(spark, [(1, "a", 1.0, "2024-01-02"), (2, "b", 2.0, "2024-01-02"), (3, None, 3.0, "2024-01-02")])
+    src_path = new_dir(spark, "src")
+    spark.createDataFrame([(1, "a", 1.0), (2, "x", 2.0), (3, "c", 3.0), (5, "n", 5.0)], S).write.json(src_path)
+    results = []
+    for keyed in (False, True):
+        spec = ReconSpec(raw_table=name, primary_key=("k",), output_path=new_dir(spark, "o"), input_path=src_path,
+                         file_type="json", keyed=keyed)
+        res = reconcile(spark, spec, "2024-01-02")
+        diff = rows(scan_json(spark, res["difference_path"], spark.createDataFrame([], S).schema))
+        info = rows(scan_delimited(spark, res["info_path"],
+                                   spark.createDataFrame([], "k int, column_name string").schema, ",", header=True))
+        results.append((res["difference"], diff, info))
+    assert results[0] == results[1]
+    assert results[1][2] == [(2, "[x]"), (3, "[]"), (5, "new record")]
