@@ -2,6 +2,7 @@
 
 from feedlake.operators.compare import (
     anti_join_keys,
+    has_duplicate_keys,
     key_profile,
     keyed_difference_report,
     mismatch_report,
@@ -31,6 +32,7 @@ __all__ = [
     "count_unchanged",
     "difference",
     "full_refresh",
+    "has_duplicate_keys",
     "incremental_snapshot",
     "is_empty",
     "key_profile",

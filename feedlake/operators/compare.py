@@ -186,3 +186,9 @@ def keyed_difference_report(
         flags = [F.when(source[c] != F.col(_RAW + c), F.lit(c)).otherwise(F.lit("")) for c in cols]
     label = F.when(key_match, array_to_string(mismatch_array(flags))).otherwise(F.lit(NEW_RECORD_LABEL))
     return j.where(~same_row).select(*[source[c] for c in source.columns], label.alias("column_name"))
+
+
+def has_duplicate_keys(df: DataFrame, keys: str | Iterable[str]) -> bool:
+    """Whether any key occurs twice: a key-only grouped count (combined map-side), stopping at the first hit."""
+    key_cols = resolve_columns(df, keys)
+    return df.groupBy(*key_cols).count().where(F.col("count") > 1).limit(1).count() > 0

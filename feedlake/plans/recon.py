@@ -21,7 +21,7 @@ from feedlake.functions.columns import (
     rename_columns,
     resolve_columns,
 )
-from feedlake.operators.compare import keyed_difference_report, mismatch_report
+from feedlake.operators.compare import has_duplicate_keys, keyed_difference_report, mismatch_report
 from feedlake.operators.setops import difference
 from feedlake.sinks.files import write_diff_json, write_info_csv
 from feedlake.sources.files import scan_recon_source
@@ -66,6 +66,8 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str) -> dict:
     source = align_source(scan_recon_source(spark, spec, raw.schema), raw)
     if spec.keyed:
         r = drop_columns(raw, spec.drop_columns)
+        if spec.keyed_check and (has_duplicate_keys(r, spec.primary_key) or has_duplicate_keys(source, spec.primary_key)):
+            raise ValueError("keyed reconciliation needs keys unique in the raw batch and the source")
         labelled = materialize(
             keyed_difference_report(drop_columns(source, spec.drop_columns),
                                     fill_empty_strings(r) if spec.fill_both else r, spec.primary_key,

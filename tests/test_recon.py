@@ -208,3 +208,13 @@ def test_reconcile_keyed_mode_writes_the_same_reports(spark):
         results.append((res["difference"], diff, info))
     assert results[0] == results[1]
     assert results[1][2] == [(2, "[x]"), (3, "[]"), (5, "new record")]
+
+
+def test_keyed_mode_refuses_duplicate_keys(spark):
+    name = _raw_table(spark, [(1, "a", 1.0, "2024-01-02"), (1, "b", 2.0, "2024-01-02")])
+    src = new_dir(spark, "src")
+    spark.createDataFrame([(1, "c", 1.0)], S).write.json(src)
+    spec = ReconSpec(raw_table=name, primary_key=("k",), output_path=new_dir(spark, "o"), input_path=src,
+                     file_type="json", keyed=True)
+    with pytest.raises(ValueError):
+        reconcile(spark, spec, "2024-01-02")
