@@ -112,7 +112,7 @@ def _feed_table(spark: SparkSession, df: DataFrame, label: str, partitioned: boo
 
 
 def _daily_table(spark: SparkSession, sf: str) -> str:
-    """daily_events stored as a table partitioned by batchdate (one dynamic write of all days)."""
+    """daily_events stored as a table partitioned by batchdate (one append writes all days)."""
     ev = fx.daily_events(spark, sf)
     name = _feed_table(spark, ev, "daily_events")
     append_raw(ev, name)
