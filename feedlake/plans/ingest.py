@@ -106,11 +106,12 @@ def post_batch_audit(
     spark: SparkSession, raw_table: str, batch_date: str, audit_path: str | None = None, stream: str = ""
 ) -> int:
     """PIP-5: count of the batch's own (delta) rows in raw, recorded as an audit event."""
-    counted = count_batch(spark.table(raw_table), batch_date)
+    n = count_batch(spark.table(raw_table), batch_date).first()["cnt"]  # partition-pruned count
     if audit_path is not None:
+        one = spark.createDataFrame([(n,)], "cnt bigint")  # the single event row, from the one count
         ev = audit_events(
-            counted, "landing_to_raw", "post_batch_audit", stream, "Delta Count Raw",
+            one, "landing_to_raw", "post_batch_audit", stream, "Delta Count Raw",
             {"count": F.col("cnt"), "batchdate": F.lit(batch_date)},
         )
         record_audit(spark, audit_path, ev)
-    return counted.first()["cnt"]
+    return n
