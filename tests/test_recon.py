@@ -218,3 +218,25 @@ def test_keyed_mode_refuses_duplicate_keys(spark):
                      file_type="json", keyed=True)
     with pytest.raises(ValueError):
         reconcile(spark, spec, "2024-01-02")
+
+
+def test_reconcile_with_mapping_and_drop_list(spark):
+    # raw stores `x` as `legacy_x` and has a load timestamp column the source does not carry
+    db = new_name("recon_db")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{new_dir(spark, db)}'")
+    df = spark.createDataFrame([(1, "a", 1.0, "t1", "2024-01-02"), (2, "b", 2.0, "t2", "2024-01-02")],
+                               "k int, legacy_x string, y double, loaded string, batchdate string")
+    create_feed_table(spark, f"{db}.raw", df.schema, new_dir(spark, "raw"))
+    overwrite_raw(df, f"{db}.raw")
+    src = new_dir(spark, "src")
+    spark.createDataFrame([(1, "a", 1.0, "zz"), (2, "B", 2.0, "zz")], "k int, x string, y double, loaded string") \
+        .write.json(src)
+    spec = ReconSpec.from_options(
+        {"primary_key": "k", "file_extension": "json", "delimiter": ",", "input_table": "None",
+         "mapping_details": '{"legacy_x": "x"}', "drop_columns": "loaded"},
+        raw_table=f"{db}.raw", output_path=new_dir(spark, "o"), input_path=src)
+    res = reconcile(spark, spec, "2024-01-02")
+    assert res["difference"] == 1
+    info = scan_delimited(spark, res["info_path"], spark.createDataFrame([], "k int, column_name string").schema,
+                          ",", header=True)
+    assert rows(info) == [(2, "[x]")]
