@@ -43,23 +43,30 @@ def scan_recon_source(spark: SparkSession, spec, schema: StructType) -> DataFram
     raise ValueError(f"unknown reconciliation file type {spec.file_type!r}")
 
 
-def landing_manifest(spark: SparkSession, path: str, extension: str) -> DataFrame:
-    """SRC-6: files below `path` whose name ends in `.<extension>` or `.<extension>.gz`.
+def landing_manifest(
+    spark: SparkSession, path: str, extension: str, control_extension: str | None = None
+) -> DataFrame:
+    """SRC-6: files below `path` whose name ends in `.<extension>` or `.<extension>.gz` (and, with
+    control_extension, the control files too, in the same listing).
 
     A distributed listing: the binary-file source with a glob filter, selecting metadata only, so no file
-    content is read. Full paths are kept (no flattening to base names).
+    content is read. Full paths are kept (no flattening to base names). file_class is 'data' or 'control'.
     """
-    ext = extension.lstrip(".")
+    exts = [extension.lstrip(".")] + ([control_extension.lstrip(".")] if control_extension else [])
+    pattern = ",".join(f"{e},{e}.gz" for e in exts)
     listing = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*.{{{ext},{ext}.gz}}")
+        .option("pathGlobFilter", f"*.{{{pattern}}}")
         .option("recursiveFileLookup", "true")
         .load(path)
     )
+    name = F.element_at(F.split(F.col("path"), "/"), -1)
+    data = name.endswith(f".{exts[0]}") | name.endswith(f".{exts[0]}.gz")
     return listing.select(
         F.col("path"),
-        F.element_at(F.split(F.col("path"), "/"), -1).alias("file_name"),
+        name.alias("file_name"),
         F.col("length"),
         F.col("modificationTime").alias("modification_time"),
         F.col("path").endswith(".gz").alias("compressed"),
+        F.when(data, F.lit("data")).otherwise(F.lit("control")).alias("file_class"),
     )

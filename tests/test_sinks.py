@@ -64,8 +64,12 @@ def test_landing_manifest_and_staging(spark, sf):
     names = [r["file_name"] for r in m.collect()]
     assert names and all(n.endswith(".csv") or n.endswith(".csv.gz") for n in names)
     assert m.where("compressed").count() > 0 and m.where("not compressed").count() > 0
+    days = fx.daily_events(spark, sf).select("batchdate").distinct().count()
     control = landing_manifest(spark, landing, "txt")
-    assert control.count() == fx.daily_events(spark, sf).select("batchdate").distinct().count()
+    assert control.count() == days
+    both = landing_manifest(spark, landing, "csv", "txt")
+    assert both.where("file_class = 'control'").count() == days
+    assert both.where("file_class = 'data'").count() == len(names)
     schema = fx.daily_events(spark, sf).schema
     staged = stage_landing(spark, landing, new_dir(spark, "pre_raw"), schema, "|", "csv")
     assert staged.count() == fx.table(spark, sf, "events").count()
