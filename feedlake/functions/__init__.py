@@ -12,6 +12,7 @@ from feedlake.functions.columns import (
     prefix_nonkey,
     rename_columns,
     resolve_columns,
+    try_cast,
     with_batchdate,
 )
 
@@ -27,5 +28,6 @@ __all__ = [
     "prefix_nonkey",
     "rename_columns",
     "resolve_columns",
+    "try_cast",
     "with_batchdate",
 ]
