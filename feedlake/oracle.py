@@ -108,7 +108,7 @@ ORACLE.update({
         "WHERE 'req-' || replace(lower(r_name), ' ', '_') = 'req-europe'"
         for c, t in [("c_custkey", "bigint"), ("c_name", "string"), ("n_orders", "bigint"), ("max_price", "double")]
     ),
-    "table_columns": """SELECT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name AS col_name,
+    "table_columns": """SELECT DISTINCT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name AS col_name,
         CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
           WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type
         FROM information_schema.columns WHERE table_name = 'orders'""",
