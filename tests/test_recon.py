@@ -240,3 +240,13 @@ def test_reconcile_with_mapping_and_drop_list(spark):
     info = scan_delimited(spark, res["info_path"], spark.createDataFrame([], "k int, column_name string").schema,
                           ",", header=True)
     assert rows(info) == [(2, "[x]")]
+
+
+def test_fill_both_removes_null_string_differences(spark):
+    name = _raw_table(spark, [(1, None, 1.0, "2024-01-02"), (2, "b", 2.0, "2024-01-02")])
+    src = new_dir(spark, "src_csv")
+    spark.createDataFrame([(1, None, 1.0), (2, "b", 2.0)], S).write.option("sep", "|").csv(src)
+    base = dict(raw_table=name, primary_key=("k",), input_path=src, file_type="csv", delimiter="|")
+    quirk = reconcile(spark, ReconSpec(output_path=new_dir(spark, "o"), **base), "2024-01-02")
+    fixed = reconcile(spark, ReconSpec(output_path=new_dir(spark, "o"), fill_both=True, **base), "2024-01-02")
+    assert quirk["difference"] == 1 and fixed["difference"] == 0
