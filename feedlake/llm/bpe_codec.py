@@ -33,8 +33,14 @@ class Codec:
         self.ranks = {base64.b64decode(a): int(b) for a, b in lines}
         self.tokens = {r: t for t, r in self.ranks.items()}
         self.bitmap = [0] * ((max(self.tokens) >> WORD) + 1)  # all zero between pre-tokens
-        self.words = BoundedCache(lambda w: self.encode_pretoken(w.encode()))
-        self.after_space = BoundedCache(lambda piece: tuple(chain.from_iterable(map(self.words.__getitem__, pretokens(" " + piece)))))
+        self.words = BoundedCache(lambda w: self.encode_pretoken(w.encode()), limit=350_000)
+        self.after_space = BoundedCache(self.encode_after_space, limit=250_000)
+
+    def encode_after_space(self, piece: str) -> tuple[int, ...]:
+        """Ids of a piece between spaces, with the space before it. Only letters: one pre-token, by the pattern."""
+        if piece.isascii() and piece.isalpha():
+            return self.words[" " + piece]
+        return tuple(chain.from_iterable(map(self.words.__getitem__, pretokens(" " + piece))))
 
     def encode_pretoken(self, piece: bytes) -> tuple[int, ...]:
         ranks = self.ranks
@@ -42,55 +48,66 @@ class Codec:
         if whole is not None:
             return (whole,)
         n, bitmap, top, buckets = len(piece), self.bitmap, 0, {}
+        find = ranks.get
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))  # right[i] is also where symbol i ends
         pair = [-1] * n  # rank of the pair that starts at a position; -1: none, or the symbol is gone
-        fresh = []  # (rank, position) to queue
         for i in range(n - 1):
-            r = ranks.get(piece[i : i + 2])
+            r = find(piece[i : i + 2])
             if r is not None:
-                fresh.append((r, i))
-        while True:
-            for r, i in fresh:
                 pair[i] = r
-                bucket = buckets.get(r)
-                if bucket is None:
-                    buckets[r] = [i]
-                    w = r >> WORD
-                    bitmap[w] |= _BIT[r & _LOW]
-                    top |= 1 << w
+                if r in buckets:
+                    held = buckets[r]
+                    if type(held) is int:
+                        buckets[r] = [held, i]
+                    else:
+                        held.append(i)  # ascending, so a heap
                 else:
-                    heapq.heappush(bucket, i)
-            fresh.clear()
-            if not top:
-                break
+                    buckets[r] = i
+                    bitmap[r >> WORD] |= _BIT[r & _LOW]
+                    top |= 1 << (r >> WORD)
+        while top:
             w = (top & -top).bit_length() - 1
             bits = bitmap[w]
             rank = (w << WORD) + (bits & -bits).bit_length() - 1
-            bucket = buckets[rank]
-            if len(bucket) > 1:
-                i = heapq.heappop(bucket)  # the leftmost position of the lowest rank
-            else:
-                i = bucket[0]
+            held = buckets[rank]
+            if type(held) is int or len(held) == 1:
+                i = held if type(held) is int else held[0]
                 del buckets[rank]
                 bitmap[w] = bits = bits & (bits - 1)
                 if not bits:
                     top &= top - 1
+            else:
+                i = heapq.heappop(held)  # the leftmost position of the lowest rank
             if pair[i] != rank:
                 continue  # stale
             j = right[i]
             k = right[j]
-            right[i], pair[i], pair[j] = k, -1, -1
+            h = left[i]
+            right[i], pair[j] = k, -1
             if k < n:
                 left[k] = i
-                r = ranks.get(piece[i : right[k]])
-                if r is not None:
-                    fresh.append((r, i))
-            h = left[i]
-            if h >= 0:
-                pair[h] = -1
-                r = ranks.get(piece[h:k])
+                r = find(piece[i : right[k]])
+            else:
+                r = None
+            pair[i] = -1 if r is None else r
+            at = i
+            while True:  # queue the new pair on the right, then the one on the left
                 if r is not None:
-                    fresh.append((r, h))
+                    if r in buckets:
+                        held = buckets[r]
+                        if type(held) is int:
+                            buckets[r] = [held, at] if held < at else [at, held]
+                        else:
+                            heapq.heappush(held, at)
+                    else:
+                        buckets[r] = at
+                        bitmap[r >> WORD] |= _BIT[r & _LOW]
+                        top |= 1 << (r >> WORD)
+                if at == h or h < 0:
+                    break
+                r = find(piece[h:k])
+                pair[h] = -1 if r is None else r
+                at = h
         ids, i = [], 0
         while i < n:
             ids.append(ranks[piece[i : right[i]]])
