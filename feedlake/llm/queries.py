@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.bpe_codec import digests, encode_texts
 from feedlake.llm.host_rules import COUNTS, quality_rules
+from feedlake.llm.jaccard_forest import jaccard_join
 from feedlake.llm.phrase_index import contamination, item_digest
 from feedlake.llm.rows import table
 from feedlake.llm.simple8b import read_ids, write_ids
@@ -27,6 +28,10 @@ def op3_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, path, ids=False)
 
 
+def op4_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents")).documents.select("doc_id", "class_id", "copy_of", "n_links")
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     coded = encode_texts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decoded=True)
@@ -44,6 +49,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op2_token_counts, op3_simple8b_ids, op5_bpe_codec, op6_decontamination, op9_quality_rules)
+    f.__name__: f for f in (op2_token_counts, op3_simple8b_ids, op4_jaccard_forest, op5_bpe_codec, op6_decontamination, op9_quality_rules)
 }
 ORACLE: dict[str, str] = {}
