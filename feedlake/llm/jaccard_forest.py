@@ -6,11 +6,12 @@ symbols, a byte of a min-hash each, packed into one long: its order is the order
 shortens the prefix. Prefixes start at full depth and are shortened until two sets of similarity `threshold` meet in some
 tree with probability `recall`. Nodes that share a prefix are candidates and are verified on their texts' word tuples.
 
-Hot prefixes. A bucket of up to SMALL nodes verifies its pairs. A larger one verifies every node against a hub, and the
-triangle inequality of the Jaccard distance leaves for the next round only nodes that are not linked to the hub and
-those linked nodes that could still be near one of them; all others are linked through the hub, or proven apart. No bucket is
-cut, sampled or collected: rounds go on until none has two nodes left. Every linked pair that meets in the forest is therefore
-in one class, though in a large group not every pair within it is listed as a link of its own.
+Hot prefixes. A bucket of up to SMALL nodes verifies all its pairs. A larger one first verifies every node against two hubs,
+picked by a hash of node and bucket, so a node meets other hubs in other trees. After that most nodes of a large group are in
+one class. What is left are the strays, nodes of a bucket outside its main class; each is verified against every
+node of the bucket in another class. So every linked pair that meets in the forest ends in one class, exactly, and
+nothing is cut, sampled or collected; two nodes already in one class are not compared again, so in a large group not
+every pair is listed as a link of its own.
 """
 
 from __future__ import annotations
@@ -133,21 +134,28 @@ def _pair(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _hubs(members: DataFrame) -> DataFrame:
-    """Buckets of two nodes or more: size and hub."""
-    found = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"))
-    return materialize(found.where("size > 1"), "forest-hubs")
-
-
-def _candidates(members: DataFrame) -> DataFrame:
-    """Distinct (a, b) of one round from (bucket, node, size, hub)."""
+def _first_pairs(members: DataFrame) -> DataFrame:
+    """Distinct (a, b) of (bucket, node, size, hubs): all pairs of small buckets, node and hub of large ones."""
     small, large = members.where(F.col("size") <= SMALL), members.where(F.col("size") > SMALL)
     x, y = small.select("bucket", F.col("node").alias("a")), small.select("bucket", F.col("node").alias("b"))
     pairs = x.join(y, "bucket").where("a < b").select("a", "b")
-    stars = large.where("node <> hub").select(*_pair(F.col("hub"), F.col("node")))
+    stars = large.select("node", F.explode("hubs").alias("hub")).where("node <> hub").select(*_pair(F.col("hub"), F.col("node")))
     return pairs.unionByName(stars).distinct()
 
 
+def _stray_pairs(members: DataFrame, label: DataFrame) -> DataFrame:
+    """Distinct (a, b) of different classes in one large bucket, one of them outside the bucket's main class."""
+    large = members.where(F.col("size") > SMALL).select("bucket", "node").join(label, "node", "left")
+    large = materialize(large.withColumn("label", F.coalesce("label", "node")), "forest-labelled")
+    count = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = count.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("k"))
+    main = materialize(main.where("k > 1").select("bucket", "main"), "forest-mixed")
+    strays = materialize(large.join(main, "bucket").where("label <> main").drop("main"), "forest-strays")
+    other = large.toDF(*(f"_{c}" for c in large.columns))
+    pairs = strays.join(other, F.col("bucket") == F.col("_bucket")).where("label <> _label")
+    return pairs.select(*_pair(F.col("node"), F.col("_node"))).distinct()
+
+
 def jaccard_join(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL
 ) -> JaccardJoin:
@@ -167,7 +175,12 @@ def jaccard_join(
     paths = nodes.select("node", F.posexplode("paths").alias("tree", "path"))
     bucket = F.xxhash64("tree", F.shiftright("path", 8 * (8 - depth)))  # a collision only adds candidates
     members = paths.select(bucket.alias("bucket"), "node")
-    members = materialize(members.join(_hubs(members), "bucket"), "forest-members")
+    by = F.xxhash64("node", "bucket")
+    hubs = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.min_by("node", by).alias("h"), F.max_by("node", by).alias("g")
+    )
+    hubs = materialize(hubs.where("size > 1").select("bucket", "size", F.array("h", "g").alias("hubs")), "forest-hubs")
+    members = materialize(members.join(hubs, "bucket"), "forest-members")
 
     rep = F.col("rep")
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
@@ -179,29 +192,17 @@ def jaccard_join(
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash")))
     texts = materialize(texts.groupBy("node").agg(F.first("text").alias("text")), "forest-texts")
 
-    verified = None
-    while True:
-        pairs = _candidates(members)
-        if verified is not None:
-            pairs = pairs.join(verified, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "forest-pairs")
-        made = materialize(similarity(pairs, texts), "forest-verified")
-        verified = made if verified is None else verified.unionByName(made)
-        # what a hub leaves open: distances d to the hub; x linked (d <= limit) and y not can be near only if
-        # d(y) - d(x) <= limit
-        large = members.where(F.col("size") > SMALL).where("node <> hub")
-        if not large.limit(1).count():
-            break
-        seen = large.select("bucket", "node", *_pair(F.col("hub"), F.col("node"))).join(verified, ["a", "b"])
-        seen = materialize(seen.select("bucket", "node", (1 - F.col("sim")).alias("d"), (F.col("sim") >= threshold).alias("linked")), "forest-seen")
-        least = seen.where(~F.col("linked")).groupBy("bucket").agg(F.min("d").alias("least"))
-        least = materialize(least, "forest-open")
-        open_ = seen.join(least, "bucket").where(~F.col("linked") | (F.col("least") - F.col("d") <= 1 - threshold + 1e-9))
-        rest = materialize(open_.select("bucket", "node"), "forest-rest")
-        members = materialize(rest.join(_hubs(rest), "bucket"), "forest-members")
-    links = materialize(verified.where(F.col("sim") >= threshold), "forest-links")
-
+    pairs = materialize(_first_pairs(members), "forest-pairs")
+    verified = materialize(similarity(pairs, texts), "forest-verified")
+    links = verified.where(F.col("sim") >= threshold)
     label = components(links)
+    pairs = materialize(_stray_pairs(members, label).join(verified, ["a", "b"], "left_anti"), "forest-pairs")
+    if pairs.limit(1).count():
+        late = materialize(similarity(pairs, texts).where(F.col("sim") >= threshold), "forest-verified")
+        links = materialize(links.unionByName(late), "forest-links")
+        if late.limit(1).count():
+            label = components(links)
+
     own = nodes.join(label, "node", "left").select("fingerprint", "node", "rep", F.coalesce("label", "node").alias("label"))
     own = materialize(own, "forest-labels")
     heads = materialize(own.groupBy("label").agg(F.min("rep").alias("head")), "forest-heads")
