@@ -8,10 +8,11 @@ tree with probability `recall`. Nodes that share a prefix are candidates and are
 
 Hot prefixes. A bucket of up to SMALL nodes verifies all its pairs. A larger one first verifies every node against two hubs,
 picked by a hash of node and bucket, so a node meets other hubs in other trees. After that most nodes of a large group are in
-one class. What is left are the strays, nodes of a bucket outside its main class; each is verified against every
-node of the bucket in another class. So every linked pair that meets in the forest ends in one class, exactly, and
-nothing is cut, sampled or collected; two nodes already in one class are not compared again, so in a large group not
-every pair is listed as a link of its own.
+one class. What is left are the strays, nodes of a bucket outside its main class. Each meets every node of the bucket in
+another class, in blocks of about BLOCK nodes a side whose signatures are compared as arrays; only pairs that agree in as many
+symbols as similarity `threshold` gives but for a chance of 3 in 100,000 are written, and verified. So linked pairs that meet in
+the forest end in one class, and no bucket is cut, sampled or collected; two nodes already in one class are not
+compared again, so in a large group not every pair is listed as a link of its own.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ RECALL = 0.999
 TREES = 32
 LEVELS = 8
 SMALL = 16
+BLOCK = 1024
 
 
 class JaccardJoin(NamedTuple):
@@ -143,17 +145,49 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     return pairs.unionByName(stars).distinct()
 
 
-def _stray_pairs(members: DataFrame, label: DataFrame) -> DataFrame:
-    """Distinct (a, b) of different classes in one large bucket, one of them outside the bucket's main class."""
+def least_agreement(threshold: float, symbols: int, z: float = 4.0) -> int:
+    """Symbols that sets of similarity `threshold` share, less z standard deviations."""
+    p = threshold + (1 - threshold) / 256
+    return int(symbols * p - z * (symbols * p * (1 - p)) ** 0.5)
+
+
+def _blocks(rows: DataFrame, name: str) -> DataFrame:
+    """(bucket, n, node, label, paths) -> a row for each block of about BLOCK nodes of a bucket."""
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))
+    return rows.groupBy("bucket", block.alias("block")).agg(F.collect_list(F.struct("node", "label", "paths")).alias(name)).drop("block")
+
+
+def _stray_pairs(members: DataFrame, label: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Distinct (a, b) of different classes in one large bucket, one of them outside its main class, that agree."""
     large = members.where(F.col("size") > SMALL).select("bucket", "node").join(label, "node", "left")
     large = materialize(large.withColumn("label", F.coalesce("label", "node")), "forest-labelled")
     count = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = count.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("k"))
-    main = materialize(main.where("k > 1").select("bucket", "main"), "forest-mixed")
-    strays = materialize(large.join(main, "bucket").where("label <> main").drop("main"), "forest-strays")
-    other = large.toDF(*(f"_{c}" for c in large.columns))
-    pairs = strays.join(other, F.col("bucket") == F.col("_bucket")).where("label <> _label")
-    return pairs.select(*_pair(F.col("node"), F.col("_node"))).distinct()
+    main = count.groupBy("bucket").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.max("n").alias("top")
+    )
+    main = materialize(main.where("k > 1").select("bucket", "main", "n", (F.col("n") - F.col("top")).alias("n_strays")), "forest-mixed")
+    mixed = large.join(main, "bucket").join(nodes.select("node", "paths"), "node")
+    mixed = materialize(mixed, "forest-mixed-nodes")
+    strays = mixed.where("label <> main").withColumn("n", F.col("n_strays"))
+    sides = _blocks(strays, "strays").join(_blocks(mixed, "others"), "bucket").select("strays", "others")
+    agree = least_agreement(threshold, TREES * LEVELS)
+
+    def run(batches):
+        def side(x):
+            x = x.values.flatten() if isinstance(x, pa.ListScalar) else x.flatten()
+            paths = np.asarray(x[2].flatten(), np.int64).reshape(len(x[0]), -1)
+            return np.asarray(x[0]), np.asarray(x[1]), paths.astype(">i8").view(np.uint8).reshape(len(x[0]), -1)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                (a, la, pa_), (b, lb, pb) = side(batch.column(0)[i]), side(batch.column(1)[i])
+                for k in range(len(a)):
+                    hit = np.flatnonzero(((pb == pa_[k]).sum(axis=1) >= agree) & (lb != la[k]))
+                    if len(hit):
+                        low, high = np.minimum(a[k], b[hit]), np.maximum(a[k], b[hit])
+                        yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+
+    return map_arrow(sides, run, "a bigint, b bigint").distinct()
 
 
 def jaccard_join(
@@ -189,14 +223,15 @@ def jaccard_join(
     wanted = materialize(wanted, "forest-wanted")
     rows = docs.select(F.col(quoted(id_col)).cast("bigint").alias("doc_id"), F.col(quoted(text)).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash")))
+    # both sides grow with the data: no broadcast, at any size
+    texts = rows.join(wanted.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash")))
     texts = materialize(texts.groupBy("node").agg(F.first("text").alias("text")), "forest-texts")
 
     pairs = materialize(_first_pairs(members), "forest-pairs")
     verified = materialize(similarity(pairs, texts), "forest-verified")
     links = verified.where(F.col("sim") >= threshold)
     label = components(links)
-    pairs = materialize(_stray_pairs(members, label).join(verified, ["a", "b"], "left_anti"), "forest-pairs")
+    pairs = materialize(_stray_pairs(members, label, nodes, threshold).join(verified, ["a", "b"], "left_anti"), "forest-pairs")
     if pairs.limit(1).count():
         late = materialize(similarity(pairs, texts).where(F.col("sim") >= threshold), "forest-verified")
         links = materialize(links.unionByName(late), "forest-links")
