@@ -9,10 +9,11 @@ tree with probability `recall`. Nodes that share a prefix are candidates and are
 Hot prefixes. A bucket of up to SMALL nodes verifies all its pairs. A larger one first verifies every node against two hubs,
 picked by a hash of node and bucket, so a node meets other hubs in other trees. After that most nodes of a large group are in
 one class. What is left are the strays, nodes of a bucket outside its main class. Each meets every node of the bucket in
-another class, in blocks of about BLOCK nodes a side whose signatures are compared as arrays; only pairs that agree in as many
-symbols as similarity `threshold` gives but for a chance of 3 in 100,000 are written, and verified. So linked pairs that meet in
-the forest end in one class, and no bucket is cut, sampled or collected; two nodes already in one class are not
-compared again, so in a large group not every pair is listed as a link of its own.
+another class, in blocks of about BLOCK nodes a side: signatures first (a pair that agrees in fewer symbols than
+similarity `threshold` gives but for a chance of 3 in 100,000 is passed over), then shingle hashes. A pair is looked at in
+the first tree that brings it together, and a stray's first link to each class of the block is written and verified. So
+linked pairs that meet in the forest end in one class, and no bucket is cut, sampled or collected; two nodes already
+in one class are not compared again, so in a large group not every pair is listed as a link of its own.
 """
 
 from __future__ import annotations
@@ -152,40 +153,68 @@ def least_agreement(threshold: float, symbols: int, z: float = 4.0) -> int:
 
 
 def _blocks(rows: DataFrame, name: str) -> DataFrame:
-    """(bucket, n, node, label, paths) -> a row for each block of about BLOCK nodes of a bucket."""
+    """(bucket, n, node, ...) -> a row for each block of about BLOCK nodes of a bucket."""
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))
-    return rows.groupBy("bucket", block.alias("block")).agg(F.collect_list(F.struct("node", "label", "paths")).alias(name)).drop("block")
+    return rows.groupBy("bucket", block.alias("block")).agg(
+        F.first("tree").alias("tree"), F.collect_list(F.struct("node", "label", "paths", "shingles")).alias(name)
+    )
+
 
+def _hashes(texts: DataFrame) -> DataFrame:
+    """node, shingles (sorted 64-bit hashes)."""
 
-def _stray_pairs(members: DataFrame, label: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (a, b) of different classes in one large bucket, one of them outside its main class, that agree."""
-    large = members.where(F.col("size") > SMALL).select("bucket", "node").join(label, "node", "left")
+    def make():
+        cache = BoundedCache(xxhash.xxh3_64_intdigest)
+        return lambda rows: ([shingle_hashes(words(t), cache.__getitem__).tobytes() for t in rows],)
+
+    return map_texts(texts, ["node"], "text", make, [StructField("shingles", BinaryType())])
+
+
+def stray_links(a: list[dict], b: list[dict], tree: int, depth: int, threshold: float, agree: int) -> list[tuple[int, int]]:
+    """(node of a, node of b): each a's first link to each other class of b, of the pairs that no lower tree brings together."""
+    symbols = lambda side: np.array([x["paths"] for x in side], ">i8").view(np.uint8).reshape(len(side), TREES, LEVELS)
+    sa, sb = symbols(a), symbols(b)
+    labels = np.array([x["label"] for x in b])
+    sets = [np.frombuffer(x["shingles"], np.uint64) for x in b]
+    out = []
+    for x, s in zip(a, sa):
+        same = sb == s
+        hit = np.flatnonzero((same.sum(axis=(1, 2)) >= agree) & (labels != x["label"]))
+        hit = hit[~same[hit, :tree, :depth].all(axis=2).any(axis=1)]
+        own, linked = np.frombuffer(x["shingles"], np.uint64), set()
+        for k in hit:
+            if labels[k] not in linked:
+                both = len(np.intersect1d(own, sets[k], assume_unique=True))
+                if both >= threshold * (len(own) + len(sets[k]) - both) - 1e-6:
+                    linked.add(labels[k])
+                    out.append((x["node"], b[k]["node"]))
+    return out
+
+
+def _stray_pairs(members: DataFrame, label: DataFrame, nodes: DataFrame, texts: DataFrame, depth: int, threshold: float) -> DataFrame:
+    """Distinct (a, b) of different classes in one large bucket, one of them outside its main class, that link."""
+    large = members.where(F.col("size") > SMALL).select("bucket", "tree", "node").join(label, "node", "left")
     large = materialize(large.withColumn("label", F.coalesce("label", "node")), "forest-labelled")
     count = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     main = count.groupBy("bucket").agg(
         F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.max("n").alias("top")
     )
     main = materialize(main.where("k > 1").select("bucket", "main", "n", (F.col("n") - F.col("top")).alias("n_strays")), "forest-mixed")
-    mixed = large.join(main, "bucket").join(nodes.select("node", "paths"), "node")
-    mixed = materialize(mixed, "forest-mixed-nodes")
+    mixed = materialize(large.join(main, "bucket"), "forest-mixed-members")
+    needed = texts.join(mixed.select("node").distinct(), "node", "left_semi")
+    held = materialize(_hashes(needed).join(nodes.select("node", "paths"), "node"), "forest-mixed-nodes")
+    mixed = mixed.join(held, "node")
     strays = mixed.where("label <> main").withColumn("n", F.col("n_strays"))
-    sides = _blocks(strays, "strays").join(_blocks(mixed, "others"), "bucket").select("strays", "others")
+    sides = _blocks(strays, "strays").join(_blocks(mixed, "others").drop("block", "tree"), "bucket").select("strays", "others", "tree")
     agree = least_agreement(threshold, TREES * LEVELS)
 
     def run(batches):
-        def side(x):
-            x = x.values.flatten() if isinstance(x, pa.ListScalar) else x.flatten()
-            paths = np.asarray(x[2].flatten(), np.int64).reshape(len(x[0]), -1)
-            return np.asarray(x[0]), np.asarray(x[1]), paths.astype(">i8").view(np.uint8).reshape(len(x[0]), -1)
-
         for batch in batches:
             for i in range(batch.num_rows):
-                (a, la, pa_), (b, lb, pb) = side(batch.column(0)[i]), side(batch.column(1)[i])
-                for k in range(len(a)):
-                    hit = np.flatnonzero(((pb == pa_[k]).sum(axis=1) >= agree) & (lb != la[k]))
-                    if len(hit):
-                        low, high = np.minimum(a[k], b[hit]), np.maximum(a[k], b[hit])
-                        yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+                strays, others, tree = (batch.column(k)[i].as_py() for k in range(3))
+                found = stray_links(strays, others, tree, depth, threshold, agree)
+                low, high = [min(x) for x in found], [max(x) for x in found]
+                yield pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["a", "b"])
 
     return map_arrow(sides, run, "a bigint, b bigint").distinct()
 
@@ -208,13 +237,13 @@ def jaccard_join(
 
     paths = nodes.select("node", F.posexplode("paths").alias("tree", "path"))
     bucket = F.xxhash64("tree", F.shiftright("path", 8 * (8 - depth)))  # a collision only adds candidates
-    members = paths.select(bucket.alias("bucket"), "node")
+    members = paths.select(bucket.alias("bucket"), "tree", "node")
     by = F.xxhash64("node", "bucket")
     hubs = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.min_by("node", by).alias("h"), F.max_by("node", by).alias("g")
+        F.count(F.lit(1)).alias("size"), F.min("tree").alias("tree"), F.min_by("node", by).alias("h"), F.max_by("node", by).alias("g")
     )
-    hubs = materialize(hubs.where("size > 1").select("bucket", "size", F.array("h", "g").alias("hubs")), "forest-hubs")
-    members = materialize(members.join(hubs, "bucket"), "forest-members")
+    hubs = materialize(hubs.where("size > 1").select("bucket", "tree", "size", F.array("h", "g").alias("hubs")), "forest-hubs")
+    members = materialize(members.drop("tree").join(hubs, "bucket"), "forest-members")
 
     rep = F.col("rep")
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
@@ -231,7 +260,7 @@ def jaccard_join(
     verified = materialize(similarity(pairs, texts), "forest-verified")
     links = verified.where(F.col("sim") >= threshold)
     label = components(links)
-    pairs = materialize(_stray_pairs(members, label, nodes, threshold).join(verified, ["a", "b"], "left_anti"), "forest-pairs")
+    pairs = materialize(_stray_pairs(members, label, nodes, texts, depth, threshold).join(verified, ["a", "b"], "left_anti"), "forest-pairs")
     if pairs.limit(1).count():
         late = materialize(similarity(pairs, texts).where(F.col("sim") >= threshold), "forest-verified")
         links = materialize(links.unionByName(late), "forest-links")
