@@ -79,7 +79,8 @@ def keys_with_label(df: DataFrame, keys: str | Iterable[str], label: str | Colum
 
 # A string try_cast can only succeed for these shapes (whitespace is trimmed by the cast). Strings that
 # cannot match are null without entering the cast, whose failure path costs ~20x a successful cast.
-_INTEGRAL_SHAPE = r"^\s*[+-]?[0-9]+\s*$"
+# the cast trims ASCII control characters as well as spaces
+_INTEGRAL_SHAPE = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*\z"
 _NUMBER_SHAPE = r"(?i)\p{Nd}|nan|inf"
 
 

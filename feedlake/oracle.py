@@ -113,7 +113,7 @@ ORACLE.update({
           WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type
         FROM information_schema.columns WHERE table_name = 'orders'""",
     # 2.2 sinks
-    "overwrite_raw": with_(DELTA) + "SELECT *, '2024-01-02' AS batchdate FROM delta",
+    "overwrite_raw": "SELECT *, '2024-01-02' AS batchdate FROM orders",
     "append_raw": SNAP + "SELECT * FROM snapshot",
     "overwrite_partition": with_(DAILY) + """SELECT event_id, ts, user_id, event_type,
         CASE WHEN batchdate = '2024-01-15' THEN value * 2 ELSE value END AS value, props, batchdate FROM daily""",
@@ -130,8 +130,8 @@ ORACLE.update({
         FROM daily GROUP BY batchdate""",
     "coalesce_output": "SELECT * FROM events",
     # 2.3 projections
-    "with_batchdate": with_(DELTA) + "SELECT *, '2024-01-02' AS batchdate FROM delta",
-    "drop_batchdate": with_(HISTORY) + f"SELECT {ORDERS_COLS} FROM history",
+    "with_batchdate": "SELECT *, '2024-01-02' AS batchdate FROM orders",
+    "drop_batchdate": "SELECT * FROM events",
     "drop_columns": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
     "rename_columns": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
         o_orderpriority AS priority FROM orders""",
@@ -176,7 +176,7 @@ ORACLE.update({
         FROM null_strings""",
     "run_request_sql": REQUEST,
     # 2.13
-    "full_refresh": with_(DELTA) + "SELECT *, '2024-01-02' AS batchdate FROM delta",
+    "full_refresh": "SELECT *, '2024-01-02' AS batchdate FROM orders",
     "history_snapshot": SNAP + f"""SELECT * FROM history
         UNION ALL SELECT {ORDERS_COLS}, '2024-01-02' AS batchdate FROM snapshot""",
     "ingest_partition": with_(DAILY) + """SELECT event_id, ts, user_id, event_type,

@@ -16,11 +16,10 @@ _DB = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
 def render_request_sql(template: str, database: str) -> str:
-    """Flatten line breaks and tabs to spaces and substitute the database placeholder."""
+    """Substitute the database placeholder; the rest of the template, comments and line breaks too, is left as it is."""
     if not _DB.match(database):
         raise ValueError(f"not a database name: {database!r}")
-    flat = template.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-    return flat.replace(DB_PLACEHOLDER, database)
+    return template.replace(DB_PLACEHOLDER, database)
 
 
 def run_request_sql(spark: SparkSession, template: str, database: str, **args) -> DataFrame:
@@ -47,6 +46,8 @@ def deliver_request(
     target = f"{zone_db}.{spec.target_name}"
     if not _DB.match(zone_db):
         raise ValueError(f"not a database name: {zone_db!r}")
+    if "'" in location or "\\" in location or any(ord(c) < 32 for c in location):
+        raise ValueError(f"not a location: {location!r}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {zone_db} LOCATION '{location.rstrip('/')}/{zone_db}.db'")
     create_target(spark, target, cols, f"{location.rstrip('/')}/{spec.target_name}")
     load_target(run_request_sql(spark, spec.sql_template, spec.database), target)

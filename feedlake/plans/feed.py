@@ -1,4 +1,4 @@
-"""run_feed: stage -> validate -> raw -> history -> audit for one batch (a thin convenience, design)."""
+"""run_feed: schema gate -> raw -> history -> audit for one staged batch (a thin convenience, design)."""
 
 from __future__ import annotations
 
@@ -22,7 +22,7 @@ def run_feed(
         target = [(f.name, f.dataType.simpleString()) for f in raw_schema.fields if f.name != "batchdate"]
         ok, report = validate_schema(spark.table(spec.pre_raw_table), target, spec.primary_key)
         if not ok:
-            bad = report.where(F.col("violations") > 0).limit(20).collect()
+            bad = report.where(F.col("violations") > 0).collect()  # at most a few rows a column
             raise ValidationError(f"schema validation failed: {[tuple(r) for r in bad]}")
     prior = count_rows(spark.table(spec.raw_table)).first()["cnt"]
     result.update(load_raw(spark, spec, batch_date))

@@ -20,6 +20,7 @@ from feedlake.functions.columns import (
     fill_empty_strings,
     rename_columns,
     resolve_columns,
+    split_list,
 )
 from feedlake.operators.compare import has_duplicate_keys, keyed_difference_report, mismatch_report
 from feedlake.operators.setops import difference
@@ -34,10 +35,15 @@ def prepare_raw(raw_batch: DataFrame, mapping: Mapping[str, str] | None = None)
     return rename_columns(drop_batchdate(raw_batch), mapping)
 
 
-def align_source(source: DataFrame, raw: DataFrame) -> DataFrame:
+def align_source(source: DataFrame, raw: DataFrame, drop: str | Iterable[str] = ()) -> DataFrame:
     """EXCEPT compares by position: when the source has every raw column (a table or JSON source), put them in
-    raw's order by name, case-insensitively. Otherwise (delimited text read with raw's schema) keep it."""
+    raw's order by name, case-insensitively. Otherwise (delimited text read with raw's schema) keep it. A source column
+    that raw lacks must be in the drop list: it could not be compared."""
     by_lower = {c.lower(): c for c in source.columns}
+    dropped = {c.lower() for c in split_list(drop)} if isinstance(drop, str) else {c.lower() for c in drop}
+    extra = [c for c in source.columns if c.lower() not in {r.lower() for r in raw.columns} | dropped]
+    if extra:
+        raise ValueError(f"source columns that raw lacks and the drop list does not name: {extra}")
     if all(c.lower() in by_lower for c in raw.columns):
         return source.select(*[by_lower[c.lower()] for c in raw.columns])
     return source
@@ -63,10 +69,10 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str) -> dict:
     raw_all = spark.table(spec.raw_table)
     raw_batch = raw_all.where(raw_all[BATCH_COLUMN] == batch_date)
     raw = prepare_raw(raw_batch, spec.mapping)
-    source = align_source(scan_recon_source(spark, spec, raw.schema), raw)
+    source = align_source(scan_recon_source(spark, spec, raw.schema), raw, spec.drop_columns)
     if spec.keyed:
         r = drop_columns(raw, spec.drop_columns)
-        if spec.keyed_check and (has_duplicate_keys(r, spec.primary_key) or has_duplicate_keys(source, spec.primary_key)):
+        if has_duplicate_keys(r, spec.primary_key) or has_duplicate_keys(source, spec.primary_key):
             raise ValueError("keyed reconciliation needs keys unique in the raw batch and the source")
         labelled = materialize(
             keyed_difference_report(drop_columns(source, spec.drop_columns),
@@ -96,7 +102,8 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str) -> dict:
         if labelled is not None:
             report = labelled.select(*resolve_columns(labelled, spec.primary_key), "column_name")
         else:
-            report = mismatch_report(drop_columns(raw, spec.drop_columns), diff, spec.primary_key, spec.null_safe)
+            r = drop_columns(raw, spec.drop_columns)
+            report = mismatch_report(fill_empty_strings(r) if spec.fill_both else r, diff, spec.primary_key, spec.null_safe)
         write_info_csv(report, info_path)
         result["info_path"] = info_path
     return result

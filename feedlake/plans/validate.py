@@ -17,7 +17,7 @@ from feedlake.functions.columns import ddl_type, fill_empty_strings, try_cast
 from feedlake.operators.setops import difference
 from feedlake.sinks.files import write_diff_json
 from feedlake.sources.files import scan_delimited
-from feedlake.spec import split_list
+from feedlake.spec import split_list, REJECTED
 from feedlake.workspace import materialize
 
 CHECK_SCHEMA = "check string, column_name string, violations bigint"
@@ -66,7 +66,7 @@ def schema_checks(
     tnames = [f.name.lower() for f in fields]
     dnames = {c.lower(): c for c in df.columns}
     meta = [("missing_column", f.name, 1) for f in fields if f.name.lower() not in dnames]
-    meta += [("extra_column", c, 1) for c in df.columns if c.lower() not in tnames]
+    meta += [("extra_column", c, 1) for c in df.columns if c.lower() not in tnames and c != REJECTED]
     common_t = [n for n in tnames if n in dnames]
     common_d = [c.lower() for c in df.columns if c.lower() in tnames]
     meta += [("column_order", dnames[a], 1) for a, b in zip(common_t, common_d) if a != b]
@@ -84,8 +84,12 @@ def schema_checks(
             violations = F.count(F.when(bad, 1))
         checks.append(F.struct(F.lit("uncastable").alias("check"), F.lit(f.name).alias("column_name"),
                                violations.alias("violations")))
-    key_cols = [dnames[k.lower()] for k in split_list(keys) if k.lower() in dnames] if isinstance(keys, str) \
-        else [dnames[k.lower()] for k in keys if k.lower() in dnames]
+    if REJECTED in df.columns:
+        checks.append(F.struct(F.lit("rejected_line").alias("check"), F.lit(REJECTED).alias("column_name"),
+                               F.count(REJECTED).alias("violations")))
+    named = split_list(keys) if isinstance(keys, str) else list(keys)
+    meta += [("missing_column", k, 1) for k in named if k.lower() not in dnames and k.lower() not in tnames]
+    key_cols = [dnames[k.lower()] for k in named if k.lower() in dnames]
     for k in key_cols:
         checks.append(F.struct(F.lit("null_key").alias("check"), F.lit(k).alias("column_name"),
                                F.count(F.when(F.col(k).isNull(), 1)).alias("violations")))
@@ -139,7 +143,7 @@ def validate_landing(
               if f.name != "batchdate"]
     ok, report = validate_schema(table, target, keys)
     if not ok:
-        bad = report.where(F.col("violations") > 0).limit(20).collect()
+        bad = report.where(F.col("violations") > 0).collect()  # at most a few rows a column
         raise ValidationError(f"schema validation failed: {[tuple(r) for r in bad]}")
     result["schema_ok"] = True
     return result

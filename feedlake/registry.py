@@ -188,7 +188,7 @@ def q_table_columns(spark, sf):
 
 def q_overwrite_raw(spark, sf):
     raw = _history_table(spark, sf)  # two old batches; a full overwrite must remove both
-    overwrite_raw(fx.delta(spark, sf), raw, fx.DELTA_DATE)
+    overwrite_raw(fx.table(spark, sf, "orders"), raw, fx.DELTA_DATE)
     return spark.table(raw)
 
 
@@ -264,7 +264,7 @@ def q_stage_landing(spark, sf):
     landing = fx.write_landing(spark, sf)
     schema = fx.daily_events(spark, sf).schema
     staged = stage_landing(spark, landing, new_dir(spark, "pre_raw"), schema, fx.LANDING_SEP, "csv")
-    return staged.drop("source_file")
+    return staged.drop("source_file", "rejected_line")
 
 
 def q_record_audit(spark, sf):
@@ -287,11 +287,11 @@ def q_coalesce_output(spark, sf):
 
 
 def q_with_batchdate(spark, sf):
-    return with_batchdate(fx.delta(spark, sf), fx.DELTA_DATE)
+    return with_batchdate(fx.table(spark, sf, "orders"), fx.DELTA_DATE)
 
 
 def q_drop_batchdate(spark, sf):
-    return drop_batchdate(fx.history(spark, sf))
+    return drop_batchdate(fx.daily_events(spark, sf))
 
 
 def q_drop_columns(spark, sf):
@@ -433,7 +433,7 @@ def q_incremental_snapshot(spark, sf):
 
 
 def q_full_refresh(spark, sf):
-    return full_refresh(fx.delta(spark, sf), fx.DELTA_DATE)
+    return full_refresh(fx.table(spark, sf, "orders"), fx.DELTA_DATE)
 
 
 def q_history_snapshot(spark, sf):

@@ -6,11 +6,11 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from feedlake.functions.columns import check_batch_date
 from feedlake.sources.files import TEXT_OPTIONS, scan_delimited
-from feedlake.spec import BATCH_COLUMN
+from feedlake.spec import BATCH_COLUMN, REJECTED
 
 
 def write_diff_json(df: DataFrame, path: str) -> None:
@@ -62,20 +62,26 @@ def stage_landing(
     """SNK-9: stage landing files (plain or .gz, chosen by extension) into Parquet pre-raw files.
 
     Reads every selected file in parallel with the feed's schema, tags each row with its source file
-    name, and writes Parquet. Without batch_date the landing folders' batchdate=<d> directories supply it
-    (the schema must then contain batchdate), and staging writes one folder per batch.
+    name, and writes Parquet. A line that does not fit the schema (a value that does not parse, a field too many or
+    too few) keeps its whole text in `rejected_line`, which the schema gate counts; it is null for good lines.
+    Without batch_date the landing folders' batchdate=<d> directories supply it (the schema must then contain
+    batchdate) and one folder per batch is written; batches staged before are kept. With batch_date and a schema
+    that contains batchdate only that batch's rows are staged; without it every row is stamped with the date.
     """
     ext = data_extension.lstrip(".")
     opts = {"pathGlobFilter": f"*.{{{ext},{ext}.gz}}", **options}
-    df = scan_delimited(spark, landing_path, schema, sep, **opts).withColumn(
-        "source_file", F.col("_metadata.file_name")
-    )
+    opts = {"columnNameOfCorruptRecord": REJECTED, **opts}
+    df = scan_delimited(spark, landing_path, StructType(schema.fields + [StructField(REJECTED, StringType())]),
+                        sep, **opts).withColumn("source_file", F.col("_metadata.file_name"))
     out = staged_path.rstrip("/")
     if batch_date is not None:
+        if BATCH_COLUMN in schema.names:
+            df = df.where(F.col(BATCH_COLUMN).cast("string") == batch_date)
         df = df.drop(BATCH_COLUMN)
         df.write.mode("overwrite").parquet(f"{out}/{BATCH_COLUMN}={check_batch_date(batch_date)}")
     else:
-        df.write.mode("overwrite").partitionBy(BATCH_COLUMN).parquet(out)
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BATCH_COLUMN).parquet(out))
     staged = StructType([f for f in df.schema.fields if f.name != BATCH_COLUMN]).add(BATCH_COLUMN, "string")
     result = spark.read.schema(staged).parquet(out)
     return result if batch_date is None else result.where(F.col(BATCH_COLUMN) == batch_date)

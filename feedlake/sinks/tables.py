@@ -100,17 +100,22 @@ def coalesce_output(df: DataFrame, n: int | None) -> DataFrame:
     return df if n is None else df.coalesce(int(n))
 
 
+def spread_output(df: DataFrame, n: int | None) -> DataFrame:
+    """At most n output files a folder behind one more shuffle, so that the joins before it keep their tasks."""
+    return df if n is None else df.repartition(int(n))
+
+
 def overwrite_raw(df: DataFrame, table: str, batch_date: str | None = None, num_partitions: int | None = None) -> None:
     """SNK-1: replace the whole table; with batch_date the frame is stamped with it first (PRJ-1).
 
-    The reference purged the table's files, then overwrote; a static overwrite has the same result and
-    leaves the old image in place if the write fails.
+    The reference purged the table's files, then overwrote; a static overwrite has the same result: the old image is
+    gone once the job starts, and a failed job is made good by running the batch again.
     """
     from feedlake.functions.columns import with_batchdate
 
     spark = df.sparkSession
     out = with_batchdate(df, batch_date) if batch_date is not None else df
-    out = coalesce_output(align_to_table(out, spark, table), num_partitions)
+    out = spread_output(align_to_table(out, spark, table), num_partitions)
     with overwrite_mode(spark, "static"):
         out.write.insertInto(_check_ident(table), overwrite=True)
 
@@ -132,7 +137,7 @@ def overwrite_partition(df: DataFrame, table: str, batch_date: str, num_partitio
 
     spark = df.sparkSession
     out = with_batchdate(df.drop(BATCH_COLUMN), batch_date)
-    out = coalesce_output(align_to_table(out, spark, table), num_partitions)
+    out = spread_output(align_to_table(out, spark, table), num_partitions)
     with overwrite_mode(spark, "dynamic"):
         out.write.insertInto(_check_ident(table), overwrite=True)
 

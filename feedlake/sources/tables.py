@@ -33,7 +33,8 @@ def batch_partitions(spark: SparkSession, name: str) -> list[str] | None:
         listed = spark.sql(f"SHOW PARTITIONS {name}").collect()
     except AnalysisException:  # partitions not tracked by this catalog: callers use the scalar subquery
         return None
-    return sorted(r[0][len(prefix):] for r in listed)
+    # rows without a batch date lie in a partition of their own, which is no batch
+    return sorted(p for p in (r[0][len(prefix):] for r in listed) if p != "__HIVE_DEFAULT_PARTITION__")
 
 
 def latest_partition(spark: SparkSession, name: str, before: str | None = None) -> str | None:

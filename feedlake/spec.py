@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 DEFAULT_SNAPSHOT_DATE = "2001-01-31"  # partition used when the raw table is empty
 NEW_RECORD_LABEL = "new record"  # column_name of difference rows whose key is unknown to raw
 BATCH_COLUMN = "batchdate"  # string partition column, ISO yyyy-MM-dd
+# staged text lines that do not fit the feed's schema keep their text in this column
+REJECTED = "rejected_line"
 
 
 def split_list(value: str | list[str] | tuple[str, ...] | None) -> list[str]:

@@ -27,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
             # getCheckpointDir adds a per-application folder; its parent is the shared one
             base = current.rsplit("/", 1)[0]
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder: executors do not see this machine's own")
         base = tempfile.mkdtemp(prefix="feedlake-")
         sc.setCheckpointDir(base)
     elif not sc.getCheckpointDir():

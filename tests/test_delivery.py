@@ -1,14 +1,19 @@
 import pytest
 
 from feedlake import fixtures as fx
-from feedlake.plans import deliver_request, render_request_sql
+from feedlake.plans import deliver_request, render_request_sql, run_request_sql
 from feedlake.plans.delivery import resolve_zone
 from feedlake.spec import RequestSpec
 from feedlake.workspace import new_dir
 
 
-def test_render_flattens_and_substitutes():
-    assert render_request_sql("SELECT *\n\tFROM {athena_raw_db}.t\r", "db1") == "SELECT *  FROM db1.t "
+def test_render_substitutes_and_leaves_the_rest():
+    assert render_request_sql("SELECT *\n\tFROM {athena_raw_db}.t\r", "db1") == "SELECT *\n\tFROM db1.t\r"
+
+
+def test_a_comment_in_a_template_ends_with_its_line(spark):
+    df = run_request_sql(spark, "SELECT 1 AS a -- note\nUNION ALL SELECT 2 AS a", "db1")
+    assert sorted(r["a"] for r in df.collect()) == [1, 2]
     with pytest.raises(ValueError):
         render_request_sql("x", "db; DROP")
 
