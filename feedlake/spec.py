@@ -63,7 +63,6 @@ class ReconSpec:
     # keys unique on both sides (schema gate): difference and report from one keyed join instead of a
     # whole-row EXCEPT plus a profile join
     keyed: bool = False
-    keyed_check: bool = True  # in keyed mode, verify key uniqueness first (one key-only aggregate per side)
 
     @classmethod
     def from_options(cls, options: Mapping[str, str], raw_table: str, output_path: str,
