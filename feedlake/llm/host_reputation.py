@@ -3,8 +3,8 @@
 Labelled page outcomes (bad or not) are summed by host. Beta-binomial priors run down from all pages to the public suffix, to
 the registered domain, to the host: each level's prior mean is its parent's posterior mean, and its strength is estimated by the
 method of moments from how far the rates at that level scatter around their parents beyond sampling. A host is blocked when the
-lower bound (mean - z sd) of its posterior bad rate is over `max_bad`; hosts without labels rest on their domain's mean and
-are wide, so only evidence blocks. Hand rules (host and path, longest first) come before the method.
+lower bound (mean - z sd) of its posterior bad rate is over `max_bad` and its registered domain has a labelled page; a host
+without labels rests on its domain's mean. Hand rules (host and path, longest first) come before the method.
 """
 
 from __future__ import annotations
@@ -72,7 +72,8 @@ def _strength(children: DataFrame, parent: str) -> float:
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """(host, bad: 1, 0 or null for unlabelled) page rows -> host, n, bad, rate and low (posterior mean and lower bound).
+    """(host, bad: 1, 0 or null for unlabelled) page rows -> host, n, bad, rate and low (posterior mean and lower bound),
+    domain_n (labelled pages of its registered domain).
 
     Sums combine map-side, so a host with a third of all pages costs a row a task; every later step has a row a host.
     """
@@ -87,11 +88,11 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     s = [_strength(suffixes.withColumn("top", F.lit(1)), "top"), _strength(domains, "suffix"), _strength(hosts, "domain")]
     post = lambda prior, strength: (F.col("bad") + prior * strength) / (F.col("n") + strength)
     up = suffixes.select("suffix", post(F.lit(mean), s[0]).alias("up"))
-    up = domains.join(up, "suffix").select("domain", post(F.col("up"), s[1]).alias("up"))
+    up = domains.join(up, "suffix").select("domain", F.col("n").alias("domain_n"), post(F.col("up"), s[1]).alias("up"))
     a = F.col("bad") + F.col("up") * s[2]
     b = F.col("n") - F.col("bad") + (1 - F.col("up")) * s[2]
-    rated = hosts.join(up, "domain").select("host", "n", "bad", (a / (a + b)).alias("rate"), F.sqrt(a * b / (a + b + 1)).alias("sd"), (a + b).alias("w"))
-    return rated.select("host", "n", "bad", "rate", (F.col("rate") - Z * F.col("sd") / F.col("w")).alias("low"))
+    rated = hosts.join(up, "domain").select("host", "n", "bad", "domain_n", (a / (a + b)).alias("rate"), F.sqrt(a * b / (a + b + 1)).alias("sd"), (a + b).alias("w"))
+    return rated.select("host", "n", "bad", "domain_n", "rate", (F.col("rate") - Z * F.col("sd") / F.col("w")).alias("low"))
 
 
 def url_filter(
@@ -105,7 +106,7 @@ def url_filter(
     """
     host, path = url_parts(F.col(quoted(url)))
     seen = outcomes.select(url_parts(F.col("url"))[0].alias("host"), F.col("bad").cast("bigint").alias("bad"))
-    rated = materialize(host_reputation(seen).select("host", "rate", (F.col("low") > max_bad).alias("blocked")), "reputation")
+    rated = materialize(host_reputation(seen).select("host", "rate", ((F.col("low") > max_bad) & (F.col("domain_n") > 0)).alias("blocked")), "reputation")
     rows = pages.select(F.col(quoted(id_col)).alias("page_id"), host.alias("host"), path.alias("path"))
     rule, word = hand_rule(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow"))

@@ -1,0 +1,397 @@
+"""Each operator's query against brute force, on rows with nulls, empty and long texts, ties, repeats and clashing columns."""
+
+import base64
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from feedlake.llm import bpe_codec, host_reputation, host_rules, jaccard_forest, license_rules, phrase_index, simple8b, skip_chain, token_counts
+from feedlake.llm.layout_text import extract_text, page_text
+from feedlake.llm.queries import QUERIES, URL_RULES
+from feedlake.workspace import new_dir
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, ids string, node bigint, bucket string, `a.b` int"
+BPE, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
+lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
+words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t or ""))
+
+PROSE = "The quick brown fox jumps over the lazy dog near the river bank while seven grey geese fly south again today"
+LONG = " ".join(f"w{k % 977}é" for k in range(30_000))
+TEXTS = [
+    None,
+    "",
+    " \t\n ",
+    PROSE,
+    PROSE,
+    PROSE.replace("seven", "eight"),
+    "one two three",
+    LONG,
+    "x" * 200_000,
+    "<|endoftext|>a  <|endoftext|>\n\n b'll \u00a0 日本語 " + "1234567890" * 5,
+    "mail a.b+c@x-1.example.org, +1 (202) 555-0147 or 10.0.0.256 and 10.0.0.25. 4111 1111 1111 1111; 4111 1111 1111 1112",
+    "Under the MIT License. under the mit license; Licensed under CC BY-NC 4.0, Apache License Version 2, GPL v3 license",
+    "a b c d e f\na b c d e f\n#$ %\n\n \n#$ %",
+    "go " * 50,
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(k, t) for k, t in enumerate(TEXTS)] + [(3, PROSE), (None, PROSE), (None, None)]
+    return spark.createDataFrame([(k, t, "en", f"s{(k or 0) % 3}", 7, "i", 1, "b", 1) for k, t in rows], SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def by_row(df, key="doc_id"):
+    return sorted(df.collect(), key=lambda r: (r[key] is None, r[key] or 0))
+
+
+def test_token_counts(spark, docs, empty):
+    tok = Tokenizer.from_file(BPE)
+    got = token_counts.count_tokens(docs, BPE, 1024).join(docs.select("doc_id", "text").distinct(), "doc_id").collect()
+    assert len(got) == len(TEXTS) + 1
+    for r in got:
+        n = len(tok.encode(r.text or "", add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len((r.text or "").encode()), n, n > 1024)
+    assert token_counts.count_tokens(docs, BPE, 1024).count() == docs.count()
+    assert token_counts.count_tokens(empty, BPE, 1024).count() == 0
+
+
+def test_bpe_codec_and_counts_on_random_texts():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    ref = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe_codec.Codec(open(RANKS, "rb").read())
+    counter, tok = token_counts.MergeCounter(open(BPE, "rb").read()), Tokenizer.from_file(BPE)
+    r = random.Random(5)
+    parts = [" ", "  ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "a", "foo", "'s", "<|endoftext|>", "12", "é", "日本", "!?", "x" * 300, "ab" * 40]
+    for _ in range(4000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(0, 12)))
+        ids = codec.encode(t)
+        assert ids == ref.encode_ordinary(t) and codec.decode(ids) == t.encode()
+        assert counter.count(t) == len(tok.encode(t, add_special_tokens=False).ids)
+
+
+def test_bpe_codec_rows(spark, docs, empty):
+    coded = bpe_codec.encode_texts(docs, RANKS, decoded=True)
+    for r in coded.join(docs.select("doc_id", "text").distinct(), "doc_id").collect():
+        assert bytes(r.decoded) == (r.text or "").encode()
+    back = bpe_codec.decode_ids(coded.select("doc_id", "ids"), RANKS)
+    assert sorted(bytes(r.decoded) for r in back.collect()) == sorted((t or "").encode() for t in [*TEXTS, PROSE, PROSE, None])
+    assert bpe_codec.encode_texts(empty, RANKS).count() == 0
+
+
+def test_simple8b_round_trip():
+    r = np.random.default_rng(1)
+    for n in (0, 1, 59, 60, 61, 4096, 4097, 9000):
+        for top in (2, 3, 40, 1 << 15, 50257, 1 << 31, 1 << 62):
+            ids = r.integers(0, top, n, dtype=np.uint64)
+            if n > 100:
+                ids[r.integers(0, n, 4)] = np.uint64((1 << 64) - 1)  # escapes
+            packed, offsets = simple8b.pack(ids)
+            assert (simple8b.unpack(packed) == ids).all()
+            for k, (a, b) in enumerate(zip(offsets, [*offsets[1:], len(packed)])):
+                assert (simple8b.unpack(packed[a:b]) == ids[k * simple8b.SUB_BLOCK : (k + 1) * simple8b.SUB_BLOCK]).all()
+
+
+def test_simple8b_files(spark, docs, empty):
+    tok = Tokenizer.from_file(BPE)
+    path = simple8b.write_ids(docs, new_dir(spark, "ids"), BPE)
+    got = sorted(simple8b.read_ids(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got][:2] == [None, None] and [r.doc_id for r in got][2:] == sorted([*range(len(TEXTS)), 3])
+    start = 0
+    for r in got:
+        assert r.start == start and r.n_tokens == len(r.ids)
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        if r.doc_id is not None:
+            assert r.ids == [*tok.encode(TEXTS[r.doc_id] or "", add_special_tokens=False).ids, 0]
+        start += r.n_tokens
+    none = simple8b.write_ids(empty, new_dir(spark, "ids"), BPE)
+    assert simple8b.read_ids(spark, none).count() == 0
+
+
+def variants(n, seed=3):
+    """Families of near copies of different tightness, one large, and strangers."""
+    r = random.Random(seed)
+    out = []
+    for family in range(6):
+        base = [f"f{family}x{r.randint(0, 400)}" for _ in range(60)]
+        for _ in range(40 if family else n):
+            w = list(base)
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(60)] = f"n{r.randint(0, 10**6)}"
+            out.append(" ".join(w))
+    out += [" ".join(f"q{r.randint(0, 10**6)}" for _ in range(30)) for _ in range(100)]
+    return out + out[:30]
+
+
+def test_jaccard_join(spark):
+    texts = [*variants(150), None, "", "  ", "a b c", "A b, c", "a b"]
+    df = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id bigint, text string, node string").repartition(4)
+    join = jaccard_forest.jaccard_join(df)
+    got = {r.doc_id: r for r in join.documents.collect()}
+    sets = [frozenset(jaccard_forest.shingle_set(t)) for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    true = set()
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                if sets[i] != sets[j]:
+                    true.add(frozenset((sets[i], sets[j])))
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    assert [got[k].class_id for k in range(len(texts))] == [find(k) for k in range(len(texts))]
+    for k, r in got.items():
+        assert r.copy_of == (sets.index(sets[k]) if sets[k] else k)
+        assert r.representative == (r.doc_id == r.class_id)
+    degree = collections.Counter()
+    for r in join.links.collect():
+        assert frozenset((sets[r.doc_a], sets[r.doc_b])) in true and r.similarity >= 0.8
+        degree.update([r.doc_a, r.doc_b])
+    assert all(r.n_links == degree[r.copy_of] for r in got.values())
+
+
+def test_jaccard_join_edges(spark, docs, empty):
+    got = by_row(jaccard_forest.jaccard_join(docs).documents)
+    assert len(got) == docs.count()
+    assert {r.class_id for r in got if r.doc_id in (3, 4, 5)} == {3, 5} or {r.class_id for r in got if r.doc_id in (3, 4, 5)} == {3}
+    assert [r.class_id for r in got if r.doc_id is None].count(3) == 1
+    assert jaccard_forest.jaccard_join(empty).documents.count() == 0
+    assert 1 - (1 - 0.8 ** jaccard_forest.prefix_depth(0.8, 0.999)) ** jaccard_forest.TREES >= 0.999
+
+
+def test_decontamination(spark, docs, empty):
+    passage = " ".join(PROSE.split()[2:14])
+    items = spark.createDataFrame([(10, passage), (2, "ONE, two!"), (2, "ONE, two!"), (7, None), (8, "--"), (9, LONG[:400]), (None, "go go go")], "item_id bigint, text string")
+    got = phrase_index.contamination(docs, items)
+    got = got.select("*", *phrase_index.item_digest(got)).collect()
+    assert len(got) == docs.count()
+    windows = collections.defaultdict(set)
+    for r in items.collect():
+        w = words(r.text)
+        for k in range(max(1, len(w) - 9)) if w else []:
+            windows[tuple(w[k : k + 10])].add("null" if r.item_id is None else str(r.item_id))
+    sizes = {len(x) for x in windows}
+    for r in got:
+        t = TEXTS[r.doc_id] if r.doc_id is not None else (PROSE if r.n_words else None)
+        w = words(t)
+        hit, found = [0] * len(w), set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                of = windows.get(tuple(w[k : k + n]))
+                if of:
+                    found |= of
+                    hit[k : k + n] = [1] * n
+        assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (len(w), sum(hit), len(found), any(hit))
+        assert r.items_sha256 == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+    assert phrase_index.contamination(empty, items).count() == 0
+    assert phrase_index.contamination(docs, items.limit(0)).where("n_hit > 0").count() == 0
+    near = phrase_index.contamination(docs, spark.createDataFrame([(1, "geese quick river")], "item_id bigint, text string"), slop=15)
+    assert {r.doc_id for r in near.where("n_hit > 0").collect()} == {3, 4, 5, None}
+
+
+def base_reference(t):
+    out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    out += [(2, *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 13 <= len(digits(m)) <= 19 and skip_chain.luhn(digits(m))]
+    return out + [(3, *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= len(digits(m)) <= 15]
+
+
+def test_personal_data_base_patterns():
+    r = random.Random(3)
+    for _ in range(20_000):
+        t = "".join(r.choice("a@@..--+ 0123456789()%é\n") for _ in range(r.randint(0, 60)))
+        assert skip_chain.base_spans(t) == base_reference(t)
+    assert skip_chain.base_spans("1" * 100_000) == []
+
+
+def test_personal_data_rows(spark, docs, empty):
+    got = skip_chain.personal_data(docs, redacted="text")
+    for r in got.collect():
+        if r.doc_id is not None:
+            base = [(skip_chain.KINDS.index(s.kind), s.start, s.end) for s in r.spans if s.base]
+            assert base == base_reference(TEXTS[r.doc_id] or "")
+            assert r.text == TEXTS[r.doc_id] or r.spans
+    assert "[EMAIL], [PHONE] or 10.0.0.256 and [IP]. [CARD]" in got.where("doc_id = 10").first().text
+    assert skip_chain.personal_data(empty).count() == 0
+
+
+def test_skip_factors_carry_a_label_to_a_distant_copy():
+    """Where repeated forms agree in the corpus, an unseen copy of a phone number gets its label, and a stranger does not."""
+    counts = {("u", "0000030 0"): 50, ("u", "0000030 4"): 50, ("u", "0100030 4"): 100, ("s", "4 4"): 200, ("s", "0 0"): 200}
+    field = skip_chain.fit(counts)
+    text = "call +12025550147 now " + "word " * 300 + "or 12025550147 or 99925550147"
+    added = [s for s in skip_chain.all_spans(field, text, sure=0.8) if not s[3]]
+    assert [text[a:b] for _, a, b, _ in added] == ["12025550147"] and added[0][0] == 3
+
+
+def test_license_scan(spark, docs, empty):
+    got = license_rules.license_scan(docs)
+    phrases = {tuple(p.split()): label for p, label in license_rules.PHRASES.items()}
+    rows = got.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        t = TEXTS[r.doc_id] if r.doc_id is not None else (PROSE if r.n_words else None)
+        w = words(t)
+        at = [(k, label) for p, label in phrases.items() for k in range(len(w)) if tuple(w[k : k + len(p)]) == p]
+        places = [k for k, _ in at]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(w), len(at), min(places, default=None), max(places, default=None))
+        assert r.base_labels == sorted({label for _, label in at}) and set(r.base_labels) <= set(r.labels) and 0 <= r.score <= 1
+    assert got.where("doc_id = 11").first().labels == ["apache-2", "cc-by-nc", "gpl-3", "mit"]
+    assert license_rules.license_scan(empty).count() == 0
+
+
+def test_license_suppression(spark):
+    """A detection inside one of a better or equal tier goes; one that only overlaps stays."""
+    texts = ["licensed under the GNU General Public License v3 license", "x SPDX-License-Identifier: GPL-2.0 only y", "cc by nc cc by nc", "no licence"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = by_row(license_rules.license_scan(df))
+    assert [r.labels for r in got] == [["gpl-3"], ["gpl-2"], ["cc-by-nc"], []]
+    assert [r.score for r in got] == [0.95, 1.0, 1.0, 0.0] and got[2].n_base == 2 and got[2].last_word == 3
+
+
+def test_quality_rules(spark, docs, empty):
+    for r in host_rules.quality_rules(docs).collect():
+        t = (TEXTS[r.doc_id] if r.doc_id is not None else (PROSE if r.n_words else None)) or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        count = collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        mark = [0] * len(w)
+        for k in range(len(w) - 4):
+            if count[tuple(w[k : k + 5])] > 1:
+                mark[k : k + 5] = [1] * 5
+        seen, dup = set(), 0
+        for line in t.split("\n"):
+            if re.search(r"[^\x20\x09-\x0D]", line):
+                dup += line in seen
+                seen.add(line)
+        failed = len(w) < 10 or 100 * sum(mark) > 20 * len(w)
+        assert (r.n_words, r.word_chars, r.n_symbols) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)))
+        assert (r.n_dup_lines, r.n_repeat_words, r.base_failed) == (dup, sum(mark), failed)
+        assert not (r.kept and r.base_failed)
+    assert host_rules.quality_rules(empty).count() == 0
+
+
+def test_a_host_of_failures_takes_its_good_pages_with_it(spark):
+    rows = [(k, PROSE if k % 20 == 0 else "bad", "junk") for k in range(200)] + [(1000 + k, PROSE, f"s{k % 9}") for k in range(900)]
+    rows += [(5000, PROSE, None), (5001, "bad", "one")]
+    got = host_rules.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    assert not got.where("doc_id < 1000").where("kept").count()
+    assert got.where("doc_id between 1000 and 5000").where("kept").count() == 901
+
+
+def url_reference(u):
+    if not u or "://" not in u:
+        return "", ""
+    rest = u.split("://", 1)[1]
+    raw = re.match(r"[^/?#]*", rest)[0]
+    return lower(raw), re.match(r"[^?#]*", rest[len(raw) :])[0]
+
+
+def test_url_filter(spark):
+    good = [f"http://a.good.org/{k}" for k in range(60)]
+    bad = [f"http://x.bad.org/{k}" for k in range(60)] + [f"http://y.bad.org/{k}" for k in range(60)]
+    odd = [None, "", "no url", "http://", "HTTP://WWW.Example.com/en/x?y#z", "https://example.com/en/", "http://example.com", "s://net/es/a"]
+    odd += ["s://a.net/fr/", "s://a.net/frx", "s://m.example.com/en/1#t/", "x://a?b/c://d", "s://z.bad.org/1", "s://new.org/1", "s://É.com/\n?"]
+    urls = [*good, *bad, *odd, odd[4]]
+    pages = spark.createDataFrame([(k, u, "h", "v") for k, u in enumerate(urls)], "page_id bigint, url string, host string, verdict string")
+    seen = spark.createDataFrame([(u, 0) for u in good] + [(u, 1) for u in bad] + [(None, None)], "url string, bad int")
+    got = by_row(host_reputation.url_filter(pages, seen, URL_RULES), "page_id")
+    assert len(got) == len(urls)
+    for r, u in zip(got, urls):
+        host, path = url_reference(u)
+        fit = [(len(s), s, v) for v, s in URL_RULES for h, _, p in [s.partition("/")] if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+        assert (r.host, r.path, r.rule) == (host, path, max(fit)[1] if fit else None)
+        assert r.verdict == (max(fit)[2] if fit else "block" if host in ("x.bad.org", "y.bad.org") else "allow")
+    assert host_reputation.url_filter(pages.limit(0), seen, URL_RULES).count() == 0
+    assert {r.verdict for r in host_reputation.url_filter(pages, seen.limit(0)).collect()} == {"allow"}
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("", ""),
+        ("plain &amp; &lt;b&gt;", "plain & <b>"),
+        ("<p>a<p>b<br>c", "a\n\nb\nc"),
+        ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>e", "- a\n- b\n  - c\n- d\n\ne"),
+        ("<ol start=9><li>a<li>b</ol>", "9. a\n10. b"),
+        ("<table><tr><th>K<th>Value<tr><td>long<td>1</table>", "K     Value\nlong  1"),
+        ("<div hidden>x</div><p style='display: none'>y</p><i aria-hidden=true>z</i>w<script>if(a<b)</script>", "w"),
+        ("<pre>a\n  b</pre>", "a\n  b"),
+        ("<b>un<i>closed</b> 1 < 2 <unfinished", "unclosed 1 < 2"),
+        ("a<!-- b --> c<!doctype html><title>t</title>", "a c"),
+        ("<td>loose</td></p></div>", "loose"),
+    ],
+)
+def test_page_text(html, text):
+    assert page_text(html) == text
+
+
+def test_extract_text_rows(spark):
+    pages = spark.createDataFrame([(1, None, "t"), (2, "", "t"), (3, "<div>" * 50_000 + "deep", "t"), (3, "<p>x", "t")], "page_id bigint, html string, text string")
+    assert sorted(map(tuple, extract_text(pages).collect()), key=repr) == [(1, None), (2, ""), (3, "deep"), (3, "x")]
+    assert extract_text(pages.limit(0)).count() == 0
+
+
+def test_native_queries_run_no_python(spark, sf):
+    for name in ("op1_host_reputation", "op8_license_rules"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().toString()
+        assert not re.search("Python|Pandas|Arrow", plan.replace("ArrowColumnar", "")), name
+
+
+def test_pipeline_stage_by_stage(spark, sf):
+    """Each stage against a plain version on its own input."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    frames = [docs.toPandas()]
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        path = new_dir(spark, "stage")
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        frames.append(docs.toPandas())
+    start, good, single, clean, private, coded = frames
+    assert all(list(f.columns) == list(start.columns) for f in frames[1:5])
+    kept = [i for i, t in zip(start.doc_id, start.text) if not (lambda m: m[0] < 10 or 100 * m[4] > 20 * m[0])(host_rules.measure(t))]
+    assert sorted(good.doc_id) == sorted(kept)
+    sets = {i: jaccard_forest.shingle_set(t) for i, t in zip(good.doc_id, good.text)}
+    left = dict.fromkeys(single.doc_id)
+    for i in sorted(sets):
+        near = [j for j in sets if j < i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+        assert (i in left) == (not near), i
+    items = [words(t) for t in spark.read.parquet(f"{sf}/benchmark.parquet").toPandas().text]
+    windows = {tuple(w[k : k + 10]) for w in items for k in range(max(1, len(w) - 9))}
+    sizes = {len(x) for x in windows}
+    dirty = lambda w: any(tuple(w[k : k + n]) in windows for n in sizes for k in range(len(w) - n + 1))
+    assert sorted(clean.doc_id) == sorted(i for i, t in zip(single.doc_id, single.text) if not dirty(words(t)))
+    assert sorted(private.doc_id) == sorted(clean.doc_id)
+    assert not any(skip_chain.base_spans(t) for t in private.text)
+    codec = bpe_codec.Codec(open(RANKS, "rb").read())
+    texts = dict(zip(private.doc_id, private.text))
+    assert all(codec.decode(list(ids)).decode() == texts[i] for i, ids in zip(coded.doc_id, coded.ids)) and len(coded) == len(private)
+
+
+def test_queries_return_whole_tables(spark, sf):
+    n = spark.read.parquet(f"{sf}/documents.parquet").count()
+    for name in ("op2_token_counts", "op3_simple8b_ids", "op4_jaccard_forest", "op5_bpe_codec", "op6_decontamination", "op7_skip_chain_pii", "op8_license_rules", "op9_quality_rules"):
+        got = QUERIES[name](spark, sf)
+        assert got.agg(F.count_distinct("doc_id"), F.count(F.lit(1))).first()[:] == (n, n), name
