@@ -1,4 +1,4 @@
-"""Connected components of a link table, by spreading minimum labels with shortcuts."""
+"""Connected components of a link table, by hooking nodes to their least neighbour and contracting the links."""
 
 from __future__ import annotations
 
@@ -11,23 +11,27 @@ from feedlake.workspace import materialize
 def components(links: DataFrame) -> DataFrame:
     """(a, b) links -> (node, label): the least node of each node's component. Nodes without links are not listed.
 
-    Each round takes the least label of a node's neighbours, then the label of that label, so rounds follow the logarithm of
-    the longest path. Tables are written between rounds: a hub's rows are read from files, split by Spark if hot, and summed
-    map-side. Only the count of changed labels reaches the driver.
+    Each round hooks a node to the least of itself and its neighbours, takes that node's own hook, and rewrites the links to
+    the hooks: links within one label go and repeated ones fall together, so the rounds shrink fast and their number follows
+    the logarithm of the longest path. Tables are written between rounds: a hub's rows are read from files, split by
+    Spark if hot, and summed map-side. Only whether links are left reaches the driver.
     """
-    edges = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = materialize(edges, "cc-edges")
-    labels = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label"))
-    labels = materialize(labels, "cc-labels")
+    edges = materialize(links.select("a", "b").where("a <> b"), "cc-edges")
+    labels = None
     while True:
-        near = edges.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        least = labels.join(near, F.col("node") == F.col("a")).select(
-            "node", F.col("label").alias("was"), F.least("label", "near").alias("label")
-        )
-        least = materialize(least, "cc-least")
-        to = least.select(F.col("node").alias("of"), F.col("label").alias("next"))
-        hop = least.join(to, F.col("label") == F.col("of")).select("node", "was", F.col("next").alias("label"))
-        hop = materialize(hop, "cc-labels")
-        labels = hop.select("node", "label")
-        if not hop.where("label <> was").limit(1).count():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hook = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("up"))
+        hook = materialize(hook, "cc-hooks")
+        top = hook.select(F.col("node").alias("of"), F.col("up").alias("top"))
+        hook = materialize(hook.join(top, F.col("up") == F.col("of")).select("node", F.col("top").alias("up")), "cc-hooks")
+        if labels is None:
+            labels = hook.select("node", F.col("up").alias("label"))
+        else:
+            moved = labels.join(hook.select(F.col("node").alias("of"), "up"), F.col("label") == F.col("of"), "left")
+            labels = materialize(moved.select("node", F.coalesce("up", "label").alias("label")), "cc-labels")
+        left, right = hook.select(F.col("node").alias("a"), F.col("up").alias("x")), hook.select(F.col("node").alias("b"), F.col("up").alias("y"))
+        edges = edges.join(left, "a").join(right, "b").where("x <> y")
+        edges = edges.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        edges = materialize(edges, "cc-edges")
+        if not edges.limit(1).count():
             return labels
