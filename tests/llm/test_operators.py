@@ -395,3 +395,27 @@ def test_queries_return_whole_tables(spark, sf):
     for name in ("op2_token_counts", "op3_simple8b_ids", "op4_jaccard_forest", "op5_bpe_codec", "op6_decontamination", "op7_skip_chain_pii", "op8_license_rules", "op9_quality_rules"):
         got = QUERIES[name](spark, sf)
         assert got.agg(F.count_distinct("doc_id"), F.count(F.lit(1))).first()[:] == (n, n), name
+
+
+def test_components_of_paths_stars_and_random_links(spark):
+    from feedlake.llm.components import components
+
+    r = random.Random(1)
+    shift = lambda links, by: [(a + by, b + by) for a, b in links]
+    links = [(i, i + 1) for i in range(60)] + shift([(0, i) for i in range(1, 40)], 1000)
+    links += shift([(r.randint(0, 300), r.randint(0, 300)) for _ in range(150)], 5000)
+    links = [(min(x), max(x)) for x in links]
+    parent: dict = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    got = {x.node: x.label for x in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {x: find(x) for x in parent}
