@@ -12,8 +12,10 @@ run alone; a word never crosses a run). A file's own start is the sum of `n_ids`
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.pretokens import chunks
+from feedlake.llm.pretokens import chunks, pretokens
 from feedlake.llm.rows import SLICE_ROWS, BoundedCache, map_arrow, quoted
 
 #: Ids in a word and bits of each, for selectors 2 to 15.
@@ -33,6 +35,14 @@ _ESCAPE = np.uint64(1) << np.uint64(60)
 _LOW32 = np.uint64(0xFFFFFFFF)
 _S60 = np.uint64(60)
 
+#: The characters that byte-level vocabularies write for bytes: visible Latin-1 as it is, the others from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+BYTE_CHARACTERS = {b: 256 + k for k, b in enumerate(_HIDDEN)}
+#: Characters that every version of the Unicode tables since 5.0 puts in the same class: Latin, Cyrillic, kana, Han, Hangul.
+_plain = re.compile(
+    r"[\t-\r!-~\u00a1-\u00ac\u00ae-\u024f\u0400-\u0481\u048a-\u04ff\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]+"
+).fullmatch
+
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, list[int]]:
     """uint64 words and the word offset of each sub-block."""
@@ -40,20 +50,19 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, list[int]]:
     n = len(ids)
     if n == 0:
         return np.zeros(0, np.uint64), []
-    at = np.arange(n)
-    run_end = np.minimum((at // SUB_BLOCK + 1) * SUB_BLOCK, n)  # a word stays in its sub-block
     step = np.ones(n, np.int64)
     select = np.full(n, 15, np.int64)
-    escape = ids >= _ESCAPE
-    select[escape] = 1
+    select[ids >= _ESCAPE] = 1
     for s in range(12, -1, -1):  # widest first; narrower words that fit replace them
         wide = np.flatnonzero(ids >= (np.uint64(1) << np.uint64(WIDTHS[s])))
-        if len(wide) == n:
-            break  # no id fits this width, so none fits a narrower one
-        stop = np.append(wide, n)[np.searchsorted(wide, at)]  # the next id that is too wide
-        fits = np.minimum(stop, run_end) - at >= COUNTS[s]
-        select[fits] = s + 2
-        step[fits] = COUNTS[s]
+        first, room = np.append(0, wide + 1), np.append(wide, n)
+        room -= first + (COUNTS[s] - 1)  # starts of a full word between two ids that are too wide
+        first, room = first[room > 0], room[room > 0]
+        if not len(first):
+            break  # no word of this width, so none of a narrower one, which holds more ids
+        at = np.repeat(first - np.cumsum(room) + room, room) + np.arange(room.sum())
+        at = at[at % SUB_BLOCK <= SUB_BLOCK - COUNTS[s]]  # a word stays in its sub-block
+        select[at], step[at] = s + 2, COUNTS[s]
     starts, i, steps = [], 0, step.tolist()
     while i < n:
         starts.append(i)
@@ -98,29 +107,54 @@ def unpack(words: np.ndarray) -> np.ndarray:
 
 
 class LibraryIds:
-    """Ids of whole texts from the tokenizers library; pieces between spaces are asked for once and kept a while."""
+    """Ids of whole texts from the tokenizers library.
+
+    A byte-level tokenizer without normalizer or post-processor gets a text in pieces between spaces, each asked for once
+    and kept a while: pieces of plain characters go match by match to the library's model, others to its encode. Texts with white-space
+    runs or an added token's string, and all texts of other tokenizers, are encoded whole.
+    """
 
     def __init__(self, vocabulary: bytes):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
-        self.after_space = BoundedCache(lambda piece: self.whole(" " + piece))
-
-    def whole(self, text: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [chunks(t) if t else [] for t in texts]
-        out = []
-        for text, pieces in zip(texts, cut):
-            if pieces is None:
-                ids = self.whole(text)
-            elif pieces:
-                ids = chain(self.whole(pieces[0]), chain.from_iterable(map(self.after_space.__getitem__, pieces[1:])))
-            else:
-                ids = ()
-            out.append(np.fromiter(ids, np.uint32))
-        return out
+        self.model = self.tokenizer.model
+        spec = json.loads(vocabulary)
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        cut = spec.get("pre_tokenizer") or {}
+        self.apart = (
+            cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+            and not spec.get("normalizer") and not spec.get("post_processor") and not spec.get("truncation")
+            and not spec.get("padding")
+        )
+        self.matches = BoundedCache(self.of_match, limit=300_000)
+        self.after_space = BoundedCache(self.of_piece, limit=300_000)
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def of_match(self, match: str) -> bytes:
+        if match.isascii():
+            match = match.translate(BYTE_CHARACTERS)
+        else:
+            match = match.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        return array("I", [t.id for t in self.model.tokenize(match)]).tobytes()
+
+    def of_piece(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha():
+            return self.of_match(" " + piece)
+        if _plain(piece):
+            return b"".join(map(self.matches.__getitem__, pretokens(" " + piece)))
+        return self.whole(" " + piece)
+
+    def ids(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.uint32)
+        pieces = chunks(text) if self.apart and not any(t in text for t in self.added) else None
+        if pieces is None:
+            return np.frombuffer(self.whole(text), np.uint32)
+        rest = b"".join(map(self.after_space.__getitem__, pieces[1:]))
+        return np.frombuffer(self.whole(pieces[0]) + rest, np.uint32)
 
 
 _libraries: dict[int, LibraryIds] = {}
@@ -167,7 +201,7 @@ def write_ids(
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
-                for name, ids in zip(part.column(0).to_pylist(), library.batch(part.column(1).to_pylist())):
+                for name, ids in zip(part.column(0).to_pylist(), map(library.ids, part.column(1).to_pylist())):
                     held.append(np.append(ids, np.uint32(end_id)))
                     names.append(name)
                     size += len(held[-1])

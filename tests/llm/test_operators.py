@@ -106,6 +106,22 @@ def test_simple8b_round_trip():
                 assert (simple8b.unpack(packed[a:b]) == ids[k * simple8b.SUB_BLOCK : (k + 1) * simple8b.SUB_BLOCK]).all()
 
 
+def test_library_ids_by_piece_equal_whole_texts():
+    vocabulary = open(BPE, "rb").read()
+    library, tok = simple8b.LibraryIds(vocabulary), Tokenizer.from_str(vocabulary.decode())
+    assert library.apart
+    r = random.Random(9)
+    parts = [" ", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x00", "\x7f", "\u00a0", "\u2003", "\u0085", "\u200b", "a", "B", "'s", "'ll",
+             "<|endoftext|>", "<|endof", "1", "23", ".", "!?", "~", "é", "ñ", "\u00aa", "\u00b2", "\u00bd", "Я", "\u0482", "日本", "ア", "한", "𝔘", "٣"]
+    for _ in range(8000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(0, 12)))
+        assert library.ids(t).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    other = open(P.path("word_bpe_49k.json"), "rb").read()
+    library, tok = simple8b.LibraryIds(other), Tokenizer.from_str(other.decode())
+    assert not library.apart
+    assert library.ids("Some  words, HERE").tolist() == tok.encode("Some  words, HERE", add_special_tokens=False).ids
+
+
 def test_simple8b_files(spark, docs, empty):
     tok = Tokenizer.from_file(BPE)
     path = simple8b.write_ids(docs, new_dir(spark, "ids"), BPE)
