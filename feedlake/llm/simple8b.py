@@ -16,6 +16,7 @@ import json
 import re
 import zlib
 from array import array
+from codecs import charmap_decode
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ _S60 = np.uint64(60)
 
 #: The characters that byte-level vocabularies write for bytes: visible Latin-1 as it is, the others from 256 on.
 _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
-BYTE_CHARACTERS = {b: 256 + k for k, b in enumerate(_HIDDEN)}
+BYTE_CHARACTERS = "".join(chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256))
 #: Characters that every version of the Unicode tables since 5.0 puts in the same class: Latin, Cyrillic, kana, Han, Hangul.
 _plain = re.compile(
     r"[\t-\r!-~\u00a1-\u00ac\u00ae-\u024f\u0400-\u0481\u048a-\u04ff\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]+"
@@ -127,23 +128,22 @@ class LibraryIds:
             and not spec.get("normalizer") and not spec.get("post_processor") and not spec.get("truncation")
             and not spec.get("padding")
         )
-        self.matches = BoundedCache(self.of_match, limit=300_000)
-        self.after_space = BoundedCache(self.of_piece, limit=300_000)
+        self.matches = BoundedCache(self.of_match, limit=50_000)
+        self.after_space = BoundedCache(self.of_piece, limit=250_000)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def of_match(self, match: str) -> bytes:
-        if match.isascii():
-            match = match.translate(BYTE_CHARACTERS)
-        else:
-            match = match.encode().decode("latin-1").translate(BYTE_CHARACTERS)
-        return array("I", [t.id for t in self.model.tokenize(match)]).tobytes()
+        characters = charmap_decode(match.encode(), "strict", BYTE_CHARACTERS)[0]
+        return array("I", [t.id for t in self.model.tokenize(characters)]).tobytes()
 
     def of_piece(self, piece: str) -> bytes:
-        if piece.isascii() and piece.isalpha():
-            return self.of_match(" " + piece)
         if _plain(piece):
+            if piece.isalpha():
+                return self.of_match(" " + piece)
+            if piece[-1] in ",.;:!?" and piece[:-1].isalpha():  # two matches
+                return self.after_space[piece[:-1]] + self.matches[piece[-1]]
             return b"".join(map(self.matches.__getitem__, pretokens(" " + piece)))
         return self.whole(" " + piece)
 
