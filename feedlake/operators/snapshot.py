@@ -13,6 +13,8 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,17 +43,23 @@ def latest_batch(history: DataFrame, before: str | None = None, latest: str | No
     return h.where(F.col(BATCH_COLUMN) == latest.scalar())
 
 
-def unmatched_rows(left: DataFrame, right: DataFrame, keys: str | Iterable[str]) -> DataFrame:
+def unmatched_rows(left: DataFrame, right: DataFrame, keys: str | Iterable[str], bucketed: bool = False) -> DataFrame:
     """FLT-3/JN-1 core: rows of `left` whose composite key has no equal key in `right`.
 
     Same rows as the reference's outer join filtered on a null right key, written as the anti-join Catalyst
     does not derive by itself. Only the key columns of `right` are read, de-duplicated with a map-side
     partial aggregate first, so a key repeated in a third of the delta crosses the network once per task;
     the aggregate's hash partitioning is the one the shuffle join needs, so no exchange is added.
+
+    `bucketed`: left is read bucket by bucket, where no exchange lets AQE split a hot bucket. Rows with a null key part,
+    which all lie in one bucket, never match: they go past the join in a scan of their own, split by file size.
     """
     key_cols = resolve_columns(left, keys)
     right_keys = right.select(*[F.col(c) for c in resolve_columns(right, key_cols)]).toDF(*key_cols).distinct()
-    return left.join(right_keys, key_cols, "left_anti")
+    if not bucketed:
+        return left.join(right_keys, key_cols, "left_anti")
+    no_key = reduce(or_, [left[c].isNull() for c in key_cols])
+    return left.where(~no_key).join(right_keys, key_cols, "left_anti").unionByName(left.where(no_key))
 
 
 def unchanged_records(
@@ -60,9 +68,10 @@ def unchanged_records(
     keys: str | Iterable[str],
     before: str | None = None,
     latest: str | None = None,
+    bucketed: bool = False,
 ) -> DataFrame:
     """JN-1: rows of the latest history batch whose key is not in the delta; they keep their batchdate."""
-    return unmatched_rows(latest_batch(history, before, latest), delta, keys)
+    return unmatched_rows(latest_batch(history, before, latest), delta, keys, bucketed)
 
 
 def count_unchanged(
@@ -84,13 +93,14 @@ def incremental_snapshot(
     batch_date: str,
     before: str | None = None,
     latest: str | None = None,
+    bucketed: bool = False,
 ) -> DataFrame:
     """PIP-1: the delta stamped with batch_date, plus the carried-forward rows of the latest history batch.
 
     One plan: union of the stamped delta and the anti-join. No de-duplication and no deletes.
     """
     stamped = with_batchdate(delta, batch_date)
-    carried = unchanged_records(history, delta, keys, before, latest)
+    carried = unchanged_records(history, delta, keys, before, latest, bucketed)
     return stamped.unionByName(carried.select(*stamped.columns))
 
 

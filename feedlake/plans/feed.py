@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from feedlake.operators.counts import count_rows
 from feedlake.plans.ingest import history_snapshot, load_raw, post_batch_audit
 from feedlake.plans.validate import ValidationError, validate_schema
-from feedlake.sinks.audit import audit_events, record_audit
+from feedlake.sinks.audit import record_values
 from feedlake.spec import FeedSpec
 
 
@@ -31,13 +31,11 @@ def run_feed(
             spark, spec.raw_table, spec.history_table, batch_date, spec.num_partitions
         )
     if audit_path is not None:
-        # the ingest job's own events; their values are a handful of driver-side numbers
-        events = [("base table count", prior), ("unchanged rec count", result["unchanged"]),
-                  ("Partition Date", result.get("history_partition", batch_date))]
-        rows = spark.createDataFrame([(m, str(v)) for m, v in events], "message string, value string")
-        ev = audit_events(rows, "landing_to_raw", "ingest_into_raw", spec.pre_raw_table, F.col("message"),
-                          {"value": F.col("value"), "batchdate": F.lit(batch_date)})
-        record_audit(spark, audit_path, ev)
+        record_values(spark, audit_path, "ingest_into_raw", spec.pre_raw_table, batch_date, {
+            "base table count": prior,
+            "unchanged rec count": result["unchanged"],
+            "Partition Date": result.get("history_partition", batch_date),
+        })
     result["audit_count"] = post_batch_audit(spark, spec.raw_table, batch_date, audit_path, spec.pre_raw_table)
     return result
 

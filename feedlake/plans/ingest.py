@@ -18,17 +18,19 @@ from pyspark.sql import functions as F
 from feedlake.functions.columns import check_batch_date, drop_batchdate, resolve_columns
 from feedlake.operators.counts import count_batch
 from feedlake.operators.snapshot import full_refresh, incremental_snapshot, snapshot_date
-from feedlake.sinks.audit import audit_events, record_audit
+from feedlake.sinks.audit import audit_events, record_audit, record_values
 from feedlake.sinks.tables import overwrite_partition, overwrite_raw, table_buckets
 from feedlake.sources.tables import batch_partitions, latest_partition
 from feedlake.spec import BATCH_COLUMN, DEFAULT_SNAPSHOT_DATE, FeedSpec
-from feedlake.workspace import new_name
+from feedlake.workspace import new_name, observed_metrics
 
 
 def build_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> DataFrame:
     """The raw image for one batch as a lazy plan (PIP-1 when incremental, else PIP-2)."""
     delta = spark.table(spec.pre_raw_table)
     layout = table_buckets(spark, spec.raw_table)
+    if spec.buckets is not None and (layout is None or layout[0] != spec.buckets):
+        raise ValueError(f"{spec.raw_table} is not bucketed into {spec.buckets}: {layout}")
     if layout is not None:
         # hash the delta into the target's buckets, so a write task holds one bucket; REBALANCE (unlike
         # repartition) lets AQE split a bucket made hot by one key into several tasks
@@ -37,11 +39,11 @@ def build_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> DataFrame
         history = spark.table(spec.history_table)
         keys = resolve_columns(delta, spec.primary_key)
         if batch_partitions(spark, spec.history_table) is None:
-            return incremental_snapshot(delta, history, keys, batch_date, before=batch_date)
+            return incremental_snapshot(delta, history, keys, batch_date, before=batch_date, bucketed=layout is not None)
         latest = latest_partition(spark, spec.history_table, before=batch_date)
         if latest is None:  # no earlier snapshot: the image is the delta alone
             return full_refresh(delta, batch_date)
-        return incremental_snapshot(delta, history, keys, batch_date, latest=latest)
+        return incremental_snapshot(delta, history, keys, batch_date, latest=latest, bucketed=layout is not None)
     return full_refresh(delta, batch_date)
 
 
@@ -56,9 +58,8 @@ def load_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> dict:
     )
     # counted while writing: no second pass over the snapshot
     overwrite_raw(raw, spec.raw_table, num_partitions=spec.num_partitions)
-    try:
-        counts = obs.get
-    except Exception:  # AQE may replace an empty plan, and with it the metrics node: count what was written
+    counts = observed_metrics(obs)
+    if counts is None:  # AQE may replace an empty plan, and with it the metrics node: count what was written
         counts = (
             spark.table(spec.raw_table)
             .agg(
@@ -91,15 +92,20 @@ def history_snapshot(
 
 
 def ingest_partition(
-    spark: SparkSession, df: DataFrame, table: str, batch_date: str, num_partitions: int | None = None
+    spark: SparkSession, df: DataFrame, table: str, batch_date: str, num_partitions: int | None = None,
+    audit_path: str | None = None, stream: str = "",
 ) -> int:
-    """PIP-4: no-history ingest: replace one batchdate partition with the staged rows, then count it.
+    """PIP-4: no-history ingest: replace one batchdate partition with the staged rows, then count it; the count is an
+    audit event too when audit_path is given.
 
     The reference fixed the output at 20 files (a COALESCE hint), which would also run the whole ingest in
     20 tasks; pass num_partitions=20 for that layout, the default keeps one file per input split.
     """
     overwrite_partition(df, table, batch_date, num_partitions)
-    return count_batch(spark.table(table), batch_date).first()["cnt"]
+    n = count_batch(spark.table(table), batch_date).first()["cnt"]
+    if audit_path is not None:
+        record_values(spark, audit_path, "ingest_partition", stream or table, batch_date, {"batch count": n})
+    return n
 
 
 def post_batch_audit(

@@ -24,6 +24,7 @@ from feedlake.functions.columns import (
 )
 from feedlake.operators.compare import has_duplicate_keys, keyed_difference_report, mismatch_report
 from feedlake.operators.setops import difference
+from feedlake.sinks.audit import record_values
 from feedlake.sinks.files import write_diff_json, write_info_csv
 from feedlake.sources.files import scan_recon_source
 from feedlake.spec import BATCH_COLUMN, ReconSpec
@@ -62,9 +63,10 @@ def recon_difference(
     return difference(drop_columns(source, drop), r)
 
 
-def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str) -> dict:
+def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str, audit_path: str | None = None) -> dict:
     """PIP-9: difference JSON under difference/batchdate=<d>/ and, with the column check, the mismatch and
-    new-record report as CSV under additional_info/batchdate=<d>/. Returns counts and paths."""
+    new-record report as CSV under additional_info/batchdate=<d>/. Returns counts (raw, input, difference) and paths;
+    with audit_path the counts are audit events too."""
     check_batch_date(batch_date)
     raw_all = spark.table(spec.raw_table)
     raw_batch = raw_all.where(raw_all[BATCH_COLUMN] == batch_date)
@@ -88,10 +90,14 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str) -> dict:
     out = spec.output_path.rstrip("/")
     result = {
         "raw_count": raw_batch.count(),  # partition-pruned: Parquet footers only
+        "input_count": source.count(),
         "difference": n_diff,
         "difference_path": None,
         "info_path": None,
     }
+    if audit_path is not None:
+        record_values(spark, audit_path, "reconciliation", spec.raw_table, batch_date,
+                      {k: result[k] for k in ("raw_count", "input_count", "difference")})
     if n_diff == 0:
         return result
     diff_path = f"{out}/difference/{BATCH_COLUMN}={batch_date}"

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructField, StructType
 
 from feedlake.functions.columns import ddl_type, fill_empty_strings, try_cast
 from feedlake.operators.setops import difference
+from feedlake.sinks.audit import record_values
 from feedlake.sinks.files import write_diff_json
 from feedlake.sources.files import scan_delimited
 from feedlake.spec import split_list, REJECTED
@@ -127,11 +128,13 @@ def validate_landing(
     sep: str = ",",
     output_path: str | None = None,
     output_prefix: str | None = None,
+    audit_path: str | None = None,
 ) -> dict:
     """The validation job: staged files vs the pre-raw table (skipped without files_path), then the schema
     gate against the target table's columns (batchdate excluded). A failed gate raises ValidationError;
     file differences are reported and do not stop the load (reference behaviour). Differences go to
-    output_path, or to <output_prefix>/<UTC run time yyyyMMddHHmmss>."""
+    output_path, or to <output_prefix>/<UTC run time yyyyMMddHHmmss>. With audit_path both outcomes are audit events,
+    recorded before a failed gate raises."""
     table = spark.table(pre_raw_table)
     result: dict = {"file_differences": None}
     if output_path is None and output_prefix is not None:
@@ -142,6 +145,10 @@ def validate_landing(
     target = [(f.name, f.dataType.simpleString()) for f in spark.table(target_table).schema.fields
               if f.name != "batchdate"]
     ok, report = validate_schema(table, target, keys)
+    if audit_path is not None:
+        found = result["file_differences"]
+        record_values(spark, audit_path, "validation", pre_raw_table, None,
+                      {"file differences": "skipped" if found is None else found, "schema result": str(ok).lower()})
     if not ok:
         bad = report.where(F.col("violations") > 0).collect()  # at most a few rows a column
         raise ValidationError(f"schema validation failed: {[tuple(r) for r in bad]}")

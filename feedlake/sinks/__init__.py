@@ -1,6 +1,6 @@
 """Sinks: table writes, reports, fan-out publication, landing staging, audit events."""
 
-from feedlake.sinks.audit import audit_events, read_audit, record_audit
+from feedlake.sinks.audit import audit_events, read_audit, record_audit, record_values
 from feedlake.sinks.files import publish_fanout, stage_landing, write_diff_json, write_info_csv
 from feedlake.sinks.tables import (
     append_raw,
@@ -24,6 +24,7 @@ __all__ = [
     "publish_fanout",
     "read_audit",
     "record_audit",
+    "record_values",
     "stage_landing",
     "write_diff_json",
     "write_info_csv",

@@ -34,5 +34,14 @@ def record_audit(spark: SparkSession, path: str, events: DataFrame) -> None:
     events.select(*[c.split(" ")[0] for c in AUDIT_SCHEMA.split(", ")]).write.mode("append").parquet(path)
 
 
+def record_values(
+    spark: SparkSession, path: str, job: str, stream: str, batch_date: str | None, values: Mapping[str, object]
+) -> None:
+    """One event for each message and value a job has found (counts and outcomes, a handful a run)."""
+    rows = spark.createDataFrame([(m, str(v)) for m, v in values.items()], "message string, value string")
+    args = {"value": F.col("value"), "batchdate": F.lit(batch_date)}
+    record_audit(spark, path, audit_events(rows, "landing_to_raw", job, stream, F.col("message"), args))
+
+
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(AUDIT_SCHEMA).parquet(path)

@@ -11,11 +11,14 @@ from __future__ import annotations
 import contextlib
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from feedlake.functions.columns import ddl_type, resolve_columns
+from feedlake.sources.tables import NULL_PARTITION, batch_partitions
 from feedlake.spec import BATCH_COLUMN
+from feedlake.workspace import materialize, new_name, observed_metrics
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 _MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -108,16 +111,47 @@ def spread_output(df: DataFrame, n: int | None) -> DataFrame:
 def overwrite_raw(df: DataFrame, table: str, batch_date: str | None = None, num_partitions: int | None = None) -> None:
     """SNK-1: replace the whole table; with batch_date the frame is stamped with it first (PRJ-1).
 
-    The reference purged the table's files, then overwrote; a static overwrite has the same result: the old image is
-    gone once the job starts, and a failed job is made good by running the batch again.
+    On a table partitioned by batchdate the image's partitions are written in dynamic mode, which swaps them in at
+    commit, and only then are partitions that the image lacks emptied: a failed write leaves every old row. Should the
+    job stop between the two steps, running the batch again finishes it. For other tables the image is first written to
+    the shared folder, so a failure while it is computed leaves the old rows too; only a plain copy follows.
     """
     from feedlake.functions.columns import with_batchdate
 
     spark = df.sparkSession
     out = with_batchdate(df, batch_date) if batch_date is not None else df
     out = spread_output(align_to_table(out, spark, table), num_partitions)
-    with overwrite_mode(spark, "static"):
-        out.write.insertInto(_check_ident(table), overwrite=True)
+    if batch_partitions(spark, table) is None:
+        with overwrite_mode(spark, "static"):
+            materialize(out, "raw-image").write.insertInto(_check_ident(table), overwrite=True)
+        return
+    before = _all_partitions(spark, table)
+    seen = Observation(new_name("raw_batches"))
+    date = F.coalesce(F.col(BATCH_COLUMN).cast("string"), F.lit(NULL_PARTITION))
+    # one value a batch
+    observed = out.observe(seen, F.collect_set(date).alias("batches"), F.count(F.lit(1)).alias("n"))
+    with overwrite_mode(spark, "dynamic"):
+        observed.write.insertInto(_check_ident(table), overwrite=True)
+    written = observed_metrics(seen)
+    if written is None:  # AQE took the metrics away with an empty plan
+        if not out.isEmpty():
+            raise RuntimeError(f"{table}: the image is written, but its batches are not known; older ones are kept")
+        written = {"batches": []}
+    stale = before - set(written["batches"])
+    if stale:
+        none = spark.createDataFrame([], spark.table(table).drop(BATCH_COLUMN).schema)
+        none.createOrReplaceTempView(view := new_name("no_rows"))
+        for day in sorted(stale):
+            part = f"{table} PARTITION ({BATCH_COLUMN} = " + ("NULL)" if day == NULL_PARTITION else f"'{day}')")
+            spark.sql(f"INSERT OVERWRITE {part} SELECT * FROM {view}")  # dropping one leaves an external table's files
+            spark.sql("ALTER TABLE " + part.replace(" PARTITION", " DROP IF EXISTS PARTITION", 1))
+        spark.catalog.dropTempView(view)
+
+
+def _all_partitions(spark: SparkSession, table: str) -> set[str]:
+    """Batch dates of the table's partitions and, if it has one, the partition of rows without a date."""
+    prefix = f"{BATCH_COLUMN}="
+    return {r[0][len(prefix):] for r in spark.sql(f"SHOW PARTITIONS {_check_ident(table)}").collect()}
 
 
 def append_raw(df: DataFrame, table: str, num_partitions: int | None = None) -> None:

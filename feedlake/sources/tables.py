@@ -10,6 +10,10 @@ from feedlake.functions.columns import check_batch_date
 from feedlake.spec import BATCH_COLUMN
 
 
+#: Fixed value: the partition Spark gives rows whose partition column is null.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     """SRC-1: full scan; column pruning and pushdown apply to whatever is selected downstream."""
     return spark.table(name)
@@ -34,7 +38,7 @@ def batch_partitions(spark: SparkSession, name: str) -> list[str] | None:
     except AnalysisException:  # partitions not tracked by this catalog: callers use the scalar subquery
         return None
     # rows without a batch date lie in a partition of their own, which is no batch
-    return sorted(p for p in (r[0][len(prefix):] for r in listed) if p != "__HIVE_DEFAULT_PARTITION__")
+    return sorted(p for p in (r[0][len(prefix):] for r in listed) if p != NULL_PARTITION)
 
 
 def latest_partition(spark: SparkSession, name: str, before: str | None = None) -> str | None:

@@ -34,8 +34,8 @@ class FeedSpec:
     # None keeps the natural split-sized output files; an int bounds the file count like the
     # reference's COALESCE hint (its default was 30, tuned for small feeds).
     num_partitions: int | None = None
-    # Bucket raw and history by the primary key (create the tables with sinks.create_feed_table); the
-    # daily snapshot then shuffles only the delta.
+    # Raw and history are bucketed by the primary key into so many buckets (sinks.create_feed_table); the daily
+    # snapshot then shuffles only the delta. The load raises if raw is not bucketed so; None asks for nothing.
     buckets: int | None = None
 
     @staticmethod

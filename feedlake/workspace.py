@@ -9,6 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 
@@ -55,3 +57,12 @@ def materialize(df, label: str):
     path = new_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def observed_metrics(observation) -> dict | None:
+    """The metrics of a finished write; None if the plan had no metrics node left."""
+    try:
+        got = observation.get
+    except (PySparkException, Py4JError):
+        return None
+    return got or None
