@@ -12,8 +12,12 @@ one class. What is left are the strays, nodes of a bucket outside its main class
 another class, in blocks of about BLOCK nodes a side: signatures first (a pair that agrees in fewer symbols than
 similarity `threshold` gives but for a chance of 3 in 100,000 is passed over), then shingle hashes. A pair is looked at in
 the first tree that brings it together, and a stray's first link to each class of the block is written and verified. So
-linked pairs that meet in the forest end in one class, and no bucket is cut, sampled or collected; two nodes already
-in one class are not compared again, so in a large group not every pair is listed as a link of its own.
+linked pairs that meet in the forest end in one class, and no bucket is cut, sampled or collected.
+
+Links of large groups. Links stay within a class. So once the classes are known, the nodes of large buckets ("crowd") are
+compared all with all inside each class, in blocks of about BLOCK nodes or BLOCK_BYTES of shingle hashes a side; each pair of blocks is one
+row of work. The shared shingles of all pairs of two blocks are one matrix product, so every pair is exact. For `n_links` a
+task returns a count a node; pair rows are made only when `links` is read. Links with a node outside the crowd come from the buckets.
 """
 
 from __future__ import annotations
@@ -39,11 +43,13 @@ TREES = 32
 LEVELS = 8
 SMALL = 16
 BLOCK = 1024
+BLOCK_BYTES = 16 << 20
+COLUMNS = 4096
 
 
 class JaccardJoin(NamedTuple):
     documents: DataFrame  # doc_id, text_hash, class_id, copy_of, n_links, representative: one row per document row
-    links: DataFrame  # doc_a, doc_b, similarity: verified links between representatives of different shingle sets
+    links: DataFrame | None  # doc_a, doc_b, similarity: all links between representatives of different shingle sets
 
 
 def prefix_depth(threshold: float, recall: float, trees: int = TREES, levels: int = LEVELS) -> int:
@@ -219,13 +225,85 @@ def _stray_pairs(members: DataFrame, label: DataFrame, nodes: DataFrame, texts:
     return map_arrow(sides, run, "a bigint, b bigint").distinct()
 
 
+def block_similarity(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """(a, b) Jaccard similarities of sets of distinct hashes: 0/1 matrices of the hashes both sides hold, COLUMNS at a time."""
+    sizes = [np.array([len(x) for x in side]) for side in (a, b)]
+    flat = [np.concatenate(side) for side in (a, b)]
+    held = np.intersect1d(*flat)
+    cells = []
+    for n, x in zip(sizes, flat):
+        row, column = np.repeat(np.arange(len(n)), n), np.minimum(np.searchsorted(held, x), max(len(held) - 1, 0))
+        hit = held[column] == x if len(held) else np.zeros(len(x), bool)
+        row, column = row[hit], column[hit]
+        order = np.argsort(column, kind="stable")
+        cells.append((row[order], column[order]))
+    both = np.zeros((len(a), len(b)))
+    for start in range(0, len(held), COLUMNS):
+        sides = []
+        for n, (row, column) in zip(sizes, cells):
+            x, y = np.searchsorted(column, (start, start + COLUMNS))
+            ones = np.zeros((len(n), min(COLUMNS, len(held) - start)), np.float32)
+            ones[row[x:y], column[x:y] - start] = 1
+            sides.append(ones)
+        both += sides[0] @ sides[1].T
+    return both / (sizes[0][:, None] + sizes[1][None, :] - both)
+
+
+def _crowd(members: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame:
+    """node, label, shingles of the nodes of large buckets that share a class with another one."""
+    nodes = members.where(F.col("size") > SMALL).select("node").distinct().join(label, "node")
+    nodes = materialize(nodes, "forest-crowd-labels")
+    more = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("label")
+    nodes = nodes.join(more, "label")
+    held = _hashes(texts.join(nodes.select("node"), "node", "left_semi"))
+    return materialize(held.join(nodes, "node").select("node", "label", "shingles"), "forest-crowd")
+
+
+def _block_pairs(crowd: DataFrame) -> DataFrame:
+    """(label, low, high, sides): every two blocks of a class, and each block with itself; a side is (block, nodes)."""
+    size = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.length("shingles")) / BLOCK_BYTES))
+    blocks = crowd.groupBy("label").agg(size.alias("blocks"))
+    rows = crowd.join(blocks, "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    sides = rows.groupBy("label", "blocks", "block").agg(F.collect_list(F.struct("node", "shingles")).alias("nodes"))
+    sides = sides.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    return sides.groupBy("label", low, high).agg(F.collect_list(F.struct("block", "nodes")).alias("sides")).select("sides")
+
+
+def _crowd_links(crowd: DataFrame, threshold: float, counts: bool) -> DataFrame:
+    """Links of the crowd: (node, n), summed per task row, or (a, b, sim)."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sides = [s["nodes"] for s in batch.column(0)[i].as_py()]
+                ids = [np.array([x["node"] for x in side]) for side in sides]
+                sets = [[np.frombuffer(x["shingles"], np.uint64) for x in side] for side in sides]
+                sim = block_similarity(sets[0], sets[-1])
+                linked = sim >= threshold
+                if len(sides) == 1:  # a block with itself
+                    linked = np.triu(linked, 1)
+                if counts:
+                    nodes = np.concatenate([ids[0], ids[-1]])
+                    n = np.concatenate([linked.sum(axis=1), linked.sum(axis=0)])
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes[n > 0], pa.int64()), pa.array(n[n > 0], pa.int64())], names=["node", "n"])
+                else:
+                    for k in range(len(ids[0])):
+                        hit = np.flatnonzero(linked[k])
+                        x, y = np.full(len(hit), ids[0][k]), ids[-1][hit]
+                        arrays = [pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64()), pa.array(sim[k, hit], pa.float64())]
+                        yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "sim"])
+
+    return map_arrow(_block_pairs(crowd), run, "node bigint, n bigint" if counts else "a bigint, b bigint, sim double")
+
+
 def jaccard_join(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL, list_links: bool = True
 ) -> JaccardJoin:
     """Classes of documents joined by links of similarity >= threshold.
 
-    `class_id`: least id in the class; `copy_of`: least id with the same shingle set; `n_links`: verified links of that set to other
-    sets; `representative`: true for the rows (of one id and text) that stand for the class. Texts without words (null,
+    `class_id`: least id in the class; `copy_of`: least id with the same shingle set; `n_links`: links of that set to other
+    sets (without `list_links`, only classes are wanted: no `n_links` and no `links`); `representative`: true for the rows (of one id and text) that stand for the class. Texts without words (null,
     empty) are classes of their own. A null id is greater than others; repeated rows fall in one class; extra columns
     are not read; an empty table gives no rows.
     """
@@ -270,12 +348,17 @@ def jaccard_join(
     own = nodes.join(label, "node", "left").select("fingerprint", "node", "rep", F.coalesce("label", "node").alias("label"))
     own = materialize(own, "forest-labels")
     heads = materialize(own.groupBy("label").agg(F.min("rep").alias("head")), "forest-heads")
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    degree = materialize(degree, "forest-degrees")
-    classes = own.join(heads, "label").join(degree, "node", "left").select(
-        F.col("fingerprint").alias("of"), "head", "rep", F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
-    classes = materialize(classes, "forest-classes")
+    classes = own.join(heads, "label")
+    if list_links:
+        crowd = _crowd(members, label, texts)
+        inside = lambda side: crowd.select(F.col("node").alias(side), F.lit(True).alias(f"{side}_in"))
+        links = links.join(inside("a"), "a", "left").join(inside("b"), "b", "left").where("a_in is null or b_in is null").select("a", "b", "sim")
+        links = materialize(links, "forest-outer-links")
+        ends = links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("bigint").alias("n"))
+        degree = ends.unionByName(_crowd_links(crowd, threshold, True)).groupBy("node").agg(F.sum("n").alias("n_links"))
+        classes = classes.join(materialize(degree, "forest-degrees"), "node", "left")
+    counted = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if list_links else []
+    classes = materialize(classes.select(F.col("fingerprint").alias("of"), "head", "rep", *counted), "forest-classes")
     head, rep = F.col("head"), F.col("rep")
     alone = F.col("of").isNull()
     documents = sig.drop("paths").join(classes, F.col("fingerprint") == F.col("of"), "left").select(
@@ -283,9 +366,11 @@ def jaccard_join(
         "text_hash",
         F.when(alone, F.col("doc_id")).otherwise(head["doc_id"]).alias("class_id"),
         F.when(alone, F.col("doc_id")).otherwise(rep["doc_id"]).alias("copy_of"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        *[F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links") for _ in counted],
         (alone | (F.col("doc_id").eqNullSafe(head["doc_id"]) & (F.col("text_hash") == head["text_hash"]))).alias("representative"),
     )
+    if not list_links:
+        return JaccardJoin(documents, None)
     ids = nodes.select("node", F.col("rep")["doc_id"].alias("id"))
-    pairs = links.join(ids.toDF("a", "doc_a"), "a").join(ids.toDF("b", "doc_b"), "b")
+    pairs = links.unionByName(_crowd_links(crowd, threshold, False)).join(ids.toDF("a", "doc_a"), "a").join(ids.toDF("b", "doc_b"), "b")
     return JaccardJoin(documents, pairs.select("doc_a", "doc_b", F.col("sim").alias("similarity")))

@@ -185,6 +185,29 @@ def test_jaccard_join(spark):
     assert all(r.n_links == degree[r.copy_of] for r in got.values())
 
 
+def test_every_link_of_a_large_group_is_counted_and_listed(spark, monkeypatch):
+    """120 different near copies share buckets of over 16 nodes, and several blocks: n_links and links as by brute force."""
+    monkeypatch.setattr(jaccard_forest, "BLOCK", 50)
+    r = random.Random(5)
+    base = [f"b{k}" for k in range(80)]
+    texts = []
+    for k in range(120):
+        w = list(base)
+        w[r.randrange(80)] = f"n{k}"
+        if k % 3 == 0:
+            w[r.randrange(80)] = f"m{k}"
+        texts.append(" ".join(w))
+    join = jaccard_forest.jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4))
+    sets = [jaccard_forest.shingle_set(t) for t in texts]
+    sim = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    true = {(i, j): sim(i, j) for i in range(120) for j in range(i + 1, 120) if sim(i, j) >= 0.8}
+    degree = collections.Counter(k for pair in true for k in pair)
+    assert 120 * 16 < 2 * len(true) < 120 * 119
+    assert {r.doc_id: r.n_links for r in join.documents.collect()} == {k: degree[k] for k in range(120)}
+    listed = join.links.collect()
+    assert {tuple(sorted((x.doc_a, x.doc_b))): x.similarity for x in listed} == true and len(listed) == len(true)
+
+
 def test_jaccard_join_edges(spark, docs, empty):
     got = by_row(jaccard_forest.jaccard_join(docs).documents)
     assert len(got) == docs.count()
