@@ -2,13 +2,16 @@
 
 Texts become words (A-Z lower-cased; runs of ASCII letters, digits and all characters beyond ASCII) between single spaces. Some
 hundred licences times a handful of phrasings give the signature rules, regular expressions over those words. A rule is tried
-only where its keyword occurs (a plain substring test), and each of its matches is a detection: label, word interval,
+only where a keyword of its phrasing and one of its licence occur (plain substring tests that every match passes), and each of its matches is a detection: label, word interval,
 confidence and tier. A detection is suppressed when its interval lies within one of a better or equal tier that
 comes before it (tier, then longer, then label). What is kept gives labels and score.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,77 +21,77 @@ from feedlake.llm.rows import quoted
 #: The base phrases and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Label, how the licence is written as words, keyword. Version numbers are words of their own.
+#: Label, how the licence is written as words, keywords (every way of writing holds one of them). Version numbers are words of their own.
 LICENSES = [
     ("afl-3", r"academic free licen[cs]e(?: v| version)? ?3(?: 0)?", "academic free"),
-    ("agpl-3", r"(?:gnu )?(?:affero general public licen[cs]e|agpl)(?: v| version)? ?3(?: 0)?", "a"),
+    ("agpl-3", r"(?:gnu )?(?:affero general public licen[cs]e|agpl)(?: v| version)? ?3(?: 0)?", "affero|agpl"),
     ("apache-1", r"apache(?: software)?(?: licen[cs]e)?(?: version)? 1 [01]", "apache"),
     ("apache-2", r"apache(?: licen[cs]e)?(?: v| version)? ?2(?: 0)?", "apache"),
     ("artistic-2", r"artistic(?: licen[cs]e)?(?: version)? 2(?: 0)?", "artistic"),
     ("bsd-2", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)", "bsd"),
     ("bsd-3", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)", "bsd"),
     ("bsd-4", r"(?:bsd 4 clause|4 clause bsd|original bsd)", "bsd"),
-    ("bsl-1", r"boost software licen[cs]e(?: version)? 1(?: 0)?", "boost"),
-    ("busl-1", r"(?:business source licen[cs]e|busl)(?: version)? 1(?: 1)?", "bus"),
-    ("cc-by", r"(?:cc by|creative commons attribution)(?: [1-4] [05])?(?: international| unported)?", "c"),
-    ("cc-by-nc", r"(?:cc by nc|creative commons attribution noncommercial)(?: [1-4] [05])?(?: international| unported)?", "c"),
-    ("cc-by-nc-nd", r"(?:cc by nc nd|creative commons attribution noncommercial noderivatives)(?: [1-4] [05])?", "c"),
-    ("cc-by-nc-sa", r"(?:cc by nc sa|creative commons attribution noncommercial sharealike)(?: [1-4] [05])?", "c"),
-    ("cc-by-nd", r"(?:cc by nd|creative commons attribution noderivatives)(?: [1-4] [05])?", "c"),
-    ("cc-by-sa", r"(?:cc by sa|creative commons attribution sharealike)(?: [1-4] [05])?", "c"),
-    ("cc0", r"(?:cc0|creative commons zero)(?: 1 0)?(?: universal)?", "c"),
-    ("cddl-1", r"(?:common development and distribution licen[cs]e|cddl)(?: version)?(?: 1 [01])?", "c"),
+    ("bsl-1", r"boost software licen[cs]e(?: version)? 1(?: 0)?", "boost software"),
+    ("busl-1", r"(?:business source licen[cs]e|busl)(?: version)? 1(?: 1)?", "business source|busl"),
+    ("cc-by", r"(?:cc by|creative commons attribution)(?: [1-4] [05])?(?: international| unported)?", "cc by|creative commons"),
+    ("cc-by-nc", r"(?:cc by nc|creative commons attribution noncommercial)(?: [1-4] [05])?(?: international| unported)?", "cc by nc|creative commons"),
+    ("cc-by-nc-nd", r"(?:cc by nc nd|creative commons attribution noncommercial noderivatives)(?: [1-4] [05])?", "cc by nc|creative commons"),
+    ("cc-by-nc-sa", r"(?:cc by nc sa|creative commons attribution noncommercial sharealike)(?: [1-4] [05])?", "cc by nc|creative commons"),
+    ("cc-by-nd", r"(?:cc by nd|creative commons attribution noderivatives)(?: [1-4] [05])?", "cc by nd|creative commons"),
+    ("cc-by-sa", r"(?:cc by sa|creative commons attribution sharealike)(?: [1-4] [05])?", "cc by sa|creative commons"),
+    ("cc0", r"(?:cc0|creative commons zero)(?: 1 0)?(?: universal)?", "cc0|creative commons"),
+    ("cddl-1", r"(?:common development and distribution licen[cs]e|cddl)(?: version)?(?: 1 [01])?", "common development|cddl"),
     ("cecill-2", r"cecill(?: version)? 2(?: [01])?", "cecill"),
     ("cpl-1", r"common public licen[cs]e(?: version)? 1(?: 0)?", "common public"),
     ("ecl-2", r"educational community licen[cs]e(?: version)? 2(?: 0)?", "educational"),
     ("elastic-2", r"elastic licen[cs]e(?: version)? 2(?: 0)?", "elastic"),
-    ("epl-1", r"(?:eclipse public licen[cs]e|epl)(?: v| version)? ?1(?: 0)?", "e"),
-    ("epl-2", r"(?:eclipse public licen[cs]e|epl)(?: v| version)? ?2(?: 0)?", "e"),
-    ("eupl-1", r"(?:european union public licen[cs]e|eupl)(?: v| version)? ?1(?: [0-2])?", "eu"),
-    ("gfdl-1", r"(?:gnu free documentation licen[cs]e|gfdl)(?: v| version)? ?1(?: [1-3])?", "g"),
-    ("gpl-2", r"(?:gnu )?(?:general public licen[cs]e|gpl)(?: v| version)? ?2(?: 0)?", "g"),
-    ("gpl-3", r"(?:gnu )?(?:general public licen[cs]e|gpl)(?: v| version)? ?3(?: 0)?", "g"),
+    ("epl-1", r"(?:eclipse public licen[cs]e|epl)(?: v| version)? ?1(?: 0)?", "eclipse|epl"),
+    ("epl-2", r"(?:eclipse public licen[cs]e|epl)(?: v| version)? ?2(?: 0)?", "eclipse|epl"),
+    ("eupl-1", r"(?:european union public licen[cs]e|eupl)(?: v| version)? ?1(?: [0-2])?", "european union|eupl"),
+    ("gfdl-1", r"(?:gnu free documentation licen[cs]e|gfdl)(?: v| version)? ?1(?: [1-3])?", "free documentation|gfdl"),
+    ("gpl-2", r"(?:gnu )?(?:general public licen[cs]e|gpl)(?: v| version)? ?2(?: 0)?", "general public|gpl"),
+    ("gpl-3", r"(?:gnu )?(?:general public licen[cs]e|gpl)(?: v| version)? ?3(?: 0)?", "general public|gpl"),
     ("isc", r"isc", "isc"),
-    ("lgpl-2", r"(?:gnu )?(?:lesser general public licen[cs]e|lgpl)(?: v| version)? ?2(?: [01])?", "l"),
-    ("lgpl-3", r"(?:gnu )?(?:lesser general public licen[cs]e|lgpl)(?: v| version)? ?3(?: 0)?", "l"),
-    ("lppl-1", r"(?:latex project public licen[cs]e|lppl)(?: version)?(?: 1 [0-3][abc]?)?", "l"),
+    ("lgpl-2", r"(?:gnu )?(?:lesser general public licen[cs]e|lgpl)(?: v| version)? ?2(?: [01])?", "lesser general|lgpl"),
+    ("lgpl-3", r"(?:gnu )?(?:lesser general public licen[cs]e|lgpl)(?: v| version)? ?3(?: 0)?", "lesser general|lgpl"),
+    ("lppl-1", r"(?:latex project public licen[cs]e|lppl)(?: version)?(?: 1 [0-3][abc]?)?", "latex|lppl"),
     ("mit", r"mit", "mit"),
     ("mit-0", r"mit (?:0|no attribution)", "mit"),
-    ("mpl-1", r"(?:mozilla public licen[cs]e|mpl)(?: v| version)? ?1(?: [01])?", "m"),
-    ("mpl-2", r"(?:mozilla public licen[cs]e|mpl)(?: v| version)? ?2(?: 0)?", "m"),
-    ("ms-pl", r"(?:microsoft public licen[cs]e|ms pl)", "m"),
-    ("ms-rl", r"(?:microsoft reciprocal licen[cs]e|ms rl)", "m"),
+    ("mpl-1", r"(?:mozilla public licen[cs]e|mpl)(?: v| version)? ?1(?: [01])?", "mozilla|mpl"),
+    ("mpl-2", r"(?:mozilla public licen[cs]e|mpl)(?: v| version)? ?2(?: 0)?", "mozilla|mpl"),
+    ("ms-pl", r"(?:microsoft public licen[cs]e|ms pl)", "microsoft public|ms pl"),
+    ("ms-rl", r"(?:microsoft reciprocal licen[cs]e|ms rl)", "microsoft reciprocal|ms rl"),
     ("ncsa", r"(?:university of illinois ncsa|ncsa open source)", "ncsa"),
-    ("odbl-1", r"(?:open database licen[cs]e|odbl)(?: v| version)?(?: ?1 0)?", "od"),
-    ("ofl-1", r"(?:sil open font licen[cs]e|ofl)(?: version)?(?: 1 [01])?", "o"),
+    ("odbl-1", r"(?:open database licen[cs]e|odbl)(?: v| version)?(?: ?1 0)?", "open database|odbl"),
+    ("ofl-1", r"(?:sil open font licen[cs]e|ofl)(?: version)?(?: 1 [01])?", "open font|ofl"),
     ("osl-3", r"open software licen[cs]e(?: version)? 3(?: 0)?", "open software"),
-    ("pddl-1", r"(?:public domain dedication and licen[cs]e|pddl)(?: v| version)?(?: ?1 0)?", "p"),
+    ("pddl-1", r"(?:public domain dedication and licen[cs]e|pddl)(?: v| version)?(?: ?1 0)?", "public domain|pddl"),
     ("php-3", r"php(?: licen[cs]e)?(?: version)? 3(?: 0[01]?)?", "php"),
     ("postgresql", r"postgresql", "postgresql"),
-    ("psf-2", r"(?:python software foundation|psf)(?: licen[cs]e)?(?: version)?(?: 2(?: 0)?)?", "p"),
-    ("sspl-1", r"(?:server side public licen[cs]e|sspl)(?: version)?(?: 1 0)?", "s"),
+    ("psf-2", r"(?:python software foundation|psf)(?: licen[cs]e)?(?: version)?(?: 2(?: 0)?)?", "python|psf"),
+    ("sspl-1", r"(?:server side public licen[cs]e|sspl)(?: version)?(?: 1 0)?", "server side|sspl"),
     ("unlicense", r"(?:the unlicense|unlicense)", "unlicense"),
-    ("upl-1", r"universal permissive licen[cs]e(?: version)?(?: 1 0)?", "universal"),
+    ("upl-1", r"universal permissive licen[cs]e(?: version)?(?: 1 0)?", "universal permissive"),
     ("wtfpl", r"wtfpl", "wtfpl"),
     ("x11", r"x11", "x11"),
     ("zlib", r"zlib", "zlib"),
-    ("zpl-2", r"(?:zope public licen[cs]e|zpl)(?: version)? 2(?: [01])?", "z"),
+    ("zpl-2", r"(?:zope public licen[cs]e|zpl)(?: version)? 2(?: [01])?", "zope|zpl"),
 ]
 
-#: Phrasing around a name, keyword that gates it, tier (1 is best), confidence.
+#: Phrasing around a name, keywords (every match holds one of them), tier (1 is best), confidence.
 PHRASINGS = [
     (r" spdx licen[cs]e identifier NAME(?: only| or later)?(?= )", "spdx", 1, 1.0),
-    (r" licen[cs]ed(?: to you)? under (?:the )?(?:terms of (?:the )?)?(?:conditions of (?:the )?)?NAME(?: licen[cs]e)?(?= )", "ed under", 2, 0.95),
-    (r" (?:released|distributed|available|published|provided|covered) under (?:the )?(?:terms of (?:the )?)?NAME(?: licen[cs]e)?(?= )", " under", 2, 0.9),
-    (r" (?:subject to|governed by) (?:the )?(?:terms of (?:the )?)?NAME(?: licen[cs]e)?(?= )", " the ", 2, 0.85),
+    (r" licen[cs]ed(?: to you)? under (?:the )?(?:terms of (?:the )?)?(?:conditions of (?:the )?)?NAME(?: licen[cs]e)?(?= )", " under ", 2, 0.95),
+    (r" (?:released|distributed|available|published|provided|covered) under (?:the )?(?:terms of (?:the )?)?NAME(?: licen[cs]e)?(?= )", " under ", 2, 0.9),
+    (r" (?:subject to|governed by) (?:the )?(?:terms of (?:the )?)?NAME(?: licen[cs]e)?(?= )", " subject to | governed by ", 2, 0.85),
     (r" licen[cs]e NAME(?= )", "licen", 3, 0.7),
     (r" (?:the )?NAME licen[cs]e(?: text| agreement| terms)?(?= )", "licen", 3, 0.6),
 ]
 
 
-def signature_rules() -> list[tuple[str, str, str, int, float]]:
-    """(label, regex, keyword, tier, confidence), every licence in every phrasing."""
-    return [(label, p.replace("NAME", name), key, tier, sure) for label, name, _ in LICENSES for p, key, tier, sure in PHRASINGS]
+def signature_rules() -> list[tuple[str, str, str, str, int, float]]:
+    """(label, regex, the phrasing's keywords, the licence's keywords, tier, confidence), every licence in every phrasing."""
+    return [(label, p.replace("NAME", name), key, own, tier, sure) for label, name, own in LICENSES for p, key, tier, sure in PHRASINGS]
 
 
 def canonical(text: Column) -> Column:
@@ -111,6 +114,12 @@ def _phrase(c: Column, phrase: str) -> tuple[Column, Column, Column]:
     return F.when(has, F.regexp_count(c, F.lit(f" {phrase}(?= )"))).otherwise(0), F.when(has, first), F.when(has, last)
 
 
+def _present(c: Column, keys: list[str]) -> Column:
+    """Those of the keys (keywords between bars) of which a keyword occurs."""
+    either = lambda key: reduce(or_, (F.contains(c, F.lit(k)) for k in key.split("|")))
+    return F.array_compact(F.array(*(F.when(either(key), F.lit(key)) for key in sorted(set(keys)))))
+
+
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_words, n_base, first_word, last_word, base_labels, labels (arrays, sorted), score for every row.
 
@@ -118,15 +127,14 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     columns are not read, an empty table gives no rows. Texts stay where they are read; only word intervals are shuffled,
     by row, to order and suppress detections.
     """
-    rules = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(("label", "regex", "key", "tier", "sure"), r))) for r in signature_rules()))
-    keys = F.array(*(F.lit(k) for k in sorted({r[2] for r in signature_rules()})))
+    names = ("label", "regex", "key", "own", "tier", "sure")
+    rules = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, r))) for r in signature_rules()))
     c = F.col("c")
     rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.monotonically_increasing_id().alias("row"), canonical(F.col(quoted(text))).alias("c"))
     found = [_phrase(c, p) for p in PHRASES]
     n_base = sum((f[0] for f in found[1:]), found[0][0]).cast("bigint")
     base = F.array_compact(F.array(*(F.when(f[0] > 0, F.lit(label)) for f, label in zip(found, PHRASES.values()))))
-    gate = F.contains(c, F.lit("licen")) | F.contains(c, F.lit(" under "))
-    present = F.when(gate, F.filter(keys, lambda k: F.contains(c, k))).otherwise(F.array().cast("array<string>"))
+    present = _present(c, [key for _, key, _, _ in PHRASINGS])
     rows = rows.select(
         "doc_id", "row", "c",
         F.when(F.trim(c) == "", 0).otherwise(spaces(c) - 1).cast("bigint").alias("n_words"),
@@ -136,7 +144,11 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         F.array_sort(F.array_distinct(base)).alias("base_labels"),
         present.alias("present"),
     )
-    tried = F.when(F.size("present") > 0, F.filter(rules, lambda r: F.array_contains(F.col("present"), r["key"]) & F.regexp_like(c, r["regex"])))
+    rows = rows.withColumn("named", F.when(F.size("present") > 0, _present(c, [key for _, _, key in LICENSES])))
+    tried = F.when(
+        F.size("named") > 0,
+        F.filter(rules, lambda r: F.array_contains(F.col("present"), r["key"]) & F.array_contains(F.col("named"), r["own"]) & F.regexp_like(c, r["regex"])),
+    )
     facts = ["doc_id", "row", "n_words", "n_base", "first_word", "last_word", "base_labels"]
     rows = rows.select(*facts, "c", F.explode_outer(tried).alias("r"))
     regex = F.col("r.regex")

@@ -308,6 +308,55 @@ def test_license_suppression(spark):
     assert [r.score for r in got] == [0.95, 1.0, 1.0, 0.0] and got[2].n_base == 2 and got[2].last_word == 3
 
 
+def written(pattern):
+    """Every text that a rule's pattern matches, lookahead left out."""
+    from re import _constants as c
+    from re import _parser
+
+    def of(item):
+        op, value = item
+        if op is c.LITERAL:
+            return [chr(value)]
+        if op is c.IN:
+            return [chr(k) for o, v in value for k in ([v] if o is c.LITERAL else range(v[0], v[1] + 1))]
+        if op is c.SUBPATTERN:
+            return every(value[3])
+        if op is c.BRANCH:
+            return [x for part in value[1] for x in every(part)]
+        if op is c.MAX_REPEAT and value[1] == 1:
+            return ["", *every(value[2])] if value[0] == 0 else every(value[2])
+        assert op is c.ASSERT, item
+        return [""]
+
+    def every(items):
+        out = [""]
+        for item in items:
+            out = [x + y for x in out for y in of(item)]
+        return out
+
+    return every(_parser.parse(pattern))
+
+
+def test_license_keywords_drop_no_match(spark, monkeypatch):
+    """Each way of writing a phrasing or a licence holds a keyword of it; scans behind keywords equal scans without."""
+    for p, key, *_ in license_rules.PHRASINGS:
+        assert all(any(k in f"{x} " for k in key.split("|")) for x in written(p.replace("NAME", "@"))), p
+    for label, name, key in license_rules.LICENSES:
+        assert all(any(k in x for k in key.split("|")) for x in written(name)), label
+    r = random.Random(2)
+    texts = ["licensed to you under the GPL v3", "governed by GPL 3", "subject to the MPL 2", "released under ODbL", "no licence"]
+    for _, name, _ in license_rules.LICENSES:
+        names = written(name)
+        texts += [x.replace("@", r.choice(names)) for p, *_ in license_rules.PHRASINGS for x in r.sample(written(p.replace("NAME", "@")), 2)]
+        texts += [written(license_rules.PHRASINGS[0][0].replace("NAME", "@"))[0].replace("@", n) for n in r.sample(names, min(3, len(names)))]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string").repartition(8)
+    gated = by_row(license_rules.license_scan(df))
+    assert [x.labels for x in gated[:5]] == [["gpl-3"], ["gpl-3"], ["mpl-2"], ["odbl-1"], []] and all(x.labels for x in gated[5:])
+    monkeypatch.setattr(license_rules, "PHRASINGS", [(p, " ", *rest) for p, _, *rest in license_rules.PHRASINGS])
+    monkeypatch.setattr(license_rules, "LICENSES", [(label, name, " ") for label, name, _ in license_rules.LICENSES])
+    assert by_row(license_rules.license_scan(df)) == gated
+
+
 def test_quality_rules(spark, docs, empty):
     for r in host_rules.quality_rules(docs).collect():
         t = (TEXTS[r.doc_id] if r.doc_id is not None else (PROSE if r.n_words else None)) or ""
