@@ -7,8 +7,10 @@ apart. Tokens in a base span are observed; the others' labels come from loopy su
 label is not none with probability `sure` or more adds a span.
 
 Training is piecewise: each kind of factor is the (pointwise mutual) log-odds of its own counts over all documents,
-which is its maximum-likelihood table; the counts are a few hundred numbers, whatever the input. `agreement` pseudo-counts
-favour equal labels on skip factors.
+which is its maximum-likelihood table; the counts are a few hundred numbers, whatever the input. A token without a base span that
+repeats the form of one with is no example of none: it is left out of the counts. Smoothing is in shares of the counts, so
+a table and the same table many times over give the same field: SMOOTH of a shape's row comes from all tokens' labels, `agreement` of the
+skip table favours equal labels, and two of one form have labels of their own (independent ones) with share DIFFER.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ from feedlake.llm.rows import SLICE_ROWS, map_arrow, map_texts, quoted
 KINDS = ["email", "ip", "card", "phone"]
 N = len(KINDS) + 1
 SURE = 0.9
-AGREEMENT = 5.0
+AGREEMENT = 0.05
+SMOOTH = 0.05
+DIFFER = 0.0001
 ROUNDS = 10
 
 #: What the base patterns match.
@@ -117,6 +121,7 @@ class Tokens(NamedTuple):
     labels: np.ndarray  # of the base spans; 0: none
     near: list[tuple[int, int]]
     skip: list[tuple[int, int]]
+    forms: np.ndarray  # number of the form; -1: too short for one
 
 
 def _over(spans: list, marks: list) -> np.ndarray:
@@ -150,6 +155,7 @@ def tokens(text: str, base: list[tuple[int, int, int]], failed: list[tuple[int,
     labels = _over(spans, [(a, b, kind + 1) for kind, a, b in base])
     fails = _over(spans, [(a, b, 1) for a, b in failed])
     shapes, skip, seen = [], [], {}
+    forms, numbers = np.full(len(spans), -1), {}
     for i, (a, b) in enumerate(spans):
         t = text[a:b]
         digits = len(_digits(t))
@@ -161,7 +167,8 @@ def tokens(text: str, base: list[tuple[int, int, int]], failed: list[tuple[int,
             if form in seen:
                 skip.append((seen[form], i))
             seen[form] = i
-    return Tokens(spans, shapes, labels, near, skip)
+            forms[i] = numbers.setdefault(form, len(numbers))
+    return Tokens(spans, shapes, labels, near, skip, forms)
 
 
 class Field(NamedTuple):
@@ -174,10 +181,10 @@ class Field(NamedTuple):
 
 
 def fit(counts: dict[tuple[str, str], int], agreement: float = AGREEMENT) -> Field:
-    """From counts of ("u", shape label), ("n", label label) and ("s", label label)."""
+    """From counts of ("u", shape label), ("n", label label) and ("s", label label); only their proportions matter."""
     unary: dict[str, np.ndarray] = {}
-    tables = {"n": np.full((N, N), 0.5), "s": np.full((N, N), 0.5) + agreement * np.eye(N)}
-    total = np.full(N, 0.5)
+    tables = {"n": np.zeros((N, N)), "s": np.zeros((N, N))}
+    total = np.zeros(N)
     for (kind, key), n in counts.items():
         first, second = key.split()
         if kind == "u":
@@ -186,14 +193,22 @@ def fit(counts: dict[tuple[str, str], int], agreement: float = AGREEMENT) -> Fie
         else:
             tables[kind][int(first), int(second)] += n
             tables[kind][int(second), int(first)] += n
-    prior = total / total.sum()
 
-    def pmi(t):
-        p = t / t.sum()
+    def smooth(c, share, by):
+        """Proportions of the counts and, as `share` of them, of `by`; of `by` alone where nothing was counted."""
+        return (c / c.sum() + share * by) / (1 + share) if c.sum() else by
+
+    prior = smooth(total, SMOOTH, np.full(N, 1 / N))
+    near = smooth(tables["n"], SMOOTH, np.full((N, N), 1 / N**2))
+    skip = smooth(tables["s"], agreement, np.eye(N) / N)
+    own = skip.sum(axis=1)
+    skip = (1 - DIFFER) * skip + DIFFER * np.outer(own, own)
+
+    def pmi(p):
         m = p.sum(axis=1)
         return np.log(p / np.outer(m, m))
 
-    return Field({s: np.log((c + prior) / (c.sum() + 1)) for s, c in unary.items()}, np.log(prior), pmi(tables["n"]), pmi(tables["s"]))
+    return Field({s: np.log(smooth(c, SMOOTH, prior)) for s, c in unary.items()}, np.log(prior), pmi(near), pmi(skip))
 
 
 def marginals(field: Field, t: Tokens, rounds: int = ROUNDS) -> np.ndarray:
@@ -250,9 +265,10 @@ def train(docs: DataFrame, text: str = "text", agreement: float = AGREEMENT) ->
                     if not x or not _marked(x):
                         continue
                     t = tokens(x, *matches(x))
-                    counts.update(("u", f"{s} {y}") for s, y in zip(t.shapes, t.labels))
-                    counts.update(("n", f"{t.labels[i]} {t.labels[j]}") for i, j in t.near)
-                    counts.update(("s", f"{t.labels[i]} {t.labels[j]}") for i, j in t.skip)
+                    known = (t.labels > 0) | (t.forms < 0) | ~np.isin(t.forms, t.forms[t.labels > 0])
+                    counts.update(("u", f"{s} {y}") for s, y, k in zip(t.shapes, t.labels, known) if k)
+                    counts.update(("n", f"{t.labels[i]} {t.labels[j]}") for i, j in t.near if known[i] and known[j])
+                    counts.update(("s", f"{t.labels[i]} {t.labels[j]}") for i, j in t.skip if known[i] and known[j])
         keys = list(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k for k, _ in keys], pa.string()), pa.array([k for _, k in keys], pa.string()), pa.array([counts[k] for k in keys], pa.int64())],

@@ -283,6 +283,25 @@ def test_skip_factors_carry_a_label_to_a_distant_copy():
     assert [text[a:b] for _, a, b, _ in added] == ["12025550147"] and added[0][0] == 3
 
 
+def number_texts():
+    """Base phones, some with a bare copy far behind, mails, addresses, and bare numbers that are nobody's."""
+    r = random.Random(4)
+    far = " word" * 100
+    texts = [f"call +1202555{k:04d} now{far} or 1202555{k:04d} again" for k in range(100, 108)]
+    texts += [f"call +1303555{k:04d}, order {r.randrange(10**10, 10**11)} of 2024{far} for 12.5 or 77 pieces" for k in range(100, 130)]
+    return texts + [f"a{k}@x.org at 10.0.0.{k}, 10.0.0.{k} and {r.randrange(10**10, 10**11)}, page {k}" for k in range(30)]
+
+
+def test_a_copy_is_labelled_alike_however_large_the_table(spark):
+    texts = number_texts()
+    for times in (1, 1000):
+        df = spark.createDataFrame([(t,) for t in texts], "text string")
+        field = skip_chain.train(df.crossJoin(spark.range(times)).select("text"))
+        for t in texts:
+            copies = re.findall(r"(?<=or )1202\d+", t)
+            assert [(k, t[a:b]) for k, a, b, base in skip_chain.all_spans(field, t) if not base] == [(3, x) for x in copies], times
+
+
 def test_license_scan(spark, docs, empty):
     got = license_rules.license_scan(docs)
     phrases = {tuple(p.split()): label for p, label in license_rules.PHRASES.items()}
