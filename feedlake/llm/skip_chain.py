@@ -2,9 +2,11 @@
 
 Tokens are white-space runs that hold a digit or an @, without surrounding punctuation. Labels: none, email, ip, card, phone. The
 field has a factor for each token's shape (characters, and whether a base pattern matched but failed its test), one for each two neighbouring tokens (nothing but white space between), and a
-skip factor for each two tokens of the same normal form in one document (each occurrence with the one before), however far
-apart. Tokens in a base span are observed; the others' labels come from loopy sum-product passing, and a token whose
-label is not none with probability `sure` or more adds a span.
+skip factor between each token and one label of its normal form in that document, so all occurrences, however many and however far
+apart, are two steps from each other. The shapes of a form's unobserved occurrences are one piece of evidence for the form's label, not one
+each: their messages share a weight of 1. Tokens in a base span are observed; the others' labels come from loopy sum-product passing until no
+message moves by more than STILL (or MOST_ROUNDS, for loops that do not settle), and a token whose label is not none with
+probability `sure` or more adds a span.
 
 Training is piecewise: each kind of factor is the (pointwise mutual) log-odds of its own counts over all documents,
 which is its maximum-likelihood table; the counts are a few hundred numbers, whatever the input. A token without a base span that
@@ -34,7 +36,8 @@ SURE = 0.9
 AGREEMENT = 0.05
 SMOOTH = 0.05
 DIFFER = 0.0001
-ROUNDS = 10
+STILL = 0.0001
+MOST_ROUNDS = 1000
 
 #: What the base patterns match.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -172,12 +175,13 @@ def tokens(text: str, base: list[tuple[int, int, int]], failed: list[tuple[int,
 
 
 class Field(NamedTuple):
-    """Log factors: unary by shape, and N x N tables for neighbours and skips."""
+    """Log factors: unary by shape, N x N tables for neighbours and skips, and the label of a form."""
 
     unary: dict[str, np.ndarray]
     other: np.ndarray
     near: np.ndarray
     skip: np.ndarray
+    form: np.ndarray
 
 
 def fit(counts: dict[tuple[str, str], int], agreement: float = AGREEMENT) -> Field:
@@ -208,21 +212,29 @@ def fit(counts: dict[tuple[str, str], int], agreement: float = AGREEMENT) -> Fie
         m = p.sum(axis=1)
         return np.log(p / np.outer(m, m))
 
-    return Field({s: np.log(smooth(c, SMOOTH, prior)) for s, c in unary.items()}, np.log(prior), pmi(near), pmi(skip))
+    return Field({s: np.log(smooth(c, SMOOTH, prior)) for s, c in unary.items()}, np.log(prior), pmi(near), pmi(skip), np.log(own))
 
 
-def marginals(field: Field, t: Tokens, rounds: int = ROUNDS) -> np.ndarray:
+def marginals(field: Field, t: Tokens, rounds: int = MOST_ROUNDS) -> np.ndarray:
     """(tokens, N) label probabilities after loopy sum-product passing, base labels observed."""
     n = len(t.spans)
     score = np.array([field.unary.get(s, field.other) for s in t.shapes]).reshape(n, N)
     seen = t.labels > 0
     score[seen] = -50.0
     score[seen, t.labels[seen]] = 0.0
-    pairs = t.near + t.skip
+    # tokens of a form that occurs again, each joined to the form's own variable behind the tokens
+    times = np.bincount(t.forms[t.forms >= 0], minlength=1)
+    tied = np.flatnonzero((t.forms >= 0) & (times[t.forms] > 1))
+    known, form = np.unique(t.forms[tied], return_inverse=True)
+    score = np.concatenate([score, np.repeat(field.form[None], len(known), 0)])
+    free = np.bincount(form, ~seen[tied], minlength=len(known))
     belief = score
-    if pairs:
-        one, two = np.array(pairs).T
-        table = np.concatenate([np.repeat(field.near[None], len(t.near), 0), np.repeat(field.skip[None], len(t.skip), 0)])
+    if t.near or len(tied):
+        near = np.array(t.near, np.int64).reshape(-1, 2)
+        one, two = np.concatenate([near[:, 0], tied]), np.concatenate([near[:, 1], n + form])
+        table = np.concatenate([np.repeat(field.near[None], len(near), 0), np.repeat(field.skip[None], len(tied), 0)])
+        weight = np.ones((2 * len(one), 1))
+        weight[len(near) : len(one), 0] = np.where(seen[tied], 1, 1 / np.maximum(free[form], 1))
         src, dst = np.concatenate([one, two]), np.concatenate([two, one])
         table = np.concatenate([table, table.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(one)) + len(one), np.arange(len(one))])
@@ -232,10 +244,14 @@ def marginals(field: Field, t: Tokens, rounds: int = ROUNDS) -> np.ndarray:
             np.add.at(belief, dst, message)
             x = (belief[src] - message[back])[:, :, None] + table
             top = x.max(axis=1, keepdims=True)
-            new = np.log(np.exp(x - top).sum(axis=1)) + top[:, 0]
-            message = 0.5 * message + 0.5 * (new - new.max(axis=1, keepdims=True))
+            new = weight * (np.log(np.exp(x - top).sum(axis=1)) + top[:, 0])
+            step = 0.5 * (new - new.max(axis=1, keepdims=True) - message)
+            message += step
+            if np.abs(step).max() < STILL:
+                break
         belief = score.copy()
         np.add.at(belief, dst, message)
+    belief = belief[:n]
     p = np.exp(belief - belief.max(axis=1, keepdims=True)) if n else belief
     return p / p.sum(axis=1, keepdims=True) if n else p
 

@@ -302,6 +302,14 @@ def test_a_copy_is_labelled_alike_however_large_the_table(spark):
             assert [(k, t[a:b]) for k, a, b, base in skip_chain.all_spans(field, t) if not base] == [(3, x) for x in copies], times
 
 
+def test_a_label_reaches_every_occurrence_of_its_form(spark):
+    """One phone in base form, then 200 bare copies: all are labelled, and a bare number that nobody wrote as a phone is not."""
+    field = skip_chain.train(spark.createDataFrame([(t,) for t in number_texts()], "text string"))
+    text = "call +12025550147 now" + " or 12025550147 and" * 200 + " then 99925550147 or" * 200 + " 4242 4343" * 100
+    added = [(k, text[a:b]) for k, a, b, base in skip_chain.all_spans(field, text) if not base]
+    assert added == [(3, "12025550147")] * 200
+
+
 def test_license_scan(spark, docs, empty):
     got = license_rules.license_scan(docs)
     phrases = {tuple(p.split()): label for p, label in license_rules.PHRASES.items()}
