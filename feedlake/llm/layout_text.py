@@ -3,10 +3,11 @@ aligned table cells.
 
 Tree. A linear scan cuts tags, comments and text. Void elements do not nest; a start tag closes what it implies closed (p before
 a block, li before li, cells and rows before the next, and so on, never beyond the nearest list or table); an end tag closes up to its match, or is
-dropped when there is none. Unclosed elements close at the end.
+dropped when there is none. Unclosed elements close at the end. In a tag, a quote opens a value only right after "=" (and white space);
+elsewhere it is a character like others. HTML elements inside svg or math close these, as in browsers.
 
 Visible: everything but script, style, head, template and other elements without text of their own, elements with `hidden` or aria-hidden="true",
-display:none or visibility:hidden, and hidden inputs.
+display:none or visibility:hidden, and hidden inputs. Of svg, what text and foreignObject hold, one line each; of math, all but annotations and phantoms.
 
 Rendering. White space collapses outside pre. Blocks start a line; paragraphs, headings, lists, tables and quotes are set off by
 one empty line. List items carry "- " or their number, indented by depth. Table rows are lines; cells are
@@ -28,7 +29,15 @@ MAX_PAD = 40
 #: Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("script style head title template noscript iframe object svg math canvas audio video datalist noembed noframes".split())
+UNSEEN = frozenset("script style head title template noscript iframe object canvas audio video datalist noembed noframes".split())
+#: Inside svg and math: elements that are not drawn, those that hold HTML again, and the start tags that end svg and math.
+UNDRAWN = frozenset("desc defs metadata symbol clippath mask marker pattern annotation annotation-xml mphantom".split())
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+SVG_TEXT = frozenset(["text", "foreignobject"])
+BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span"
+    " strong strike sub sup table tt u ul var".split()
+)
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul".split()
@@ -52,31 +61,57 @@ IMPLIED = {
 }
 
 _name = re.compile(r"[A-Za-z][^\s/>]*").match
-_plain = re.compile(r"[^\"'>]*").match
-_attribute = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_between = re.compile(r"[ \t\n\f\r/]*").match
+_attribute = re.compile(r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*").match
+_equals = re.compile(r"[ \t\n\f\r]*=[ \t\n\f\r]*").match
+_unquoted = re.compile(r"[^ \t\n\f\r>]*").match
 _unseen_style = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I).search
 _spaces = re.compile(r"[ \t\n\f\r]+")
 
 
 class Element:
-    __slots__ = ("name", "children", "seen", "start")
-
-    def __init__(self, name: str, seen: bool = True, start: int = 1):
-        self.name, self.seen, self.start, self.children = name, seen, start, []
-
-
-def attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _attribute.finditer(text)}
-
-
-def element(name: str, text: str) -> Element:
-    if not text.strip():
-        return Element(name, name not in UNSEEN)
-    a = attributes(text)
-    seen = name not in UNSEEN and "hidden" not in a and a.get("aria-hidden", "").lower() != "true"
+    __slots__ = ("name", "children", "seen", "start", "foreign")
+
+    def __init__(self, name: str, seen: bool = True, start: int = 1, foreign: bool = False):
+        self.name, self.seen, self.start, self.foreign, self.children = name, seen, start, foreign, []
+
+
+def tag_rest(html: str, at: int) -> tuple[int, dict[str, str]]:
+    """(place of the > that ends the tag, or the text's length, attributes) from behind the tag's name; of equal names the first counts."""
+    out: dict[str, str] = {}
+    n = len(html)
+    while True:
+        at = _between(html, at).end()
+        if at >= n or html[at] == ">":
+            return at, out
+        m = _attribute(html, at)
+        at, value = m.end(), ""
+        e = _equals(html, at)
+        if e:
+            at = e.end()
+            quote = html[at : at + 1]
+            if quote in ('"', "'"):
+                end = html.find(quote, at + 1)
+                if end < 0:
+                    return n, out
+                value, at = html[at + 1 : end], end + 1
+            else:
+                v = _unquoted(html, at)
+                value, at = v[0], v.end()
+        out.setdefault(m[0].lower(), value)
+
+
+def element(name: str, a: dict[str, str], inside: bool = False) -> Element:
+    """`inside`: svg or math holds it, with no HTML between."""
+    foreign = name in ("svg", "math") or (inside and name not in HOLDS_HTML)
+    seen = name not in UNSEEN and not (inside and name in UNDRAWN)
+    if not a:
+        return Element(name, seen, foreign=foreign)
+    seen = seen and "hidden" not in a and a.get("aria-hidden", "").lower() != "true"
     seen = seen and not _unseen_style(a.get("style", "")) and not (name == "input" and a.get("type", "").lower() == "hidden")
+    seen = seen and not (foreign and (a.get("display", "").lower() == "none" or a.get("visibility", "").lower() == "hidden"))
     start = a.get("start", "")
-    return Element(name, seen, int(start) if name == "ol" and start.isascii() and start.isdigit() and len(start) < 10 else 1)
+    return Element(name, seen, int(start) if name == "ol" and start.isascii() and start.isdigit() and len(start) < 10 else 1, foreign)
 
 
 def parse(html: str) -> Element:
@@ -107,13 +142,7 @@ def parse(html: str) -> Element:
             stack[-1].children.append("<")
             at = cut + 1
             continue
-        end = m.end()
-        while True:  # to the > outside quotes
-            end = _plain(html, end).end()
-            if end >= n or html[end] == ">":
-                break
-            quote = html.find(html[end], end + 1)
-            end = n if quote < 0 else quote + 1
+        end, given = tag_rest(html, m.end())
         if end >= n:
             break
         name, at = m[0].lower(), end + 1
@@ -125,6 +154,9 @@ def parse(html: str) -> Element:
                 if stack[k].name == "table" or (stack[k].name in CELLS and name not in ("table", "tr", *ROWGROUPS)):
                     break  # an end tag does not reach out of a table or cell
             continue
+        if stack[-1].foreign and (name in BREAKS_OUT or (name == "font" and not given.keys().isdisjoint(("color", "face", "size")))):
+            while stack[-1].foreign:
+                stack.pop()
         names, stop = IMPLIED.get(name, (frozenset(), frozenset()))
         if names:
             close = None
@@ -140,11 +172,12 @@ def parse(html: str) -> Element:
                 if stack[k].name == "p":
                     del stack[k:]
                     break
-                if stack[k].name in BLOCK or stack[k].name in CELLS:
+                if stack[k].name in BLOCK or stack[k].name in CELLS or stack[k].name == "foreignobject":
                     break
-        e = element(name, html[m.end() : end])
+        inside = stack[-1].foreign
+        e = element(name, given, inside)
         stack[-1].children.append(e)
-        if name in RAW:
+        if name in RAW and not inside:
             if low is None:
                 low = html.lower() if len(html.lower()) == n else re.sub("[A-Z]", lambda c: c[0].lower(), html)
             end = low.find(f"</{name}", at)
@@ -242,6 +275,8 @@ def render(root: Element) -> str:
     while todo:
         what, e, page, state = todo.pop()
         if what == "text":
+            if state[0] == "svg":  # not drawn outside text elements
+                continue
             (page.pre if state[0] == "pre" else page.text)(e)
         elif what == "call":
             e(page)
@@ -268,7 +303,18 @@ def render(root: Element) -> str:
                 edge = Page.gap if name in SPACED and not (name in LISTS and state[1]) else Page.end_line
                 edge(page)
                 after.append(edge)
-            if name in LISTS:
+            if name == "svg":
+                state = ("svg", state[1])
+            elif state[0] == "svg" and name in SVG_TEXT:
+                state = ("", state[1])
+                Page.end_line(page)
+                after.append(Page.end_line)
+            elif name == "mtr":
+                Page.end_line(page)
+                after.append(Page.end_line)
+            elif name == "mtd":
+                page.space = bool(page.now)
+            elif name in LISTS:
                 state = (state[0], state[1] + 1)
             elif name in ("pre", "textarea", "xmp"):
                 state = ("pre", state[1])

@@ -460,6 +460,31 @@ def test_page_text(html, text):
     assert page_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<img alt=Bob's> all <b>shown</b>", "all shown"),
+        ('<a title="x"y">link</a> and more', "link and more"),
+        ("a<br class='x''>b", "a\nb"),
+        ("<p '>a</p><p \">b</p><p a='>'>c</p>", "a\n\nb\n\nc"),
+        ("a</p'>b<i x = \"1>2\" y= '>' hidden>c</i>d", "abd"),
+        ("<i style=color:red style='display:none'>first counts</i>", "first counts"),
+        ("<a href=>x</a><a =\">y</a><a b=c\"d'e>z</a>", "xyz"),
+        ("a <b unclosed='x>b</b> c", "a"),
+        ("so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds", "so x=2 holds"),
+        ("<math><mtable><mtr><mtd>1</mtd><mtd>0</mtd></mtr><mtr><mtd>0</mtd><mtd>1</mtd></mtr></mtable></math>", "1 0\n0 1"),
+        ("a<svg><title/><desc>no</desc><path d='M0'/><g>no<text x=1>Sales <tspan>2024</tspan></text><text>Q1</text></g></svg>b", "a\nSales 2024\nQ1\nb"),
+        ("<svg><defs><text>no</text></defs><text display=none>no</text><foreignObject><p>a<p>b</foreignObject></svg>c", "a\n\nb\n\nc"),
+        ("<p>a <svg viewBox='0 0'><path/></svg> b", "a b"),
+        ("<svg><g><p>a</p>b", "a\n\nb"),
+        ("<p>a<svg><title><b>no</b></title><foreignObject><div>b</div></foreignObject><text>c</text></svg>", "a\nb\nc"),
+        ("<svg><style>t{}</style><text>a</text></svg><style>t{}</style>b", "a\nb"),
+    ],
+)
+def test_stray_quotes_formulas_and_svg(html, text):
+    assert page_text(html) == text
+
+
 def test_extract_text_rows(spark):
     pages = spark.createDataFrame([(1, None, "t"), (2, "", "t"), (3, "<div>" * 50_000 + "deep", "t"), (3, "<p>x", "t")], "page_id bigint, html string, text string")
     assert sorted(map(tuple, extract_text(pages).collect()), key=repr) == [(1, None), (2, ""), (3, "deep"), (3, "x")]
