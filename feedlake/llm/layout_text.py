@@ -10,21 +10,25 @@ Visible: everything but script, style, head, template and other elements without
 display:none or visibility:hidden, and hidden inputs. Of svg, what text and foreignObject hold, one line each; of math, all but annotations and phantoms.
 
 Rendering. White space collapses outside pre. Blocks start a line; paragraphs, headings, lists, tables and quotes are set off by
-one empty line. List items carry "- " or their number, indented by depth. Table rows are lines; cells are
-padded to their column's width (of cells up to MAX_PAD characters, so one long cell does not blow up a table).
+one empty line. List items carry "- " or their number, indented by depth. Table cells stand in columns by colspan and rowspan, a cell's
+lines below each other, padded to the width of the columns before. A row of one cell, and the cells of a layout table one after the
+other, are written as blocks, with their lists and empty lines. A layout table is one with prose side by side (a cell of several lines, one over
+PROSE characters), or one that padding would make more than MOST_PADDED times as long as its text: long lines beside many short rows.
 """
 
 from __future__ import annotations
 
 import re
 from html import unescape
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField
 
 from feedlake.llm.rows import map_texts
 
-MAX_PAD = 40
+PROSE = 80
+MOST_PADDED = 20
 
 #: Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,7 +61,7 @@ IMPLIED = {
     "td": (CELLS, {"tr", "table"}),
     "th": (CELLS, {"tr", "table"}),
     "tr": ({"tr"}, {"table"}),
-    **{g: (ROWGROUPS | {"caption", "colgroup"}, {"table"}) for g in ROWGROUPS},
+    **{g: (ROWGROUPS | {"caption", "colgroup", "tr"}, {"table"}) for g in ROWGROUPS},
 }
 
 _name = re.compile(r"[A-Za-z][^\s/>]*").match
@@ -65,15 +69,17 @@ _between = re.compile(r"[ \t\n\f\r/]*").match
 _attribute = re.compile(r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*").match
 _equals = re.compile(r"[ \t\n\f\r]*=[ \t\n\f\r]*").match
 _unquoted = re.compile(r"[^ \t\n\f\r>]*").match
+_whole = re.compile(r"[ \t\n\f\r]*\+?([0-9]+)").match
 _unseen_style = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I).search
 _spaces = re.compile(r"[ \t\n\f\r]+")
 
 
 class Element:
-    __slots__ = ("name", "children", "seen", "start", "foreign")
+    __slots__ = ("name", "children", "seen", "start", "foreign", "over")
 
     def __init__(self, name: str, seen: bool = True, start: int = 1, foreign: bool = False):
         self.name, self.seen, self.start, self.foreign, self.children = name, seen, start, foreign, []
+        self.over = (1, 1)  # columns and rows of a cell; 0 rows: all that follow in its row group
 
 
 def tag_rest(html: str, at: int) -> tuple[int, dict[str, str]]:
@@ -111,7 +117,15 @@ def element(name: str, a: dict[str, str], inside: bool = False) -> Element:
     seen = seen and not _unseen_style(a.get("style", "")) and not (name == "input" and a.get("type", "").lower() == "hidden")
     seen = seen and not (foreign and (a.get("display", "").lower() == "none" or a.get("visibility", "").lower() == "hidden"))
     start = a.get("start", "")
-    return Element(name, seen, int(start) if name == "ol" and start.isascii() and start.isdigit() and len(start) < 10 else 1, foreign)
+    e = Element(name, seen, int(start) if name == "ol" and start.isascii() and start.isdigit() and len(start) < 10 else 1, foreign)
+    if name in CELLS:
+        e.over = (min(_count(a.get("colspan", "")) or 1, 1000), min(_count(a.get("rowspan", "1"), 1), 65534))
+    return e
+
+
+def _count(text: str, other: int = 0) -> int:
+    m = _whole(text)
+    return int(m[1][:9]) if m else other
 
 
 def parse(html: str) -> Element:
@@ -243,22 +257,24 @@ class Page:
                 self.put(line)
 
 
-def _rows(table: Element) -> list[list[Element]]:
-    rows, todo = [], list(reversed(table.children))
+def _rows(table: Element) -> list[tuple[int, list[Element]]]:
+    """(row group, cells) of every row; what is no cell is a row of its own."""
+    rows, todo, groups = [], [(e, 0) for e in reversed(table.children)], 0
     while todo:
-        e = todo.pop()
+        e, group = todo.pop()
         if isinstance(e, str):
             if e.strip():
-                rows.append([_wrap(e)])
+                rows.append((group, [_wrap(e)]))
         elif not e.seen:
             continue
         elif e.name in ROWGROUPS:
-            todo += reversed(e.children)
+            groups += 1
+            todo += [(c, groups) for c in reversed(e.children)]
         elif e.name == "tr":
-            rows.append([c if isinstance(c, Element) else _wrap(c) for c in e.children if isinstance(c, Element) and c.seen or isinstance(c, str) and c.strip()])
+            rows.append((group, [c if isinstance(c, Element) else _wrap(c) for c in e.children if isinstance(c, Element) and c.seen or isinstance(c, str) and c.strip()]))
         else:
-            rows.append([e])
-    return [r for r in rows if r]
+            rows.append((group, [e]))
+    return rows
 
 
 def _wrap(text: str) -> Element:
@@ -268,7 +284,7 @@ def _wrap(text: str) -> Element:
 
 
 def render(root: Element) -> str:
-    """Visible text. Cells render into pages of their own, joined to one line each; an explicit stack, so depth is no limit."""
+    """Visible text. Cells render into pages of their own; an explicit stack, so depth is no limit."""
     out = Page()
     # entries: (what, value, page, state); a table waits on the stack until its cells are done
     todo: list[tuple] = [("in", root, out, ("", 0))]
@@ -293,9 +309,9 @@ def render(root: Element) -> str:
                 continue
             if name == "table":
                 page.gap()
-                cells = [[(Page(), c) for c in r] for r in _rows(e)]
-                todo += [("call", Page.gap, page, state), ("table", [[p for p, _ in r] for r in cells], page, state)]
-                for r in reversed(cells):
+                cells = [(g, [(Page(), c) for c in r]) for g, r in _rows(e)]
+                todo += [("call", Page.gap, page, state), ("table", [(g, [(p, *c.over) for p, c in r]) for g, r in cells], page, state)]
+                for _, r in reversed(cells):
                     for p, c in reversed(r):
                         todo.append(("inside", c, p, ("", 0)) if c.name in CELLS or c.name in ("#cell", "caption") else ("in", c, p, ("", 0)))
                 continue
@@ -355,26 +371,87 @@ def _item_end(page: Page) -> None:
     page.indent.pop()
 
 
-def _write_table(pages: list[list[Page]], page: Page) -> None:
-    rows = []
-    for r in pages:
-        cells = []
-        for p in r:
-            p.end_line()
-            cells.append(" ".join(filter(None, (line.strip() for line in p.lines))))
-        rows.append(cells)
-    widths: list[int] = []
-    for cells in rows:
-        if len(cells) > 1:
-            widths += [0] * (len(cells) - len(widths))
-            for k, c in enumerate(cells):
-                if len(c) <= MAX_PAD:
-                    widths[k] = max(widths[k], len(c))
-    for cells in rows:
-        line = "  ".join(c.ljust(widths[k]) if len(cells) > 1 else c for k, c in enumerate(cells)).rstrip()
+class Cell(NamedTuple):
+    lines: list[str]
+    first: int  # column
+    end: int
+
+
+def _grid(rows: list[tuple[int, list[tuple[Page, int, int]]]]) -> list[list[Cell]]:
+    """The cells of each row at their columns, past those that cells of rows above reach down into."""
+    out, reach, last = [], [], 0  # reach: (first column, end, row it ends before), by column, neighbours that end alike as one
+    for i, (group, r) in enumerate(rows):
+        reach = reach if group == last else []
+        last, column, k, cells, new = group, 0, 0, [], []
+        for page, columns, down in r:
+            while k < len(reach) and reach[k][0] <= column:
+                column = max(column, reach[k][1])
+                k += 1
+            page.end_line()
+            cells.append(Cell(page.lines, column, column + columns))
+            if down != 1:
+                new.append((column, column + columns, min(i + (down or len(rows)), len(rows))))
+            column += columns
+        out.append(cells)
+        reach, held = [], sorted([x for x in reach if x[2] > i + 1] + new) if reach or new else []
+        for a, b, n in held:
+            if reach and reach[-1][1:] == (a, n):
+                reach[-1] = (reach[-1][0], b, n)
+            else:
+                reach.append((a, b, n))
+    return out
+
+
+def _offsets(grid: list[list[Cell]]) -> dict[int, int]:
+    """Where each column begins: two spaces behind the longest line of all cells that end before it."""
+    at, place = {}, 0
+    cells = sorted((c for r in grid if len(r) > 1 for c in r), key=lambda c: c.end)
+    k = 0
+    for column in sorted({c.first for r in grid for c in r}):
+        while k < len(cells) and cells[k].end <= column:
+            place = max(place, at[cells[k].first] + max(map(len, cells[k].lines), default=0) + 2)
+            k += 1
+        at[column] = place
+    return at
+
+
+def _write_blocks(lines: list[str], page: Page) -> None:
+    for line in lines:
         if line:
             page.put(line)
             page.end_line()
+        else:
+            page.gap()
+
+
+def _write_table(rows: list[tuple[int, list[tuple[Page, int, int]]]], page: Page) -> None:
+    grid = _grid(rows)
+    at = _offsets(grid)
+    wide = [[c for c in r if c.lines] for r in grid if len(r) > 1]
+    prose = any(len(c.lines) > 1 and max(map(len, c.lines)) > PROSE for r in wide if len(r) > 1 for c in r)
+    padded = sum(at[r[-1].first] * len(r[-1].lines) for r in wide if r)
+    if prose or padded > MOST_PADDED * sum(len(line) - line.count(" ") + 2 for r in wide for c in r for line in c.lines):
+        for cells in grid:
+            for c in cells:
+                page.end_line()
+                if len(c.lines) > 1:
+                    page.gap()
+                _write_blocks(c.lines, page)
+                if len(c.lines) > 1:
+                    page.gap()
+        return
+    for cells in grid:
+        if len(cells) == 1 and not at[cells[0].first]:
+            _write_blocks(cells[0].lines, page)
+            continue
+        for k in range(max((len(c.lines) for c in cells), default=0)):
+            line = ""
+            for c in cells:
+                if k < len(c.lines) and c.lines[k]:
+                    line = line.ljust(at[c.first]) + c.lines[k]
+            if line:
+                page.put(line)
+                page.end_line()
 
 
 def page_text(html: str | None) -> str | None:

@@ -485,6 +485,30 @@ def test_stray_quotes_formulas_and_svg(html, text):
     assert page_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<table><tr><td><p>a<p>b<ul><li>c<li>d</ul><pre>e\n  f</pre></table>", "a\n\nb\n\n- c\n- d\n\ne\n  f"),
+        ("<table><tr><td>a<br>b<td>c<tr><td>d<td>e<br>f</table>", "a  c\nb\nd  e\n   f"),
+        (f"<table><tr><td>{'x' * 50}<td>1<tr><td>y<td>2</table>", "x" * 50 + "  1\ny" + " " * 51 + "2"),
+        ("<table><tr><td colspan=2>ab<td>c<tr><td>d<td>e<td>f</table>", "ab    c\nd  e  f"),
+        ("<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>f<td>g<td>h</table>", "a  b  c\n   d  e\nf  g  h"),
+        ("<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e<tbody><tr><td>f<td>g<td>h</table>", "a  b  c\nd     e\nf  g  h"),
+        ("<table><tr><td rowspan=2>a<td>b<tr></tr><tr><td>c<td>d</table>", "a  b\nc  d"),
+        (f"<table><tr><td>{'long ' * 30}<p>two<td><p>side<p>bar</table>", "long " * 29 + "long\n\ntwo\n\nside\n\nbar"),
+    ],
+)
+def test_table_layout(html, text):
+    assert page_text(html) == text
+
+
+def test_a_long_cell_does_not_blow_up_a_table():
+    rows = "".join(f"<tr><td>{k}<td>v" for k in range(3000))
+    text = page_text(f"<table>{rows}<tr><td>{'x' * 100_000}<td>v</table>")
+    assert len(text) < 200_000 and text.split() == [x for k in range(3000) for x in (str(k), "v")] + ["x" * 100_000, "v"]
+    assert len(page_text("<table>" + "<tr><td colspan=99999999999 rowspan=99999>a<td>b" * 20_000)) < 200_000
+
+
 def test_extract_text_rows(spark):
     pages = spark.createDataFrame([(1, None, "t"), (2, "", "t"), (3, "<div>" * 50_000 + "deep", "t"), (3, "<p>x", "t")], "page_id bigint, html string, text string")
     assert sorted(map(tuple, extract_text(pages).collect()), key=repr) == [(1, None), (2, ""), (3, "deep"), (3, "x")]
