@@ -12,11 +12,14 @@ from feedlake.llm.host_reputation import url_filter, url_parts
 from feedlake.llm.jaccard_forest import jaccard_join
 from feedlake.llm.layout_text import extract_text
 from feedlake.llm.license_rules import license_scan
+from feedlake.llm.merge_automaton import round_trip_digests
+from feedlake.llm.orchard import centroid_clusters
 from feedlake.llm.phrase_index import contamination, item_digest
 from feedlake.llm.rows import table
 from feedlake.llm.skip_chain import personal_data, span_digest
 from feedlake.llm.simple8b import read_ids, write_ids
 from feedlake.llm.token_counts import count_tokens
+from feedlake.llm.turn_alignment import damaged, repair_summary
 from feedlake.workspace import new_dir
 
 TOKEN_LIMIT = 1024
@@ -86,6 +89,19 @@ def op10_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", F.length("text").cast("bigint").alias("n_chars"), "text")
 
 
+def op11_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_summary(damaged(conversations), ids=conversations)
+
+
+def op12_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(table(spark, sf_dir, "embeddings"), k=8, rounds=10, size=64, salt="3")
+
+
+def op13_merge_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 _ALL = [
     op1_host_reputation,
     op2_token_counts,
@@ -97,6 +113,9 @@ _ALL = [
     op8_license_rules,
     op9_quality_rules,
     op10_layout_text,
+    op11_turn_alignment,
+    op12_orchard_clusters,
+    op13_merge_automaton,
 ]
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLE: dict[str, str] = {}
