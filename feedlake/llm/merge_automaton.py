@@ -11,9 +11,9 @@ Every arc of one label leads to one state, so that state is named by the label,
 when (`lost`). State x has arc t unless some state it is copied from, before that copy was made, lost t, or lost a left
 part of t no later than the merge that needed it (`arc`). Arcs are decided once and kept in a transition table.
 
-Encoding runs over a word's symbols: from the state at a position, every token that starts there and has an arc leads
-to the position behind it. The tokenization of each prefix is unique, so each position has one state, and the path
-is read back from the end: time is linear in the word's length. Decoding emits the arcs' labels.
+Encoding runs over a word's symbols: from the state at a position, the longest token that starts there and has an arc is
+taken first, a shorter one if that leads nowhere. The tokenization of each prefix is unique, so a position is entered from
+one place only, and time is linear in the word's length. Decoding emits the arcs' labels.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from feedlake.llm.rows import BoundedCache, map_texts
 from feedlake.llm.token_counts import byte_alphabet
 
 BITS = 20  # of a label or trie node number
-#: Arcs kept in the transition table before it is emptied, and words and pieces whose ids are kept.
-TABLE, WORDS = 400_000, 250_000
+#: Arcs kept in the transition table before it is emptied, and pieces whose ids are kept.
+TABLE, PIECES = 400_000, 500_000
 
 # Characters whose normal form, lower case and class this Python and the library's tables agree on (tested one by one);
 # texts with others are normalized and cut by the library itself. U+001C to U+001F are white space to str.split alone.
@@ -60,10 +60,10 @@ class MergeAutomaton:
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.added = added
         self.labels = {i: t for t, i in (model["vocab"] | added).items()}
+        self.decimals = [str(i) for i in range(max(self.labels) + 1)]
         self.compile(model["vocab"], model["merges"], model["end_of_word_suffix"])
         self.table: dict[int, bool] = {}
-        self.words = BoundedCache(lambda w: self.encode_word(w.encode()), limit=WORDS)
-        self.pieces = BoundedCache(self.encode_piece, limit=WORDS)
+        self.pieces = BoundedCache(self.encode_piece, limit=PIECES)
 
     def compile(self, vocab: dict[str, int], merges: list, suffix: str) -> None:
         #: symbols of a label: bytes, and 256 + the byte at the end of a word
@@ -113,39 +113,51 @@ class MergeAutomaton:
         symbols, n = list(word), len(word)
         symbols[-1] += 256
         table, next_node, ends = self.table, self.trie.get, self.ends
-        state, start = [-1] * (n + 1), [0] * (n + 1)  # label that leads to a position, and where its arc starts
-        for i in range(n):
-            x, node = state[i], 0
-            if x < 0 and i:
-                continue
+        ids: list[int] = []
+        open_arcs: list[list[tuple[int, int]]] = []  # of each position on the path: (label, where it ends), longest last
+        i, x = 0, -1
+        while True:
+            arcs, node = [], 0
             for p in range(i, n):
                 node = next_node(node << 9 | symbols[p])
                 if node is None:
                     break
                 t = ends[node]
-                if t < 0 or state[p + 1] >= 0:
-                    continue
-                if i:
+                if t >= 0:
+                    arcs.append((t, p + 1))
+            while True:
+                while arcs:
+                    t, at = arcs.pop()
+                    if x < 0:
+                        break  # the start state has lost no arc
                     key = x << BITS | t
                     ok = table.get(key)
                     if ok is None:
                         if len(table) >= TABLE:
                             table.clear()
                         ok = table[key] = self.arc(x, t)
-                    if not ok:
-                        continue
-                state[p + 1], start[p + 1] = t, i  # the start state has lost no arc
-        ids, at = [], n
-        while at:
-            ids.append(state[at])
-            at = start[at]
-        return tuple(reversed(ids))
+                    if ok:
+                        break
+                else:  # no arc leads on: back to the position before
+                    arcs = open_arcs.pop()
+                    ids.pop()
+                    x = ids[-1] if ids else -1
+                    continue
+                break
+            ids.append(t)
+            if at == n:
+                return tuple(ids)
+            open_arcs.append(arcs)
+            i, x = at, t
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
-        """Ids of a lower-cased piece without white space; only ASCII letters: one word, by the pattern."""
+        """Ids of a lower-cased piece without white space. Only ASCII letters: one word, by the pattern."""
         if piece.isascii() and piece.isalpha():
-            return self.words[piece]
-        return tuple(chain.from_iterable(map(self.words.__getitem__, self.find(piece))))
+            return self.encode_word(piece.encode())
+        words = self.find(piece)
+        if len(words) == 1:
+            return self.encode_word(piece.encode())
+        return tuple(chain.from_iterable(map(self.pieces.__getitem__, words)))
 
     def encode_plain(self, text: str) -> list[int]:
         """Ids of a text without special strings."""
@@ -229,12 +241,14 @@ def round_trip_digests(docs: DataFrame, vocabulary_path: str, keep=("doc_id",),
     def make():
         automaton = _automaton(shared)
 
+        decimals = automaton.decimals.__getitem__
+
         def run(texts):
             out = ([], [], [])
             for t in texts:
                 ids = automaton.encode(t)
                 out[0].append(len(ids))
-                out[1].append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                out[1].append(hashlib.sha256(" ".join(map(decimals, ids)).encode()).hexdigest())
                 out[2].append(hashlib.sha256(automaton.decode(ids).encode()).hexdigest())
             return out
 
