@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField
 
-from feedlake.llm.pretokens import chunks, pretokens
+from feedlake.llm.pretokens import chunks, letters, pretokens
 from feedlake.llm.rows import BoundedCache, map_texts
 
 
+BITS = 20  # of an id
 WORD = 8  # log2 of the bits in a bitmap word
 _BIT = [1 << k for k in range(1 << WORD)]
 _LOW = (1 << WORD) - 1
@@ -32,85 +33,103 @@ class Codec:
         lines = (line.split() for line in rank_file.splitlines() if line.strip())
         self.ranks = {base64.b64decode(a): int(b) for a, b in lines}
         self.tokens = {r: t for t, r in self.ranks.items()}
-        self.bitmap = [0] * ((max(self.tokens) >> WORD) + 1)  # all zero between pre-tokens
-        self.words = BoundedCache(lambda w: self.encode_pretoken(w.encode()), limit=350_000)
-        self.after_space = BoundedCache(self.encode_after_space, limit=250_000)
+        if max(self.tokens) >= 1 << BITS:
+            raise ValueError("the vocabulary is too large")
+        self.bytes = [self.ranks[bytes([b])] for b in range(256)]
+        # left id and right id -> rank, which is the id of what they merge to
+        self.pairs: dict[int, int] = {}
+        ids = self.ranks
+        for token, rank in ids.items():
+            for cut in range(1, len(token)):
+                left, right = ids.get(token[:cut]), ids.get(token[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left << BITS | right] = rank
+        self.of_bytes = [ids.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+        # of each rank: its bitmap word, its bit there, and that word's bit above
+        ranks = range(max(self.tokens) + 1)
+        self.word_of = [r >> WORD for r in ranks]
+        self.bit_of = [_BIT[r & _LOW] for r in ranks]
+        above = [1 << w for w in range(self.word_of[-1] + 1)]
+        self.top_of = [above[w] for w in self.word_of]
+        self.bitmap = [0] * len(above)  # all zero between pre-tokens
+        self.words = BoundedCache(lambda w: self.encode_pretoken(w.encode()), limit=100_000)
+        self.after_space = BoundedCache(self.encode_after_space, limit=450_000)
 
     def encode_after_space(self, piece: str) -> tuple[int, ...]:
-        """Ids of a piece between spaces, with the space before it. Only letters: one pre-token, by the pattern."""
-        if piece.isascii() and piece.isalpha():
-            return self.words[" " + piece]
+        """Ids of a piece between spaces, with the space before it. Letters at its start are one pre-token, by the pattern,
+        and known as a piece of their own; what follows them is cut alike without them."""
+        if piece.isalpha():
+            return self.encode_pretoken((" " + piece).encode())
+        head = letters(piece)
+        if head:
+            return self.after_space[head] + tuple(chain.from_iterable(map(self.words.__getitem__, pretokens(piece[len(head) :]))))
         return tuple(chain.from_iterable(map(self.words.__getitem__, pretokens(" " + piece))))
 
     def encode_pretoken(self, piece: bytes) -> tuple[int, ...]:
-        ranks = self.ranks
-        whole = ranks.get(piece)
+        whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
         n, bitmap, top, buckets = len(piece), self.bitmap, 0, {}
-        find = ranks.get
-        right, left = list(range(1, n + 1)), list(range(-1, n - 1))  # right[i] is also where symbol i ends
-        pair = [-1] * n  # rank of the pair that starts at a position; -1: none, or the symbol is gone
-        for i in range(n - 1):
-            r = find(piece[i : i + 2])
-            if r is not None:
-                pair[i] = r
-                if r in buckets:
-                    held = buckets[r]
-                    if type(held) is int:
-                        buckets[r] = [held, i]
-                    else:
-                        held.append(i)  # ascending, so a heap
-                else:
-                    buckets[r] = i
-                    bitmap[r >> WORD] |= _BIT[r & _LOW]
-                    top |= 1 << (r >> WORD)
+        find, of_bytes, word_of, bit_of, top_of = self.pairs.get, self.of_bytes, self.word_of, self.bit_of, self.top_of
+        symbols = list(map(self.bytes.__getitem__, piece))
+        # rank of the pair that starts at a position; -1: none, or the symbol is gone
+        pair = [of_bytes[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        pair.append(-1)
+        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+        for i, r in enumerate(pair):
+            if r < 0:
+                continue
+            held = buckets.setdefault(r, i)
+            if held is i:
+                bitmap[word_of[r]] |= bit_of[r]
+                top |= top_of[r]
+            elif type(held) is list:
+                held.append(i)  # ascending, so a heap
+            else:
+                buckets[r] = [held, i]
         while top:
-            w = (top & -top).bit_length() - 1
+            first = top & -top
+            w = first.bit_length() - 1
             bits = bitmap[w]
-            rank = (w << WORD) + (bits & -bits).bit_length() - 1
-            held = buckets[rank]
-            if type(held) is int or len(held) == 1:
-                i = held if type(held) is int else held[0]
-                del buckets[rank]
-                bitmap[w] = bits = bits & (bits - 1)
+            bit = bits & -bits
+            rank = w << WORD | bit.bit_length() - 1
+            i = buckets.pop(rank)
+            if type(i) is list:
+                held, i = i, heapq.heappop(i)  # the leftmost position of the lowest rank
+                if held:
+                    buckets[rank] = held
+            if rank not in buckets:
+                bitmap[w] = bits = bits ^ bit
                 if not bits:
-                    top &= top - 1
-            else:
-                i = heapq.heappop(held)  # the leftmost position of the lowest rank
+                    top ^= first
             if pair[i] != rank:
                 continue  # stale
             j = right[i]
             k = right[j]
             h = left[i]
-            right[i], pair[j] = k, -1
+            right[i], pair[j], symbols[i] = k, -1, rank
+            r = -1
             if k < n:
                 left[k] = i
-                r = find(piece[i : right[k]])
-            else:
-                r = None
-            pair[i] = -1 if r is None else r
-            at = i
+                r = find(rank << BITS | symbols[k], -1)
+            pair[i], at = r, i
             while True:  # queue the new pair on the right, then the one on the left
-                if r is not None:
-                    if r in buckets:
-                        held = buckets[r]
-                        if type(held) is int:
-                            buckets[r] = [held, at] if held < at else [at, held]
-                        else:
-                            heapq.heappush(held, at)
+                if r >= 0:
+                    held = buckets.setdefault(r, at)
+                    if held is at:
+                        bitmap[word_of[r]] |= bit_of[r]
+                        top |= top_of[r]
+                    elif type(held) is list:
+                        heapq.heappush(held, at)
                     else:
-                        buckets[r] = at
-                        bitmap[r >> WORD] |= _BIT[r & _LOW]
-                        top |= 1 << (r >> WORD)
+                        buckets[r] = [held, at] if held < at else [at, held]
                 if at == h or h < 0:
                     break
-                r = find(piece[h:k])
-                pair[h] = -1 if r is None else r
+                pair[h] = r = find(symbols[h] << BITS | rank, -1)
                 at = h
         ids, i = [], 0
         while i < n:
-            ids.append(ranks[piece[i : right[i]]])
+            ids.append(symbols[i])
             i = right[i]
         return tuple(ids)
 

@@ -151,8 +151,8 @@ class MergeAutomaton:
             i, x = at, t
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
-        """Ids of a lower-cased piece without white space. Only ASCII letters: one word, by the pattern."""
-        if piece.isascii() and piece.isalpha():
+        """Ids of a lower-cased piece without white space. Letters alone are one word, by the pattern."""
+        if piece.isalpha():
             return self.encode_word(piece.encode())
         words = self.find(piece)
         if len(words) == 1:

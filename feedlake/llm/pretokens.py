@@ -20,3 +20,12 @@ def chunks(text: str) -> list[str] | None:
     """Pieces between spaces, to be tokenized apart (each but the first with its space in front); None if the text
     has white-space runs that a cut at spaces could split."""
     return None if _spaces_run(text) else text.split(" ")
+
+
+_word_start = re.compile(r"[^\W\d_]+").match
+
+
+def letters(piece: str) -> str:
+    """The letters a piece begins with, which are one match of the pattern; none if other word characters are among them."""
+    found = _word_start(piece)
+    return found[0] if found and found[0].isalpha() else ""

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.pretokens import chunks, pretokens
+from feedlake.llm.pretokens import chunks, letters, pretokens
 from feedlake.llm.rows import SLICE_ROWS, BoundedCache, map_arrow, quoted
 
 #: Ids in a word and bits of each, for selectors 2 to 15.
@@ -142,8 +142,9 @@ class LibraryIds:
         if _plain(piece):
             if piece.isalpha():
                 return self.of_match(" " + piece)
-            if piece[-1] in ",.;:!?" and piece[:-1].isalpha():  # two matches
-                return self.after_space[piece[:-1]] + self.matches[piece[-1]]
+            head = letters(piece)  # with the space one match, known as a piece of its own
+            if head:
+                return self.after_space[head] + b"".join(map(self.matches.__getitem__, pretokens(piece[len(head) :])))
             return b"".join(map(self.matches.__getitem__, pretokens(" " + piece)))
         return self.whole(" " + piece)
 
