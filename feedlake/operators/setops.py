@@ -14,7 +14,9 @@ def difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     if len(left.columns) != len(right.columns):
         raise ValueError(f"{len(left.columns)} and {len(right.columns)} columns")
-    tag = "__in_right"
+    tag = "in_right"
+    while tag in {c.lower() for c in (*left.columns, *right.columns)}:
+        tag += "_"
     both = left.withColumn(tag, F.lit(0)).union(right.withColumn(tag, F.lit(1)))
     rows = [F.col("`" + c.replace("`", "``") + "`") for c in left.columns]
     return both.groupBy(*rows).agg(F.max(tag).alias(tag)).where(F.col(tag) == 0).drop(tag)

@@ -1,7 +1,7 @@
 """Composite pipelines (the user-level operators): ingest, reconcile, validate, deliver, run_feed."""
 
 from feedlake.plans.delivery import deliver_request, render_request_sql, run_request_sql
-from feedlake.plans.feed import run_feed
+from feedlake.plans.feed import run_feed, run_landing
 from feedlake.plans.ingest import build_raw, history_snapshot, ingest_partition, load_raw, post_batch_audit
 from feedlake.plans.recon import align_source, prepare_raw, recon_difference, reconcile
 from feedlake.plans.validate import (
@@ -26,6 +26,7 @@ __all__ = [
     "reconcile",
     "render_request_sql",
     "run_feed",
+    "run_landing",
     "run_request_sql",
     "schema_checks",
     "validate_files",

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.sinks.tables import create_target, load_target
+from feedlake.sinks.tables import replace_target
 from feedlake.sources.control import access_zone_lookup, requested_columns
 from feedlake.spec import RequestSpec
 
@@ -38,8 +38,9 @@ def resolve_zone(zones: DataFrame, zone_id: str) -> tuple[str, str]:
 def deliver_request(
     spark: SparkSession, spec: RequestSpec, zones: DataFrame, columns: DataFrame
 ) -> str:
-    """PIP-12: (re)create <zone db>.<target> at the zone's location from the requested columns, run the
-    request SQL against spec.database and overwrite the target with its result. Returns the table name."""
+    """PIP-12: run the request SQL against spec.database and put its result, with the requested columns, in the place of
+    <zone db>.<target> at the zone's location. Returns the table name. The old target stays until the new rows are
+    all written, so a request that fails leaves it whole (`replace_target`)."""
     location, zone_db = resolve_zone(zones, spec.accesszone_id)
     # one row per requested column: metadata, bounded by the width of the target
     cols = [(r["requestecol"], r["dtype"]) for r in requested_columns(columns, spec.request_id).collect()]
@@ -49,6 +50,6 @@ def deliver_request(
     if "'" in location or "\\" in location or any(ord(c) < 32 for c in location):
         raise ValueError(f"not a location: {location!r}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {zone_db} LOCATION '{location.rstrip('/')}/{zone_db}.db'")
-    create_target(spark, target, cols, f"{location.rstrip('/')}/{spec.target_name}")
-    load_target(run_request_sql(spark, spec.sql_template, spec.database), target)
+    result = run_request_sql(spark, spec.sql_template, spec.database)
+    replace_target(result, target, cols, f"{location.rstrip('/')}/{spec.target_name}")
     return target

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from feedlake.operators.counts import count_rows
-from feedlake.plans.ingest import history_snapshot, load_raw, post_batch_audit
+from feedlake.plans.ingest import history_snapshot, load_raw, post_batch_audit, staged_batch
 from feedlake.plans.validate import ValidationError, validate_schema
 from feedlake.sinks.audit import record_values
-from feedlake.spec import FeedSpec
+from feedlake.sinks.files import stage_feed
+from feedlake.spec import BATCH_COLUMN, FeedSpec
 
 
 def run_feed(
@@ -20,7 +22,7 @@ def run_feed(
     if check_schema:
         raw_schema = spark.table(spec.raw_table).schema
         target = [(f.name, f.dataType.simpleString()) for f in raw_schema.fields if f.name != "batchdate"]
-        ok, report = validate_schema(spark.table(spec.pre_raw_table), target, spec.primary_key)
+        ok, report = validate_schema(staged_batch(spark, spec, batch_date), target, spec.primary_key)
         if not ok:
             bad = report.where(F.col("violations") > 0).collect()  # at most a few rows a column
             raise ValidationError(f"schema validation failed: {[tuple(r) for r in bad]}")
@@ -39,3 +41,37 @@ def run_feed(
     result["audit_count"] = post_batch_audit(spark, spec.raw_table, batch_date, audit_path, spec.pre_raw_table)
     return result
 
+
+def run_landing(
+    spark: SparkSession,
+    spec: FeedSpec,
+    batch_date: str,
+    landing_path: str,
+    quarantine_table: str,
+    location: str,
+    sep: str = ",",
+    data_extension: str = "csv",
+    max_rejected: float | None = None,
+    audit_path: str | None = None,
+) -> dict:
+    """One batch from its landing files to history: stage (good lines and bad ones apart), schema gate, raw, history, audit.
+
+    The feed's schema is raw's. Bad lines lie in the quarantine table with their file's name and do not stop the load,
+    unless their share of the batch is over `max_rejected`; then, as when the gate fails, raw and history stay as they are.
+    """
+    schema = StructType([f for f in spark.table(spec.raw_table).schema.fields if f.name != BATCH_COLUMN])
+    folders = StructType([*schema.fields, StructField(BATCH_COLUMN, StringType())]) if _by_folder(spark, landing_path) else schema
+    staged = stage_feed(spark, landing_path, spec.pre_raw_table, quarantine_table, location, folders, sep, data_extension, batch_date)[batch_date]
+    if audit_path is not None:
+        record_values(spark, audit_path, "stage_landing", spec.pre_raw_table, batch_date,
+                      {"staged rows": staged["good"], "quarantined lines": staged["bad"]})
+    lines = staged["good"] + staged["bad"]
+    if max_rejected is not None and staged["bad"] > max_rejected * lines:
+        raise ValidationError(f"{staged['bad']} of {lines} lines do not fit the schema")
+    return {**staged, **run_feed(spark, spec, batch_date, audit_path)}
+
+
+def _by_folder(spark: SparkSession, landing_path: str) -> bool:
+    """Whether the landing folder has batchdate=<d> folders, from Spark's own listing (no file is opened)."""
+    listing = spark.read.format("binaryFile").load(landing_path)
+    return BATCH_COLUMN in listing.columns

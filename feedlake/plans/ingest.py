@@ -21,13 +21,29 @@ from feedlake.operators.snapshot import full_refresh, incremental_snapshot, snap
 from feedlake.sinks.audit import audit_events, record_audit, record_values
 from feedlake.sinks.tables import overwrite_partition, overwrite_raw, table_buckets
 from feedlake.sources.tables import batch_partitions, latest_partition
-from feedlake.spec import BATCH_COLUMN, DEFAULT_SNAPSHOT_DATE, FeedSpec
+from feedlake.spec import BATCH_COLUMN, DEFAULT_SNAPSHOT_DATE, PROVENANCE, REJECTED, FeedSpec
 from feedlake.workspace import new_name, observed_metrics
 
 
+def staged_batch(spark: SparkSession, spec: FeedSpec, batch_date: str) -> DataFrame:
+    """The pre-raw rows of one batch. A pre-raw table with a batchdate column holds several batches, of which this one's
+    partition is read; any other table is one batch."""
+    rows = spark.table(spec.pre_raw_table)
+    if BATCH_COLUMN not in rows.columns:
+        return rows
+    return rows.where(F.col(BATCH_COLUMN) == F.lit(check_batch_date(batch_date))).drop(BATCH_COLUMN)
+
+
+def feed_rows(staged: DataFrame) -> DataFrame:
+    """Staged rows without rejected lines and without the columns that staging adds."""
+    if REJECTED in staged.columns:
+        staged = staged.where(F.col(REJECTED).isNull())
+    return staged.drop(*PROVENANCE)
+
+
 def build_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> DataFrame:
     """The raw image for one batch as a lazy plan (PIP-1 when incremental, else PIP-2)."""
-    delta = spark.table(spec.pre_raw_table)
+    delta = feed_rows(staged_batch(spark, spec, batch_date))
     layout = table_buckets(spark, spec.raw_table)
     if spec.buckets is not None and (layout is None or layout[0] != spec.buckets):
         raise ValueError(f"{spec.raw_table} is not bucketed into {spec.buckets}: {layout}")

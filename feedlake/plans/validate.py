@@ -18,7 +18,7 @@ from feedlake.operators.setops import difference
 from feedlake.sinks.audit import record_values
 from feedlake.sinks.files import write_diff_json
 from feedlake.sources.files import scan_delimited
-from feedlake.spec import split_list, REJECTED
+from feedlake.spec import BATCH_COLUMN, PROVENANCE, REJECTED, SOURCE_FILE, split_list
 from feedlake.workspace import materialize
 
 CHECK_SCHEMA = "check string, column_name string, violations bigint"
@@ -61,13 +61,15 @@ def schema_checks(
 ) -> DataFrame:
     """PIP-11 report: (check, column_name, violations) for
     missing_column, extra_column, column_order (metadata), uncastable, null_key, duplicate_key (data).
+
+    Columns that staging adds (`spec.PROVENANCE`) are known and no extra columns; rejected lines are counted.
     """
     spark = df.sparkSession
     fields = _target_fields(target)
     tnames = [f.name.lower() for f in fields]
     dnames = {c.lower(): c for c in df.columns}
     meta = [("missing_column", f.name, 1) for f in fields if f.name.lower() not in dnames]
-    meta += [("extra_column", c, 1) for c in df.columns if c.lower() not in tnames and c != REJECTED]
+    meta += [("extra_column", c, 1) for c in df.columns if c.lower() not in tnames and c not in PROVENANCE]
     common_t = [n for n in tnames if n in dnames]
     common_d = [c.lower() for c in df.columns if c.lower() in tnames]
     meta += [("column_order", dnames[a], 1) for a, b in zip(common_t, common_d) if a != b]
@@ -113,8 +115,9 @@ def schema_checks(
 def validate_schema(
     df: DataFrame, target: StructType | Iterable[tuple[str, str]], keys: str | Iterable[str]
 ) -> tuple[bool, DataFrame]:
-    """PIP-11 gate: passes when no check has violations. Returns (passed, report)."""
-    report = schema_checks(df, target, keys)
+    """PIP-11 gate: passes when no check has violations. Returns (passed, report); the report is computed once and read
+    from the shared folder (some rows a column)."""
+    report = materialize(schema_checks(df, target, keys), "schema-report")
     failed = report.where(F.col("violations") > 0).limit(1).count()
     return failed == 0, report
 
@@ -136,11 +139,15 @@ def validate_landing(
     output_path, or to <output_prefix>/<UTC run time yyyyMMddHHmmss>. With audit_path both outcomes are audit events,
     recorded before a failed gate raises."""
     table = spark.table(pre_raw_table)
+    # the files hold the feed's columns alone: without what staging adds, and the batch column that folders supply
+    fed = table.drop(*PROVENANCE) if REJECTED not in table.columns else table.where(F.col(REJECTED).isNull()).drop(*PROVENANCE)
+    if SOURCE_FILE in table.columns:
+        table, fed = table.drop(BATCH_COLUMN), fed.drop(BATCH_COLUMN)
     result: dict = {"file_differences": None}
     if output_path is None and output_prefix is not None:
         output_path = f"{output_prefix.rstrip('/')}/{time.strftime('%Y%m%d%H%M%S', time.gmtime())}"
     if files_path is not None:
-        result["file_differences"], _ = validate_files(spark, files_path, table, sep, output_path)
+        result["file_differences"], _ = validate_files(spark, files_path, fed, sep, output_path)
         result["output_path"] = output_path
     target = [(f.name, f.dataType.simpleString()) for f in spark.table(target_table).schema.fields
               if f.name != "batchdate"]

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from feedlake.functions.columns import ddl_type, resolve_columns
+from feedlake.functions.columns import check_batch_date, ddl_type, resolve_columns
 from feedlake.sources.tables import NULL_PARTITION, batch_partitions
 from feedlake.spec import BATCH_COLUMN
-from feedlake.workspace import materialize, new_name, observed_metrics
+from feedlake.workspace import new_name, observed_metrics
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 _MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -89,11 +89,45 @@ def table_buckets(spark: SparkSession, name: str) -> tuple[int, list[str]] | Non
 
 
 def align_to_table(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
-    """Select the frame's columns in the table's column order (by name, case-insensitive)."""
+    """Select the frame's columns in the table's column order (by name, case-insensitive).
+
+    A column that the table lacks raises, as Spark's own insert does: no value is dropped without a word.
+    """
     target = spark.table(table).columns
+    known = {c.lower() for c in target}
+    extra = [c for c in df.columns if c.lower() not in known]
+    if extra:
+        raise ValueError(f"{table} has no columns {extra}")
     return df.select(*resolve_columns(df, target))
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_check_ident(name)}").collect()
+    return next(r["data_type"] for r in reversed(rows) if r["col_name"] == "Location")
+
+
+def swap_table(df: DataFrame, table: str) -> None:
+    """Replace all rows of a table without partitions: a twin of the table (columns, buckets) is filled in a fresh folder
+    beside the old one, then the table's location moves there. A failed write leaves the table as it was; the old
+    folder is left to storage administration."""
+    spark = df.sparkSession
+    old = table_location(spark, table)
+    fresh = _check_location(f"{_base_folder(old)}-{new_name('v')}")
+    twin = f"{_check_ident(table)}_{new_name('twin')}"
+    spark.sql(f"CREATE TABLE {twin} LIKE {table} LOCATION '{fresh}'")
+    try:
+        df.write.insertInto(twin)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
+        spark.catalog.refreshTable(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {twin}")  # external: the files stay
+
+
+def _base_folder(location: str) -> str:
+    """A table's first folder: without the mark of an earlier swap."""
+    return re.sub(r"(-v_[0-9a-f]{12})+$", "", location.rstrip("/"))
+
+
 def coalesce_output(df: DataFrame, n: int | None) -> DataFrame:
     """SNK-11: bound the output file count. None keeps the natural split-sized partitions.
 
@@ -113,8 +147,7 @@ def overwrite_raw(df: DataFrame, table: str, batch_date: str | None = None, num_
 
     On a table partitioned by batchdate the image's partitions are written in dynamic mode, which swaps them in at
     commit, and only then are partitions that the image lacks emptied: a failed write leaves every old row. Should the
-    job stop between the two steps, running the batch again finishes it. For other tables the image is first written to
-    the shared folder, so a failure while it is computed leaves the old rows too; only a plain copy follows.
+    job stop between the two steps, running the batch again finishes it. Other tables are swapped (`swap_table`).
     """
     from feedlake.functions.columns import with_batchdate
 
@@ -122,8 +155,7 @@ def overwrite_raw(df: DataFrame, table: str, batch_date: str | None = None, num_
     out = with_batchdate(df, batch_date) if batch_date is not None else df
     out = spread_output(align_to_table(out, spark, table), num_partitions)
     if batch_partitions(spark, table) is None:
-        with overwrite_mode(spark, "static"):
-            materialize(out, "raw-image").write.insertInto(_check_ident(table), overwrite=True)
+        swap_table(out, table)
         return
     before = _all_partitions(spark, table)
     seen = Observation(new_name("raw_batches"))
@@ -185,13 +217,60 @@ def create_target(spark: SparkSession, name: str, columns: list[tuple[str, str]]
     spark.catalog.createTable(name, path=location, source="parquet", schema=schema)
 
 
+def _as_declared(df: DataFrame, target: StructType, name: str) -> DataFrame:
+    """The request's columns by position, each cast to the declared type under its declared name."""
+    if len(target.fields) != len(df.columns):
+        raise ValueError(f"{name} has {len(target.fields)} columns, the request returns {len(df.columns)}")
+    places = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # a request may return one name twice
+    return places.select(*[F.col(f"c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(target.fields)])
+
+
 def load_target(df: DataFrame, table: str) -> None:
-    """SNK-7: overwrite the target with the result of a request (positional, like INSERT ... SELECT *)."""
+    """SNK-7: overwrite the target with the result of a request (positional, like INSERT ... SELECT *).
+
+    The rows are written beside the old ones, and the table moves to them when all are there (`swap_table`)."""
     spark = df.sparkSession
-    target = spark.table(table).schema
-    if len(target.fields) != len(df.columns):
-        raise ValueError(f"{table} has {len(target.fields)} columns, the request returns {len(df.columns)}")
-    # the reference relies on position; cast each column to the declared type under its declared name
-    out = df.select(*[df[c].cast(f.dataType).alias(f.name) for c, f in zip(df.columns, target.fields)])
-    with overwrite_mode(spark, "static"):
-        out.write.insertInto(_check_ident(table), overwrite=True)
+    swap_table(_as_declared(df, spark.table(table).schema, table), table)
+
+
+def replace_target(df: DataFrame, name: str, columns: list[tuple[str, str]], location: str) -> None:
+    """SNK-6 and SNK-7 as one safe step: the target with the requested columns, holding the request's result.
+
+    The new table is created under another name in a fresh folder at `location` and filled; only then do the names change
+    hands. Until the last row is written the old target, its columns and its rows stay as they are.
+    """
+    if not columns:
+        raise ValueError(f"no columns requested for {name}")
+    spark = df.sparkSession
+    schema = StructType([StructField(c, ddl_type(t), True) for c, t in columns])
+    out = _as_declared(df, schema, name)
+    fresh, old = f"{_check_ident(name)}_{new_name('new')}", f"{name}_{new_name('old')}"
+    folder = _check_location(f"{_base_folder(location)}-{new_name('v')}")
+    spark.catalog.createTable(fresh, path=folder, source="parquet", schema=schema)
+    try:
+        out.write.insertInto(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    had = spark.catalog.tableExists(name)
+    if had:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    if had:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")  # external: the files stay
+
+
+def point_partitions(spark: SparkSession, table: str, folders: dict[str, str | None]) -> None:
+    """Move batchdate partitions of an external table: each batch to its folder, or out of the table for None.
+    Metadata only: files are neither moved nor deleted."""
+    for day, folder in sorted(folders.items()):
+        part = f"PARTITION ({BATCH_COLUMN} = '{check_batch_date(day)}')"
+        if folder is None:
+            spark.sql(f"ALTER TABLE {_check_ident(table)} DROP IF EXISTS {part}")
+            continue
+        at = f"LOCATION '{_check_location(folder)}'"
+        if day in (batch_partitions(spark, table) or []):
+            spark.sql(f"ALTER TABLE {_check_ident(table)} {part} SET {at}")
+        else:
+            spark.sql(f"ALTER TABLE {_check_ident(table)} ADD {part} {at}")
+    spark.catalog.refreshTable(table)

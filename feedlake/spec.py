@@ -12,6 +12,10 @@ NEW_RECORD_LABEL = "new record"  # column_name of difference rows whose key is u
 BATCH_COLUMN = "batchdate"  # string partition column, ISO yyyy-MM-dd
 # staged text lines that do not fit the feed's schema keep their text in this column
 REJECTED = "rejected_line"
+# the landing file a staged row came from
+SOURCE_FILE = "source_file"
+# columns that staging adds: the schema gate knows them and a load leaves them out
+PROVENANCE = (SOURCE_FILE, REJECTED)
 
 
 def split_list(value: str | list[str] | tuple[str, ...] | None) -> list[str]:
