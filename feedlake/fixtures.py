@@ -108,6 +108,26 @@ def write_landing(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def add_damaged_lines(df: DataFrame, root: str, key: str) -> None:
+    """One line of too few fields, `<key>|broken`, for every 50th key of each batch, in files of their own."""
+    bad = df.where(F.col(key) % 50 == 0).select(F.concat(F.col(key).cast("string"), F.lit(f"{LANDING_SEP}broken")).alias("line"), BATCH_COLUMN)
+    # a one-column CSV with a separator and quote that the line does not hold is the line itself
+    bad.write.mode("append").option("sep", "\t").partitionBy(BATCH_COLUMN).csv(root)
+
+
+def write_damaged_landing(spark: SparkSession, sf_dir: str) -> str:
+    """`write_landing` plus damaged lines."""
+    root = write_landing(spark, sf_dir)
+    add_damaged_lines(daily_events(spark, sf_dir), root, "event_id")
+    return root
+
+
+def add_landing_batch(batch: DataFrame, root: str, key: str) -> None:
+    """One batch's rows as delimited landing files, with damaged lines."""
+    batch.write.mode("append").options(**TEXT_OPTIONS).option("sep", LANDING_SEP).partitionBy(BATCH_COLUMN).csv(root)
+    add_damaged_lines(batch, root, key)
+
+
 def source_database(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
     """A database of external tables over the driver's Parquet files (no data is copied)."""
     shared_dir(spark)

@@ -5,6 +5,7 @@ from feedlake.operators.compare import (
     has_duplicate_keys,
     key_profile,
     keyed_difference_report,
+    mismatch_flags,
     mismatch_report,
     pair_on_keys,
     recon_mismatch,
@@ -38,6 +39,7 @@ __all__ = [
     "key_profile",
     "keyed_difference_report",
     "latest_batch",
+    "mismatch_flags",
     "mismatch_report",
     "pair_on_keys",
     "recon_mismatch",

@@ -89,7 +89,8 @@ def pair_on_keys(raw: DataFrame, diff: DataFrame, keys: str | Iterable[str]) ->
     return d.join(prof, key_cols, "inner")
 
 
-def _flags(diff_types: dict[str, DataType], cols: list[str], null_safe: bool = False) -> list[Column]:
+def mismatch_flags(diff_types: dict[str, DataType], cols: list[str], null_safe: bool = False) -> list[Column]:
+    """FN-1 over `pair_on_keys`: per column its name where some raw row of the key holds another value, else ''."""
     out = []
     for c in cols:
         v = _orderable(F.col(_DIFF + c), diff_types[c])
@@ -121,7 +122,7 @@ def mismatch_report(
     d = diff.select(*key_cols, *[F.col(c).alias(_DIFF + c) for c in cols])
     joined = d.join(prof, key_cols, "left")
     label = F.when(F.col(_HIT).isNull(), F.lit(NEW_RECORD_LABEL)).otherwise(
-        array_to_string(mismatch_array(_flags(types, cols, null_safe)))
+        array_to_string(mismatch_array(mismatch_flags(types, cols, null_safe)))
     )
     return joined.select(*key_cols, label.alias("column_name"))
 
@@ -132,7 +133,7 @@ def recon_mismatch(raw: DataFrame, diff: DataFrame, keys: str | Iterable[str]) -
     cols = _compare_columns(raw, diff, key_cols)
     types = {f.name: f.dataType for f in diff.schema.fields}
     paired = pair_on_keys(raw, diff, key_cols)
-    return paired.select(*key_cols, array_to_string(mismatch_array(_flags(types, cols))).alias("column_name"))
+    return paired.select(*key_cols, array_to_string(mismatch_array(mismatch_flags(types, cols))).alias("column_name"))
 
 
 def anti_join_keys(left: DataFrame, right: DataFrame, keys: str | Iterable[str]) -> DataFrame:

@@ -51,6 +51,10 @@ DIFF_CSV = """diff_csv AS (SELECT * FROM recon_source_csv EXCEPT SELECT * FROM o
 
 DAILY = """daily AS (SELECT *, strftime(ts, '%Y-%m-%d') AS batchdate FROM events)"""
 
+DOUBLED_DAY = """doubled_day AS (
+  SELECT event_id, ts, user_id, event_type, value * 2 AS value, props, batchdate FROM daily
+  WHERE batchdate = '2024-01-15')"""
+
 NULL_STRINGS = """null_strings AS (
   SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
          o_totalprice, o_orderdate, o_orderpriority FROM orders)"""
@@ -108,10 +112,6 @@ ORACLE.update({
         "WHERE 'req-' || replace(lower(r_name), ' ', '_') = 'req-europe'"
         for c, t in [("c_custkey", "bigint"), ("c_name", "string"), ("n_orders", "bigint"), ("max_price", "double")]
     ),
-    "table_columns": """SELECT DISTINCT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name AS col_name,
-        CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
-          WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type
-        FROM information_schema.columns WHERE table_name = 'orders'""",
     # 2.2 sinks
     "overwrite_raw": "SELECT *, '2024-01-02' AS batchdate FROM orders",
     "append_raw": SNAP + "SELECT * FROM snapshot",
@@ -119,13 +119,16 @@ ORACLE.update({
         CASE WHEN batchdate = '2024-01-15' THEN value * 2 ELSE value END AS value, props, batchdate FROM daily""",
     "write_diff_json": RECON + "SELECT * FROM diff",
     "write_info_csv": RECON + mismatch_sql("diff") + " UNION ALL " + new_records_sql("diff"),
-    "create_target": """SELECT * FROM (VALUES (0, 'c_custkey', 'bigint'), (1, 'c_name', 'string'),
-        (2, 'n_orders', 'bigint'), (3, 'max_price', 'double')) AS t(ordinal, col_name, data_type)
-        WHERE EXISTS (SELECT 1 FROM region WHERE lower(r_name) = 'europe')""",
+    "create_target": """SELECT c_custkey, c_name, CAST(NULL AS BIGINT) AS n_orders, CAST(NULL AS DOUBLE) AS max_price
+        FROM customer""",
     "load_target": REQUEST,
-    "publish_fanout": with_(DAILY) + """SELECT batchdate, count(*) AS cnt, 'a' AS target FROM daily GROUP BY batchdate
-        UNION ALL SELECT batchdate, count(*) AS cnt, 'b' AS target FROM daily GROUP BY batchdate""",
+    "publish_fanout": with_(DAILY, DOUBLED_DAY) + """SELECT *, 'a' AS target FROM daily
+        UNION ALL SELECT *, 'b' AS target FROM daily WHERE batchdate <> '2024-01-15'
+        UNION ALL SELECT *, 'b' AS target FROM doubled_day UNION ALL SELECT *, 'c' AS target FROM doubled_day""",
     "stage_landing": with_(DAILY) + "SELECT * FROM daily",
+    "stage_feed": with_(DAILY) + "SELECT * FROM daily",
+    "stage_quarantine": with_(DAILY) + """SELECT CAST(event_id AS VARCHAR) || '|broken' AS rejected_line, true AS from_csv,
+        batchdate FROM daily WHERE event_id % 50 = 0""",
     "record_audit": with_(DAILY) + """SELECT 'Delta Count Raw' AS message, batchdate, count(*) AS cnt
         FROM daily GROUP BY batchdate""",
     "coalesce_output": "SELECT * FROM events",
@@ -158,7 +161,8 @@ ORACLE.update({
     "count_by_batch": SNAP + "SELECT batchdate, count(*) AS cnt FROM snapshot GROUP BY batchdate",
     "count_unchanged": with_(HISTORY, DELTA, LATEST, UNCHANGED) + "SELECT count(*) AS unchangedcnt FROM unchanged",
     "snapshot_date": SNAP + "SELECT coalesce(max(batchdate), '2001-01-31') AS snapshot_date FROM snapshot",
-    "is_empty": RECON + "SELECT (SELECT count(*) FROM diff) = 0 AS is_empty",
+    "is_empty": RECON + """SELECT (SELECT count(*) FROM diff) = 0 AS is_empty, 'difference' AS of
+        UNION ALL SELECT (SELECT count(*) FROM (SELECT * FROM orders EXCEPT SELECT * FROM orders)) = 0, 'itself'""",
     # 2.9 / 2.10
     "except_distinct": with_(DAILY) + """SELECT user_id, event_type, batchdate FROM daily
         EXCEPT SELECT user_id, event_type, batchdate FROM daily WHERE value > 25""",
@@ -214,4 +218,5 @@ ORACLE.update({
         o_totalprice, o_orderdate, o_orderpriority,
         CASE WHEN o_orderkey % 10 = 0 THEN '2024-01-03' ELSE '2024-01-02' END AS batchdate FROM orders""",
 })
+ORACLE["run_landing"] = ORACLE["run_feed"]
 ORACLE["recon_report_keyed"] = ORACLE["recon_report"]

@@ -21,7 +21,6 @@ from feedlake.functions import (
     fill_empty_strings,
     keys_with_label,
     mismatch_array,
-    mismatch_flag,
     prefix_nonkey,
     rename_columns,
     with_batchdate,
@@ -38,6 +37,7 @@ from feedlake.operators import (
     incremental_snapshot,
     is_empty,
     latest_batch,
+    mismatch_flags,
     mismatch_report,
     pair_on_keys,
     recon_mismatch,
@@ -70,6 +70,7 @@ from feedlake.sinks import (
     publish_fanout,
     read_audit,
     record_audit,
+    stage_feed,
     stage_landing,
     write_diff_json,
     write_info_csv,
@@ -84,10 +85,9 @@ from feedlake.sources import (
     scan_json,
     scan_recon_source,
     scan_table,
-    table_columns,
 )
 from feedlake.spec import BATCH_COLUMN, RequestSpec, ReconSpec
-from feedlake.workspace import new_dir, new_name
+from feedlake.workspace import materialize, new_dir, new_name
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = [fx.ORDER_KEY]
@@ -178,11 +178,6 @@ def q_requested_columns(spark, sf):
     return requested_columns(fx.request_columns(spark, sf), REQUEST)
 
 
-def q_table_columns(spark, sf):
-    db = fx.source_database(spark, sf, ["orders"])
-    return table_columns(spark, f"{db}.orders")
-
-
 # ---- 2.2 sinks ---------------------------------------------------------------------------------------
 
 
@@ -232,8 +227,11 @@ def _target(spark, sf) -> tuple[str, list[tuple[str, str]]]:
 
 
 def q_create_target(spark, sf):
-    name, _ = _target(spark, sf)
-    return table_columns(spark, name)
+    """The created target as a scan finds it after one insert of each requested name: customers by the declared columns."""
+    name, cols = _target(spark, sf)
+    c = fx.table(spark, sf, "customer")
+    c.select(*[(F.col(n) if n in c.columns else F.lit(None)).cast(t).alias(n) for n, t in cols]).write.insertInto(name)
+    return spark.table(name)
 
 
 def q_load_target(spark, sf):
@@ -249,15 +247,13 @@ def q_load_target(spark, sf):
 
 
 def q_publish_fanout(spark, sf):
+    """Rows of both targets: every batch at once to a and b, then one day, doubled, as one batch to b and c."""
     ev = fx.daily_events(spark, sf)
-    targets = [new_dir(spark, "zone_a"), new_dir(spark, "zone_b")]
-    publish_fanout(ev, targets)
-    read = [
-        spark.read.schema(ev.schema).parquet(t).groupBy(BATCH_COLUMN).agg(F.count(F.lit(1)).alias("cnt"))
-        .withColumn("target", F.lit(label))
-        for t, label in zip(targets, ["a", "b"])
-    ]
-    return read[0].unionByName(read[1])
+    targets = {label: new_dir(spark, f"zone_{label}") for label in "abc"}
+    publish_fanout(ev, [targets["a"], targets["b"]])
+    publish_fanout(_doubled_day(spark, sf), [targets["b"], targets["c"]], fx.AUDIT_DAY)
+    read = [spark.read.schema(ev.schema).parquet(t).withColumn("target", F.lit(label)) for label, t in targets.items()]
+    return read[0].unionByName(read[1]).unionByName(read[2])
 
 
 def q_stage_landing(spark, sf):
@@ -267,6 +263,23 @@ def q_stage_landing(spark, sf):
     return staged.drop("source_file", "rejected_line")
 
 
+def _staged_feed(spark, sf) -> tuple[str, str]:
+    """Landing files with some lines of too few fields, staged: the pre-raw and the quarantine table."""
+    db = fx.work_database(spark)
+    stage_feed(spark, fx.write_damaged_landing(spark, sf), f"{db}.pre_raw", f"{db}.quarantine", new_dir(spark, "staged"),
+               fx.daily_events(spark, sf).schema, fx.LANDING_SEP, "csv")
+    return f"{db}.pre_raw", f"{db}.quarantine"
+
+
+def q_stage_feed(spark, sf):
+    return spark.table(_staged_feed(spark, sf)[0]).drop("source_file")
+
+
+def q_stage_quarantine(spark, sf):
+    bad = spark.table(_staged_feed(spark, sf)[1])
+    return bad.select("rejected_line", F.col("source_file").endswith(".csv").alias("from_csv"), BATCH_COLUMN)
+
+
 def q_record_audit(spark, sf):
     path = new_dir(spark, "audit")
     counts = count_by_batch(fx.daily_events(spark, sf))
@@ -380,7 +393,11 @@ def q_snapshot_date(spark, sf):
 
 
 def q_is_empty(spark, sf):
-    return is_empty(_diff(spark, sf))
+    """The answer for the difference, and for the difference of the stored batch with itself, which is empty."""
+    raw = fx.recon_raw(spark, sf)
+    answers = [is_empty(_diff(spark, sf)).withColumn("of", F.lit("difference")),
+               is_empty(difference(raw, raw)).withColumn("of", F.lit("itself"))]
+    return answers[0].unionByName(answers[1])
 
 
 # ---- 2.9 / 2.10 set operations and scalar functions ---------------------------------------------------
@@ -394,26 +411,31 @@ def q_except_distinct(spark, sf):
 
 
 def q_union_all(spark, sf):
-    raw, d = fx.recon_raw(spark, sf), _diff(spark, sf)
+    raw, d = fx.recon_raw(spark, sf), materialize(_diff(spark, sf), "difference")  # both branches read it
     return concat(recon_mismatch(raw, d, KEYS), recon_new_records(d, raw, KEYS))
 
 
+def _flagged(spark, sf) -> tuple[DataFrame, list]:
+    """Difference rows next to their key's raw values, and the shipped flag of each compared column."""
+    d = _diff(spark, sf)
+    p = pair_on_keys(fx.recon_raw(spark, sf), d, KEYS)
+    return p, mismatch_flags({f.name: f.dataType for f in d.schema.fields}, NONKEY)
+
+
 def q_mismatch_flags(spark, sf):
-    p = pair_on_keys(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
-    return p.select(fx.ORDER_KEY, *[mismatch_flag(p[f"df_raw_{c}_max"], p[f"df_diff_{c}"], c).alias(f"flag_{c}")
-                                    for c in NONKEY])
+    p, flags = _flagged(spark, sf)
+    return p.select(fx.ORDER_KEY, *[f.alias(f"flag_{c}") for f, c in zip(flags, NONKEY)])
 
 
 def q_mismatch_array(spark, sf):
-    p = pair_on_keys(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
-    arr = mismatch_array([mismatch_flag(p[f"df_raw_{c}_max"], p[f"df_diff_{c}"], c) for c in NONKEY])
+    p, flags = _flagged(spark, sf)
+    arr = mismatch_array(flags)
     return p.select(fx.ORDER_KEY, F.size(arr).alias("n_mismatch"), F.array_join(arr, "|").alias("columns"))
 
 
 def q_array_to_string(spark, sf):
-    p = pair_on_keys(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
-    arr = mismatch_array([mismatch_flag(p[f"df_raw_{c}_max"], p[f"df_diff_{c}"], c) for c in NONKEY])
-    return p.select(fx.ORDER_KEY, array_to_string(arr).alias("column_name"))
+    p, flags = _flagged(spark, sf)
+    return p.select(fx.ORDER_KEY, array_to_string(mismatch_array(flags)).alias("column_name"))
 
 
 def q_fill_empty_strings(spark, sf):
@@ -514,6 +536,15 @@ def q_deliver_request(spark, sf):
     return spark.table(target)
 
 
+def _feed_batches(orders: DataFrame) -> list[tuple[str, DataFrame]]:
+    k = F.col(fx.ORDER_KEY)
+    return [
+        ("2024-01-01", orders),
+        ("2024-01-02", orders.where(k % 10 >= 7).withColumn("o_orderstatus", F.lit("U"))),
+        ("2024-01-03", orders.where(k % 10 == 0).withColumn("o_orderstatus", F.lit("V"))),
+    ]
+
+
 def q_run_feed(spark, sf):
     """Three daily batches end to end (schema gate, raw, history, audit); the final raw image."""
     from feedlake.plans import run_feed
@@ -526,13 +557,7 @@ def q_run_feed(spark, sf):
         create_feed_table(spark, f"{db}.{t}", stamped.schema, new_dir(spark, t))
     spec = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", history_table=f"{db}.history",
                     primary_key=("o_orderkey",))
-    k = F.col(fx.ORDER_KEY)
-    batches = [
-        ("2024-01-01", orders),
-        ("2024-01-02", orders.where(k % 10 >= 7).withColumn("o_orderstatus", F.lit("U"))),
-        ("2024-01-03", orders.where(k % 10 == 0).withColumn("o_orderstatus", F.lit("V"))),
-    ]
-    for day, delta in batches:
+    for day, delta in _feed_batches(orders):
         pre = new_dir(spark, "pre_raw")
         delta.write.parquet(pre)
         spark.sql(f"DROP TABLE IF EXISTS {spec.pre_raw_table}")
@@ -541,6 +566,23 @@ def q_run_feed(spark, sf):
     return spark.table(spec.raw_table)
 
 
+def q_run_landing(spark, sf):
+    """The same three batches from landing files, some lines of which do not fit: staged, gated, loaded; the final raw image."""
+    from feedlake.plans import run_landing
+    from feedlake.spec import FeedSpec
+
+    db = fx.work_database(spark)
+    orders = fx.table(spark, sf, "orders")
+    for t in ("raw", "history"):
+        create_feed_table(spark, f"{db}.{t}", orders.withColumn(BATCH_COLUMN, F.lit("2001-01-31")).schema, new_dir(spark, t))
+    spec = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", history_table=f"{db}.history", primary_key=("o_orderkey",))
+    landing, staged, audit = new_dir(spark, "landing"), new_dir(spark, "staged"), new_dir(spark, "audit")
+    for day, delta in _feed_batches(orders):
+        fx.add_landing_batch(delta.withColumn(BATCH_COLUMN, F.lit(day)), landing, fx.ORDER_KEY)
+        run_landing(spark, spec, day, landing, f"{db}.quarantine", staged, fx.LANDING_SEP, audit_path=audit)
+    return spark.table(spec.raw_table)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

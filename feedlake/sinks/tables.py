@@ -263,14 +263,16 @@ def replace_target(df: DataFrame, name: str, columns: list[tuple[str, str]], loc
 def point_partitions(spark: SparkSession, table: str, folders: dict[str, str | None]) -> None:
     """Move batchdate partitions of an external table: each batch to its folder, or out of the table for None.
     Metadata only: files are neither moved nor deleted."""
-    for day, folder in sorted(folders.items()):
-        part = f"PARTITION ({BATCH_COLUMN} = '{check_batch_date(day)}')"
-        if folder is None:
-            spark.sql(f"ALTER TABLE {_check_ident(table)} DROP IF EXISTS {part}")
-            continue
-        at = f"LOCATION '{_check_location(folder)}'"
-        if day in (batch_partitions(spark, table) or []):
-            spark.sql(f"ALTER TABLE {_check_ident(table)} {part} SET {at}")
-        else:
-            spark.sql(f"ALTER TABLE {_check_ident(table)} ADD {part} {at}")
+    held = set(batch_partitions(spark, _check_ident(table)) or [])
+    part = {day: f"PARTITION ({BATCH_COLUMN} = '{check_batch_date(day)}')" for day in sorted(folders)}
+    at = {day: f"{part[day]} LOCATION '{_check_location(f)}'" for day, f in sorted(folders.items()) if f is not None}
+    for day in at:
+        if day in held:
+            spark.sql(f"ALTER TABLE {table} {at[day].replace(' LOCATION', ' SET LOCATION', 1)}")
+    new = [at[day] for day in at if day not in held]
+    gone = [part[day] for day in part if day not in at and day in held]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(new)}")
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
     spark.catalog.refreshTable(table)
