@@ -8,12 +8,15 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     DataType,
     DecimalType,
     FractionalType,
     IntegralType,
+    MapType,
     StringType,
     StructType,
+    VariantType,
 )
 
 from feedlake.spec import BATCH_COLUMN, split_list
@@ -123,6 +126,15 @@ def array_to_string(c: Column) -> Column:
     return c.cast("string")
 
 
+def has_map(dtype: DataType) -> bool:
+    """Whether a type is or holds a map (or a variant), which Spark neither orders nor hashes."""
+    if isinstance(dtype, (MapType, VariantType)):
+        return True
+    if isinstance(dtype, ArrayType):
+        return has_map(dtype.elementType)
+    return isinstance(dtype, StructType) and any(has_map(f.dataType) for f in dtype.fields)
+
+
 def ddl_type(type_name: str) -> DataType:
     """Parse a catalog type string (e.g. 'bigint', 'decimal(10,2)') into a Spark type."""
     return StructType.fromDDL(f"x {type_name}").fields[0].dataType

@@ -24,6 +24,7 @@ from feedlake.functions.columns import (
 )
 from feedlake.operators.compare import has_duplicate_keys, keyed_difference_report, mismatch_report
 from feedlake.operators.setops import difference
+from feedlake.plans.ingest import post_batch_audit
 from feedlake.sinks.audit import record_values
 from feedlake.sinks.files import write_diff_json, write_info_csv
 from feedlake.sources.files import scan_recon_source
@@ -113,3 +114,18 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str, audit_path:
         write_info_csv(report, info_path)
         result["info_path"] = info_path
     return result
+
+
+def after_load(
+    spark: SparkSession, mode: str, raw_table: str, batch_date: str, spec: ReconSpec | None = None,
+    audit_path: str | None = None, stream: str = "",
+) -> dict | None:
+    """The job that follows a load, by its flag as configured: exactly 'true' counts the batch (PIP-5), exactly 'false'
+    reconciles it (PIP-9, which needs a spec); any other value does nothing and gives None."""
+    if mode == "true":
+        return {"audit_count": post_batch_audit(spark, raw_table, batch_date, audit_path, stream)}
+    if mode == "false":
+        if spec is None:
+            raise ValueError("reconciliation needs a spec")
+        return reconcile(spark, spec, batch_date, audit_path)
+    return None

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from feedlake.functions.columns import check_batch_date, ddl_type, resolve_columns
+from feedlake.functions.columns import check_batch_date, ddl_type, has_map, resolve_columns
 from feedlake.sources.tables import NULL_PARTITION, batch_partitions
 from feedlake.spec import BATCH_COLUMN
 from feedlake.workspace import new_name, observed_metrics
@@ -137,9 +137,25 @@ def coalesce_output(df: DataFrame, n: int | None) -> DataFrame:
     return df if n is None else df.coalesce(int(n))
 
 
-def spread_output(df: DataFrame, n: int | None) -> DataFrame:
-    """At most n output files a folder behind one more shuffle, so that the joins before it keep their tasks."""
-    return df if n is None else df.repartition(int(n))
+def spread_output(df: DataFrame, n: int | None, buckets: tuple[int, list[str]] | None = None) -> DataFrame:
+    """At most n output files a folder behind one more shuffle, so that the joins before it keep their tasks.
+
+    A bucketed table writes one file a bucket and task. Rows are dealt by the table's own bucket number then, so that a
+    bucket lies in one task; with more files than buckets each bucket is dealt over n // buckets tasks by a salt, which
+    also cuts a bucket made hot by one key. A bucket then has at most max(1, n // buckets) files.
+    """
+    if n is None:
+        return df
+    if buckets is None:
+        return df.repartition(int(n))
+    count, columns = buckets
+    cols = [F.col("`" + c.replace("`", "``") + "`") for c in resolve_columns(df, columns)]
+    salts = max(1, int(n) // count)
+    bucket = F.pmod(F.hash(*cols), F.lit(count))  # Spark's own bucket number
+    if salts == 1:
+        return df.repartition(int(n), bucket)
+    whole = [F.col("`" + f.name.replace("`", "``") + "`") for f in df.schema.fields if not has_map(f.dataType)]
+    return df.repartition(int(n), bucket, F.pmod(F.xxhash64(*whole), F.lit(salts)))
 
 
 def overwrite_raw(df: DataFrame, table: str, batch_date: str | None = None, num_partitions: int | None = None) -> None:
@@ -153,7 +169,7 @@ def overwrite_raw(df: DataFrame, table: str, batch_date: str | None = None, num_
 
     spark = df.sparkSession
     out = with_batchdate(df, batch_date) if batch_date is not None else df
-    out = spread_output(align_to_table(out, spark, table), num_partitions)
+    out = spread_output(align_to_table(out, spark, table), num_partitions, table_buckets(spark, table))
     if batch_partitions(spark, table) is None:
         swap_table(out, table)
         return
@@ -203,7 +219,7 @@ def overwrite_partition(df: DataFrame, table: str, batch_date: str, num_partitio
 
     spark = df.sparkSession
     out = with_batchdate(df.drop(BATCH_COLUMN), batch_date)
-    out = spread_output(align_to_table(out, spark, table), num_partitions)
+    out = spread_output(align_to_table(out, spark, table), num_partitions, table_buckets(spark, table))
     with overwrite_mode(spark, "dynamic"):
         out.write.insertInto(_check_ident(table), overwrite=True)
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 # Fixed values that must equal the reference's for equal results.
 DEFAULT_SNAPSHOT_DATE = "2001-01-31"  # partition used when the raw table is empty
 NEW_RECORD_LABEL = "new record"  # column_name of difference rows whose key is unknown to raw
+DEFAULT_NUM_PARTITIONS = 30  # output files of a load whose settings name no number
 BATCH_COLUMN = "batchdate"  # string partition column, ISO yyyy-MM-dd
 # staged text lines that do not fit the feed's schema keep their text in this column
 REJECTED = "rejected_line"
@@ -46,6 +47,32 @@ class FeedSpec:
     def keys(value: str | list[str]) -> tuple[str, ...]:
         return tuple(split_list(value))
 
+    @classmethod
+    def from_options(cls, options: Mapping[str, str], database: str | None = None, num_partitions: str | None = None) -> FeedSpec:
+        """Build a spec from string-valued feed settings as the batch jobs kept them: source_table, target_table,
+        history_table, a comma-separated primary_key, and incrementalload, which loads increments only if it is exactly
+        'true'. A missing or blank num_partitions is the jobs' default; pass '0' for split-sized files."""
+        def named(key: str) -> str | None:
+            table = options.get(key)
+            return f"{database}.{table}" if table and database and "." not in table else table or None
+
+        count = DEFAULT_NUM_PARTITIONS if num_partitions is None or not num_partitions.strip() else int(num_partitions)
+        return cls(
+            pre_raw_table=named("source_table"),
+            raw_table=named("target_table"),
+            primary_key=tuple(split_list(options["primary_key"])),
+            history_table=named("history_table"),
+            incremental=options.get("incrementalload") == "true",
+            num_partitions=count or None,
+        )
+
+
+def fanout_targets(options: Mapping[str, str]) -> list[str]:
+    """The access folders of a feed's applications, in order: `sotapp` names them, and each has `<app>_access_bucket`, the
+    zone's root, and `<app>_access_file_prefix` below it. A missing setting raises."""
+    apps = split_list(options["sotapp"])
+    return [f"{options[a + '_access_bucket'].rstrip('/')}/{options[a + '_access_file_prefix'].strip('/')}" for a in apps]
+
 
 @dataclass(frozen=True)
 class ReconSpec:
