@@ -12,7 +12,7 @@ from feedlake.operators.compare import (
     recon_new_records,
 )
 from feedlake.operators.counts import count_batch, count_by_batch, count_rows, is_empty
-from feedlake.operators.setops import concat, difference
+from feedlake.operators.setops import bucket_digests, concat, difference, pruned_difference
 from feedlake.operators.snapshot import (
     count_unchanged,
     full_refresh,
@@ -26,6 +26,7 @@ from feedlake.operators.snapshot import (
 
 __all__ = [
     "anti_join_keys",
+    "bucket_digests",
     "concat",
     "count_batch",
     "count_by_batch",
@@ -42,6 +43,7 @@ __all__ = [
     "mismatch_flags",
     "mismatch_report",
     "pair_on_keys",
+    "pruned_difference",
     "recon_mismatch",
     "recon_new_records",
     "snapshot_date",

@@ -218,5 +218,16 @@ ORACLE.update({
         o_totalprice, o_orderdate, o_orderpriority,
         CASE WHEN o_orderkey % 10 = 0 THEN '2024-01-03' ELSE '2024-01-02' END AS batchdate FROM orders""",
 })
+ORACLE["recon_difference_pruned"] = ORACLE["recon_difference"]
+ORACLE["run_feed_journalled"] = """WITH runs AS (
+  SELECT '2024-01-01' AS batchdate, 0 AS base, 0 AS unchanged, count(*) AS delta FROM orders
+  UNION ALL SELECT '2024-01-02', count(*), count(*) FILTER (WHERE o_orderkey % 10 < 7),
+    count(*) FILTER (WHERE o_orderkey % 10 >= 7) FROM orders
+  UNION ALL SELECT '2024-01-03', count(*), count(*) FILTER (WHERE o_orderkey % 10 <> 0),
+    count(*) FILTER (WHERE o_orderkey % 10 = 0) FROM orders)
+SELECT 'base table count' AS message, batchdate, CAST(base AS VARCHAR) AS value FROM runs
+UNION ALL SELECT 'unchanged rec count', batchdate, CAST(unchanged AS VARCHAR) FROM runs
+UNION ALL SELECT 'Delta Count Raw', batchdate, CAST(delta AS VARCHAR) FROM runs
+UNION ALL SELECT 'Partition Date', batchdate, batchdate FROM runs"""
 ORACLE["run_landing"] = ORACLE["run_feed"]
 ORACLE["recon_report_keyed"] = ORACLE["recon_report"]

@@ -23,7 +23,7 @@ from feedlake.functions.columns import (
     split_list,
 )
 from feedlake.operators.compare import has_duplicate_keys, keyed_difference_report, mismatch_report
-from feedlake.operators.setops import difference
+from feedlake.operators.setops import difference, pruned_difference
 from feedlake.plans.ingest import post_batch_audit
 from feedlake.sinks.audit import record_values
 from feedlake.sinks.files import write_diff_json, write_info_csv
@@ -56,11 +56,15 @@ def recon_difference(
     raw: DataFrame,
     drop: str | Iterable[str] = (),
     fill_both: bool = False,
+    pruned_by: str | Iterable[str] = (),
 ) -> DataFrame:
-    """PIP-6: rows of the source (after the drop list) that are not in raw. Raw must be prepared."""
+    """PIP-6: rows of the source (after the drop list) that are not in raw. Raw must be prepared. With `pruned_by` (key
+    columns) only key buckets whose digests differ are compared (`operators.pruned_difference`)."""
     r = drop_columns(raw, drop)
     if fill_both:
         r = fill_empty_strings(r)
+    if pruned_by:
+        return pruned_difference(drop_columns(source, drop), r, pruned_by)
     return difference(drop_columns(source, drop), r)
 
 
@@ -86,7 +90,8 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str, audit_path:
         diff = labelled.drop("column_name")
     else:
         labelled = None
-        diff = materialize(recon_difference(source, raw, spec.drop_columns, spec.fill_both), "recon_difference")
+        by = spec.primary_key if spec.pruned else ()
+        diff = materialize(recon_difference(source, raw, spec.drop_columns, spec.fill_both, by), "recon_difference")
     n_diff = diff.count()
     out = spec.output_path.rstrip("/")
     result = {

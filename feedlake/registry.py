@@ -495,6 +495,11 @@ def q_recon_new_records(spark, sf):
     return recon_new_records(_diff(spark, sf), fx.recon_raw(spark, sf), KEYS)
 
 
+def q_recon_difference_pruned(spark, sf):
+    """The same rows, read from key buckets whose digests differ."""
+    return recon_difference(fx.recon_source(spark, sf), fx.recon_raw(spark, sf), pruned_by=KEYS)
+
+
 def q_recon_report(spark, sf, keyed: bool = False):
     raw = _feed_table(spark, fx.table(spark, sf, "orders").withColumn(BATCH_COLUMN, F.lit(fx.DELTA_DATE)), "raw")
     overwrite_raw(fx.recon_raw(spark, sf), raw, fx.DELTA_DATE)
@@ -566,6 +571,28 @@ def q_run_feed(spark, sf):
     return spark.table(spec.raw_table)
 
 
+def q_run_feed_journalled(spark, sf):
+    """The same three batches through a journal, each called twice; every audit event, which the second call leaves once."""
+    from feedlake.plans import run_feed
+    from feedlake.spec import FeedSpec
+
+    db = fx.work_database(spark)
+    orders = fx.table(spark, sf, "orders")
+    for t in ("raw", "history"):
+        create_feed_table(spark, f"{db}.{t}", orders.withColumn(BATCH_COLUMN, F.lit("2001-01-31")).schema, new_dir(spark, t))
+    spec = FeedSpec(pre_raw_table=f"{db}.pre_raw", raw_table=f"{db}.raw", history_table=f"{db}.history", primary_key=("o_orderkey",))
+    ledger, audit = new_dir(spark, "ledger"), new_dir(spark, "audit")
+    for day, delta in _feed_batches(orders):
+        pre = new_dir(spark, "pre_raw")
+        delta.write.parquet(pre)
+        spark.sql(f"DROP TABLE IF EXISTS {spec.pre_raw_table}")
+        spark.catalog.createTable(spec.pre_raw_table, path=pre, source="parquet")
+        for _ in range(2):
+            run_feed(spark, spec, day, audit, ledger_path=ledger)
+    a = read_audit(spark, audit)
+    return a.select("message", a.args["batchdate"].alias(BATCH_COLUMN), a.args["value"].alias("value"))
+
+
 def q_run_landing(spark, sf):
     """The same three batches from landing files, some lines of which do not fit: staged, gated, loaded; the final raw image."""
     from feedlake.plans import run_landing

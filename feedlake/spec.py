@@ -94,6 +94,9 @@ class ReconSpec:
     # keys unique on both sides (schema gate): difference and report from one keyed join instead of a
     # whole-row EXCEPT plus a profile join
     keyed: bool = False
+    # few differences expected: digests by key bucket first, then the exact difference of unlike buckets alone
+    # (operators.pruned_difference states the bound on a chance miss); keyed takes precedence
+    pruned: bool = False
 
     @classmethod
     def from_options(cls, options: Mapping[str, str], raw_table: str, output_path: str,
