@@ -218,6 +218,16 @@ ORACLE.update({
         o_totalprice, o_orderdate, o_orderpriority,
         CASE WHEN o_orderkey % 10 = 0 THEN '2024-01-03' ELSE '2024-01-02' END AS batchdate FROM orders""",
 })
+_FLAG = """CASE WHEN l_returnflag IS NOT NULL AND TRY_CAST(l_returnflag AS INTEGER) IS NULL THEN
+  '{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"value":"' || l_returnflag || '"}' END"""
+_TWICE = """'{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"n":' || n || '}'"""
+ORACLE["schema_evidence"] = f"""WITH report AS ({ORACLE["schema_validation"]}),
+examples AS (
+  SELECT 'uncastable' AS "check", 'l_returnflag' AS column_name, min({_FLAG}) AS first_example, max({_FLAG}) AS last_example
+  FROM lineitem
+  UNION ALL SELECT 'duplicate_key', 'l_orderkey,l_linenumber', min({_TWICE}), max({_TWICE})
+  FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1))
+SELECT r.*, e.first_example, e.last_example FROM report r LEFT JOIN examples e USING ("check", column_name)"""
 ORACLE["recon_difference_pruned"] = ORACLE["recon_difference"]
 ORACLE["run_feed_journalled"] = """WITH runs AS (
   SELECT '2024-01-01' AS batchdate, 0 AS base, 0 AS unchanged, count(*) AS delta FROM orders

@@ -21,7 +21,7 @@ def _gate(spark: SparkSession, spec: FeedSpec, batch_date: str) -> None:
     ok, report = validate_schema(staged_batch(spark, spec, batch_date), target, spec.primary_key)
     if not ok:
         bad = report.where(F.col("violations") > 0).collect()  # at most a few rows a column
-        raise ValidationError(f"schema validation failed: {[tuple(r) for r in bad]}")
+        raise ValidationError(f"schema validation failed: {[tuple(v for v in r if v is not None) for r in bad]}")
 
 
 def run_feed(

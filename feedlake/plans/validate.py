@@ -57,12 +57,15 @@ def _target_fields(target: StructType | Iterable[tuple[str, str]]) -> list[Struc
 
 
 def schema_checks(
-    df: DataFrame, target: StructType | Iterable[tuple[str, str]], keys: str | Iterable[str]
+    df: DataFrame, target: StructType | Iterable[tuple[str, str]], keys: str | Iterable[str], evidence: bool = False
 ) -> DataFrame:
     """PIP-11 report: (check, column_name, violations) for
     missing_column, extra_column, column_order (metadata), uncastable, null_key, duplicate_key (data).
 
     Columns that staging adds (`spec.PROVENANCE`) are known and no extra columns; rejected lines are counted.
+    With `evidence` two more columns, first_example and last_example, show the violating rows whose JSON text (keys, value,
+    source file) sorts first and last: a minimum and a maximum in the same aggregates, so two rows a rule whatever
+    their number, and no further scan. They are null for rules about columns and where nothing is wrong.
     """
     spark = df.sparkSession
     fields = _target_fields(target)
@@ -75,40 +78,56 @@ def schema_checks(
     meta += [("column_order", dnames[a], 1) for a, b in zip(common_t, common_d) if a != b]
 
     types = {f.name: f.dataType for f in df.schema.fields}
+    named = split_list(keys) if isinstance(keys, str) else list(keys)
+    meta += [("missing_column", k, 1) for k in named if k.lower() not in dnames and k.lower() not in tnames]
+    key_cols = [dnames[k.lower()] for k in named if k.lower() in dnames]
+    row = [F.col(k) for k in key_cols]
+    origin = [F.col(SOURCE_FILE)] if SOURCE_FILE in df.columns else []
+
+    def found(check: str, column: str, violations: Column, bad: Column | None = None, shown: list[Column] = ()) -> Column:
+        parts = [F.lit(check).alias("check"), F.lit(column).alias("column_name"), violations.alias("violations")]
+        if evidence:
+            example = F.lit(None).cast("string") if bad is None else F.when(bad, F.to_json(F.struct(*row, *shown, *origin)))
+            parts += [F.min(example).alias("first_example"), F.max(example).alias("last_example")]
+        return F.struct(*parts)
+
     checks: list[Column] = []
     for f in fields:
         c = dnames.get(f.name.lower())
         if c is None:
             continue
         if types[c] == f.dataType:  # nothing to cast: no per-row work
-            violations = F.lit(0).cast("bigint")
+            checks.append(found("uncastable", f.name, F.lit(0).cast("bigint")))
         else:
             bad = F.col(c).isNotNull() & try_cast(F.col(c), types[c], f.dataType).isNull()
-            violations = F.count(F.when(bad, 1))
-        checks.append(F.struct(F.lit("uncastable").alias("check"), F.lit(f.name).alias("column_name"),
-                               violations.alias("violations")))
+            checks.append(found("uncastable", f.name, F.count(F.when(bad, 1)), bad, [F.col(c).cast("string").alias("value")]))
     if REJECTED in df.columns:
-        checks.append(F.struct(F.lit("rejected_line").alias("check"), F.lit(REJECTED).alias("column_name"),
-                               F.count(REJECTED).alias("violations")))
-    named = split_list(keys) if isinstance(keys, str) else list(keys)
-    meta += [("missing_column", k, 1) for k in named if k.lower() not in dnames and k.lower() not in tnames]
-    key_cols = [dnames[k.lower()] for k in named if k.lower() in dnames]
+        bad = F.col(REJECTED).isNotNull()
+        checks.append(found("rejected_line", REJECTED, F.count(REJECTED), bad, [F.col(REJECTED).alias("value")]))
     for k in key_cols:
-        checks.append(F.struct(F.lit("null_key").alias("check"), F.lit(k).alias("column_name"),
-                               F.count(F.when(F.col(k).isNull(), 1)).alias("violations")))
-    parts = [spark.createDataFrame(meta, CHECK_SCHEMA)]
+        bad = F.col(k).isNull()
+        checks.append(found("null_key", k, F.count(F.when(bad, 1)), bad, [F.lit(None).cast("string").alias("value")]))
+    columns = ["check", "column_name", F.col("violations").cast("bigint")]
+    if evidence:
+        columns += ["first_example", "last_example"]
+    start = spark.createDataFrame(meta, CHECK_SCHEMA)
+    if evidence:
+        start = start.withColumns({c: F.lit(None).cast("string") for c in ("first_example", "last_example")})
+    parts = [start]
     if checks:
         parts.append(df.agg(F.array(*checks).alias("r")).select(F.inline("r")))
     if key_cols:
+        repeated = F.when(F.col("n") > 1, F.to_json(F.struct(*row, F.col("n"))))
+        shown = [F.min(repeated).alias("first_example"), F.max(repeated).alias("last_example")] if evidence else []
         dup = (
             df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("bigint").alias("violations"))
-            .select(F.lit("duplicate_key").alias("check"), F.lit(",".join(key_cols)).alias("column_name"), "violations")
+            .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("bigint").alias("violations"), *shown)
+            .withColumns({"check": F.lit("duplicate_key"), "column_name": F.lit(",".join(key_cols))})
         )
         parts.append(dup)
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p.select("check", "column_name", F.col("violations").cast("bigint")))
+        out = out.unionByName(p.select(*columns))
     return out
 
 
@@ -117,7 +136,7 @@ def validate_schema(
 ) -> tuple[bool, DataFrame]:
     """PIP-11 gate: passes when no check has violations. Returns (passed, report); the report is computed once and read
     from the shared folder (some rows a column)."""
-    report = materialize(schema_checks(df, target, keys), "schema-report")
+    report = materialize(schema_checks(df, target, keys, evidence=True), "schema-report")
     failed = report.where(F.col("violations") > 0).limit(1).count()
     return failed == 0, report
 
@@ -158,6 +177,6 @@ def validate_landing(
                       {"file differences": "skipped" if found is None else found, "schema result": str(ok).lower()})
     if not ok:
         bad = report.where(F.col("violations") > 0).collect()  # at most a few rows a column
-        raise ValidationError(f"schema validation failed: {[tuple(r) for r in bad]}")
+        raise ValidationError(f"schema validation failed: {[tuple(v for v in r if v is not None) for r in bad]}")
     result["schema_ok"] = True
     return result

@@ -532,6 +532,11 @@ def q_schema_validation(spark, sf):
     return schema_checks(fx.table(spark, sf, "lineitem"), SCHEMA_TARGET, "l_orderkey, l_linenumber")
 
 
+def q_schema_evidence(spark, sf):
+    """The same report with the violating rows that sort first and last."""
+    return schema_checks(fx.table(spark, sf, "lineitem"), SCHEMA_TARGET, "l_orderkey, l_linenumber", evidence=True)
+
+
 def q_deliver_request(spark, sf):
     src = fx.source_database(spark, sf, ["customer", "orders"])
     zones = fx.access_zones(spark, sf, new_dir(spark, "zones"))

@@ -69,3 +69,24 @@ def test_validate_landing_job(spark):
     spark.catalog.createTable(f"{db}.dup", path=dup_path, source="parquet")
     with pytest.raises(ValidationError):
         validate_landing(spark, f"{db}.dup", f"{db}.raw", "k")
+
+
+def test_the_gate_shows_the_first_and_last_bad_row_of_each_rule(spark):
+    df = spark.createDataFrame(
+        [(1, "7", None, "a.csv"), (2, "x", None, "a.csv"), (None, "y", None, "b.csv"), (3, None, "3|q|w", "b.csv"), (1, "8", None, "c.csv")],
+        "id int, n string, rejected_line string, source_file string",
+    )
+    report = schema_checks(df, [("id", "int"), ("n", "int"), ("gone", "int")], "id", evidence=True)
+    got = {(r.check, r.column_name): (r.violations, r.first_example, r.last_example) for r in report.collect()}
+    assert got == {
+        ("missing_column", "gone"): (1, None, None),
+        ("uncastable", "id"): (0, None, None),
+        ("uncastable", "n"): (2, '{"id":2,"value":"x","source_file":"a.csv"}', '{"value":"y","source_file":"b.csv"}'),
+        ("rejected_line", "rejected_line"): (1, *['{"id":3,"value":"3|q|w","source_file":"b.csv"}'] * 2),
+        ("null_key", "id"): (1, *['{"source_file":"b.csv"}'] * 2),
+        ("duplicate_key", "id"): (2, *['{"id":1,"n":2}'] * 2),
+    }
+    ok, report = validate_schema(df.drop("rejected_line"), [("id", "int"), ("n", "int")], "id")
+    assert not ok and report.where("first_example is not null").count() == 3
+    plain = schema_checks(df, [("id", "int")], "id")
+    assert plain.columns == ["check", "column_name", "violations"]
