@@ -12,6 +12,7 @@ from feedlake.operators.compare import (
     recon_new_records,
 )
 from feedlake.operators.counts import count_batch, count_by_batch, count_rows, is_empty
+from feedlake.operators.keyfilter import key_bitmap, split_by_keys
 from feedlake.operators.setops import bucket_digests, concat, difference, pruned_difference
 from feedlake.operators.snapshot import (
     count_unchanged,
@@ -39,6 +40,7 @@ __all__ = [
     "is_empty",
     "key_profile",
     "keyed_difference_report",
+    "key_bitmap",
     "latest_batch",
     "mismatch_flags",
     "mismatch_report",
@@ -47,6 +49,7 @@ __all__ = [
     "recon_mismatch",
     "recon_new_records",
     "snapshot_date",
+    "split_by_keys",
     "unchanged_records",
     "unmatched_rows",
     "where_batch",

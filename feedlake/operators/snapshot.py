@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions.columns import check_batch_date, resolve_columns, with_batchdate
+from feedlake.operators.keyfilter import split_by_keys
 from feedlake.spec import BATCH_COLUMN, DEFAULT_SNAPSHOT_DATE
 
 
@@ -43,7 +44,9 @@ def latest_batch(history: DataFrame, before: str | None = None, latest: str | No
     return h.where(F.col(BATCH_COLUMN) == latest.scalar())
 
 
-def unmatched_rows(left: DataFrame, right: DataFrame, keys: str | Iterable[str], bucketed: bool = False) -> DataFrame:
+def unmatched_rows(
+    left: DataFrame, right: DataFrame, keys: str | Iterable[str], bucketed: bool = False, filter_bits: int | None = None
+) -> DataFrame:
     """FLT-3/JN-1 core: rows of `left` whose composite key has no equal key in `right`.
 
     Same rows as the reference's outer join filtered on a null right key, written as the anti-join Catalyst
@@ -53,8 +56,19 @@ def unmatched_rows(left: DataFrame, right: DataFrame, keys: str | Iterable[str],
 
     `bucketed`: left is read bucket by bucket, where no exchange lets AQE split a hot bucket. Rows with a null key part,
     which all lie in one bucket, never match: they go past the join in a scan of their own, split by file size.
+
+    `filter_bits`: only rows of `left` that may have a match, by a broadcast bitmap of so many bits of right's keys
+    (`keyfilter.split_by_keys`), meet the exact join; the rest go past it and its shuffle. No verdict depends on the hash. It
+    pays for a delta too large to broadcast and small against `left`: `left` is scanned twice, and its shuffle falls to the
+    share that matches and one row in (bits / keys). Take some 16 bits a key; far too few cost a scan and save nothing. Not
+    used on bucketed sides, whose join does not shuffle `left`, nor where the key's types do not allow it.
     """
     key_cols = resolve_columns(left, keys)
+    if filter_bits is not None and not bucketed:
+        halves = split_by_keys(left, right, key_cols, resolve_columns(right, key_cols), filter_bits)
+        if halves is not None:
+            maybe, past = halves
+            return unmatched_rows(maybe, right, key_cols).select(past.columns).union(past)
     right_keys = right.select(*[F.col(c) for c in resolve_columns(right, key_cols)]).toDF(*key_cols).distinct()
     if not bucketed:
         return left.join(right_keys, key_cols, "left_anti")
@@ -69,9 +83,10 @@ def unchanged_records(
     before: str | None = None,
     latest: str | None = None,
     bucketed: bool = False,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """JN-1: rows of the latest history batch whose key is not in the delta; they keep their batchdate."""
-    return unmatched_rows(latest_batch(history, before, latest), delta, keys, bucketed)
+    return unmatched_rows(latest_batch(history, before, latest), delta, keys, bucketed, filter_bits)
 
 
 def count_unchanged(
@@ -94,13 +109,14 @@ def incremental_snapshot(
     before: str | None = None,
     latest: str | None = None,
     bucketed: bool = False,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """PIP-1: the delta stamped with batch_date, plus the carried-forward rows of the latest history batch.
 
     One plan: union of the stamped delta and the anti-join. No de-duplication and no deletes.
     """
     stamped = with_batchdate(delta, batch_date)
-    carried = unchanged_records(history, delta, keys, before, latest, bucketed)
+    carried = unchanged_records(history, delta, keys, before, latest, bucketed, filter_bits)
     return stamped.unionByName(carried.select(*stamped.columns))
 
 

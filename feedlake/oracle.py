@@ -150,6 +150,7 @@ ORACLE.update({
     "unmatched_rows": with_(HISTORY, DELTA) + """SELECT h.* FROM history h
         WHERE NOT EXISTS (SELECT 1 FROM delta d WHERE d.o_orderkey = h.o_orderkey)""",
     "unchanged_records": with_(HISTORY, DELTA, LATEST, UNCHANGED) + "SELECT * FROM unchanged",
+    "unchanged_records_filtered": with_(HISTORY, DELTA, LATEST, UNCHANGED) + "SELECT * FROM unchanged",
     "pair_on_keys": RECON + "SELECT d.o_orderkey, " + ", ".join(
         f"d.{c} AS df_diff_{c}, r.{c} AS df_raw_{c}_min, r.{c} AS df_raw_{c}_max" for c in NONKEY
     ) + ", CAST(1 AS BIGINT) AS df_raw__rows FROM diff d JOIN orders r ON r.o_orderkey = d.o_orderkey",

@@ -54,12 +54,13 @@ def build_raw(spark: SparkSession, spec: FeedSpec, batch_date: str) -> DataFrame
     if spec.incremental and spec.history_table:
         history = spark.table(spec.history_table)
         keys = resolve_columns(delta, spec.primary_key)
+        how = {"bucketed": layout is not None, "filter_bits": spec.key_filter_bits}
         if batch_partitions(spark, spec.history_table) is None:
-            return incremental_snapshot(delta, history, keys, batch_date, before=batch_date, bucketed=layout is not None)
+            return incremental_snapshot(delta, history, keys, batch_date, before=batch_date, **how)
         latest = latest_partition(spark, spec.history_table, before=batch_date)
         if latest is None:  # no earlier snapshot: the image is the delta alone
             return full_refresh(delta, batch_date)
-        return incremental_snapshot(delta, history, keys, batch_date, latest=latest, bucketed=layout is not None)
+        return incremental_snapshot(delta, history, keys, batch_date, latest=latest, **how)
     return full_refresh(delta, batch_date)
 
 

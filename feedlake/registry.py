@@ -47,6 +47,7 @@ from feedlake.operators import (
     unmatched_rows,
     where_batch,
 )
+from feedlake.operators.keyfilter import DEFAULT_BITS
 from feedlake.plans import (
     deliver_request,
     history_snapshot,
@@ -357,6 +358,11 @@ def q_unchanged_records(spark, sf):
     return unchanged_records(fx.history(spark, sf), fx.delta(spark, sf), KEYS)
 
 
+def q_unchanged_records_filtered(spark, sf):
+    """The same past a bitmap of the delta's keys."""
+    return unchanged_records(fx.history(spark, sf), fx.delta(spark, sf), KEYS, filter_bits=DEFAULT_BITS)
+
+
 def q_pair_on_keys(spark, sf):
     return pair_on_keys(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
 

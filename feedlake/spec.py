@@ -42,6 +42,9 @@ class FeedSpec:
     # Raw and history are bucketed by the primary key into so many buckets (sinks.create_feed_table); the daily
     # snapshot then shuffles only the delta. The load raises if raw is not bucketed so; None asks for nothing.
     buckets: int | None = None
+    # Bits of the delta's key filter (operators.keyfilter), for deltas too large to broadcast against history without
+    # buckets: history rows whose key is surely not in the delta pass no shuffle. Some 16 bits a delta key.
+    key_filter_bits: int | None = None
 
     @staticmethod
     def keys(value: str | list[str]) -> tuple[str, ...]:
