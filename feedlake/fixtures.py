@@ -87,6 +87,13 @@ def write_delimited(df: DataFrame, path: str, sep: str = LANDING_SEP, compressio
     return path
 
 
+def write_days(rows: DataFrame, root: str, codec: str | None = None) -> None:
+    """Add the rows to the landing folder's batchdate=<d> folders. Every task writes its own rows per day: no shuffle by
+    day, so a day with a third of the rows does not end up in one task."""
+    w = rows.write.mode("append").options(**TEXT_OPTIONS).option("sep", LANDING_SEP).partitionBy(BATCH_COLUMN)
+    (w.option("compression", codec) if codec else w).csv(root)
+
+
 def write_landing(spark: SparkSession, sf_dir: str) -> str:
     """Landing folder: one batchdate=<d> directory per day holding '|'-delimited data files (gzip on even
     days of the month) and one control file (.txt) with the day's row count."""
@@ -94,15 +101,7 @@ def write_landing(spark: SparkSession, sf_dir: str) -> str:
     ev = daily_events(spark, sf_dir)
     even = F.dayofmonth("ts") % 2 == 0
     for cond, codec in ((~even, None), (even, "gzip")):
-        # every task writes its own rows per day: no shuffle by day, so a day with a third of the rows
-        # does not end up in one task
-        w = (
-            ev.where(cond).write.mode("append").options(**TEXT_OPTIONS)
-            .option("sep", LANDING_SEP).partitionBy(BATCH_COLUMN)
-        )
-        if codec:
-            w = w.option("compression", codec)
-        w.csv(root)
+        write_days(ev.where(cond), root, codec)
     counts = ev.groupBy(BATCH_COLUMN).agg(F.count(F.lit(1)).cast("string").alias("value"))
     counts.write.mode("append").partitionBy(BATCH_COLUMN).text(root)  # one row, one file per day
     return root

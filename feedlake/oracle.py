@@ -129,6 +129,11 @@ ORACLE.update({
     "stage_feed": with_(DAILY) + "SELECT * FROM daily",
     "stage_quarantine": with_(DAILY) + """SELECT CAST(event_id AS VARCHAR) || '|broken' AS rejected_line, true AS from_csv,
         batchdate FROM daily WHERE event_id % 50 = 0""",
+    "stage_arrivals": with_(DAILY) + """SELECT *, CAST(NULL AS VARCHAR) AS rejected_line FROM daily UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL, batchdate, CAST(event_id AS VARCHAR) || '|broken' FROM daily
+        WHERE event_id % 50 = 0""",
+    "new_arrivals": with_(DAILY) + """SELECT DISTINCT batchdate, true AS compressed FROM daily WHERE dayofmonth(ts) % 2 = 0
+        UNION ALL SELECT DISTINCT batchdate, false AS compressed FROM daily WHERE event_id % 50 = 0""",
     "record_audit": with_(DAILY) + """SELECT 'Delta Count Raw' AS message, batchdate, count(*) AS cnt
         FROM daily GROUP BY batchdate""",
     "coalesce_output": "SELECT * FROM events",

@@ -6,10 +6,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from feedlake.operators.counts import count_rows
+from feedlake.operators.counts import count_batch, count_rows
 from feedlake.plans.ingest import history_snapshot, load_raw, post_batch_audit, staged_batch
 from feedlake.plans.ledger import BatchLedger
 from feedlake.plans.validate import ValidationError, validate_schema
+from feedlake.sinks.arrivals import stage_arrivals
 from feedlake.sinks.audit import record_values
 from feedlake.sinks.files import stage_feed
 from feedlake.spec import BATCH_COLUMN, FeedSpec
@@ -99,18 +100,24 @@ def run_landing(
     audit_path: str | None = None,
     ledger_path: str | None = None,
     run_id: str = "1",
+    file_ledger: str | None = None,
 ) -> dict:
     """One batch from its landing files to history: stage (good lines and bad ones apart), schema gate, raw, history, audit.
 
     The feed's schema is raw's. Bad lines lie in the quarantine table with their file's name and do not stop the load,
     unless their share of the batch is over `max_rejected`; then, as when the gate fails, raw and history stay as they are.
-    With ledger_path staging is a journalled step like the others of `run_feed`.
+    With ledger_path staging is a journalled step like the others of `run_feed`. With file_ledger only files that are new or
+    changed since they were staged are parsed (`sinks.stage_arrivals`); the counts are still those of the whole batch.
     """
     schema = StructType([f for f in spark.table(spec.raw_table).schema.fields if f.name != BATCH_COLUMN])
     folders = StructType([*schema.fields, StructField(BATCH_COLUMN, StringType())]) if _by_folder(spark, landing_path) else schema
 
     def stage() -> dict:
-        found = stage_feed(spark, landing_path, spec.pre_raw_table, quarantine_table, location, folders, sep, data_extension, batch_date)[batch_date]
+        if file_ledger is None:
+            found = stage_feed(spark, landing_path, spec.pre_raw_table, quarantine_table, location, folders, sep, data_extension, batch_date)[batch_date]
+        else:
+            stage_arrivals(spark, landing_path, spec.pre_raw_table, quarantine_table, location, file_ledger, folders, sep, data_extension, batch_date)
+            found = {kind: count_batch(spark.table(t), batch_date).first()["cnt"] for kind, t in (("good", spec.pre_raw_table), ("bad", quarantine_table))}
         if audit_path is not None:
             record_values(spark, audit_path, "stage_landing", spec.pre_raw_table, batch_date,
                           {"staged rows": found["good"], "quarantined lines": found["bad"]},

@@ -70,7 +70,9 @@ from feedlake.sinks import (
     overwrite_raw,
     publish_fanout,
     read_audit,
+    read_file_ledger,
     record_audit,
+    stage_arrivals,
     stage_feed,
     stage_landing,
     write_diff_json,
@@ -281,6 +283,30 @@ def q_stage_quarantine(spark, sf):
     return bad.select("rejected_line", F.col("source_file").endswith(".csv").alias("from_csv"), BATCH_COLUMN)
 
 
+def _arrivals(spark, sf) -> tuple[str, str, str]:
+    """Odd days' files staged, then even days' files and damaged lines of every day: pre-raw, quarantine, file ledger."""
+    db, ledger, root, ev = fx.work_database(spark), new_dir(spark, "files"), new_dir(spark, "landing"), fx.daily_events(spark, sf)
+    odd = F.dayofmonth("ts") % 2 == 1
+    for add in (lambda: fx.write_days(ev.where(odd), root), lambda: (fx.write_days(ev.where(~odd), root, "gzip"), fx.add_damaged_lines(ev, root, "event_id"))):
+        add()
+        stage_arrivals(spark, root, f"{db}.pre_raw", f"{db}.quarantine", f"{root}-staged", ledger, ev.schema, fx.LANDING_SEP, "csv")
+    return f"{db}.pre_raw", f"{db}.quarantine", ledger
+
+
+def q_stage_arrivals(spark, sf):
+    """Both tables after two runs over a growing folder."""
+    pre, quarantine, _ = _arrivals(spark, sf)
+    bad = spark.table(quarantine).drop("source_file")
+    return spark.table(pre).drop("source_file").unionByName(bad, allowMissingColumns=True)
+
+
+def q_new_arrivals(spark, sf):
+    """What the second run took: batches, and whether their files are compressed."""
+    ledger = read_file_ledger(spark, _arrivals(spark, sf)[2])
+    second = ledger.where(F.col("staged_at") > ledger.select(F.min("staged_at")).scalar())
+    return second.select(BATCH_COLUMN, F.col("path").endswith(".gz").alias("compressed")).distinct()
+
+
 def q_record_audit(spark, sf):
     path = new_dir(spark, "audit")
     counts = count_by_batch(fx.daily_events(spark, sf))

@@ -68,8 +68,8 @@ def publish_fanout(df: DataFrame, targets: Iterable[str], batch_date: str | None
     return written
 
 
-def _landing_rows(
-    spark: SparkSession, landing_path: str, schema: StructType, sep: str, data_extension: str, batch_date: str | None, options: dict
+def landing_rows(
+    spark: SparkSession, landing_path: str | list[str], schema: StructType, sep: str, data_extension: str, batch_date: str | None, options: dict
 ) -> DataFrame:
     """Lines of the selected landing files in the feed's schema, with rejected_line and source_file; a batchdate column only
     without batch_date, by which the rows are picked if the schema has the column."""
@@ -104,7 +104,7 @@ def stage_landing(
     that contains batchdate only that batch's rows are staged; without it every row is stamped with the date.
     A failed staging leaves every batch staged before. `stage_feed` stages into tables and keeps bad lines apart.
     """
-    df = _landing_rows(spark, landing_path, schema, sep, data_extension, batch_date, options)
+    df = landing_rows(spark, landing_path, schema, sep, data_extension, batch_date, options)
     out = staged_path.rstrip("/")
     if batch_date is not None:
         overwrite_batch(df, out, batch_date)
@@ -136,21 +136,33 @@ def stage_feed(
     until then, and after a failure, both tables show what they showed. The tables are created if they do not exist.
     Batches come from batch_date or from the landing folders, as in `stage_landing`.
     """
-    df = _landing_rows(spark, landing_path, schema, sep, data_extension, batch_date, options)
+    df = landing_rows(spark, landing_path, schema, sep, data_extension, batch_date, options)
     if batch_date is not None:
         df = df.withColumn(BATCH_COLUMN, F.lit(check_batch_date(batch_date)))
+    create_staging(spark, pre_raw_table, quarantine_table, location, schema)
+    counts: dict[str, dict[str, int]] = {} if batch_date is None else {batch_date: {"good": 0, "bad": 0}}
+    return swap_in_staged(df, pre_raw_table, quarantine_table, location, counts)
+
+
+def create_staging(spark: SparkSession, pre_raw_table: str, quarantine_table: str, location: str, schema: StructType) -> None:
+    """The pre-raw and the quarantine table of a feed, if they do not exist."""
     body = [f for f in schema.fields if f.name != BATCH_COLUMN]
-    where = f"{location.rstrip('/')}"
     for name, fields in ((pre_raw_table, body), (quarantine_table, [StructField(REJECTED, StringType())])):
         layout = StructType([*fields, StructField(SOURCE_FILE, StringType()), StructField(BATCH_COLUMN, StringType())])
-        create_feed_table(spark, name, layout, f"{where}/{name.rpartition('.')[2]}")
-    flag, fresh = "quarantined", f"{where}/{new_name('staging')}"
+        create_feed_table(spark, name, layout, f"{location.rstrip('/')}/{name.rpartition('.')[2]}")
+
+
+def swap_in_staged(
+    df: DataFrame, pre_raw_table: str, quarantine_table: str, location: str, counts: dict[str, dict[str, int]]
+) -> dict[str, dict[str, int]]:
+    """Write lines parted into good and bad ones into a fresh folder, then move both tables' partitions there; returns
+    {batch: {good, bad}}. Batches of `counts` without a line are emptied."""
+    spark, flag, fresh = df.sparkSession, "quarantined", f"{location.rstrip('/')}/{new_name('staging')}"
     day = F.col(BATCH_COLUMN).cast("string")
     out = df.withColumn(BATCH_COLUMN, day).withColumn(flag, F.col(REJECTED).isNotNull())
     out.write.partitionBy(flag, BATCH_COLUMN).parquet(fresh)
     # partition values and row counts from the folders and footers: one row a batch and kind
     found = spark.read.schema(StructType().add(flag, "boolean").add(BATCH_COLUMN, "string")).parquet(fresh)
-    counts: dict[str, dict[str, int]] = {} if batch_date is None else {batch_date: {"good": 0, "bad": 0}}
     for r in found.groupBy(flag, BATCH_COLUMN).count().collect():
         counts.setdefault(r[BATCH_COLUMN], {"good": 0, "bad": 0})["bad" if r[flag] else "good"] = r["count"]
     for name, kind in ((quarantine_table, "bad"), (pre_raw_table, "good")):

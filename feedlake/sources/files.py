@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from feedlake.spec import SOURCE_FILE
+
 # Text formats carry timestamps at full microsecond precision so that a write/read round trip is exact.
 TEXT_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -50,7 +52,8 @@ def landing_manifest(
     control_extension, the control files too, in the same listing).
 
     A distributed listing: the binary-file source with a glob filter, selecting metadata only, so no file
-    content is read. Full paths are kept (no flattening to base names). file_class is 'data' or 'control'.
+    content is read. Full paths are kept (no flattening to base names). file_class is 'data' or 'control'; source_file is
+    the name as staged rows carry it (Spark's metadata column, which encodes blanks and the like).
     """
     exts = [extension.lstrip(".")] + ([control_extension.lstrip(".")] if control_extension else [])
     pattern = ",".join(f"{e},{e}.gz" for e in exts)
@@ -69,4 +72,5 @@ def landing_manifest(
         F.col("modificationTime").alias("modification_time"),
         F.col("path").endswith(".gz").alias("compressed"),
         F.when(data, F.lit("data")).otherwise(F.lit("control")).alias("file_class"),
+        F.col("_metadata.file_name").alias(SOURCE_FILE),
     )
