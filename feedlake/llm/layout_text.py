@@ -7,10 +7,11 @@ dropped when there is none. Unclosed elements close at the end. In a tag, a quot
 elsewhere it is a character like others. HTML elements inside svg or math close these, as in browsers.
 
 Visible: everything but script, style, head, template and other elements without text of their own, elements with `hidden` or aria-hidden="true",
-display:none or visibility:hidden, and hidden inputs. Of svg, what text and foreignObject hold, one line each; of math, all but annotations and phantoms.
+display:none or content-visibility:hidden, and hidden inputs; under visibility:hidden only what is visibility:visible again, the rest keeping
+its place (breaks, numbers, cells). Of a style the last declaration of a property counts, important ones first. Of svg, what text and foreignObject hold, one line each; of math, all but annotations and phantoms.
 
 Rendering. White space collapses outside pre. Blocks start a line; paragraphs, headings, lists, tables and quotes are set off by
-one empty line. List items carry "- " or their number, indented by depth. Table cells stand in columns by colspan and rowspan, a cell's
+one empty line. List items carry "- " or their number (by start, reversed and value), indented by depth. Table cells stand in columns by colspan and rowspan, a cell's
 lines below each other, padded to the width of the columns before. A row of one cell, and the cells of a layout table one after the
 other, are written as blocks, with their lists and empty lines. A layout table is one with prose side by side (a cell of several lines, one over
 PROSE characters), or one that padding would make more than MOST_PADDED times as long as its text: long lines beside many short rows.
@@ -70,15 +71,20 @@ _attribute = re.compile(r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*").match
 _equals = re.compile(r"[ \t\n\f\r]*=[ \t\n\f\r]*").match
 _unquoted = re.compile(r"[^ \t\n\f\r>]*").match
 _whole = re.compile(r"[ \t\n\f\r]*\+?([0-9]+)").match
-_unseen_style = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I).search
+_integer = re.compile(r"[ \t\n\f\r]*([+-]?[0-9]{1,9})").match
+_comment_end = re.compile(r"--!?>").search
+# of a style: a declaration up to the next semicolon outside comments, quotes and parentheses
+_declarations = re.compile(r"""(?:/\*.*?(?:\*/|\Z)|"(?:[^"\\]|\\.)*(?:"|\Z)|'(?:[^'\\]|\\.)*(?:'|\Z)|\([^)]*(?:\)|\Z)|[^;])+""", re.S).findall
+_comments = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _spaces = re.compile(r"[ \t\n\f\r]+")
 
 
 class Element:
-    __slots__ = ("name", "children", "seen", "start", "foreign", "over")
+    __slots__ = ("name", "children", "seen", "drawn", "start", "step", "foreign", "over")
 
-    def __init__(self, name: str, seen: bool = True, start: int = 1, foreign: bool = False):
-        self.name, self.seen, self.start, self.foreign, self.children = name, seen, start, foreign, []
+    def __init__(self, name: str, seen: bool = True, foreign: bool = False, drawn: bool = True):
+        self.name, self.seen, self.foreign, self.drawn, self.children = name, seen, foreign, drawn, []
+        self.start, self.step = None, 1  # a list's first number or an item's own, if given
         self.over = (1, 1)  # columns and rows of a cell; 0 rows: all that follow in its row group
 
 
@@ -107,17 +113,42 @@ def tag_rest(html: str, at: int) -> tuple[int, dict[str, str]]:
         out.setdefault(m[0].lower(), value)
 
 
-def element(name: str, a: dict[str, str], inside: bool = False) -> Element:
-    """`inside`: svg or math holds it, with no HTML between."""
+def style_of(text: str) -> dict[str, str]:
+    """Properties of a style attribute, lower-cased: the last declaration of each counts, important ones before others."""
+    out: dict[str, str] = {}
+    important = set()
+    for d in _declarations(text):
+        name, colon, value = _comments.sub(" ", d).partition(":")
+        name, (value, mark, rank) = name.strip().lower(), value.lower().rpartition("!") if "!" in value else (value.lower(), "", "")
+        if mark and rank.strip() != "important":
+            continue  # no declaration
+        if not colon or (name in important and not mark):
+            continue
+        if mark:
+            important.add(name)
+        out[name] = value.strip()
+    return out
+
+
+def element(name: str, a: dict[str, str], inside: bool = False, drawn: bool = True) -> Element:
+    """`inside`: svg or math holds it, with no HTML between. `drawn`: the visibility that it inherits."""
     foreign = name in ("svg", "math") or (inside and name not in HOLDS_HTML)
     seen = name not in UNSEEN and not (inside and name in UNDRAWN)
     if not a:
-        return Element(name, seen, foreign=foreign)
+        return Element(name, seen, foreign, drawn)
     seen = seen and "hidden" not in a and a.get("aria-hidden", "").lower() != "true"
-    seen = seen and not _unseen_style(a.get("style", "")) and not (name == "input" and a.get("type", "").lower() == "hidden")
-    seen = seen and not (foreign and (a.get("display", "").lower() == "none" or a.get("visibility", "").lower() == "hidden"))
-    start = a.get("start", "")
-    e = Element(name, seen, int(start) if name == "ol" and start.isascii() and start.isdigit() and len(start) < 10 else 1, foreign)
+    seen = seen and not (name == "input" and a.get("type", "").lower() == "hidden")
+    style = {k: a[k].strip().lower() for k in ("display", "visibility") if foreign and k in a}
+    if "style" in a:
+        style.update(style_of(a["style"]))
+    seen = seen and style.get("display") != "none" and style.get("content-visibility") != "hidden"
+    drawn = {"hidden": False, "collapse": False, "visible": True, "initial": True}.get(style.get("visibility", ""), drawn)
+    e = Element(name, seen, foreign, drawn)
+    given = _integer(a.get("start" if name == "ol" else "value", "")) if name in ("ol", "li") else None
+    if given:
+        e.start = int(given[1])
+    if name == "ol" and "reversed" in a:
+        e.step = -1
     if name in CELLS:
         e.over = (min(_count(a.get("colspan", "")) or 1, 1000), min(_count(a.get("rowspan", "1"), 1), 65534))
     return e
@@ -137,14 +168,15 @@ def parse(html: str) -> Element:
         cut = html.find("<", at)
         if cut < 0:
             cut = n
-        if cut > at:
+        if cut > at and stack[-1].drawn:
             stack[-1].children.append(unescape(html[at:cut]))
         if cut == n:
             break
         nxt = html[cut + 1 : cut + 2]
         if html.startswith("<!--", cut):
-            end = html.find("-->", cut + 4)
-            at = n if end < 0 else end + 3
+            # <!--> and <!---> are whole comments
+            end = _comment_end(html, cut + 2) if html.startswith((">", "->"), cut + 4) else _comment_end(html, cut + 4)
+            at = end.end() if end else n
             continue
         if nxt in ("!", "?"):
             end = html.find(">", cut)
@@ -153,7 +185,8 @@ def parse(html: str) -> Element:
         closing = nxt == "/"
         m = _name(html, cut + 1 + closing)
         if not m:  # a lone <
-            stack[-1].children.append("<")
+            if stack[-1].drawn:
+                stack[-1].children.append("<")
             at = cut + 1
             continue
         end, given = tag_rest(html, m.end())
@@ -189,14 +222,15 @@ def parse(html: str) -> Element:
                 if stack[k].name in BLOCK or stack[k].name in CELLS or stack[k].name == "foreignobject":
                     break
         inside = stack[-1].foreign
-        e = element(name, given, inside)
+        e = element(name, given, inside, stack[-1].drawn)
         stack[-1].children.append(e)
         if name in RAW and not inside:
             if low is None:
                 low = html.lower() if len(html.lower()) == n else re.sub("[A-Z]", lambda c: c[0].lower(), html)
             end = low.find(f"</{name}", at)
             end = n if end < 0 else end
-            e.children.append(html[at:end] if name not in ("textarea", "title") else unescape(html[at:end]))
+            if e.drawn:
+                e.children.append(html[at:end] if name not in ("textarea", "title") else unescape(html[at:end]))
             at = end
             stack.append(e)
         elif name not in VOID and not html.endswith("/", cut, at - 1):
@@ -339,12 +373,15 @@ def render(root: Element) -> str:
                 after.append(lambda p: p.indent.pop())
             todo += [("call", f, page, state) for f in after]
             number, steps = e.start, []
+            if number is None:
+                number = 1 if e.step == 1 else sum(not isinstance(c, str) and c.name == "li" and c.seen for c in e.children)
             for c in e.children:
                 if isinstance(c, str):
                     steps.append(("text", c, page, state))
                 elif name in LISTS and c.name == "li" and c.seen:
-                    mark = f"{number}. " if name == "ol" else "- "
-                    number += 1
+                    number = c.start if c.start is not None else number
+                    mark = "" if not c.drawn else f"{number}. " if name == "ol" else "- "
+                    number += e.step
                     steps += [("call", _item(mark), page, state), ("in", c, page, state), ("call", _item_end, page, state)]
                 else:
                     steps.append(("in", c, page, state))

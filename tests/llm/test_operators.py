@@ -485,6 +485,36 @@ def test_stray_quotes_formulas_and_svg(html, text):
     assert page_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<div style='visibility:hidden'>x<b style='visibility: visible'>shown</b>y<i>z</i></div>", "shown"),
+        ("<div style='visibility:hidden'><p>x<div style='visibility:VISIBLE'>a<u style='visibility:inherit'>b</u></div>< y<textarea>t</textarea></div>c", "ab\nc"),
+        ("<p style='visibility:hidden'>x<b style='display:none;visibility:visible'>y</b>", ""),
+        ("<p style='--x:display:none'>a<p style='--x:none;-display:none;x-visibility:hidden'>b", "a\n\nb"),
+        ("<p style='display:none;display:block'>a<p style='display:none!important;display:block'>no<p style='display:none ! foo'>b", "a\n\nb"),
+        ("<p style='content:\";display:none\"'>a<p style='background:url(x;display:none)'>b<p style='/*;display:none;*/color:red'>c", "a\n\nb\n\nc"),
+        ("<p style='color:red;/* */display/**/:/**/NONE'>no<p style='content-visibility:hidden'>no<p style='content:\"open;display:none'>a", "a"),
+        ("<svg><g visibility=hidden><text>no</text><text visibility=visible>a</text></g><text visibility=hidden style='visibility:visible'>b</text></svg>", "a\nb"),
+        ("a<!-->b<!--->c<!-- x --!>d<!-- > -->e<!--", "abcde"),
+        ("a<!--b-- >c-->d<!---->e<!----!>f", "adef"),
+        ("<ol><li>a<li value=5>b<li>c<li value=-1>d<li value=x>e</ol>", "1. a\n5. b\n6. c\n-1. d\n0. e"),
+        ("<ol reversed><li>a<li hidden>no<li>b<li>c</ol>", "3. a\n2. b\n1. c"),
+        ("<ol reversed start=10><li>a<li value=4>b<li>c</ol><ol start=-2><li>d</ol><ul><li value=9>e</ul>", "10. a\n4. b\n3. c\n\n-2. d\n\n- e"),
+        ("<ol><li>a<li style='visibility:hidden'>x<ol><li>y</ol><li>c</ol>", "1. a\n3. c"),
+        ("<table><tr><td>a<td style='visibility:hidden'>xx<td>c<tr><td>d<td>ee<td>f</table>", "a      c\nd  ee  f"),
+    ],
+)
+def test_visibility_comments_and_numbers(html, text):
+    assert page_text(html) == text
+
+
+def test_long_styles_and_open_comments_take_linear_time():
+    many = 100_000
+    assert page_text(f"<p style='{'(' * many}'>a<p style='{'/*' * many}'>b<p style='{'x:y;' * many}display:none'>no" + "<!-->" * many) == "a\n\nb"
+    assert page_text("a" + "<!--x--!>" * many + "<!-- --" * many) == "a"
+
+
 @pytest.mark.parametrize(
     "html, text",
     [
