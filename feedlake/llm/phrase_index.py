@@ -1,13 +1,17 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-Index: training documents are dealt into shards; a shard row lists, for each term it holds, the ascending positions of the
-term in the shard's word stream (documents are laid end to end with a gap wider than any phrase, so a position names a
-document and a word). Only terms of the test items are posted: others cannot occur in a match. The index is a
-Parquet dataset in the shared folder, written once and queried for any number of blocks of items.
+Index: training documents are dealt into shards; a shard row lists every term it holds (as bytes, so terms are equal or
+not, never hashed) with the ascending positions of the term in the shard's word stream. Documents are laid end to end with a gap
+wider than any phrase, so a position names a document and a word. The index knows nothing of the items: it is a Parquet dataset in the
+shared folder, written once, that answers any set of items.
 
 Query: a test item's windows of `size` consecutive words are phrases. In each shard a phrase starts from the posting list of
 its rarest term there, shifted by the term's offset, and is intersected with the other shifted lists from rare to common;
-a phrase with an absent term is skipped at once. What is left are exact occurrences.
+a phrase with an absent term is skipped at once. What is left are exact occurrences. Proximity matches are asked for by `slop`: a
+piece of `size` words of an item is near where all its distinct words stand, in any order, within `size + slop` words.
+
+Items are dealt into blocks of about BLOCK_BYTES by a hash, written by Spark, and pass over the index one block after
+the other: the driver and a task hold one block at a time, however large the benchmark is.
 """
 
 from __future__ import annotations
@@ -16,70 +20,91 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.rows import SLICE_ROWS, map_arrow, quoted, words
-from feedlake.workspace import new_dir
+from feedlake.workspace import materialize, new_dir
 
 WINDOW = 10
+SLOP = 10
 #: Bounds, whatever the table's size: text bytes laid into one shard (a longer document is a shard of its own), and bytes
-#: of test items in one broadcast block (more items make more blocks, each run over the stored index).
+#: of test items in one broadcast block, on average (a longer item is a block of its own size).
 SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 16 << 20
 GAP = 64
 
 INDEX_SCHEMA = (
-    "n_docs int, doc_ids array<bigint>, first array<bigint>, lens array<bigint>, terms array<int>, ends array<int>, postings binary"
+    "shard bigint, doc_ids array<bigint>, first array<bigint>, lens array<bigint>, terms array<binary>, ends array<int>, postings binary"
+)
+FOUND_SCHEMA = (
+    "shard bigint, k int, doc_id bigint, n_words bigint, spans array<struct<a:bigint,b:bigint>>, items array<string>, near array<string>"
 )
 
 
-def item_blocks(items: DataFrame, id_col: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list]:
-    """(item id as string, words) lists of at most `block_bytes` of text each, streamed; repeated rows come once."""
-    held, size = [], 0
+def _arrow(schema: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(schema))
+
+
+class Numbering(dict):
+    """Terms numbered as they come."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = n = len(self)
+        return n
+
+
+def packed(places: np.ndarray) -> bytes:
+    """Differences of the positions, byte plane by byte plane: small numbers leave long runs of zeros to the file's codec."""
+    return np.diff(places.astype("<i4"), prepend=np.int32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i4")[:, 0], dtype=np.int64)
+
+
+def item_blocks(items: DataFrame, id_col: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """(block, id, text) written into the shared folder, repeated rows once, and the number of blocks. One number reaches the driver."""
     picked = items.select(F.col(quoted(id_col)).cast("string").alias("id"), F.col(quoted(text)).alias("text"))
-    for row in picked.where("text is not null").distinct().toLocalIterator():
-        w = words(row["text"])
-        if w:
-            held.append((row["id"], w))
-            size += len(row["text"])
-            if size >= block_bytes:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
-
-
-def build_index(docs: DataFrame, vocabulary: list[bytes], path: str, id_col: str = "doc_id", text: str = "text") -> str:
-    """Write the postings of `vocabulary` terms in every text. No shuffle: a shard is laid out where its texts are read.
+    picked = materialize(picked.where("text is not null").distinct(), "items")
+    size = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int")
+    if blocks == 1:
+        return picked.withColumn("block", F.lit(0)), 1
+    path = new_dir(items.sparkSession, "item-blocks")
+    picked.withColumn("block", block).write.partitionBy("block").parquet(path)
+    return items.sparkSession.read.schema("id string, text string, block int").parquet(path), blocks
+
+
+def build_index(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> str:
+    """Write the postings of every term of every text. No shuffle: a shard is laid out where its texts are read.
     Null and empty texts have no postings and a length of 0; their rows are kept."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
-        number = {w: i for i, w in enumerate(shared.value)}
-        n_terms, find = len(number), number.get
+        task, seq = TaskContext.get().partitionId(), 0
+        number = Numbering()
         ids, lens, codes, size = [], [], [], 0
 
         def shard():
-            nonlocal size
+            nonlocal seq, size
             length = np.array(lens, np.int64)
-            first = np.cumsum(length + GAP) - (length + GAP)
             code = np.concatenate(codes)
             place = np.arange(len(code)) + np.repeat(GAP * np.arange(len(lens)), length)
-            posted = code < n_terms
-            code, place = code[posted], place[posted]
             order = np.argsort(code, kind="stable")  # positions stay ascending within a term
-            count = np.bincount(code, minlength=n_terms)
-            terms = np.flatnonzero(count)
             row = {
-                "n_docs": len(ids), "doc_ids": list(ids), "first": first.tolist(), "lens": list(lens), "terms": terms.tolist(),
-                "ends": np.cumsum(count[terms]).tolist(), "postings": place[order].astype("<i4").tobytes(),
+                "shard": (task << 32) + seq, "doc_ids": list(ids), "first": np.cumsum(length + GAP) - (length + GAP), "lens": list(lens),
+                "terms": list(number), "ends": np.cumsum(np.bincount(code, minlength=len(number))), "postings": packed(place[order]),
             }
-            ids.clear(), lens.clear(), codes.clear()
-            size = 0
+            ids.clear(), lens.clear(), codes.clear(), number.clear()
+            seq, size = seq + 1, 0
             return pa.RecordBatch.from_pylist([row], schema=arrow)
 
-        dtype = np.uint16 if n_terms < 65535 else np.uint32
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
@@ -87,36 +112,42 @@ def build_index(docs: DataFrame, vocabulary: list[bytes], path: str, id_col: str
                     w = words(t)
                     ids.append(doc)
                     lens.append(len(w))
-                    codes.append(np.fromiter((find(x, n_terms) for x in w), dtype, len(w)))
+                    codes.append(np.fromiter(map(number.__getitem__, w), np.int32, len(w)))
                     size += len(t) if t else 0
                     if size >= SHARD_BYTES:
                         yield shard()
         if ids:
             yield shard()
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    arrow = to_arrow_schema(StructType.fromDDL(INDEX_SCHEMA))
+    arrow = _arrow(INDEX_SCHEMA)
     picked = docs.select(F.col(quoted(id_col)).cast("bigint"), F.col(quoted(text)))
     map_arrow(picked, run, INDEX_SCHEMA).write.parquet(path)
     return path
 
 
 class Phrases:
-    """The windows of a block of items as term numbers, each window once, with the items that hold it."""
+    """A block of items: its terms, its windows as term numbers, each once, with the items that hold it, and its pieces
+    (every `size` words, the last one flush with the item's end) as sets of distinct terms, each once."""
 
-    def __init__(self, items: list, vocabulary: list[bytes], size: int):
-        number = {w: i for i, w in enumerate(vocabulary)}
+    def __init__(self, items: list[tuple[str | None, str]], size: int):
+        number = Numbering()
         found: dict[tuple, set] = {}
-        for name, w in items:
-            code = tuple(number[x] for x in w)
-            for i in range(max(1, len(code) - size + 1)):
-                found.setdefault(code[i : i + size], set()).add("null" if name is None else name)
+        pieces: dict[frozenset, set] = {}
+        for name, text in items:
+            code = tuple(number[x] for x in words(text))
+            if not code:
+                continue
+            name, last = "null" if name is None else name, max(0, len(code) - size)
+            for i in range(last + 1):
+                found.setdefault(code[i : i + size], set()).add(name)
+            for i in {*range(0, last, size), last}:
+                pieces.setdefault(frozenset(code[i : i + size]), set()).add(name)
+        self.terms = list(number)
         by_len: dict[int, list] = {}
         for phrase in found:
             by_len.setdefault(len(phrase), []).append(phrase)
         self.groups = [(np.array(p, np.int64), [found[x] for x in p]) for p in by_len.values()]
+        self.pieces = [(np.array(sorted(p), np.int64), names) for p, names in pieces.items()]
 
 
 def intersect(lists: list[np.ndarray], offsets: list[int]) -> np.ndarray:
@@ -133,116 +164,165 @@ def intersect(lists: list[np.ndarray], offsets: list[int]) -> np.ndarray:
     return start
 
 
-def shard_matches(terms, ends, postings, n_terms: int, groups) -> Iterator[tuple[np.ndarray, int, set]]:
-    """(starts, phrase length, items) of each phrase that occurs in a shard."""
-    count = np.zeros(n_terms, np.int64)
-    end = np.zeros(n_terms, np.int64)
-    end[terms] = ends
-    count[terms] = np.diff(ends, prepend=0)
-    for phrases, names in groups:
-        alive = np.flatnonzero(count[phrases].min(axis=1) > 0)
-        for p in alive:
-            lists = [postings[end[t] - count[t] : end[t]] for t in phrases[p]]
-            start = intersect(lists, list(range(len(lists))))
-            if len(start):
-                yield start, len(lists), names[p]
-
-
-def proximity_starts(lists: list[np.ndarray], slop: int) -> np.ndarray:
-    """Positions of the rarest list that have a position of every other list within `slop` words (any order)."""
+def proximity_places(lists: list[np.ndarray], reach: int) -> np.ndarray:
+    """Positions of the rarest list inside some run of `reach` words that holds a position of every list."""
     order = sorted(lists, key=len)
     near = order[0]
     for held in order[1:]:
-        if not len(near) or not len(held):
-            return near[:0]
-        at = np.searchsorted(held, near - slop)
-        ok = at < len(held)
-        near = near[ok & (held[np.minimum(at, len(held) - 1)] <= near + slop)]
-    return near
-
-
-def query_index(index: DataFrame, blocks: list, vocabulary: list[bytes], size: int = WINDOW, slop: int | None = None, rarest: int = 3) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted strings of the items found), one row per indexed document row.
-
-    With `slop`, an item is found where its `rarest` rarest distinct terms in the shard stand within `slop` words of each
-    other (proximity matches; n_hit counts those places) instead of by its exact windows.
-    """
-    sc = index.sparkSession.sparkContext
-    shared = [sc.broadcast(b) for b in blocks]
-    terms_shared = sc.broadcast(vocabulary)
-    names = ["doc_id", "n_words", "n_hit", "items"]
+        at = np.searchsorted(held, near - reach + 1)
+        near = near[(at < len(held)) & (held[np.minimum(at, len(held) - 1)] < near + reach)]
+        if not len(near):
+            return near
+    # all words are about; now every run that holds the place, for some hundred thousand places at a time
+    ok = np.zeros(len(near), bool)
+    for i in range(0, len(near), 1 << 14):
+        runs = near[i : i + (1 << 14), None] - np.arange(reach)
+        whole = np.ones(runs.shape, bool)
+        for held in order[1:]:
+            at = np.searchsorted(held, runs)
+            whole &= (at < len(held)) & (held[np.minimum(at, len(held) - 1)] < runs + reach)
+        ok[i : i + (1 << 14)] = whole.any(axis=1)
+    return near[ok]
+
+
+class Postings:
+    """A shard's posting lists by the term numbers of a block of items."""
+
+    def __init__(self, terms: list[bytes], ends: np.ndarray, data: bytes, wanted: list[bytes]):
+        number = {t: i for i, t in enumerate(terms)}
+        at = np.fromiter((number.get(t, -1) for t in wanted), np.int64, len(wanted))
+        count = np.diff(ends, prepend=0)
+        self.count = np.where(at >= 0, count[at], 0) if len(ends) else np.zeros(len(at), np.int64)
+        self.end = np.where(at >= 0, ends[at], 0) if len(ends) else self.count
+        self.places = unpacked(data)
+
+    def lists(self, terms: np.ndarray) -> list[np.ndarray]:
+        return [self.places[self.end[t] - self.count[t] : self.end[t]] for t in terms]
+
+    def phrases(self, groups) -> Iterator[tuple[np.ndarray, int, set]]:
+        """(starts, phrase length, items) of each phrase that occurs."""
+        for phrases, names in groups:
+            for p in np.flatnonzero(self.count[phrases].min(axis=1) > 0):
+                start = intersect(self.lists(phrases[p]), list(range(phrases.shape[1])))
+                if len(start):
+                    yield start, phrases.shape[1], names[p]
+
+    def near(self, pieces, reach: int) -> Iterator[tuple[np.ndarray, set]]:
+        """(places, items) of each piece that stands within `reach` words somewhere."""
+        for terms, names in pieces:
+            if self.count[terms].min() > 0:
+                places = proximity_places(self.lists(terms), reach)
+                if len(places):
+                    yield places, names
+
+
+def merged(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+    """Disjoint intervals, ascending, of the words in any of the given ones."""
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    head = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+    return list(zip(start[head].tolist(), reach[np.append(head[1:] - 1, len(reach) - 1)].tolist()))
+
+
+def query_block(index: DataFrame, shared: Broadcast, size: int = WINDOW, slop: int | None = None, every: bool = True) -> DataFrame:
+    """FOUND_SCHEMA rows of one block of items, (id, text) pairs, over the stored index: of every document row, or of those with a match."""
+    arrow = _arrow(FOUND_SCHEMA)
 
     def run(batches):
-        vocabulary = terms_shared.value
-        n_terms = len(vocabulary)
-        phrases: dict[int, Phrases] = {}
-        number = {w: i for i, w in enumerate(vocabulary)}
+        phrases = Phrases(shared.value, size)
         for batch in batches:
             for i in range(batch.num_rows):
-                _, ids, first, lens, terms, ends, data = (batch.column(k)[i].as_py() for k in range(7))
-                first, lens, terms, ends = (np.array(x, np.int64) for x in (first, lens, terms, ends))
-                postings = np.frombuffer(data, "<i4").astype(np.int64)
-                total = int(first[-1] + lens[-1] + GAP)
-                edge = np.zeros(total + 1, np.int32)
-                items: list[set] = [set() for _ in ids]
-                for b, block in enumerate(shared):
-                    if slop is not None:
-                        count = np.zeros(n_terms, np.int64)
-                        end = np.zeros(n_terms, np.int64)
-                        end[terms], count[terms] = ends, np.diff(ends, prepend=0)
-                        found = []
-                        for name, w in block.value:
-                            own = sorted({number[x] for x in w}, key=lambda t: (count[t], t))[:rarest]
-                            near = proximity_starts([postings[end[t] - count[t] : end[t]] for t in own], slop)
-                            found.append((near, 1, {"null" if name is None else name}))
-                    else:
-                        if b not in phrases:
-                            if len(shared) > 1:
-                                phrases.clear()  # one block's windows at a time
-                            phrases[b] = Phrases(block.value, vocabulary, size)
-                        found = shard_matches(terms, ends, postings, n_terms, phrases[b].groups)
-                    for start, length, of in found:
-                        if not len(start):
-                            continue
-                        np.add.at(edge, start, 1)
-                        np.add.at(edge, start + length, -1)
-                        for d in np.unique(np.searchsorted(first, start, side="right") - 1):
-                            items[d] |= of
-                hit = np.concatenate([[0], np.cumsum(np.cumsum(edge[:total]) > 0)])
-                cols = [
-                    pa.array(ids, pa.int64()), pa.array(lens), pa.array(hit[first + lens] - hit[first]),
-                    pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    return map_arrow(index, run, "doc_id bigint, n_words bigint, n_hit bigint, items array<string>")
+                shard, ids, first, lens, terms, ends, data = (batch.column(k)[i].as_py() for k in range(7))
+                postings = Postings(terms, np.array(ends, np.int64), data, phrases.terms)
+                first = np.array(first, np.int64)
+                spans: dict[int, list] = {}
+                items: dict[int, set] = {}
+                near: dict[int, set] = {}
+                for start, length, names in postings.phrases(phrases.groups):
+                    doc = np.searchsorted(first, start, side="right") - 1
+                    for d, a in zip(doc.tolist(), (start - first[doc]).tolist()):
+                        spans.setdefault(d, []).append((a, a + length))
+                        items.setdefault(d, set()).update(names)
+                if slop is not None:
+                    for places, names in postings.near(phrases.pieces, size + slop):
+                        for d in np.unique(np.searchsorted(first, places, side="right") - 1).tolist():
+                            near.setdefault(d, set()).update(names)
+                shown = range(len(ids)) if every else sorted({*spans, *near})
+                for at in range(0, len(shown), SLICE_ROWS):
+                    part = shown[at : at + SLICE_ROWS]
+                    cols = [
+                        [shard] * len(part), part, [ids[d] for d in part], [lens[d] for d in part],
+                        [[{"a": a, "b": b} for a, b in merged(*np.array(spans[d]).T)] if d in spans else [] for d in part],
+                        [sorted(items.get(d, ())) for d in part], [sorted(near.get(d, ())) for d in part],
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
+
+    return map_arrow(index, run, FOUND_SCHEMA)
+
+
+def _covered(spans: Column) -> Column:
+    """Words in the union of the intervals."""
+    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end"))
+
+    def add(acc, s):
+        a = F.greatest(s["a"], acc["end"])
+        return F.struct((acc["n"] + F.greatest(s["b"] - a, F.lit(0))).alias("n"), F.greatest(s["b"], acc["end"]).alias("end"))
+
+    return F.aggregate(F.array_sort(spans), start, add)["n"]
+
+
+def query_index(index: DataFrame, blocks: DataFrame, n_blocks: int, size: int = WINDOW, slop: int | None = None) -> DataFrame:
+    """doc_id, n_words, n_hit, items and near (sorted strings of the items found), one row per indexed document row.
+
+    `blocks` as of `item_blocks`. One pass over the index a block; the first one tells of every row, later ones of rows with a match,
+    and their findings are united by document row.
+    """
+    if size + (slop or 0) > GAP:
+        raise ValueError(f"at most {GAP} words")
+
+    def block(b: int) -> Broadcast:
+        held = blocks.where(F.col("block") == b).select("id", "text").collect()  # about BLOCK_BYTES
+        return index.sparkSession.sparkContext.broadcast([(r["id"], r["text"]) for r in held])
+
+    if n_blocks == 1:
+        found = query_block(index, block(0), size, slop)
+    else:
+        path = new_dir(index.sparkSession, "phrase-found")
+        for b in range(n_blocks):
+            shared = block(b)
+            query_block(index, shared, size, slop, every=b == 0).write.mode("append").parquet(path)
+            shared.unpersist()
+        rows = index.sparkSession.read.schema(FOUND_SCHEMA).parquet(path).groupBy("shard", "k")
+        united = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+        found = rows.agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), united("spans"), united("items"), united("near"))
+    return found.select("doc_id", "n_words", _covered(F.col("spans")).alias("n_hit"), "items", "near")
+
+
+def open_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
 
 def contamination(
     docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text: str = "text", slop: int | None = None
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, items for every document row: exact phrase matches (or proximity matches with `slop`).
+    """doc_id, n_words, n_hit, items (by exact phrases) and near (by proximity, with `slop`; else empty) for every document row.
 
-    Items of fewer words than `size` are one phrase; null or word-less items none; a null item id is named "null". Repeated
+    Items of fewer words than `size` are one phrase and one piece; null or word-less items none; a null item id is named "null". Repeated
     item rows count once, repeated documents are judged alike, overlapping occurrences mark a word once, null texts
     have 0 words, extra columns are not read, an empty table on either side gives no hits.
-    The items pass through the driver in blocks of bounded size: they are the query set.
     """
     spark = docs.sparkSession
-    blocks = list(item_blocks(items))
-    vocabulary = sorted({w for block in blocks for _, ws in block for w in ws})
-    if size > GAP:
-        raise ValueError(f"windows of at most {GAP} words")
-    path = build_index(docs, vocabulary, new_dir(spark, "phrase-index"), id_col, text)
-    index = spark.read.schema(INDEX_SCHEMA).parquet(path)
-    return query_index(index, blocks, vocabulary, size, slop)
+    index = open_index(spark, build_index(docs, new_dir(spark, "phrase-index"), id_col, text))
+    return query_index(index, *item_blocks(items), size, slop)
 
 
 def item_digest(found: DataFrame) -> list:
-    """n_items, items_sha256 and contaminated as columns."""
+    """n_items, items_sha256, contaminated, n_near and near_sha256 as columns."""
+    digest = lambda c: F.sha2(F.concat_ws(",", c), 256)
     return [
         F.size("items").cast("bigint").alias("n_items"),
-        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        digest("items").alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near").cast("bigint").alias("n_near"),
+        digest("near").alias("near_sha256"),
     ]
-

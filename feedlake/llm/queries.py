@@ -14,7 +14,7 @@ from feedlake.llm.layout_text import extract_text
 from feedlake.llm.license_rules import license_scan
 from feedlake.llm.merge_automaton import round_trip_digests
 from feedlake.llm.orchard import centroid_clusters
-from feedlake.llm.phrase_index import contamination, item_digest
+from feedlake.llm.phrase_index import SLOP, contamination, item_digest
 from feedlake.llm.rows import table
 from feedlake.llm.skip_chain import personal_data, span_digest
 from feedlake.llm.simple8b import read_ids, write_ids
@@ -66,7 +66,7 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=SLOP)
     return found.select("doc_id", "n_words", "n_hit", *item_digest(found))
 
 
