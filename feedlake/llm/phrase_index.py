@@ -121,7 +121,7 @@ def build_index(docs: DataFrame, path: str, id_col: str = "doc_id", text: str =
 
     arrow = _arrow(INDEX_SCHEMA)
     picked = docs.select(F.col(quoted(id_col)).cast("bigint"), F.col(quoted(text)))
-    map_arrow(picked, run, INDEX_SCHEMA).write.parquet(path)
+    map_arrow(picked, run, INDEX_SCHEMA).write.option("compression", "zstd").parquet(path)
     return path
 
 
