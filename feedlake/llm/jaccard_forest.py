@@ -3,11 +3,17 @@
 Shingles are five consecutive words (lower-cased; a text of fewer words is one shingle, a text without words has none). Rows
 with the same shingle set are one node, so copies are joined once. Each of TREES trees gives a node a path of LEVELS
 symbols, a byte of a min-hash each, packed into one long: its order is the order of the sorted prefix trie, and a shift
-shortens the prefix. Prefixes start at full depth and are shortened until two sets of similarity `threshold` meet in some
-tree with probability `recall`. Nodes that share a prefix are candidates and are verified on their texts' word tuples.
+shortens the prefix. The forest is one table in the order of tree, path, node (a range shuffle that splits hot paths, then a sort);
+a trie node at some depth is a run of equal prefixes in it, and one walk over the sorted rows finds the runs of all depths.
 
-Hot prefixes. A bucket of up to SMALL nodes verifies all its pairs. A larger one first verifies every node against two hubs,
-picked by a hash of node and bucket, so a node meets other hubs in other trees. After that most nodes of a large group are in
+Shortening. Matches start at full depth: nodes that share a whole path are candidates and are verified on their texts' word
+tuples. Then prefixes are shortened by one symbol, for those nodes that need it: a node is settled, and takes part in no shorter match with
+another settled one, once it has links and even its weakest would have been found at this depth, in some tree, with probability `recall`.
+The last depth is the one at which two sets of similarity `threshold` meet with that probability; a node without links gets there.
+
+Hot prefixes. A run of up to SMALL nodes verifies all its pairs. Larger runs, and those that a piece of the walk (an Arrow batch) may
+have cut, are gathered into buckets by their prefix. A bucket of more than SMALL nodes first verifies every node against two hubs,
+picked by a hash of node and tree, so a node meets other hubs in other trees. After that most nodes of a large group are in
 one class. What is left are the strays, nodes of a bucket outside its main class. Each meets every node of the bucket in
 another class, in blocks of about BLOCK nodes a side: signatures first (a pair that agrees in fewer symbols than
 similarity `threshold` gives but for a chance of 3 in 100,000 is passed over), then shingle hashes. A pair is looked at in
@@ -52,10 +58,15 @@ class JaccardJoin(NamedTuple):
     links: DataFrame | None  # doc_a, doc_b, similarity: all links between representatives of different shingle sets
 
 
+def meeting(similarity, depth: int, trees: int = TREES):
+    """The probability that two sets of this similarity share a prefix of this depth in some tree (number or column)."""
+    return 1 - (1 - similarity**depth) ** trees
+
+
 def prefix_depth(threshold: float, recall: float, trees: int = TREES, levels: int = LEVELS) -> int:
     """The longest prefix at which `threshold` reaches `recall` over the trees."""
     for depth in range(levels, 0, -1):
-        if 1 - (1 - threshold**depth) ** trees >= recall:
+        if meeting(threshold, depth, trees) >= recall:
             return depth
     raise ValueError("more trees are needed for this recall")
 
@@ -139,6 +150,74 @@ def similarity(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_arrow(both, run, "a bigint, b bigint, sim double")
 
 
+def trie_runs(tree: np.ndarray, path: np.ndarray, node: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted rows: those in long runs of equal prefixes or in the first or last one, which the piece may cut, as row
+    numbers; and all pairs of the other runs, but those that share a longer prefix, as row numbers of either."""
+    prefix = path >> (8 * (LEVELS - depth))
+    head = np.flatnonzero(np.append(True, (tree[1:] != tree[:-1]) | (prefix[1:] != prefix[:-1])))
+    size = np.diff(np.append(head, len(node)))
+    whole = size <= SMALL
+    whole[[0, -1]] = False
+    run, short = np.repeat(np.arange(len(head)), size), np.repeat(whole, size)
+    first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in range(1, min(SMALL, int(size[whole].max(initial=1)))):
+        same = short[k:] & (run[k:] == run[:-k])
+        if depth < LEVELS:
+            longer = 8 * (LEVELS - depth - 1)
+            same &= path[k:] >> longer != path[:-k] >> longer
+        at = np.flatnonzero(same)
+        first.append(at)
+        second.append(at + k)
+    return np.flatnonzero(~short), np.concatenate(first), np.concatenate(second)
+
+
+def walk_forest(nodes: DataFrame, least: int) -> DataFrame:
+    """(depth, bucket, tree, node, other): pairs (node, other) of short whole runs, and members (other is null) of the others,
+    for each depth from LEVELS down to `least`. Paths of one tree lie sorted over many tasks; ties are split by node."""
+
+    def run(batches):
+        for batch in batches:
+            tree, path, node = (batch.column(k).to_numpy() for k in range(3))
+            if not len(node):
+                continue
+            for depth in range(LEVELS, least - 1, -1):
+                rest, a, b = trie_runs(tree, path, node, depth)
+                at, other = np.concatenate([rest, a]), np.concatenate([np.zeros(len(rest), np.int64), node[b]])
+                cols = [
+                    pa.array(np.full(len(at), depth, np.int32)), pa.array(tree[at]), pa.array(path[at] >> (8 * (LEVELS - depth))),
+                    pa.array(node[at]), pa.array(other, mask=np.arange(len(at)) < len(rest)),
+                ]
+                yield pa.RecordBatch.from_arrays(cols, names=["depth", "tree", "prefix", "node", "other"])
+
+    paths = nodes.select("node", F.posexplode("paths").alias("tree", "path")).select("tree", "path", "node")
+    tries = paths.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
+    return map_arrow(tries, run, "depth int, tree int, prefix bigint, node bigint, other bigint")
+
+
+def _members(runs: DataFrame) -> DataFrame:
+    """(depth, bucket, tree, size, hubs, node) of the gathered runs of two nodes or more."""
+    bucket = F.xxhash64("depth", "tree", "prefix").alias("bucket")  # a collision only adds candidates
+    members = runs.where("other is null").select("depth", bucket, "tree", "node")
+    by = F.xxhash64("node", "tree")
+    hubs = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.min_by("node", by).alias("h"), F.max_by("node", by).alias("g")
+    )
+    hubs = materialize(hubs.where("size > 1").select("bucket", "size", F.array("h", "g").alias("hubs")), "forest-hubs")
+    return materialize(members.join(hubs, "bucket"), "forest-members")
+
+
+def _settled(verified: DataFrame, depth: int, threshold: float, recall: float) -> DataFrame:
+    """Nodes with links, even the weakest of which would have been found at this depth."""
+    ends = verified.where(F.col("sim") >= threshold).select(F.explode(F.array("a", "b")).alias("node"), "sim")
+    return ends.groupBy("node").agg(F.min("sim").alias("weakest")).where(meeting(F.col("weakest"), depth) >= recall).select("node")
+
+
+def _unsettled_pairs(pairs: DataFrame, settled: DataFrame) -> DataFrame:
+    marked = lambda side: settled.select(F.col("node").alias(side), F.lit(True).alias(f"{side}_done"))
+    open_ = pairs.join(marked("a"), "a", "left").join(marked("b"), "b", "left")
+    return open_.where("a_done is null or b_done is null").select("a", "b")
+
+
 def _pair(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -159,8 +238,8 @@ def least_agreement(threshold: float, symbols: int, z: float = 4.0) -> int:
 
 
 def _blocks(rows: DataFrame, name: str) -> DataFrame:
-    """(bucket, n, node, ...) -> a row for each block of about BLOCK nodes of a bucket."""
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))
+    """(bucket, n, n_bytes, node, ...) -> a row for each block of about BLOCK nodes or BLOCK_BYTES of shingle hashes of a bucket."""
+    block = F.pmod(F.xxhash64("node"), F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("n_bytes") / BLOCK_BYTES)))
     return rows.groupBy("bucket", block.alias("block")).agg(
         F.first("tree").alias("tree"), F.collect_list(F.struct("node", "label", "paths", "shingles")).alias(name)
     )
@@ -205,13 +284,14 @@ def _stray_pairs(members: DataFrame, label: DataFrame, nodes: DataFrame, texts:
     main = count.groupBy("bucket").agg(
         F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.max("n").alias("top")
     )
-    main = materialize(main.where("k > 1").select("bucket", "main", "n", (F.col("n") - F.col("top")).alias("n_strays")), "forest-mixed")
+    main = materialize(main.where("k > 1").select("bucket", "main"), "forest-mixed")
     mixed = materialize(large.join(main, "bucket"), "forest-mixed-members")
     needed = texts.join(mixed.select("node").distinct(), "node", "left_semi")
     held = materialize(_hashes(needed).join(nodes.select("node", "paths"), "node"), "forest-mixed-nodes")
     mixed = mixed.join(held, "node")
-    strays = mixed.where("label <> main").withColumn("n", F.col("n_strays"))
-    sides = _blocks(strays, "strays").join(_blocks(mixed, "others").drop("block", "tree"), "bucket").select("strays", "others", "tree")
+    strays = mixed.where("label <> main")
+    sized = lambda rows: rows.join(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("shingles")).alias("n_bytes")), "bucket")
+    sides = _blocks(sized(strays), "strays").join(_blocks(sized(mixed), "others").drop("block", "tree"), "bucket").select("strays", "others", "tree")
     agree = least_agreement(threshold, TREES * LEVELS)
 
     def run(batches):
@@ -307,24 +387,19 @@ def jaccard_join(
     empty) are classes of their own. A null id is greater than others; repeated rows fall in one class; extra columns
     are not read; an empty table gives no rows.
     """
-    depth = prefix_depth(threshold, recall)
+    least = prefix_depth(threshold, recall)
     sig = materialize(signatures(docs, id_col, text), "forest-signatures")
     named = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     nodes = sig.where("fingerprint is not null").groupBy("fingerprint").agg(F.min(named).alias("rep"), F.first("paths").alias("paths"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "forest-nodes")
 
-    paths = nodes.select("node", F.posexplode("paths").alias("tree", "path"))
-    bucket = F.xxhash64("tree", F.shiftright("path", 8 * (8 - depth)))  # a collision only adds candidates
-    members = paths.select(bucket.alias("bucket"), "tree", "node")
-    by = F.xxhash64("node", "bucket")
-    hubs = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.min("tree").alias("tree"), F.min_by("node", by).alias("h"), F.max_by("node", by).alias("g")
-    )
-    hubs = materialize(hubs.where("size > 1").select("bucket", "tree", "size", F.array("h", "g").alias("hubs")), "forest-hubs")
-    members = materialize(members.drop("tree").join(hubs, "bucket"), "forest-members")
+    runs = materialize(walk_forest(nodes, least), "forest-runs")
+    members = _members(runs)
+    short = runs.where("other is not null").select("depth", *_pair(F.col("node"), F.col("other")))
+    matched = short.select(F.explode(F.array("a", "b")).alias("node")).unionByName(members.select("node")).distinct()
 
     rep = F.col("rep")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
+    wanted = nodes.join(matched, "node", "left_semi").select(
         "node", rep["doc_id"].alias("rep_id"), rep["text_hash"].alias("rep_hash")
     )
     wanted = materialize(wanted, "forest-wanted")
@@ -334,11 +409,19 @@ def jaccard_join(
     texts = rows.join(wanted.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_hash") == F.col("rep_hash")))
     texts = materialize(texts.groupBy("node").agg(F.first("text").alias("text")), "forest-texts")
 
-    pairs = materialize(_first_pairs(members), "forest-pairs")
-    verified = materialize(similarity(pairs, texts), "forest-verified")
+    verified = None
+    for depth in range(LEVELS, least - 1, -1):
+        at = F.col("depth") == depth
+        pairs = short.where(at).select("a", "b").unionByName(_first_pairs(members.where(at))).distinct()
+        if verified is not None:
+            settled = materialize(_settled(verified, depth + 1, threshold, recall), "forest-settled")
+            pairs = _unsettled_pairs(pairs.join(verified, ["a", "b"], "left_anti"), settled)
+        found = materialize(similarity(materialize(pairs, "forest-pairs"), texts), "forest-verified")
+        verified = found if verified is None else verified.unionByName(found)
     links = verified.where(F.col("sim") >= threshold)
     label = components(links)
-    pairs = materialize(_stray_pairs(members, label, nodes, texts, depth, threshold).join(verified, ["a", "b"], "left_anti"), "forest-pairs")
+    members = members.where(F.col("depth") == least)
+    pairs = materialize(_stray_pairs(members, label, nodes, texts, least, threshold).join(verified, ["a", "b"], "left_anti"), "forest-pairs")
     if pairs.limit(1).count():
         late = materialize(similarity(pairs, texts).where(F.col("sim") >= threshold), "forest-verified")
         links = materialize(links.unionByName(late), "forest-links")

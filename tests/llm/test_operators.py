@@ -208,6 +208,65 @@ def test_every_link_of_a_large_group_is_counted_and_listed(spark, monkeypatch):
     assert {tuple(sorted((x.doc_a, x.doc_b))): x.similarity for x in listed} == true and len(listed) == len(true)
 
 
+def test_trie_runs_are_the_equal_prefixes():
+    r = random.Random(8)
+    rows = sorted((r.randrange(3), sum(r.choice([0, 0, 1, 200]) << (8 * k) for k in range(8)) - (1 << 63), n) for n in range(600))
+    tree, path, node = (np.array(x, np.int64) for x in zip(*rows))
+    prefix = lambda k, d: (tree[k], path[k] >> (8 * (8 - d)))
+    seen = set()
+    for depth in range(8, 1, -1):
+        rest, a, b = jaccard_forest.trie_runs(tree, path, node, depth)
+        groups = collections.defaultdict(list)
+        for k in range(len(rows)):
+            groups[prefix(k, depth)].append(k)
+        cut = {prefix(0, depth), prefix(len(rows) - 1, depth)}
+        assert rest.tolist() == sorted(k for g, ks in groups.items() if len(ks) > jaccard_forest.SMALL or g in cut for k in ks)
+        pairs = {(i, j) for g, ks in groups.items() if len(ks) <= jaccard_forest.SMALL and g not in cut for i in ks for j in ks if i < j}
+        got = list(zip(a.tolist(), b.tolist()))
+        assert len(set(got)) == len(got) and set(got) == {p for p in pairs if prefix(p[0], depth + 1) != prefix(p[1], depth + 1) or depth == 8}
+        seen |= set(got)
+        assert pairs <= seen
+
+
+@pytest.mark.parametrize("batch", [10_000, 7])
+def test_links_just_above_the_threshold_are_found(spark, batch):
+    """1,500 pairs of similarity 0.8 to 0.83, with and without a closer copy beside them, in whole walks and cut ones."""
+    r = random.Random(11)
+    texts, true = [], {}
+    for k in range(1500):
+        w = [f"p{k}x{i}" for i in range(r.choice([60, 95, 140]))]
+        v = list(w)
+        while True:
+            u = list(v)
+            u[r.randrange(len(u))] = f"q{len(texts)}"
+            x, y = jaccard_forest.shingle_set(" ".join(w)), jaccard_forest.shingle_set(" ".join(u))
+            if len(x & y) < 0.8 * len(x | y):
+                break
+            v = u
+        texts += [" ".join(w), " ".join(v)] + [" ".join([*w, "more"])] * (k % 2)
+    sets = [jaccard_forest.shingle_set(t) for t in texts]
+    at = [0]
+    for k in range(1500):
+        at.append(at[-1] + 2 + k % 2)
+        for i in range(at[k], at[k + 1]):
+            for j in range(i + 1, at[k + 1]):
+                sim = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+                if sim >= 0.8:
+                    true[i, j] = sim
+    near = {p for p, s in true.items() if s < 0.86}
+    assert len(near) > 1000
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(conf, batch)
+    try:
+        join = jaccard_forest.jaccard_join(df)
+        links = {tuple(sorted((x.doc_a, x.doc_b))): x.similarity for x in join.links.collect()}
+    finally:
+        spark.conf.unset(conf)
+    assert set(links) <= set(true) and all(abs(links[p] - true[p]) < 1e-12 for p in links)
+    assert len(near & set(links)) >= 0.99 * len(near) and len(links) >= 0.995 * len(true)
+
+
 def test_jaccard_join_edges(spark, docs, empty):
     got = by_row(jaccard_forest.jaccard_join(docs).documents)
     assert len(got) == docs.count()
