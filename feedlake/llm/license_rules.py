@@ -1,7 +1,7 @@
 """License scan by ordered signature rules, in DataFrame operations only.
 
 Texts become words (A-Z lower-cased; runs of ASCII letters, digits and all characters beyond ASCII) between single spaces. Some
-hundred licences times a handful of phrasings give the signature rules, regular expressions over those words. A rule is tried
+fifty licences times a handful of phrasings, and the notices, urls and identifiers written down one by one, give the signature rules, regular expressions over those words. A rule is tried
 only where a keyword of its phrasing and one of its licence occur (plain substring tests that every match passes), and each of its matches is a detection: label, word interval,
 confidence and tier. A detection is suppressed when its interval lies within one of a better or equal tier that
 comes before it (tier, then longer, then label). What is kept gives labels and score.
@@ -88,10 +88,71 @@ PHRASINGS = [
     (r" (?:the )?NAME licen[cs]e(?: text| agreement| terms)?(?= )", "licen", 3, 0.6),
 ]
 
+#: Names that are common words or the names of programs, and what may not stand before "licence NAME" if it is to mean them.
+BARE = {"isc", "mit", "postgresql", "x11", "zlib"}
+NO_ARTICLE = r"(?<! (?:a|an|any|each|every|her|his|its|my|no|our|that|the|their|this|your))"
+
+#: Sentences of the licences and of their usual notices, addresses, and identifiers that are nothing else: label, regex,
+#: keywords (every match holds one of them), tier, confidence.
+NOTICES = [
+    ("agpl-3", r" gnu affero general public licen[cs]e as published by the free software foundation either version 3(?= )", "as published by the free software", 1, 1.0),
+    ("gpl-2", r" gnu general public licen[cs]e as published by the free software foundation(?: either)? version 2(?= )", "as published by the free software", 1, 1.0),
+    ("gpl-2", r" gnu general public licen[cs]e version 2 as published by the free software foundation(?= )", "as published by the free software", 1, 1.0),
+    ("gpl-3", r" gnu general public licen[cs]e as published by the free software foundation(?: either)? version 3(?= )", "as published by the free software", 1, 1.0),
+    ("lgpl-2", r" gnu (?:lesser|library) general public licen[cs]e as published by the free software foundation(?: either)? version 2(?: 1)?(?= )", "as published by the free software", 1, 1.0),
+    ("lgpl-3", r" gnu lesser general public licen[cs]e as published by the free software foundation(?: either)? version 3(?= )", "as published by the free software", 1, 1.0),
+    ("mit", r" permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files(?= )", "hereby granted", 1, 1.0),
+    ("bsl-1", r" permission is hereby granted free of charge to any person or organization obtaining a copy of the software(?= )", "hereby granted", 1, 1.0),
+    ("isc", r" permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted(?= )", "hereby granted", 1, 1.0),
+    ("postgresql", r" permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted(?= )", "hereby granted", 1, 1.0),
+    ("bsd", r" redistribution and use in source and binary forms with or without modification are permitted(?= )", "redistribution and use", 1, 1.0),
+    ("bsd-3", r" may be used to endorse or promote products derived from this software without specific prior written permission(?= )", "endorse or promote", 1, 1.0),
+    ("bsd-4", r" all advertising materials mentioning features or use of this software must display(?= )", "advertising materials", 1, 1.0),
+    ("zlib", r" in no event will the authors be held liable for any damages arising from the use of this software(?= )", "held liable for any damages", 1, 1.0),
+    ("unlicense", r" this is free and unencumbered software released into the public domain(?= )", "unencumbered", 1, 1.0),
+    ("wtfpl", r" do what the fuck you want to public licen[cs]e(?= )", "you want to public", 1, 1.0),
+    ("cc0", r" has dedicated the work to the public domain by waiving all of his or her rights(?= )", "to the public domain", 1, 1.0),
+    ("cc0", r" waived all copyright and related or neighbou?ring rights(?= )", "waived all copyright", 1, 1.0),
+    ("cc-by", r" creativecommons org licen[cs]es by [1-4] [05](?= )", "creativecommons org", 1, 1.0),
+    ("cc-by-nc", r" creativecommons org licen[cs]es by nc [1-4] [05](?= )", "creativecommons org", 1, 1.0),
+    ("cc-by-nc-nd", r" creativecommons org licen[cs]es by nc nd [1-4] [05](?= )", "creativecommons org", 1, 1.0),
+    ("cc-by-nc-sa", r" creativecommons org licen[cs]es by nc sa [1-4] [05](?= )", "creativecommons org", 1, 1.0),
+    ("cc-by-nd", r" creativecommons org licen[cs]es by nd [1-4] [05](?= )", "creativecommons org", 1, 1.0),
+    ("cc-by-sa", r" creativecommons org licen[cs]es by sa [1-4] [05](?= )", "creativecommons org", 1, 1.0),
+    ("cc0", r" creativecommons org publicdomain zero 1 0(?= )", "creativecommons org", 1, 1.0),
+    ("apache-2", r" apache org licen[cs]es licen[cs]e 2 0(?= )", "apache org", 1, 1.0),
+    ("gpl-2", r" gnu org licen[cs]es(?: old licen[cs]es)? gpl 2 0(?= )", "gnu org", 1, 1.0),
+    ("gpl-3", r" gnu org licen[cs]es gpl 3 0(?= )", "gnu org", 1, 1.0),
+    ("lgpl-2", r" gnu org licen[cs]es(?: old licen[cs]es)? lgpl 2 [01](?= )", "gnu org", 1, 1.0),
+    ("lgpl-3", r" gnu org licen[cs]es lgpl 3 0(?= )", "gnu org", 1, 1.0),
+    ("agpl-3", r" gnu org licen[cs]es agpl 3 0(?= )", "gnu org", 1, 1.0),
+    ("mpl-2", r" mozilla org (?:en us )?mpl 2 0(?= )", "mozilla org", 1, 1.0),
+    ("bsl-1", r" boost org licen[cs]e 1 0(?= )", "boost org", 1, 1.0),
+    ("unlicense", r" unlicense org(?= )", "unlicense org", 1, 1.0),
+    ("mit", r" opensource org licen[cs]es? mit(?= )", "opensource org", 1, 1.0),
+    ("isc", r" opensource org licen[cs]es? isc(?= )", "opensource org", 1, 1.0),
+    ("zlib", r" opensource org licen[cs]es? zlib(?= )", "opensource org", 1, 1.0),
+    ("bsd-2", r" opensource org licen[cs]es? bsd 2 clause(?= )", "opensource org", 1, 1.0),
+    ("bsd-3", r" opensource org licen[cs]es? bsd 3 clause(?= )", "opensource org", 1, 1.0),
+    ("bsd-2", r" bsd 2 clause(?= )", "bsd", 3, 0.6),
+    ("bsd-3", r" bsd 3 clause(?= )", "bsd", 3, 0.6),
+    ("bsd-4", r" bsd 4 clause(?= )", "bsd", 3, 0.6),
+    ("agpl-3", r" agpl 3 0 (?:only|or later)(?= )", "agpl", 3, 0.6),
+    ("gpl-2", r" gpl 2 0 (?:only|or later)(?= )", "gpl", 3, 0.6),
+    ("gpl-3", r" gpl 3 0 (?:only|or later)(?= )", "gpl", 3, 0.6),
+    ("lgpl-2", r" lgpl 2 [01] (?:only|or later)(?= )", "lgpl", 3, 0.6),
+    ("lgpl-3", r" lgpl 3 0 (?:only|or later)(?= )", "lgpl", 3, 0.6),
+]
+
 
 def signature_rules() -> list[tuple[str, str, str, str, int, float]]:
-    """(label, regex, the phrasing's keywords, the licence's keywords, tier, confidence), every licence in every phrasing."""
-    return [(label, p.replace("NAME", name), key, own, tier, sure) for label, name, own in LICENSES for p, key, tier, sure in PHRASINGS]
+    """(label, regex, the phrasing's keywords, the licence's keywords, tier, confidence): every licence in every phrasing, and the notices."""
+    rules = []
+    for label, name, own in LICENSES:
+        for p, key, tier, sure in PHRASINGS:
+            guard = NO_ARTICLE if label in BARE and p.startswith(" licen[cs]e NAME") else ""
+            rules.append((label, guard + p.replace("NAME", name), key, own, tier, sure))
+    return rules + [(label, regex, key, key, tier, sure) for label, regex, key, tier, sure in NOTICES]
 
 
 def canonical(text: Column) -> Column:
@@ -128,13 +189,14 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     by row, to order and suppress detections.
     """
     names = ("label", "regex", "key", "own", "tier", "sure")
-    rules = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, r))) for r in signature_rules()))
+    signatures = signature_rules()
+    rules = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, r))) for r in signatures))
     c = F.col("c")
     rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.monotonically_increasing_id().alias("row"), canonical(F.col(quoted(text))).alias("c"))
     found = [_phrase(c, p) for p in PHRASES]
     n_base = sum((f[0] for f in found[1:]), found[0][0]).cast("bigint")
     base = F.array_compact(F.array(*(F.when(f[0] > 0, F.lit(label)) for f, label in zip(found, PHRASES.values()))))
-    present = _present(c, [key for _, key, _, _ in PHRASINGS])
+    present = _present(c, [key for _, _, key, *_ in signatures])
     rows = rows.select(
         "doc_id", "row", "c",
         F.when(F.trim(c) == "", 0).otherwise(spaces(c) - 1).cast("bigint").alias("n_words"),
@@ -144,7 +206,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         F.array_sort(F.array_distinct(base)).alias("base_labels"),
         present.alias("present"),
     )
-    rows = rows.withColumn("named", F.when(F.size("present") > 0, _present(c, [key for _, _, key in LICENSES])))
+    rows = rows.withColumn("named", F.when(F.size("present") > 0, _present(c, [own for _, _, _, own, *_ in signatures])))
     tried = F.when(
         F.size("named") > 0,
         F.filter(rules, lambda r: F.array_contains(F.col("present"), r["key"]) & F.array_contains(F.col("named"), r["own"]) & F.regexp_like(c, r["regex"])),

@@ -491,6 +491,65 @@ def test_license_keywords_drop_no_match(spark, monkeypatch):
     assert by_row(license_rules.license_scan(df)) == gated
 
 
+#: What a scan of a whole notice, address or identifier finds.
+NOTED = [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\")", ["mit"]),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that", ["bsd"]),
+    ("Neither the name of X nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", ["bsd-3"]),
+    ("under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or", ["gpl-3"]),
+    ("the GNU General Public License version 2 as published by the Free Software Foundation", ["gpl-2"]),
+    ("the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License", ["lgpl-2"]),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", ["isc"]),
+    ("has waived all copyright and related or neighboring rights to this work", ["cc0"]),
+    ("The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights", ["cc0"]),
+    ("see https://creativecommons.org/licenses/by-sa/4.0/ there", ["cc-by-sa"]),
+    ("see https://creativecommons.org/publicdomain/zero/1.0/", ["cc0"]),
+    ("http://www.apache.org/licenses/LICENSE-2.0", ["apache-2"]),
+    ("https://www.gnu.org/licenses/old-licenses/lgpl-2.1.html", ["lgpl-2"]),
+    ("BSD-3-Clause", ["bsd-3"]),
+    ("GPL-2.0-or-later", ["gpl-2"]),
+    ("This is free and unencumbered software released into the public domain.", ["unlicense"]),
+    ("He wrote a license mit open", []),
+    ("needs the licence zlib gave", []),
+    ("License: MIT", ["mit"]),
+    ("the ISC license", ["isc"]),
+    ("permission is hereby granted to park", []),
+]
+
+
+def test_license_notices_addresses_and_identifiers(spark):
+    df = spark.createDataFrame([(k, f"Some words. {t} more") for k, (t, _) in enumerate(NOTED)], "doc_id bigint, text string")
+    assert [r.labels for r in by_row(license_rules.license_scan(df))] == [labels for _, labels in NOTED]
+    for label, regex, key, tier, sure in license_rules.NOTICES:
+        assert all(any(k in x for k in key.split("|")) for x in written(regex)), regex
+
+
+def test_license_suppression_equals_brute_force(spark):
+    """All matches of all rules, those inside another one that comes before taken out one by one."""
+    r = random.Random(3)
+    notes = [t for t, _ in NOTED] + ["licensed under the", "released under", "license", "GNU GPL v3", "SPDX-License-Identifier: MIT", "MPL 2.0", "the X11 license", "so"]
+    notes += ["licensed under the GNU General Public License v3 license", "SPDX-License-Identifier: BSD-3-Clause"]
+    texts = [" ".join(r.choice(notes) for _ in range(r.randrange(1, 9))) for _ in range(60)]
+    got = by_row(license_rules.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)))
+    some = 0
+    for t, row in zip(texts, got):
+        c = f" {' '.join(words(t))} "
+        found = []
+        for label, regex, _, _, tier, sure in license_rules.signature_rules():
+            guarded = regex.startswith(license_rules.NO_ARTICLE)
+            for m in re.finditer(regex[len(license_rules.NO_ARTICLE) :] if guarded else regex, c):
+                if guarded and c[: m.start()].rsplit(" ", 1)[-1] in license_rules.NO_ARTICLE[8:-2].split("|"):
+                    continue
+                start = c[: m.start()].count(" ")
+                found.append((start, -(start + m[0].count(" ")), tier, label, sure))
+        found.sort()
+        kept = [x for k, x in enumerate(found) if not any(y[2] <= x[2] and y[1] <= x[1] for y in found[:k])]
+        some += len(kept) < len(found)
+        assert set(row.labels) == {x[3] for x in kept} | set(row.base_labels), t
+        assert row.score == (1.0 if row.n_base else max((x[4] for x in kept), default=0.0))
+    assert some > 5
+
+
 def test_quality_rules(spark, docs, empty):
     for r in host_rules.quality_rules(docs).collect():
         t = (TEXTS[r.doc_id] if r.doc_id is not None else (PROSE if r.n_words else None)) or ""
