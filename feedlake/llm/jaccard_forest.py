@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
 from feedlake.llm.components import components
-from feedlake.llm.rows import BoundedCache, map_arrow, map_texts, quoted, words
+from feedlake.llm.rows import BoundedCache, map_arrow, map_texts, quoted, short_batches, words
 from feedlake.workspace import materialize
 
 SHINGLE = 5
@@ -218,6 +218,11 @@ def _unsettled_pairs(pairs: DataFrame, settled: DataFrame) -> DataFrame:
     return open_.where("a_done is null or b_done is null").select("a", "b")
 
 
+def _from_texts(df: DataFrame, label: str) -> DataFrame:
+    with short_batches(df.sparkSession):
+        return materialize(df, label)
+
+
 def _pair(x, y) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -388,7 +393,7 @@ def jaccard_join(
     are not read; an empty table gives no rows.
     """
     least = prefix_depth(threshold, recall)
-    sig = materialize(signatures(docs, id_col, text), "forest-signatures")
+    sig = _from_texts(signatures(docs, id_col, text), "forest-signatures")
     named = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     nodes = sig.where("fingerprint is not null").groupBy("fingerprint").agg(F.min(named).alias("rep"), F.first("paths").alias("paths"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "forest-nodes")
@@ -416,14 +421,14 @@ def jaccard_join(
         if verified is not None:
             settled = materialize(_settled(verified, depth + 1, threshold, recall), "forest-settled")
             pairs = _unsettled_pairs(pairs.join(verified, ["a", "b"], "left_anti"), settled)
-        found = materialize(similarity(materialize(pairs, "forest-pairs"), texts), "forest-verified")
+        found = _from_texts(similarity(materialize(pairs, "forest-pairs"), texts), "forest-verified")
         verified = found if verified is None else verified.unionByName(found)
     links = verified.where(F.col("sim") >= threshold)
     label = components(links)
     members = members.where(F.col("depth") == least)
     pairs = materialize(_stray_pairs(members, label, nodes, texts, least, threshold).join(verified, ["a", "b"], "left_anti"), "forest-pairs")
     if pairs.limit(1).count():
-        late = materialize(similarity(pairs, texts).where(F.col("sim") >= threshold), "forest-verified")
+        late = _from_texts(similarity(pairs, texts).where(F.col("sim") >= threshold), "forest-verified")
         links = materialize(links.unionByName(late), "forest-links")
         if late.limit(1).count():
             label = components(links)

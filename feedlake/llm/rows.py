@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -52,6 +53,19 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 4 * SLICE_ROWS) -> Iterator[None]:
+    """For actions inside: Arrow batches of at most so many rows, as a batch of whole texts lies in memory on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) < rows:
+        spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
