@@ -172,7 +172,7 @@ def trie_runs(tree: np.ndarray, path: np.ndarray, node: np.ndarray, depth: int)
 
 
 def walk_forest(nodes: DataFrame, least: int) -> DataFrame:
-    """(depth, bucket, tree, node, other): pairs (node, other) of short whole runs, and members (other is null) of the others,
+    """(depth, tree, prefix, node, other): pairs (node, other) of short whole runs, and members (other is null) of the others,
     for each depth from LEVELS down to `least`. Paths of one tree lie sorted over many tasks; ties are split by node."""
 
     def run(batches):
