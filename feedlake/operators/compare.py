@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from feedlake.functions.columns import array_to_string, mismatch_array, resolve_columns
+from feedlake.operators.setops import unused_name
 from feedlake.spec import NEW_RECORD_LABEL
 
 _RAW = "df_raw_"
@@ -153,9 +154,9 @@ def recon_new_records(diff: DataFrame, raw: DataFrame, keys: str | Iterable[str]
 
 
 def keyed_difference_report(
-    source: DataFrame, raw: DataFrame, keys: str | Iterable[str], null_safe: bool = False
+    source: DataFrame, raw: DataFrame, keys: str | Iterable[str], null_safe: bool = False, repeated: bool = False
 ) -> DataFrame:
-    """Difference and column report from one keyed join, for keys unique on both sides.
+    """Difference and column report from one keyed join, for keys unique in raw.
 
     source LEFT JOIN raw on the keys (null-safe, so rows with null key parts pair up like EXCEPT compares
     them). A source row is a difference row unless an identical raw row exists; its column_name is the
@@ -164,7 +165,9 @@ def keyed_difference_report(
 
     Equal to difference() + mismatch_report() when the keys are unique in both inputs (the schema gate's
     duplicate_key check); then one shuffle on the key replaces the whole-row EXCEPT shuffle and the
-    profile join, and AQE broadcasts either side when it is small.
+    profile join, and AQE broadcasts either side when it is small. With `repeated` the source's keys may repeat:
+    rows of one key are compared with its raw row one by one, and equal difference rows are one, as in EXCEPT DISTINCT
+    (one more shuffle, of the difference rows alone).
     """
     key_cols = resolve_columns(source, keys)
     cols = [c for c in source.columns if c not in key_cols and c in set(raw.columns)]
@@ -186,7 +189,12 @@ def keyed_difference_report(
     else:
         flags = [F.when(source[c] != F.col(_RAW + c), F.lit(c)).otherwise(F.lit("")) for c in cols]
     label = F.when(key_match, array_to_string(mismatch_array(flags))).otherwise(F.lit(NEW_RECORD_LABEL))
-    return j.where(~same_row).select(*[source[c] for c in source.columns], label.alias("column_name"))
+    out = j.where(~same_row).select(*[source[c] for c in source.columns], label.alias("column_name"))
+    if not repeated:
+        return out
+    # grouped, as distinct() takes no maps; equal source rows have one raw row, so one label
+    n = unused_name("n", out)
+    return out.groupBy(*[F.col("`" + c.replace("`", "``") + "`") for c in out.columns]).agg(F.count(F.lit(1)).alias(n)).drop(n)
 
 
 def has_duplicate_keys(df: DataFrame, keys: str | Iterable[str]) -> bool:

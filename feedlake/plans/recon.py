@@ -79,12 +79,12 @@ def reconcile(spark: SparkSession, spec: ReconSpec, batch_date: str, audit_path:
     source = align_source(scan_recon_source(spark, spec, raw.schema), raw, spec.drop_columns)
     if spec.keyed:
         r = drop_columns(raw, spec.drop_columns)
-        if has_duplicate_keys(r, spec.primary_key) or has_duplicate_keys(source, spec.primary_key):
-            raise ValueError("keyed reconciliation needs keys unique in the raw batch and the source")
+        if has_duplicate_keys(r, spec.primary_key):
+            raise ValueError("keyed reconciliation needs keys unique in the raw batch")
         labelled = materialize(
             keyed_difference_report(drop_columns(source, spec.drop_columns),
                                     fill_empty_strings(r) if spec.fill_both else r, spec.primary_key,
-                                    spec.null_safe),
+                                    spec.null_safe, repeated=has_duplicate_keys(source, spec.primary_key)),
             "recon_keyed",
         )
         diff = labelled.drop("column_name")

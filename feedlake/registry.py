@@ -543,7 +543,7 @@ def q_recon_report(spark, sf, keyed: bool = False):
 
 
 def q_recon_report_keyed(spark, sf):
-    """PIP-9 in keyed mode (orders keys are unique): one keyed join instead of EXCEPT + profile join."""
+    """PIP-9 in keyed mode (orders keys are unique, the extract's new keys may meet them): one keyed join instead of EXCEPT + profile join."""
     return q_recon_report(spark, sf, keyed=True)
 
 

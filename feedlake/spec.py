@@ -94,8 +94,8 @@ class ReconSpec:
     header: bool = False  # the reference reads a header line as data
     fill_both: bool = False  # the reference fills nulls with '' on the CSV side only
     null_safe: bool = False  # the reference does not flag a change to or from null
-    # keys unique on both sides (schema gate): difference and report from one keyed join instead of a
-    # whole-row EXCEPT plus a profile join
+    # keys unique in raw (schema gate; the source's may repeat): difference and report from one keyed join instead of
+    # a whole-row EXCEPT plus a profile join
     keyed: bool = False
     # few differences expected: digests by key bucket first, then the exact difference of unlike buckets alone
     # (operators.pruned_difference states the bound on a chance miss); keyed takes precedence

@@ -220,6 +220,29 @@ def test_keyed_mode_refuses_duplicate_keys(spark):
         reconcile(spark, spec, "2024-01-02")
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_keyed_mode_takes_a_source_whose_keys_repeat(spark, null_safe):
+    # key 2: an unchanged row and a changed one; key 3: a changed row twice; key 9 and the null key: new, twice
+    name = _raw_table(spark, [(k, "a", None if k == 4 else 1.0, "2024-01-02") for k in (1, 2, 3, 4)])
+    src = [(1, "a", 1.0), (1, "a", 1.0), (2, "a", 1.0), (2, "b", 1.0), (3, "b", 2.0), (3, "b", 2.0), (3, "a", 3.0), (4, "a", 5.0)]
+    src += [(9, "n", 1.0), (9, "n", 1.0), (9, "m", 1.0), (None, "n", 1.0), (None, "n", 1.0)]
+    src_path = new_dir(spark, "src")
+    spark.createDataFrame(src, S).write.json(src_path)
+    results = []
+    for keyed in (False, True):
+        spec = ReconSpec(raw_table=name, primary_key=("k",), output_path=new_dir(spark, "o"), input_path=src_path,
+                         file_type="json", keyed=keyed, null_safe=null_safe)
+        res = reconcile(spark, spec, "2024-01-02")
+        diff = rows(scan_json(spark, res["difference_path"], spark.createDataFrame([], S).schema))
+        info = rows(scan_delimited(spark, res["info_path"],
+                                   spark.createDataFrame([], "k int, column_name string").schema, ",", header=True))
+        results.append((res["difference"], diff, info))
+    assert results[0] == results[1]
+    assert results[1][0] == 7
+    assert results[1][2] == [(2, "[x]"), (3, "[x, y]"), (3, "[y]"), (4, "[y]" if null_safe else "[]"), (9, "new record"),
+                             (9, "new record"), (None, "new record")]
+
+
 def test_reconcile_with_mapping_and_drop_list(spark):
     # raw stores `x` as `legacy_x` and has a load timestamp column the source does not carry
     db = new_name("recon_db")
