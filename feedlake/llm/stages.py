@@ -50,6 +50,6 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids of every document."""
-    coded = encode_texts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    """doc_id, n_tokens, ids, and the bytes that these ids decode to, of every document."""
+    coded = encode_texts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decoded=True)
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "decoded")

@@ -750,6 +750,17 @@ def test_pipeline_stage_by_stage(spark, sf):
     assert all(codec.decode(list(ids)).decode() == texts[i] for i, ids in zip(coded.doc_id, coded.ids)) and len(coded) == len(private)
 
 
+def test_bpe_stage_encodes_and_decodes(spark, sf):
+    from feedlake.llm.stages import bpe_codec as stage
+
+    texts = ["Plain words, 12 of them.", "", None, "é 漢字  \n\tun\u00a0deux", "x" * 3000]
+    out = stage(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), sf).toPandas()
+    assert out.columns.tolist() == ["doc_id", "n_tokens", "ids", "decoded"]
+    codec = bpe_codec.Codec(open(RANKS, "rb").read())
+    for i, n, ids, decoded in out.itertuples(index=False):
+        assert n == len(ids) and bytes(decoded) == codec.decode(list(ids)) == (texts[i] or "").encode()
+
+
 def test_queries_return_whole_tables(spark, sf):
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
     for name in ("op2_token_counts", "op3_simple8b_ids", "op4_jaccard_forest", "op5_bpe_codec", "op6_decontamination", "op7_skip_chain_pii", "op8_license_rules", "op9_quality_rules"):
