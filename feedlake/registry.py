@@ -90,7 +90,7 @@ from feedlake.sources import (
     scan_table,
 )
 from feedlake.spec import BATCH_COLUMN, RequestSpec, ReconSpec
-from feedlake.workspace import materialize, new_dir, new_name
+from feedlake.workspace import materialize, new_dir, new_name, small_tasks
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = [fx.ORDER_KEY]
@@ -106,6 +106,13 @@ def _diff(spark: SparkSession, sf: str) -> DataFrame:
     return recon_difference(fx.recon_source(spark, sf), fx.recon_raw(spark, sf))
 
 
+def _compared(spark: SparkSession, sf: str, build: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """The rows of `build(raw, difference)`; the difference, which branches of it may share, and they are computed in small tasks."""
+    raw = fx.recon_raw(spark, sf)
+    with small_tasks(spark, 2 * raw.count()):  # the source is about as large
+        return materialize(build(raw, materialize(_diff(spark, sf), "difference")), "compared")
+
+
 def _feed_table(spark: SparkSession, df: DataFrame, label: str, partitioned: bool = True) -> str:
     """An empty external feed table with df's schema (batchdate last) in a fresh work database."""
     db = fx.work_database(spark)
@@ -217,7 +224,7 @@ def q_write_diff_json(spark, sf):
 
 def q_write_info_csv(spark, sf):
     path = new_dir(spark, "additional_info")
-    write_info_csv(mismatch_report(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS), path)
+    write_info_csv(_compared(spark, sf, lambda raw, d: mismatch_report(raw, d, KEYS)), path)
     return scan_delimited(spark, path, StructType.fromDDL("o_orderkey bigint, column_name string"), ",", header=True)
 
 
@@ -390,11 +397,11 @@ def q_unchanged_records_filtered(spark, sf):
 
 
 def q_pair_on_keys(spark, sf):
-    return pair_on_keys(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
+    return _compared(spark, sf, lambda raw, d: pair_on_keys(raw, d, KEYS))
 
 
 def q_anti_join_keys(spark, sf):
-    return anti_join_keys(_diff(spark, sf), fx.recon_raw(spark, sf), KEYS)
+    return _compared(spark, sf, lambda raw, d: anti_join_keys(d, raw, KEYS))
 
 
 # ---- 2.6 aggregations ---------------------------------------------------------------------------------
@@ -443,15 +450,13 @@ def q_except_distinct(spark, sf):
 
 
 def q_union_all(spark, sf):
-    raw, d = fx.recon_raw(spark, sf), materialize(_diff(spark, sf), "difference")  # both branches read it
-    return concat(recon_mismatch(raw, d, KEYS), recon_new_records(d, raw, KEYS))
+    return _compared(spark, sf, lambda raw, d: concat(recon_mismatch(raw, d, KEYS), recon_new_records(d, raw, KEYS)))
 
 
 def _flagged(spark, sf) -> tuple[DataFrame, list]:
     """Difference rows next to their key's raw values, and the shipped flag of each compared column."""
-    d = _diff(spark, sf)
-    p = pair_on_keys(fx.recon_raw(spark, sf), d, KEYS)
-    return p, mismatch_flags({f.name: f.dataType for f in d.schema.fields}, NONKEY)
+    p = _compared(spark, sf, lambda raw, d: pair_on_keys(raw, d, KEYS))
+    return p, mismatch_flags({f.name: f.dataType for f in _diff(spark, sf).schema.fields}, NONKEY)
 
 
 def q_mismatch_flags(spark, sf):
@@ -520,11 +525,11 @@ def q_recon_difference(spark, sf):
 
 
 def q_recon_mismatch(spark, sf):
-    return recon_mismatch(fx.recon_raw(spark, sf), _diff(spark, sf), KEYS)
+    return _compared(spark, sf, lambda raw, d: recon_mismatch(raw, d, KEYS))
 
 
 def q_recon_new_records(spark, sf):
-    return recon_new_records(_diff(spark, sf), fx.recon_raw(spark, sf), KEYS)
+    return _compared(spark, sf, lambda raw, d: recon_new_records(d, raw, KEYS))
 
 
 def q_recon_difference_pruned(spark, sf):

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -47,6 +49,41 @@ def new_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:12]}"
 
 
+#: Of one task, in Parquet bytes read or compressed bytes shuffled; and rows shuffled, from which partitions are counted.
+TASK_BYTES = 8 << 20
+TASK_ROWS = 100_000
+
+
+@contextmanager
+def small_tasks(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For actions inside: tasks whose sorts and hash tables stay as small however large the input of `rows` rows. Files are
+    read in splits of TASK_BYTES, shuffles start with a partition per TASK_ROWS, and AQE merges them up to TASK_BYTES (and
+    still splits skewed ones). Settings that are tighter already stay."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = {
+        "spark.sql.files.maxPartitionBytes": f"{TASK_BYTES}b",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{TASK_BYTES}b",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(partitions, -(-rows // TASK_ROWS))),
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k in list(wanted)[:2]:
+        if before[k] and _bytes(before[k]) <= TASK_BYTES:
+            del wanted[k]
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k in wanted:
+            spark.conf.unset(k) if before[k] is None else spark.conf.set(k, before[k])
+
+
+def _bytes(setting: str) -> int:
+    digits = setting.lower().rstrip("bkmgtp")
+    unit = setting.lower()[len(digits) :].rstrip("b")
+    return int(digits) << 10 * ("", "k", "m", "g", "t", "p").index(unit)
+
+
 def materialize(df, label: str):
     """Cut lineage: write `df` as Parquet into a fresh folder below the shared one and read it back.
 

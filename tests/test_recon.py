@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from feedlake.functions import fill_empty_strings
 from feedlake.operators import difference, mismatch_report, pair_on_keys, recon_mismatch, recon_new_records
@@ -273,3 +274,35 @@ def test_fill_both_removes_null_string_differences(spark):
     quirk = reconcile(spark, ReconSpec(output_path=new_dir(spark, "o"), **base), "2024-01-02")
     fixed = reconcile(spark, ReconSpec(output_path=new_dir(spark, "o"), fill_both=True, **base), "2024-01-02")
     assert quirk["difference"] == 1 and fixed["difference"] == 0
+
+
+def test_small_tasks_bound_what_a_task_reads_and_keep_the_settings(spark):
+    from feedlake.workspace import materialize, small_tasks
+
+    raw = spark.range(400_000).select("id", (F.col("id") % 7).alias("v"))
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = [spark.conf.get(k, None) for k in keys]
+    with pytest.raises(RuntimeError), small_tasks(spark, 10):
+        raise RuntimeError
+    with small_tasks(spark, 4_000_000):
+        assert [spark.conf.get(k) for k in keys] == ["8388608b", "8388608b", "40"]
+        out = materialize(difference(raw, raw.where("id % 4 = 0")), "small")
+    assert [spark.conf.get(k, None) for k in keys] == before
+    assert out.count() == 300_000
+
+
+def test_union_all_shuffles_into_more_partitions_as_orders_grow(spark, tmp_path, monkeypatch):
+    from feedlake import registry, workspace
+
+    o = spark.range(3000).select(F.col("id").alias("o_orderkey"), (F.col("id") % 5).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+                                 F.lit(1.5).alias("o_totalprice"), F.lit(0).cast("timestamp").alias("o_orderdate"), F.lit("LOW").alias("o_orderpriority"))
+    o.write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(workspace, "TASK_ROWS", 100)
+    seen = []
+    keep = registry.materialize
+    monkeypatch.setattr(registry, "materialize", lambda df, label: (seen.append(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")), keep(df, label))[1])
+    got = rows(registry.q_union_all(spark, str(tmp_path)))
+    assert seen == ["60", "60"]  # 6,000 rows in 100 each, for the difference and for the comparison
+    raw = spark.read.parquet(f"{tmp_path}/orders.parquet")
+    assert got == rows(mismatch_report(raw, registry._diff(spark, str(tmp_path)), ["o_orderkey"]))
