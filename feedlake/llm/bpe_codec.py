@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField
 
 from feedlake.llm.pretokens import chunks, letters, pretokens
-from feedlake.llm.rows import BoundedCache, map_texts
+from feedlake.llm.rows import BoundedCache, kept, map_texts
 
 
 BITS = 20  # of an id
@@ -147,17 +147,6 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_codecs: dict[int, Codec] = {}
-
-
-def _codec(shared) -> Codec:
-    key = shared.id if hasattr(shared, "id") else hash(shared.value)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(shared.value)
-    return _codecs[key]
-
-
 def _broadcast(df: DataFrame, path: str):
     with open(path, "rb") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
@@ -172,7 +161,7 @@ def encode_texts(docs: DataFrame, rank_path: str, keep=("doc_id",), text: str =
     shared = _broadcast(docs, rank_path)
 
     def make():
-        codec = _codec(shared)
+        codec = kept(shared, Codec)
 
         def run(texts):
             ids = [codec.encode(t) for t in texts]
@@ -183,7 +172,7 @@ def encode_texts(docs: DataFrame, rank_path: str, keep=("doc_id",), text: str =
     fields = [StructField("ids", ArrayType(IntegerType(), False))]
     if decoded:
         fields.append(StructField("decoded", BinaryType()))
-    return map_texts(docs, list(keep), text, make, fields)
+    return map_texts(docs, list(keep), text, make, fields, keeps=True)
 
 
 def decode_ids(df: DataFrame, rank_path: str, keep=("doc_id",), ids: str = "ids") -> DataFrame:
@@ -191,10 +180,10 @@ def decode_ids(df: DataFrame, rank_path: str, keep=("doc_id",), ids: str = "ids"
     shared = _broadcast(df, rank_path)
 
     def make():
-        codec = _codec(shared)
+        codec = kept(shared, Codec)
         return lambda rows: ([codec.decode(x or []) for x in rows],)
 
-    return map_texts(df, list(keep), ids, make, [StructField("decoded", BinaryType())])
+    return map_texts(df, list(keep), ids, make, [StructField("decoded", BinaryType())], keeps=True)
 
 
 def digests(encoded: DataFrame) -> list:

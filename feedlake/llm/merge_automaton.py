@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
-from feedlake.llm.rows import BoundedCache, map_texts
+from feedlake.llm.rows import BoundedCache, kept, map_texts
 from feedlake.llm.token_counts import byte_alphabet
 
 BITS = 20  # of a label or trie node number
@@ -188,17 +188,6 @@ class MergeAutomaton:
             return " ".join(self.labels[i] for i in ids if i in self.labels)
 
 
-_automata: dict[int, MergeAutomaton] = {}
-
-
-def _automaton(shared) -> MergeAutomaton:
-    key = shared.id if hasattr(shared, "id") else hash(shared.value)
-    if key not in _automata:
-        _automata.clear()
-        _automata[key] = MergeAutomaton(shared.value)
-    return _automata[key]
-
-
 def _broadcast(df: DataFrame, path: str):
     with open(path, "rb") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
@@ -214,10 +203,10 @@ def encode_words(docs: DataFrame, vocabulary_path: str, keep=("doc_id",), text:
     shared = _broadcast(docs, vocabulary_path)
 
     def make():
-        encode = _automaton(shared).encode
+        encode = kept(shared, MergeAutomaton).encode
         return lambda texts: ([encode(t) for t in texts],)
 
-    return map_texts(docs, list(keep), text, make, [StructField("ids", ArrayType(IntegerType(), False))])
+    return map_texts(docs, list(keep), text, make, [StructField("ids", ArrayType(IntegerType(), False))], keeps=True)
 
 
 def decode_words(df: DataFrame, vocabulary_path: str, keep=("doc_id",), ids: str = "ids") -> DataFrame:
@@ -225,10 +214,10 @@ def decode_words(df: DataFrame, vocabulary_path: str, keep=("doc_id",), ids: str
     shared = _broadcast(df, vocabulary_path)
 
     def make():
-        decode = _automaton(shared).decode
+        decode = kept(shared, MergeAutomaton).decode
         return lambda rows: ([decode(x or []) for x in rows],)
 
-    return map_texts(df, list(keep), ids, make, [StructField("decoded", StringType())])
+    return map_texts(df, list(keep), ids, make, [StructField("decoded", StringType())], keeps=True)
 
 
 def round_trip_digests(docs: DataFrame, vocabulary_path: str, keep=("doc_id",), text: str = "text") -> DataFrame:
@@ -239,7 +228,7 @@ def round_trip_digests(docs: DataFrame, vocabulary_path: str, keep=("doc_id",),
     shared = _broadcast(docs, vocabulary_path)
 
     def make():
-        automaton = _automaton(shared)
+        automaton = kept(shared, MergeAutomaton)
 
         decimals = automaton.decimals.__getitem__
 
@@ -255,4 +244,4 @@ def round_trip_digests(docs: DataFrame, vocabulary_path: str, keep=("doc_id",),
         return run
 
     fields = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())]
-    return map_texts(docs, list(keep), text, make, fields)
+    return map_texts(docs, list(keep), text, make, fields, keeps=True)

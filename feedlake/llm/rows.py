@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -66,9 +67,36 @@ def short_batches(spark: SparkSession, rows: int = 4 * SLICE_ROWS) -> Iterator[N
         spark.conf.set(key, before)
 
 
-def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+_kept: list = []
+
+
+def kept(shared, make: Callable):
+    """`make` of a broadcast value, which this Python process keeps for its next tasks of the same operator."""
+    value = shared.value
+    key = (make.__module__, make.__qualname__, hash(value))
+    if not _kept or _kept[0] != key:
+        let_go()
+        _kept.extend((key, make(value)))
+    return _kept[1]
+
+
+def let_go() -> None:
+    """Free what `kept` holds; such objects refer to themselves by their caches, so only a collection frees them."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+
+
+def map_arrow(df: DataFrame, run: Callable, schema, keeps: bool = False) -> DataFrame:
+    """Spark hands its Python processes from stage to stage: a function that does not use `kept` (`keeps`) first frees what an
+    earlier operator left there."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def alone(batches):
+        let_go()
+        return run(batches)
+
+    return df.mapInArrow(run if keeps else alone, schema)
 
 
 def map_texts(
@@ -77,6 +105,7 @@ def map_texts(
     text: str,
     make: Callable[[], Callable[[list], Sequence]],
     fields: Sequence[StructField],
+    keeps: bool = False,
 ) -> DataFrame:
     """`keep` columns as they are, plus the columns a Python function derives from the text column.
 
@@ -102,7 +131,7 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     picked = [F.col(quoted(c)) for c in keep] + [F.col(quoted(text)).alias("__text")] * (at_text == n_keep)
-    return map_arrow(df.select(*picked), run, schema)
+    return map_arrow(df.select(*picked), run, schema, keeps)
 
 
 class BoundedCache(dict):

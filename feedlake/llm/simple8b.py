@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.pretokens import chunks, letters, pretokens
-from feedlake.llm.rows import SLICE_ROWS, BoundedCache, map_arrow, quoted
+from feedlake.llm.rows import SLICE_ROWS, BoundedCache, kept, map_arrow, quoted
 
 #: Ids in a word and bits of each, for selectors 2 to 15.
 COUNTS = [60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
@@ -158,8 +158,6 @@ class LibraryIds:
         return np.frombuffer(self.whole(pieces[0]) + rest, np.uint32)
 
 
-_libraries: dict[int, LibraryIds] = {}
-
 BLOCK_SCHEMA = (
     "file int, seq int, first_id bigint, n_ids bigint, doc_ids array<bigint>, doc_lens array<bigint>,"
     " offsets array<int>, words binary"
@@ -179,11 +177,7 @@ def write_ids(
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches):
-        key = shared.id if hasattr(shared, "id") else hash(shared.value)
-        if key not in _libraries:
-            _libraries.clear()
-            _libraries[key] = LibraryIds(shared.value)
-        library, file = _libraries[key], TaskContext.get().partitionId()
+        library, file = kept(shared, LibraryIds), TaskContext.get().partitionId()
         seq, first, held, names, size = 0, 0, [], [], 0
 
         def block():
@@ -218,7 +212,7 @@ def write_ids(
     picked = docs.select(F.col(quoted(id_col)).cast("bigint").alias("id"), F.col(quoted(text)).alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     ordered = picked.repartitionByRange(*order).sortWithinPartitions(*order)
-    map_arrow(ordered, run, BLOCK_SCHEMA).write.parquet(path)
+    map_arrow(ordered, run, BLOCK_SCHEMA, keeps=True).write.parquet(path)
     return path
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
 from feedlake.llm.pretokens import chunks, pretokens
-from feedlake.llm.rows import BoundedCache, map_texts
+from feedlake.llm.rows import BoundedCache, kept, map_texts
 
 
 BITS = 20  # of a symbol number
@@ -107,9 +107,6 @@ class MergeCounter:
         return self.segment(pieces[0]) + sum(map(self.after_space.__getitem__, pieces[1:]))
 
 
-_counters: dict[int, MergeCounter] = {}
-
-
 def count_tokens(docs: DataFrame, vocabulary_path: str, limit: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_bytes, n_tokens, over_limit for every row.
 
@@ -122,11 +119,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, limit: int, id_col: str
     shared = docs.sparkSession.sparkContext.broadcast(data)
 
     def make():
-        key = shared.id if hasattr(shared, "id") else hash(shared.value)
-        if key not in _counters:
-            _counters.clear()
-            _counters[key] = MergeCounter(shared.value)
-        counter = _counters[key]
+        counter = kept(shared, MergeCounter)
 
         def run(texts):
             n_bytes = [len(t.encode()) if t else 0 for t in texts]
@@ -134,5 +127,5 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, limit: int, id_col: str
 
         return run
 
-    out = map_texts(docs, [id_col], text, make, [StructField("n_bytes", LongType()), StructField("n_tokens", LongType())])
+    out = map_texts(docs, [id_col], text, make, [StructField("n_bytes", LongType()), StructField("n_tokens", LongType())], keeps=True)
     return out.withColumn("over_limit", F.col("n_tokens") > F.lit(limit))

@@ -790,3 +790,32 @@ def test_components_of_paths_stars_and_random_links(spark):
             parent[y] = x
     got = {x.node: x.label for x in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {x: find(x) for x in parent}
+
+
+def test_a_python_process_keeps_one_operators_state_and_frees_it_for_the_next():
+    import gc
+    import weakref
+
+    from feedlake.llm import rows
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    ranks = open(RANKS, "rb").read()
+    codec = rows.kept(Shared(ranks), bpe_codec.Codec)
+    assert rows.kept(Shared(ranks), bpe_codec.Codec) is codec
+    gone = weakref.ref(codec.after_space)
+    library = rows.kept(Shared(open(BPE, "rb").read()), simple8b.LibraryIds)
+    del codec
+    gc.collect()
+    assert gone() is None and rows.kept(Shared(open(BPE, "rb").read()), simple8b.LibraryIds) is library
+    frees, keeps = [], []
+    frame = type("Frame", (), {"sparkSession": None, "mapInArrow": lambda self, run, schema: run})()
+    ship, rows.ship = rows.ship, lambda spark: None
+    try:
+        rows.map_arrow(frame, lambda batches: keeps.append(len(rows._kept)), "a int", keeps=True)([])
+        rows.map_arrow(frame, lambda batches: frees.append(len(rows._kept)), "a int")([])
+    finally:
+        rows.ship = ship
+    assert keeps == [2] and frees == [0]
