@@ -7,9 +7,12 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from itertools import repeat
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -17,6 +20,9 @@ from pyspark.sql.types import StructField, StructType
 #: Rows a Python function sees at once; a slice of the Arrow batch, so memory follows a few texts, not a partition.
 SLICE_ROWS = 256
 
+#: Rows and bytes of text that a function of a whole Arrow column sees at once.
+PART_ROWS, PART_BYTES = 8 * SLICE_ROWS, 8 << 20
+
 # Words are runs of ASCII letters and digits and of all characters beyond ASCII, A-Z lower-cased. In UTF-8 every byte of
 # such a character is 0x80 or more, so the words can be cut bytewise.
 _WORD_TABLE = bytes(
@@ -99,6 +105,17 @@ def map_arrow(df: DataFrame, run: Callable, schema, keeps: bool = False) -> Data
     return df.mapInArrow(run if keeps else alone, schema)
 
 
+def parts(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch, of at most PART_ROWS rows and, by column `text`, PART_BYTES bytes (or one row)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        most = (ends[at - 1] if at else 0) + PART_BYTES
+        upto = min(max(int(np.searchsorted(ends, most, "right")), at + 1), at + PART_ROWS)
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def map_texts(
     df: DataFrame,
     keep: Sequence[str],
@@ -106,10 +123,12 @@ def map_texts(
     make: Callable[[], Callable[[list], Sequence]],
     fields: Sequence[StructField],
     keeps: bool = False,
+    whole_column: bool = False,
 ) -> DataFrame:
     """`keep` columns as they are, plus the columns a Python function derives from the text column.
 
-    `make()` runs once a task and returns a function from a list of texts (None for null) to one sequence per field.
+    `make()` runs once a task and returns a function from a list of texts (None for null) to one sequence per field; with
+    `whole_column`, from the texts as an Arrow array.
     Only `keep` and the text reach Python; other columns, whatever their names, are not read.
     """
     from pyspark.sql.pandas.types import to_arrow_type
@@ -123,9 +142,9 @@ def map_texts(
     def run(batches):
         f = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                made = f(part.column(at_text).to_pylist())
+            slices = parts(batch, at_text) if whole_column else map(batch.slice, range(0, batch.num_rows, SLICE_ROWS), repeat(SLICE_ROWS))
+            for part in slices:
+                made = f(part.column(at_text) if whole_column else part.column(at_text).to_pylist())
                 arrays = [part.column(i) for i in range(n_keep)]
                 arrays += [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)

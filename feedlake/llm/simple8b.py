@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.pretokens import chunks, letters, pretokens
-from feedlake.llm.rows import SLICE_ROWS, BoundedCache, kept, map_arrow, quoted
+from feedlake.llm.pretokens import PieceIds
+from feedlake.llm.rows import kept, map_arrow, parts, quoted
 
 #: Ids in a word and bits of each, for selectors 2 to 15.
 COUNTS = [60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
@@ -40,9 +40,8 @@ _S60 = np.uint64(60)
 _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 BYTE_CHARACTERS = "".join(chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256))
 #: Characters that every version of the Unicode tables since 5.0 puts in the same class: Latin, Cyrillic, kana, Han, Hangul.
-_plain = re.compile(
-    r"[\t-\r!-~\u00a1-\u00ac\u00ae-\u024f\u0400-\u0481\u048a-\u04ff\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]+"
-).fullmatch
+_PLAIN = r"\t-\r!-~\u00a1-\u00ac\u00ae-\u024f\u0400-\u0481\u048a-\u04ff\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+_plain, _all_plain = re.compile(f"[{_PLAIN}]+").fullmatch, re.compile(f"[ {_PLAIN}]+").fullmatch
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, list[int]]:
@@ -51,29 +50,34 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, list[int]]:
     n = len(ids)
     if n == 0:
         return np.zeros(0, np.uint64), []
-    step = np.ones(n, np.int64)
-    select = np.full(n, 15, np.int64)
+    select = np.full(n, 15, np.uint8)
     select[ids >= _ESCAPE] = 1
+    small = ids.astype(np.uint32) if ids.max() <= _LOW32 else ids
     for s in range(12, -1, -1):  # widest first; narrower words that fit replace them
-        wide = np.flatnonzero(ids >= (np.uint64(1) << np.uint64(WIDTHS[s])))
-        first, room = np.append(0, wide + 1), np.append(wide, n)
-        room -= first + (COUNTS[s] - 1)  # starts of a full word between two ids that are too wide
-        first, room = first[room > 0], room[room > 0]
-        if not len(first):
+        count = COUNTS[s]
+        if count > n:
+            break
+        fits, reach = small < small.dtype.type(1 << WIDTHS[s]), 1  # 30 bits at most
+        while reach < count:  # until `fits` tells of each id whether it and the next count - 1 all fit
+            more = min(reach, count - reach)
+            fits[:-more] &= fits[more:]
+            reach += more
+        fits[n - count + 1 :] = False
+        if not fits.any():
             break  # no word of this width, so none of a narrower one, which holds more ids
-        at = np.repeat(first - np.cumsum(room) + room, room) + np.arange(room.sum())
-        at = at[at % SUB_BLOCK <= SUB_BLOCK - COUNTS[s]]  # a word stays in its sub-block
-        select[at], step[at] = s + 2, COUNTS[s]
-    starts, i, steps = [], 0, step.tolist()
+        for k in range(1, count):  # a word stays in its sub-block
+            fits[SUB_BLOCK - k :: SUB_BLOCK] = False
+        np.putmask(select, fits, s + 2)
+    starts, i, steps = [], 0, np.array([1, 1, *COUNTS], np.uint8)[select].tobytes()
     while i < n:
         starts.append(i)
         i += steps[i]
-    starts = np.array(starts, np.int64)
+    starts = np.fromiter(starts, np.int64, len(starts))
     chosen = select[starts]
     size = 1 + (chosen == 1)
     place = np.cumsum(size) - size
     out = np.zeros(int(size.sum()), np.uint64)
-    for s in np.unique(chosen):
+    for s in np.flatnonzero(np.bincount(chosen)).tolist():
         where, first = place[chosen == s], starts[chosen == s]
         if s == 1:
             out[where] = ids[first] >> np.uint64(32)
@@ -117,6 +121,7 @@ class LibraryIds:
 
     def __init__(self, vocabulary: bytes):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
         self.model = self.tokenizer.model
@@ -128,34 +133,41 @@ class LibraryIds:
             and not spec.get("normalizer") and not spec.get("post_processor") and not spec.get("truncation")
             and not spec.get("padding")
         )
-        self.matches = BoundedCache(self.of_match, limit=50_000)
-        self.after_space = BoundedCache(self.of_piece, limit=250_000)
+        if self.apart:  # the model with another cut, and of each id whether its token begins with a space
+            self.marked = Tokenizer(self.model)
+            self.marked.pre_tokenizer = CharDelimiterSplit(BYTE_CHARACTERS[0])
+            vocabulary = self.tokenizer.get_vocab()
+            self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.spaced[[i for t, i in vocabulary.items() if t.startswith(BYTE_CHARACTERS[32])]] = True
+        self.pieces = PieceIds(self.of_matches, self.whole, self.refused, self.added, limit=250_000)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def of_match(self, match: str) -> bytes:
-        characters = charmap_decode(match.encode(), "strict", BYTE_CHARACTERS)[0]
-        return array("I", [t.id for t in self.model.tokenize(characters)]).tobytes()
-
-    def of_piece(self, piece: str) -> bytes:
-        if _plain(piece):
-            if piece.isalpha():
-                return self.of_match(" " + piece)
-            head = letters(piece)  # with the space one match, known as a piece of its own
-            if head:
-                return self.after_space[head] + b"".join(map(self.matches.__getitem__, pretokens(piece[len(head) :])))
-            return b"".join(map(self.matches.__getitem__, pretokens(" " + piece)))
-        return self.whole(" " + piece)
+    def refused(self, pieces: list[str]) -> set[str]:
+        return set() if _all_plain(" ".join(pieces)) else {p for p in pieces if p and not _plain(p)}
+
+    def of_matches(self, matches: list[str]) -> list[bytes]:
+        """The model's ids of each match; plain characters leave the zero byte free as a mark between matches."""
+        characters = charmap_decode("\0".join(matches).encode(), "strict", BYTE_CHARACTERS)[0]
+        if len(matches) > 1:  # of many words with a space in front, each begins with the one token that holds its space
+            found = np.array(self.marked.encode_batch_fast([characters], add_special_tokens=False)[0].ids, np.uint32)
+            begins = np.flatnonzero(self.spaced[found]).tolist()
+            if len(begins) == len(matches) and not begins[0]:
+                data = found.tobytes()
+                return [data[4 * a : 4 * b] for a, b in zip(begins, begins[1:] + [len(found)])]
+        tokenize = self.model.tokenize
+        return [array("I", [t.id for t in tokenize(c)]).tobytes() for c in characters.split(BYTE_CHARACTERS[0])[: len(matches)]]
+
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's begin, with the end of the last."""
+        if self.apart:
+            return self.pieces.column(texts)
+        made = [self.whole(t) if t else b"" for t in texts.to_pylist()]
+        return np.frombuffer(b"".join(made), np.uint32), np.cumsum([0, *map(len, made)]) // 4
 
     def ids(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        pieces = chunks(text) if self.apart and not any(t in text for t in self.added) else None
-        if pieces is None:
-            return np.frombuffer(self.whole(text), np.uint32)
-        rest = b"".join(map(self.after_space.__getitem__, pieces[1:]))
-        return np.frombuffer(self.whole(pieces[0]) + rest, np.uint32)
+        return self.column(pa.array([text], pa.string()))[0]
 
 
 BLOCK_SCHEMA = (
@@ -194,10 +206,10 @@ def write_ids(
             return pa.RecordBatch.from_pylist([row], schema=arrow)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                for name, ids in zip(part.column(0).to_pylist(), map(library.ids, part.column(1).to_pylist())):
-                    held.append(np.append(ids, np.uint32(end_id)))
+            for part in parts(batch, 1):
+                flat, at_doc = library.column(part.column(1))
+                for name, start, end in zip(part.column(0).to_pylist(), at_doc.tolist(), at_doc[1:].tolist()):
+                    held.append(np.append(flat[start:end], np.uint32(end_id)))
                     names.append(name)
                     size += len(held[-1])
                     if size >= BLOCK_IDS:

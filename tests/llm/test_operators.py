@@ -8,13 +8,15 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers as P
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from feedlake.llm import bpe_codec, host_reputation, host_rules, jaccard_forest, license_rules, phrase_index, simple8b, skip_chain, token_counts
+from feedlake.llm import bpe_codec, host_reputation, host_rules, jaccard_forest, license_rules, phrase_index, pretokens, rows, simple8b, skip_chain, token_counts
 from feedlake.llm.layout_text import extract_text, page_text
 from feedlake.llm.queries import QUERIES, URL_RULES
 from feedlake.workspace import new_dir
@@ -819,3 +821,49 @@ def test_a_python_process_keeps_one_operators_state_and_frees_it_for_the_next():
     finally:
         rows.ship = ship
     assert keeps == [2] and frees == [0]
+
+
+def test_columns_of_texts_equal_the_libraries():
+    spaces = "".join(c for c in map(chr, range(0x110000)) if re.match(r"\s", c))
+    pieces = ["a", "it's", "x,", "x", ",", "A1b", "\n", "x\ny.", "é", "日本", "ꟊx", "ꟊx,", "\U0001e030", "<|endoftext|>", "", "w" * 60, "\0z", "don't", "́e"]
+    rng = random.Random(5)
+    texts = [None, "", " ", " a", "a ", "a\n", "x,", "<|endoftext|>"] + [f"a{c} b" for c in spaces] + [f"a {c}b" for c in spaces]
+    texts += [" ".join(rng.choices(pieces[: rng.choice([6, 12, len(pieces)])], k=rng.randint(1, 9))) for _ in range(2000)]
+    column = pa.array(texts, pa.string())
+    assert pc.match_substring_regex(column, pretokens.SPACES_RUN).to_pylist() == [None if t is None else bool(re.search(r"\s ", t)) for t in texts]
+    tok, library = Tokenizer.from_file(BPE), simple8b.LibraryIds(open(BPE, "rb").read())
+    library.pieces.limit = 7  # kept pieces grow old and go
+    cases = [
+        (library.column, lambda t: tok.encode(t, add_special_tokens=False).ids),
+    ]
+    for encode, expected in cases:
+        for at in range(0, len(texts), 97):
+            part = column.slice(at, 97)
+            ids, begins = encode(part)
+            cut = [ids[a:b].tolist() for a, b in zip(begins, begins[1:])]
+            assert cut == [expected(t) if t else [] for t in part.to_pylist()]
+
+
+def test_words_packed_as_by_brute_force():
+    rng = np.random.default_rng(3)
+    for k in range(60):
+        n = int(rng.integers(1, 60)) if k % 6 else int(rng.integers(4000, 9000))
+        ids = rng.integers(0, 2**63, n, dtype=np.uint64) >> rng.integers(int(rng.choice([0, 30, 45])), 63, n).astype(np.uint64)
+        expected, i = [], 0
+        while i < n:  # the word that holds the most ids and stays in its sub-block
+            fit = [c for c, w in zip(simple8b.COUNTS, simple8b.WIDTHS) if i % 4096 + c <= 4096 and i + c <= n and max(ids[i : i + c]) < 2**w]
+            expected.append(simple8b.COUNTS.index(fit[0]) + 2 if fit else 0)
+            expected += [1] * (not fit)
+            i += fit[0] if fit else 1
+        words, _ = simple8b.pack(ids)
+        assert (words >> np.uint64(60)).tolist() == expected and np.array_equal(simple8b.unpack(words), ids)
+
+
+def test_parts_bound_rows_and_bytes(monkeypatch):
+    monkeypatch.setattr(rows, "PART_ROWS", 3)
+    monkeypatch.setattr(rows, "PART_BYTES", 10)
+    texts = ["a" * 6, "b" * 4, None, "c", "d", "e" * 30, "", "f", "g", "h", "i"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["t"])
+    got = [p.column(0).to_pylist() for p in rows.parts(batch.slice(0), 0)]
+    assert got == [["a" * 6, "b" * 4, None], ["c", "d"], ["e" * 30], ["", "f", "g"], ["h", "i"]]
+    assert list(rows.parts(batch.slice(0, 0), 0)) == []
