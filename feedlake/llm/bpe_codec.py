@@ -10,15 +10,16 @@ from __future__ import annotations
 
 import base64
 import heapq
-from itertools import chain
+from array import array
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField
 
-from feedlake.llm.pretokens import chunks, letters, pretokens
-from feedlake.llm.rows import BoundedCache, kept, map_texts
-
+from feedlake.llm.pretokens import PieceIds, pretokens
+from feedlake.llm.rows import kept, map_texts
 
 BITS = 20  # of an id
 WORD = 8  # log2 of the bits in a bitmap word
@@ -52,18 +53,14 @@ class Codec:
         above = [1 << w for w in range(self.word_of[-1] + 1)]
         self.top_of = [above[w] for w in self.word_of]
         self.bitmap = [0] * len(above)  # all zero between pre-tokens
-        self.words = BoundedCache(lambda w: self.encode_pretoken(w.encode()), limit=100_000)
-        self.after_space = BoundedCache(self.encode_after_space, limit=450_000)
-
-    def encode_after_space(self, piece: str) -> tuple[int, ...]:
-        """Ids of a piece between spaces, with the space before it. Letters at its start are one pre-token, by the pattern,
-        and known as a piece of their own; what follows them is cut alike without them."""
-        if piece.isalpha():
-            return self.encode_pretoken((" " + piece).encode())
-        head = letters(piece)
-        if head:
-            return self.after_space[head] + tuple(chain.from_iterable(map(self.words.__getitem__, pretokens(piece[len(head) :]))))
-        return tuple(chain.from_iterable(map(self.words.__getitem__, pretokens(" " + piece))))
+        self.after_space = PieceIds(self.of_matches, self.whole, limit=450_000, few=100_000)
+        self.spelled = pa.array(map(self.tokens.get, ranks), pa.large_binary())
+
+    def of_matches(self, matches: list[str]) -> list[bytes]:
+        return [array("i", self.encode_pretoken(m.encode())).tobytes() for m in matches]
+
+    def whole(self, text: str) -> bytes:
+        return b"".join(map(self.after_space.matches.__getitem__, pretokens(text)))
 
     def encode_pretoken(self, piece: bytes) -> tuple[int, ...]:
         whole = self.ranks.get(piece)
@@ -134,18 +131,18 @@ class Codec:
         return tuple(ids)
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        pieces = chunks(text)
-        if pieces is None:
-            return list(chain.from_iterable(map(self.words.__getitem__, pretokens(text))))
-        ids = list(chain.from_iterable(map(self.words.__getitem__, pretokens(pieces[0]))))
-        ids.extend(chain.from_iterable(map(self.after_space.__getitem__, pieces[1:])))
-        return ids
+        return self.after_space.column(pa.array([text], pa.string()))[0].tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_column(self, ids: np.ndarray, begins: np.ndarray) -> pa.Array:
+        """The bytes of each run of ids, by where the runs begin and the last one ends."""
+        made = self.spelled.take(pa.array(ids))
+        ends = np.frombuffer(made.buffers()[1], np.int64, len(ids) + 1)[begins]
+        places = pa.py_buffer(np.append(0, ends[1:]).astype(np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(begins) - 1, [None, places, made.buffers()[2] or pa.py_buffer(b"")])
+
 
 def _broadcast(df: DataFrame, path: str):
     with open(path, "rb") as f:
@@ -158,21 +155,26 @@ def encode_texts(docs: DataFrame, rank_path: str, keep=("doc_id",), text: str =
     Null and empty texts have no ids (an empty array) and decode to no bytes. Repeated rows, null keys and extra columns
     pass as they are; an empty table gives no rows. No shuffle. The rank file (under 1 MB) is broadcast.
     """
+    from pyspark.sql.pandas.types import to_arrow_type
+
     shared = _broadcast(docs, rank_path)
 
     def make():
         codec = kept(shared, Codec)
 
         def run(texts):
-            ids = [codec.encode(t) for t in texts]
-            return (ids, [codec.decode(x) for x in ids]) if decoded else (ids,)
+            ids, begins = codec.after_space.column(texts)
+            ids = ids.view(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(ids), type=kind)
+            return (lists, codec.decode_column(ids, begins)) if decoded else (lists,)
 
         return run
 
     fields = [StructField("ids", ArrayType(IntegerType(), False))]
+    kind = to_arrow_type(fields[0].dataType)
     if decoded:
         fields.append(StructField("decoded", BinaryType()))
-    return map_texts(docs, list(keep), text, make, fields, keeps=True)
+    return map_texts(docs, list(keep), text, make, fields, keeps=True, whole_column=True)
 
 
 def decode_ids(df: DataFrame, rank_path: str, keep=("doc_id",), ids: str = "ids") -> DataFrame:

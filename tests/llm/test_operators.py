@@ -831,10 +831,13 @@ def test_columns_of_texts_equal_the_libraries():
     texts += [" ".join(rng.choices(pieces[: rng.choice([6, 12, len(pieces)])], k=rng.randint(1, 9))) for _ in range(2000)]
     column = pa.array(texts, pa.string())
     assert pc.match_substring_regex(column, pretokens.SPACES_RUN).to_pylist() == [None if t is None else bool(re.search(r"\s ", t)) for t in texts]
-    tok, library = Tokenizer.from_file(BPE), simple8b.LibraryIds(open(BPE, "rb").read())
-    library.pieces.limit = 7  # kept pieces grow old and go
+    tok, ref = Tokenizer.from_file(BPE), bpe_codec.Codec(open(RANKS, "rb").read())
+    encoding = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ref.ranks, special_tokens={})
+    library, codec = simple8b.LibraryIds(open(BPE, "rb").read()), bpe_codec.Codec(open(RANKS, "rb").read())
+    library.pieces.limit = codec.after_space.limit = 7  # kept pieces grow old and go
     cases = [
         (library.column, lambda t: tok.encode(t, add_special_tokens=False).ids),
+        (codec.after_space.column, encoding.encode_ordinary),
     ]
     for encode, expected in cases:
         for at in range(0, len(texts), 97):
@@ -842,6 +845,8 @@ def test_columns_of_texts_equal_the_libraries():
             ids, begins = encode(part)
             cut = [ids[a:b].tolist() for a, b in zip(begins, begins[1:])]
             assert cut == [expected(t) if t else [] for t in part.to_pylist()]
+    ids, begins = codec.after_space.column(column)
+    assert codec.decode_column(ids, begins).to_pylist() == [(t or "").encode() for t in texts]
 
 
 def test_words_packed_as_by_brute_force():
