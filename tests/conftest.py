@@ -18,6 +18,17 @@ def spark():
     yield s
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left(request):
+    """Temporary views of one module's tests are not seen by the next module's: they share the session."""
+    yield
+    from pyspark.sql import SparkSession
+
+    s = SparkSession.getActiveSession()
+    for view in s.sql("SHOW VIEWS").where("isTemporary").collect() if s else ():
+        s.catalog.dropTempView(view.viewName)
+
+
 @pytest.fixture(scope="session")
 def sf():
     return SF
