@@ -53,7 +53,7 @@ class Codec:
         above = [1 << w for w in range(self.word_of[-1] + 1)]
         self.top_of = [above[w] for w in self.word_of]
         self.bitmap = [0] * len(above)  # all zero between pre-tokens
-        self.after_space = PieceIds(self.of_matches, self.whole, limit=450_000, few=100_000)
+        self.after_space = PieceIds(self.of_matches, self.whole, limit=450_000)
         self.spelled = pa.array(map(self.tokens.get, ranks), pa.large_binary())
 
     def of_matches(self, matches: list[str]) -> list[bytes]:

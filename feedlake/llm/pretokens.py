@@ -41,11 +41,40 @@ def letters(piece: str) -> str:
 SPACES_RUN = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 
 
+class KeptIds:
+    """Words and their ids as two Arrow columns: some 40 bytes a word, where a dict's entry with its two objects takes 200.
+    When they are too many, words that were not asked for since the last such time go."""
+
+    def __init__(self):
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.asked = np.empty(0, bool)
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """The place of each of some distinct words, -1 for those that are not kept."""
+        # the hash table is made of the fewer words
+        found = pc.index_in(self.words, value_set=words)
+        places = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        self.asked[places] = True
+        at = np.full(len(words), -1, np.int64)
+        at[found.drop_null().to_numpy()] = places
+        return at
+
+    def add(self, words: pa.Array, ids: pa.Array, limit: int) -> None:
+        """Keeps distinct words that are not kept yet: `limit` of them at most, beside as many that were asked for."""
+        words, ids = words.slice(0, limit), ids.slice(0, limit)
+        if len(self.words) + len(words) > 2 * limit:
+            stay = pa.array(np.flatnonzero(self.asked)[-limit:])
+            self.words, self.ids, self.asked = self.words.take(stay), self.ids.take(stay), np.zeros(len(stay), bool)
+        self.words, self.ids = pa.concat_arrays([self.words, words]), pa.concat_arrays([self.ids, ids])
+        self.asked = np.append(self.asked, np.ones(len(words), bool))
+
+
 class PieceIds:
     """Ids of texts by their pieces between spaces, each distinct piece of a column asked for once and kept a while.
 
     `of_matches` encodes a list of matches of the pattern, each to its 32-bit ids as bytes; `whole` encodes a text that a cut
-    could split (white-space runs, a string of `added`), and with its space each piece that `refused` picks from a list. Kept pieces lie in two generations of about `limit` entries, as in BoundedCache; long ones are not kept.
+    could split (white-space runs, a string of `added`), and with its space each piece that `refused` picks from a list. Of kept
+    pieces at most about twice `limit` lie in Arrow columns; long ones are not kept.
     """
 
     def __init__(
@@ -59,21 +88,13 @@ class PieceIds:
         longest: int = 48,
     ):
         self.of_matches, self.whole, self.refused, self.added = of_matches, whole, refused, added
-        self.limit, self.longest, self.young, self.old = limit, longest, {}, {}
+        self.limit, self.longest, self.kept = limit, longest, KeptIds()
         self.matches = BoundedCache(lambda m: of_matches([m])[0], limit=few)
         self.tails = BoundedCache(self.joined, limit=few)
 
     def joined(self, text: str) -> bytes:
         return b"".join(map(self.matches.__getitem__, pretokens(text)))
 
-    def keep(self, pieces: list[str], ids: list[bytes]) -> None:
-        if len(self.young) >= self.limit:
-            self.young, self.old = {}, self.young
-        self.young.update(zip(pieces, ids))
-        for p in pieces:
-            if len(p) > self.longest:
-                del self.young[p]
-
     def of_pieces(self, pieces: list[str]) -> list[bytes]:
         """The ids of distinct pieces with a space in front. Letters at a piece's start are one match with the space; what
         follows them is cut alike without them. Only the letters, and refused pieces, are kept whole."""
@@ -87,17 +108,16 @@ class PieceIds:
         ]
 
     def of_words(self, words: list[str], odd: set[str]) -> list[bytes]:
-        ids = list(map(self.young.get, words))
-        lacking = [i for i, x in enumerate(ids) if x is None]
-        asked = [words[i] for i in lacking]
-        found = list(map(self.old.get, asked))
-        new = [w for w, x in zip(asked, found) if x is None]
-        made = iter(self.of_matches([" " + w for w in new if w not in odd]))
-        made = iter([self.whole(" " + w) if w in odd else next(made) for w in new])
-        found = [next(made) if x is None else x for x in found]
-        for i, x in zip(lacking, found):
-            ids[i] = x
-        self.keep(asked, found)
+        kept = self.kept
+        column = pa.array(words, pa.large_string())
+        at = kept.find(column)
+        new = np.flatnonzero(at < 0).tolist()
+        ids = kept.ids.take(pa.array(at, mask=at < 0)).to_numpy(zero_copy_only=False).tolist()
+        made = iter(self.of_matches([" " + words[i] for i in new if words[i] not in odd]))
+        for i in new:
+            ids[i] = self.whole(" " + words[i]) if words[i] in odd else next(made)
+        short = [i for i in new if len(words[i]) <= self.longest]
+        kept.add(column.take(pa.array(short, pa.int64())), pa.array([ids[i] for i in short], pa.large_binary()), self.limit)
         return ids
 
     def of_first(self, piece: str) -> bytes:

@@ -21,7 +21,7 @@ from pyspark.sql.types import StructField, StructType
 SLICE_ROWS = 256
 
 #: Rows and bytes of text that a function of a whole Arrow column sees at once.
-PART_ROWS, PART_BYTES = 8 * SLICE_ROWS, 8 << 20
+PART_ROWS, PART_BYTES = 8 * SLICE_ROWS, 4 << 20
 
 # Words are runs of ASCII letters and digits and of all characters beyond ASCII, A-Z lower-cased. In UTF-8 every byte of
 # such a character is 0x80 or more, so the words can be cut bytewise.
@@ -91,6 +91,12 @@ def let_go() -> None:
     if _kept:
         _kept.clear()
         gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Arrow's memory pool keeps what arrays have freed, as much as its largest column took, until it is told to."""
+    pa.default_memory_pool().release_unused()
 
 
 def map_arrow(df: DataFrame, run: Callable, schema, keeps: bool = False) -> DataFrame:
@@ -148,6 +154,9 @@ def map_texts(
                 arrays = [part.column(i) for i in range(n_keep)]
                 arrays += [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
+                if whole_column:
+                    made = arrays = None
+                    give_back()
 
     picked = [F.col(quoted(c)) for c in keep] + [F.col(quoted(text)).alias("__text")] * (at_text == n_keep)
     return map_arrow(df.select(*picked), run, schema, keeps)

@@ -14,6 +14,7 @@ import public_tokenizers as P
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField
 from tokenizers import Tokenizer
 
 from feedlake.llm import bpe_codec, host_reputation, host_rules, jaccard_forest, license_rules, phrase_index, pretokens, rows, simple8b, skip_chain, token_counts
@@ -872,3 +873,48 @@ def test_parts_bound_rows_and_bytes(monkeypatch):
     got = [p.column(0).to_pylist() for p in rows.parts(batch.slice(0), 0)]
     assert got == [["a" * 6, "b" * 4, None], ["c", "d"], ["e" * 30], ["", "f", "g"], ["h", "i"]]
     assert list(rows.parts(batch.slice(0, 0), 0)) == []
+
+
+def test_kept_pieces_take_few_bytes_each():
+    import gc
+    import tracemalloc
+
+    def encoded(matches):
+        return [m.encode().ljust(-(-len(m) // 4) * 4) for m in matches]
+
+    asked = []
+    pieces = pretokens.PieceIds(lambda ms: asked.append(ms) or encoded(ms), lambda t: encoded([t])[0], limit=30_000)
+    names = ["".join(chr(97 + i // 26**k % 26) for k in range(5)) * 2 for i in range(60_000)]
+    columns = [pa.array([" " + " ".join(names[i : i + 5_000])]) for i in range(0, 60_000, 5_000)]
+    gc.collect()
+    tracemalloc.start()
+    arrow = pa.total_allocated_bytes()
+    for k, column in enumerate(columns):
+        ids, begins = pieces.column(column)
+        assert ids.tobytes() == b"".join(encoded([" " + n for n in names[5_000 * k : 5_000 * k + 5_000]]))
+        assert begins.tolist() == [0, len(ids)]
+        asked.clear()
+    del ids, begins
+    gc.collect()
+    used = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    tracemalloc.stop()
+    assert used < 80 * len(names)  # two Python strings and a dict's entry take more
+    pieces.column(columns[3])
+    assert asked == [[]]  # all are kept
+    pieces.column(pa.array([" new words"]))
+    asked.clear()
+    pieces.column(pa.array([" words newer new " + names[59_999]]))
+    assert asked == [[" newer"]]  # old ones have gone, young ones stay
+
+
+def test_spare_memory_is_given_back_after_each_part_of_a_column(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(rows, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(rows, "ship", lambda spark: None)
+    monkeypatch.setattr(rows, "PART_ROWS", 2)
+    frame = type("Frame", (), {"sparkSession": None, "select": lambda self, *c: self, "mapInArrow": lambda self, run, schema: run})()
+    run = rows.map_texts(frame, [], "text", lambda: lambda texts: (texts,), [StructField("out", StringType())], keeps=True, whole_column=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", None, "b", "", "c"])], names=["text"])
+    assert [part.column(0).to_pylist() for part in run([batch])] == [["a", None], ["b", ""], ["c"]] and len(given) == 3
+    rows.let_go()
+    assert len(given) == 4
