@@ -235,7 +235,8 @@ def read_ids(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
     # one row a file goes through the window: its size follows the number of files, not of ids
     files = blocks.groupBy("file").agg(F.sum("n_ids").alias("n"))
     starts = files.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("file_start"))
-    placed = blocks.join(starts, "file").select(
+    # and so does the broadcast of the starts, which spares the blocks, as large as all ids, a shuffle
+    placed = blocks.join(F.broadcast(starts), "file").select(
         (F.col("file_start") + F.col("first_id")).alias("start"), "doc_ids", "doc_lens", "words"
     )
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * ids

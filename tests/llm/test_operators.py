@@ -141,6 +141,31 @@ def test_simple8b_files(spark, docs, empty):
     assert simple8b.read_ids(spark, none).count() == 0
 
 
+def test_simple8b_words_are_not_shuffled(spark, docs):
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:  # several files, and no table small enough for Spark to broadcast it unasked, as at size
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        path = simple8b.write_ids(docs, new_dir(spark, "ids"), BPE)
+        read = simple8b.read_ids(spark, path)
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        got = sorted(read.collect(), key=lambda r: r.start)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # the only shuffle by file is that of the sums of ids; the blocks meet the files' starts where they are read
+    assert plan.count("Exchange hashpartitioning(file") == 1 and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert spark.read.parquet(path).select("file").distinct().count() > 2
+    assert [r.doc_id for r in got] == [None, None, *sorted([*range(len(TEXTS)), 3])]
+    tok, start = Tokenizer.from_file(BPE), 0
+    for r in got:
+        if r.doc_id is not None:
+            assert r.ids == [*tok.encode(TEXTS[r.doc_id] or "", add_special_tokens=False).ids, 0]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes()))
+        start += r.n_tokens
+
+
 def variants(n, seed=3):
     """Families of near copies of different tightness, one large, and strangers."""
     r = random.Random(seed)
