@@ -11,20 +11,26 @@ a phrase with an absent term is skipped at once. What is left are exact occurren
 piece of `size` words of an item is near where all its distinct words stand, in any order, within `size + slop` words.
 
 Items are dealt into blocks of about BLOCK_BYTES by a hash, written by Spark, and pass over the index one block after
-the other: the driver and a task hold one block at a time, however large the benchmark is.
+the other: the driver and a task hold one block at a time, however large the benchmark is. A Python process keeps a block as
+arrays of numbers, some 30 bytes a word, for all its tasks.
+
+A shard is a Parquet row group and an Arrow batch of its own, so writers, readers and Python hold one shard at a time, however
+many of them a task has: their number follows the row groups of the documents' files, which no split divides.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm.rows import SLICE_ROWS, map_arrow, quoted, words
+from feedlake.llm.rows import SLICE_ROWS, give_back, kept, map_arrow, quoted, short_batches, short_reads, word_column, words
 from feedlake.workspace import materialize, new_dir
 
 WINDOW = 10
@@ -35,6 +41,11 @@ SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 16 << 20
 GAP = 64
 
+#: A row group for each shard. Without it Parquet's writer looks at its size after a hundred rows.
+SHARD_GROUPS = {"parquet.block.row.count.limit": 1, "parquet.page.row.count.limit": 1}
+#: Numbers of item names that are spread out at once.
+NAMES = 1 << 18
+
 INDEX_SCHEMA = (
     "shard bigint, doc_ids array<bigint>, first array<bigint>, lens array<bigint>, terms array<binary>, ends array<int>, postings binary"
 )
@@ -42,6 +53,8 @@ FOUND_SCHEMA = (
     "shard bigint, k int, doc_id bigint, n_words bigint, spans array<struct<a:bigint,b:bigint>>, items array<string>, near array<string>"
 )
 
+ITEMS = pa.schema([("id", pa.string()), ("text", pa.string())])
+
 
 def _arrow(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -121,33 +134,111 @@ def build_index(docs: DataFrame, path: str, id_col: str = "doc_id", text: str =
 
     arrow = _arrow(INDEX_SCHEMA)
     picked = docs.select(F.col(quoted(id_col)).cast("bigint"), F.col(quoted(text)))
-    map_arrow(picked, run, INDEX_SCHEMA).write.option("compression", "zstd").parquet(path)
+    with short_batches(docs.sparkSession), short_reads(docs.sparkSession):
+        map_arrow(picked, run, INDEX_SCHEMA).write.options(compression="zstd", **SHARD_GROUPS).parquet(path)
     return path
 
 
+def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number from 1 on for each pair of numbers, the same for equal pairs."""
+    key = a.astype(np.int64) * (int(b.max(initial=0)) + 1) + b
+    return (np.unique(key, return_inverse=True)[1] + 1).astype(np.int32)
+
+
+def runs_numbered(code: np.ndarray, left: np.ndarray, size: int) -> np.ndarray:
+    """For each place the same number where the next `size` codes are the same; a run ends with its item, `left` codes from there.
+    Numbers of runs of 1, 2, 4 ... codes are paired, so that runs are equal or not, never hashed."""
+
+    def after(run, n):
+        out = np.zeros(len(run), np.int32)
+        out[: max(0, len(run) - n)] = run[n:]
+        out[left <= n] = 0
+        return out
+
+    step, run, whole, done = 1, code + np.int32(1), None, 0
+    while True:
+        if size & step:
+            whole, done = run if whole is None else paired(whole, after(run, done)), done + step
+        if done == size:
+            return whole
+        run, step = paired(run, after(run, step)), 2 * step
+
+
+class Named:
+    """Things and the numbers of the items that hold each: `first` has a place of every distinct thing, from things that are equal
+    by `number`, at `place`, of the item `name`."""
+
+    def __init__(self, number: np.ndarray, place: np.ndarray, name: np.ndarray):
+        order = np.lexsort((name, number))
+        number, name = number[order], name[order]
+        new = np.ones(len(number), bool)
+        new[1:] = number[1:] != number[:-1]
+        other = new.copy()
+        other[1:] |= name[1:] != name[:-1]
+        self.first, self.names = place[order][new], name[other]
+        self.ends = np.append(np.flatnonzero(new[other]), len(self.names)).astype(np.int32)
+
+    def of(self, things: np.ndarray) -> np.ndarray:
+        """The numbers of the items of some things, ascending, each once."""
+        begin, found = self.ends[things], np.empty(0, np.int32)
+        count = self.ends[things + 1] - begin
+        part = np.cumsum(count, dtype=np.int64) // NAMES
+        for at in np.split(np.arange(len(things)), np.flatnonzero(np.diff(part)) + 1):
+            n = count[at]
+            places = np.repeat(begin[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            found = np.unique(np.append(found, self.names[places]))
+        return found
+
+
 class Phrases:
-    """A block of items: its terms, its windows as term numbers, each once, with the items that hold it, and its pieces
-    (every `size` words, the last one flush with the item's end) as sets of distinct terms, each once."""
+    """A block of items: its terms, its windows as places in the stream of the items' words, each once, with the items that hold
+    it, and its pieces (every `size` words, the last one flush with the item's end) as sets of distinct terms, each once.
 
-    def __init__(self, items: list[tuple[str | None, str]], size: int):
-        number = Numbering()
-        found: dict[tuple, set] = {}
-        pieces: dict[frozenset, set] = {}
-        for name, text in items:
-            code = tuple(number[x] for x in words(text))
-            if not code:
-                continue
-            name, last = "null" if name is None else name, max(0, len(code) - size)
-            for i in range(last + 1):
-                found.setdefault(code[i : i + size], set()).add(name)
-            for i in {*range(0, last, size), last}:
-                pieces.setdefault(frozenset(code[i : i + size]), set()).add(name)
-        self.terms = list(number)
-        by_len: dict[int, list] = {}
-        for phrase in found:
-            by_len.setdefault(len(phrase), []).append(phrase)
-        self.groups = [(np.array(p, np.int64), [found[x] for x in p]) for p in by_len.values()]
-        self.pieces = [(np.array(sorted(p), np.int64), names) for p, names in pieces.items()]
+    Made of the items as a serialized batch of (id, text), and `size`. Items are numbered by name, in the names' order.
+    """
+
+    def __init__(self, block: tuple[bytes, int]):
+        data, size = block
+        ids, texts = pa.ipc.read_record_batch(pa.py_buffer(data), ITEMS).columns
+        ids = pc.fill_null(ids, "null")
+        stream, ends = word_column(texts)
+        coded = stream.dictionary_encode()
+        self.terms, self.code = coded.dictionary, coded.indices.to_numpy()
+        del stream, coded
+        length = np.diff(ends, prepend=0)
+        worded = np.flatnonzero(length)
+        ids, ends, length = ids.take(pa.array(worded)), ends[worded], length[worded]
+        names = pc.unique(ids)
+        self.names = names.take(pc.sort_indices(names))
+        name = pc.index_in(ids, value_set=self.names).to_numpy()
+
+        item = np.repeat(np.arange(len(ends), dtype=np.int32), length)
+        left = (ends[item] - np.arange(len(item))).astype(np.int32)
+        # a window starts where `size` words are left, or where a shorter item begins
+        starts = np.flatnonzero((left >= size) | (left == length[item])).astype(np.int32)
+        self.phrases = Named(runs_numbered(self.code, left, size)[starts], starts, name[item[starts]])
+        self.length = np.minimum(left[self.phrases.first], size)
+        give_back()
+
+        begin = ends - length
+        last = np.maximum(length - size, 0)
+        n = -(-last // size)  # of pieces before the last one
+        of = np.repeat(np.arange(len(ends), dtype=np.int32), n + 1)
+        at = size * (np.arange(len(of)) - np.repeat(np.cumsum(n + 1) - (n + 1), n + 1))
+        at = begin[of] + np.minimum(at, last[of])
+        number, absent = np.zeros(len(at), np.int32), np.int32(-1)
+        place = at[:, None] + np.arange(size)
+        words_in = np.where(place < ends[of][:, None], self.code[np.minimum(place, max(0, len(self.code) - 1))], absent) if len(at) else np.empty((0, size), np.int32)
+        del place
+        words_in.sort(axis=1)
+        words_in[:, 1:][words_in[:, 1:] == words_in[:, :-1]] = absent
+        words_in.sort(axis=1)
+        for k in range(size):
+            number = paired(number, words_in[:, k] + np.int32(1))
+        self.pieces = Named(number, np.arange(len(at), dtype=np.int32), name[of])
+        words_in = words_in[self.pieces.first]
+        self.piece_terms = words_in[words_in >= 0]
+        self.piece_ends = np.append(0, np.cumsum((words_in >= 0).sum(axis=1)))
 
 
 def intersect(lists: list[np.ndarray], offsets: list[int]) -> np.ndarray:
@@ -188,9 +279,8 @@ def proximity_places(lists: list[np.ndarray], reach: int) -> np.ndarray:
 class Postings:
     """A shard's posting lists by the term numbers of a block of items."""
 
-    def __init__(self, terms: list[bytes], ends: np.ndarray, data: bytes, wanted: list[bytes]):
-        number = {t: i for i, t in enumerate(terms)}
-        at = np.fromiter((number.get(t, -1) for t in wanted), np.int64, len(wanted))
+    def __init__(self, terms: pa.Array, ends: np.ndarray, data: bytes, wanted: pa.Array):
+        at = pc.fill_null(pc.index_in(wanted, value_set=terms), -1).to_numpy()
         count = np.diff(ends, prepend=0)
         self.count = np.where(at >= 0, count[at], 0) if len(ends) else np.zeros(len(at), np.int64)
         self.end = np.where(at >= 0, ends[at], 0) if len(ends) else self.count
@@ -199,65 +289,112 @@ class Postings:
     def lists(self, terms: np.ndarray) -> list[np.ndarray]:
         return [self.places[self.end[t] - self.count[t] : self.end[t]] for t in terms]
 
-    def phrases(self, groups) -> Iterator[tuple[np.ndarray, int, set]]:
-        """(starts, phrase length, items) of each phrase that occurs."""
-        for phrases, names in groups:
-            for p in np.flatnonzero(self.count[phrases].min(axis=1) > 0):
-                start = intersect(self.lists(phrases[p]), list(range(phrases.shape[1])))
-                if len(start):
-                    yield start, phrases.shape[1], names[p]
-
-    def near(self, pieces, reach: int) -> Iterator[tuple[np.ndarray, set]]:
-        """(places, items) of each piece that stands within `reach` words somewhere."""
-        for terms, names in pieces:
-            if self.count[terms].min() > 0:
-                places = proximity_places(self.lists(terms), reach)
-                if len(places):
-                    yield places, names
-
-
-def merged(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+    def phrases(self, items: Phrases) -> Iterator[tuple[np.ndarray, int, int]]:
+        """(starts, phrase length, phrase) of each phrase that occurs."""
+        first, length = items.phrases.first, items.length
+        held = np.append(0, np.cumsum((self.count > 0)[items.code], dtype=np.int32))
+        for p in np.flatnonzero(held[first + length] - held[first] == length).tolist():
+            n = int(length[p])
+            start = intersect(self.lists(items.code[first[p] : first[p] + n]), list(range(n)))
+            if len(start):
+                yield start, n, p
+
+    def near(self, items: Phrases, reach: int) -> Iterator[tuple[np.ndarray, int]]:
+        """(places, piece) of each piece that stands within `reach` words somewhere."""
+        ends = items.piece_ends
+        held = np.append(0, np.cumsum((self.count > 0)[items.piece_terms], dtype=np.int32))
+        for p in np.flatnonzero(held[ends[1:]] - held[ends[:-1]] == np.diff(ends)).tolist():
+            places = proximity_places(self.lists(items.piece_terms[ends[p] : ends[p + 1]]), reach)
+            if len(places):
+                yield places, p
+
+
+def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Disjoint intervals, ascending, of the words in any of the given ones."""
     order = np.argsort(start, kind="stable")
     start, reach = start[order], np.maximum.accumulate(end[order])
-    head = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
-    return list(zip(start[head].tolist(), reach[np.append(head[1:] - 1, len(reach) - 1)].tolist()))
+    head = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]])) if len(start) else np.empty(0, np.int64)
+    return start[head], reach[np.append(head[1:] - 1, len(reach) - 1)] if len(start) else reach
+
+
+class Found:
+    """Pairs of a document and a thing, some bytes each, and by document the items of its things."""
+
+    def __init__(self, things: Named):
+        self.things, self.doc, self.thing = things, array("i"), array("i")
+
+    def add(self, docs: np.ndarray, thing: int) -> None:
+        self.doc.frombytes(docs.astype(np.int32).tobytes())
+        self.thing.extend([thing] * len(docs))
+
+    def sort(self) -> np.ndarray:
+        """The documents that have any."""
+        doc, thing = np.frombuffer(self.doc, np.int32), np.frombuffer(self.thing, np.int32)
+        order = np.argsort(doc, kind="stable")
+        self.docs, begin = np.unique(doc[order], return_index=True)
+        self.by_doc = dict(zip(self.docs.tolist(), zip(begin.tolist(), [*begin[1:].tolist(), len(doc)])))
+        self.sorted = thing[order]
+        return self.docs
+
+    def of(self, doc: int) -> np.ndarray:
+        at = self.by_doc.get(doc)
+        return self.things.of(np.unique(self.sorted[slice(*at)])) if at else NONE
+
+
+NONE = np.empty(0, np.int32)
+
+
+def _lists(values: pa.Array, lengths) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), values)
 
 
 def query_block(index: DataFrame, shared: Broadcast, size: int = WINDOW, slop: int | None = None, every: bool = True) -> DataFrame:
-    """FOUND_SCHEMA rows of one block of items, (id, text) pairs, over the stored index: of every document row, or of those with a match."""
+    """FOUND_SCHEMA rows of one block of items, as of `Phrases`, over the stored index: of every document row, or of those with a match."""
     arrow = _arrow(FOUND_SCHEMA)
 
+    def shown(shard: int, ids: pa.Array, first: np.ndarray, lens: np.ndarray, postings: Postings, items: Phrases):
+        exact, near = Found(items.phrases), Found(items.pieces)
+        start, end = array("q"), array("q")
+        for at, length, p in postings.phrases(items):
+            start.frombytes(at.tobytes())
+            end.frombytes((at + length).tobytes())
+            exact.add(np.unique(np.searchsorted(first, at, side="right") - 1), p)
+        for at, p in postings.near(items, size + slop) if slop is not None else ():
+            near.add(np.unique(np.searchsorted(first, at, side="right") - 1), p)
+        # documents lie apart, so no interval reaches into the next one
+        a, b = merged(np.frombuffer(start, np.int64), np.frombuffer(end, np.int64))
+        of = np.searchsorted(first, a, side="right") - 1
+        a, b = a - first[of], b - first[of]
+        docs = np.union1d(exact.sort(), near.sort())
+        docs = np.arange(len(ids)) if every else docs.astype(np.int64)
+        rows, held, begin = ([], []), 0, 0
+        for k, doc in enumerate(docs.tolist(), 1):
+            for found, numbers in zip((exact, near), rows):
+                numbers.append(found.of(doc))
+                held += len(numbers[-1])
+            if k - begin < SLICE_ROWS and held < NAMES and k < len(docs):
+                continue
+            part = docs[begin:k]
+            low, high = np.searchsorted(of, part, side="left"), np.searchsorted(of, part, side="right")
+            pieces = slice(low[0], high[-1])  # no other document between them has any
+            spans = pa.StructArray.from_arrays([pa.array(a[pieces]), pa.array(b[pieces])], names=["a", "b"])
+            cols = [
+                pa.array(np.full(len(part), shard)), pa.array(part, pa.int32()), ids.take(pa.array(part)), pa.array(lens[part]),
+                _lists(spans, high - low),
+                *(_lists(items.names.take(pa.array(np.concatenate(n))), [len(x) for x in n]) for n in rows),
+            ]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)
+            rows, held, begin = ([], []), 0, k
+
     def run(batches):
-        phrases = Phrases(shared.value, size)
+        items = kept(shared, Phrases)
         for batch in batches:
             for i in range(batch.num_rows):
-                shard, ids, first, lens, terms, ends, data = (batch.column(k)[i].as_py() for k in range(7))
-                postings = Postings(terms, np.array(ends, np.int64), data, phrases.terms)
-                first = np.array(first, np.int64)
-                spans: dict[int, list] = {}
-                items: dict[int, set] = {}
-                near: dict[int, set] = {}
-                for start, length, names in postings.phrases(phrases.groups):
-                    doc = np.searchsorted(first, start, side="right") - 1
-                    for d, a in zip(doc.tolist(), (start - first[doc]).tolist()):
-                        spans.setdefault(d, []).append((a, a + length))
-                        items.setdefault(d, set()).update(names)
-                if slop is not None:
-                    for places, names in postings.near(phrases.pieces, size + slop):
-                        for d in np.unique(np.searchsorted(first, places, side="right") - 1).tolist():
-                            near.setdefault(d, set()).update(names)
-                shown = range(len(ids)) if every else sorted({*spans, *near})
-                for at in range(0, len(shown), SLICE_ROWS):
-                    part = shown[at : at + SLICE_ROWS]
-                    cols = [
-                        [shard] * len(part), part, [ids[d] for d in part], [lens[d] for d in part],
-                        [[{"a": a, "b": b} for a, b in merged(*np.array(spans[d]).T)] if d in spans else [] for d in part],
-                        [sorted(items.get(d, ())) for d in part], [sorted(near.get(d, ())) for d in part],
-                    ]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
-
-    return map_arrow(index, run, FOUND_SCHEMA)
+                shard, ids, first, lens, terms, ends, data = (batch.column(k)[i] for k in range(7))
+                postings = Postings(terms.values, ends.values.to_numpy().astype(np.int64), data.as_py(), items.terms)
+                yield from shown(shard.as_py(), ids.values, first.values.to_numpy(), lens.values.to_numpy(), postings, items)
+
+    return map_arrow(index, run, FOUND_SCHEMA, keeps=True)
 
 
 def _covered(spans: Column) -> Column:
@@ -275,25 +412,27 @@ def query_index(index: DataFrame, blocks: DataFrame, n_blocks: int, size: int =
     """doc_id, n_words, n_hit, items and near (sorted strings of the items found), one row per indexed document row.
 
     `blocks` as of `item_blocks`. One pass over the index a block; the first one tells of every row, later ones of rows with a match,
-    and their findings are united by document row.
+    and their findings are united by document row. Findings are written into the shared folder.
     """
     if size + (slop or 0) > GAP:
         raise ValueError(f"at most {GAP} words")
+    spark = index.sparkSession
 
     def block(b: int) -> Broadcast:
-        held = blocks.where(F.col("block") == b).select("id", "text").collect()  # about BLOCK_BYTES
-        return index.sparkSession.sparkContext.broadcast([(r["id"], r["text"]) for r in held])
-
-    if n_blocks == 1:
-        found = query_block(index, block(0), size, slop)
-    else:
-        path = new_dir(index.sparkSession, "phrase-found")
-        for b in range(n_blocks):
-            shared = block(b)
+        held = blocks.where(F.col("block") == b).select("id", "text").toArrow()  # about BLOCK_BYTES
+        held = pa.RecordBatch.from_arrays([c.cast(f.type).combine_chunks() for c, f in zip(held.columns, ITEMS)], schema=ITEMS)
+        return spark.sparkContext.broadcast((held.serialize().to_pybytes(), size))
+
+    path = new_dir(spark, "phrase-found")
+    for b in range(n_blocks):
+        shared = block(b)
+        with short_batches(spark, 1):
             query_block(index, shared, size, slop, every=b == 0).write.mode("append").parquet(path)
-            shared.unpersist()
-        rows = index.sparkSession.read.schema(FOUND_SCHEMA).parquet(path).groupBy("shard", "k")
+        shared.unpersist()
+    found = spark.read.schema(FOUND_SCHEMA).parquet(path)
+    if n_blocks > 1:
         united = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+        rows = found.groupBy("shard", "k")
         found = rows.agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), united("spans"), united("items"), united("near"))
     return found.select("doc_id", "n_words", _covered(F.col("spans")).alias("n_hit"), "items", "near")
 

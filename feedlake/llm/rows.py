@@ -35,6 +35,19 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().translate(_WORD_TABLE).split() if text else []
 
 
+def word_column(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """`words` of all texts of a string column, one after the other, and the place where each text's words end."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = (texts.buffers()[2] or pa.py_buffer(b"")).to_pybytes().translate(_WORD_TABLE)
+    texts = pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    cut = pc.split_pattern(texts, " ")
+    held = pc.greater(pc.binary_length(cut.flatten()), 0)
+    before = np.append(0, np.cumsum(held.to_numpy(zero_copy_only=False), dtype=np.int64))
+    ends = before[np.cumsum(pc.list_value_length(cut).to_numpy(), dtype=np.int64)] if len(cut) else before[:0]
+    return cut.flatten().filter(held).cast(pa.binary()), ends
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -73,6 +86,25 @@ def short_batches(spark: SparkSession, rows: int = 4 * SLICE_ROWS) -> Iterator[N
         spark.conf.set(key, before)
 
 
+@contextmanager
+def short_reads(spark: SparkSession) -> Iterator[None]:
+    """For actions inside: Parquet rows are decoded SLICE_ROWS at a time at most, as whole texts lie in each of these batches; a row
+    group's column is read in pieces of 8 MB, where vectored reads take it whole, and once more outside the heap, a thread; and
+    Arrow batches end at about 8 MB, unless the session has a limit."""
+    rows, size = "spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxBytesPerBatch"
+    wanted = {rows: min(int(spark.conf.get(rows)), SLICE_ROWS), "parquet.hadoop.vectored.io.enabled": "false", size: 2 * PART_BYTES}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    if before[size] is not None:
+        del wanted[size], before[size]
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _kept: list = []
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import glob
 import hashlib
 import random
 import re
@@ -10,6 +11,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -382,6 +384,80 @@ def test_one_index_answers_any_items_by_phrase_and_proximity(spark, monkeypatch)
         phrase_index.query_index(index, blocks, n, 60, 5)
 
 
+def test_phrase_index_holds_one_shard_at_a_time(spark, monkeypatch):
+    """Of a task with many shards, the files' row groups and the batches that Python gets hold one each."""
+    monkeypatch.setattr(phrase_index, "SHARD_BYTES", 300)
+    texts = [(k, f"{PROSE} {k} {k % 7}") for k in range(90)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1)
+    path = phrase_index.build_index(df, new_dir(spark, "t"))
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(path.removeprefix("file:") + "/*.parquet")]
+    assert sum(m.num_rows for m in files) >= 30
+    assert sum(m.num_row_groups for m in files) == sum(m.num_rows for m in files)
+
+    def checked(df, run, schema, **how):
+        def alone(batches):
+            for b in batches:
+                assert b.num_rows == 1
+                yield b
+
+        return rows.map_arrow(df, lambda batches: run(alone(batches)), schema, **how)
+
+    monkeypatch.setattr(phrase_index, "map_arrow", checked)
+    items = spark.createDataFrame([(1, "south again today 8 1"), (2, PROSE)], "item_id bigint, text string")
+    got = phrase_index.query_index(phrase_index.open_index(spark, path), *phrase_index.item_blocks(items), slop=3).collect()
+    assert len(got) == 90 and all("2" in r["items"] and "2" in r.near for r in got)
+    assert [r.doc_id for r in got if "1" in r["items"]] == [8]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "4096"
+    assert spark.conf.get("parquet.hadoop.vectored.io.enabled", None) is None
+
+
+def test_a_block_of_items_is_arrays(monkeypatch):
+    """Windows and pieces as by brute force, in some bytes a word instead of some hundred."""
+    monkeypatch.setattr(phrase_index, "NAMES", 5)
+    r = random.Random(8)
+    text = lambda n, of: " ".join(f"W{r.randrange(of)}" for _ in range(n))
+    few = [(str(r.randrange(20)), text(r.randrange(0, 25), 3)) for _ in range(60)] + [(None, "w1 W2"), ("7", "w1, w2"), ("8", None), ("9", "-")]
+    many = [(str(k), text(200, 100_000)) for k in range(1000)]
+
+    def made(items, size):
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*items), phrase_index.ITEMS)] if items else [[], []]
+        block = pa.RecordBatch.from_arrays(columns, schema=phrase_index.ITEMS)
+        return phrase_index.Phrases((block.serialize().to_pybytes(), size))
+
+    for size in (1, 4, 10):
+        windows, pieces = collections.defaultdict(set), collections.defaultdict(set)
+        for name, t in few:
+            w = words(t)
+            for k in range(max(1, len(w) - size + 1)) if w else ():
+                windows[tuple(w[k : k + size])].add(name or "null")
+            last = max(0, len(w) - size)
+            for k in {*range(0, last, size), last} if w else ():
+                pieces[frozenset(w[k : k + size])].add(name or "null")
+        got = made(few, size)
+        named = lambda things, k: set(got.names.take(pa.array(things.of(np.array([k])))).to_pylist())
+        spelled = lambda code: [got.terms[c].as_py().decode() for c in code.tolist()]
+        places = zip(got.phrases.first.tolist(), got.length.tolist())
+        assert {tuple(spelled(got.code[a : a + n])): named(got.phrases, k) for k, (a, n) in enumerate(places)} == windows
+        assert len(got.length) == len(windows) and len(got.piece_ends) == len(pieces) + 1
+        cut = zip(got.piece_ends[:-1].tolist(), got.piece_ends[1:].tolist())
+        assert {frozenset(spelled(got.piece_terms[a:b])): named(got.pieces, k) for k, (a, b) in enumerate(cut)} == pieces
+        every = got.phrases.of(np.arange(len(got.length)))
+        assert got.names.take(pa.array(every)).to_pylist() == sorted(set().union(*windows.values()))
+    assert len(made([], 10).length) == len(made([], 10).names) == 0
+    got = made(many, 10)
+    arrays = [got.code, got.length, got.piece_terms, got.piece_ends, *(x for n in (got.phrases, got.pieces) for x in (n.first, n.names, n.ends))]
+    assert sum(x.nbytes for x in arrays) <= 32 * len(got.code) and len(got.code) == 200_000
+
+
+def test_word_column_is_words():
+    texts = TEXTS + ["É 日本 A\x00b\x1fc  ", "\U0001f600x Y-z"]
+    for column in (pa.array(texts), pa.array(["x y", *texts, "z"]).slice(1, len(texts)), pa.array([], pa.string())):
+        got, ends = rows.word_column(column)
+        cut = np.split(np.array(got.to_pylist(), object), ends[:-1]) if len(ends) else []
+        assert [list(c) for c in cut] == [rows.words(t) for t in column.to_pylist()]
+
+
 def base_reference(t):
     out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
