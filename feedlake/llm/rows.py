@@ -88,11 +88,10 @@ def short_batches(spark: SparkSession, rows: int = 4 * SLICE_ROWS) -> Iterator[N
 
 @contextmanager
 def short_reads(spark: SparkSession) -> Iterator[None]:
-    """For actions inside: Parquet rows are decoded SLICE_ROWS at a time at most, as whole texts lie in each of these batches; a row
-    group's column is read in pieces of 8 MB, where vectored reads take it whole, and once more outside the heap, a thread; and
+    """For actions inside: Parquet rows are decoded SLICE_ROWS at a time at most, as whole texts lie in each of these batches, and
     Arrow batches end at about 8 MB, unless the session has a limit."""
     rows, size = "spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxBytesPerBatch"
-    wanted = {rows: min(int(spark.conf.get(rows)), SLICE_ROWS), "parquet.hadoop.vectored.io.enabled": "false", size: 2 * PART_BYTES}
+    wanted = {rows: min(int(spark.conf.get(rows)), SLICE_ROWS), size: 2 * PART_BYTES}
     before = {k: spark.conf.get(k, None) for k in wanted}
     if before[size] is not None:
         del wanted[size], before[size]

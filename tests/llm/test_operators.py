@@ -409,7 +409,7 @@ def test_phrase_index_holds_one_shard_at_a_time(spark, monkeypatch):
     assert [r.doc_id for r in got if "1" in r["items"]] == [8]
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
     assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "4096"
-    assert spark.conf.get("parquet.hadoop.vectored.io.enabled", None) is None
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
 
 
 def test_a_block_of_items_is_arrays(monkeypatch):
